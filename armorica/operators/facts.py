@@ -66,7 +66,7 @@ def replicate_regions(
     metrics = broadcast_if_small(metrics.withColumnRenamed(header, v.REGION))
     if not isinstance(region_of, Column):
         pairs = [F.lit(item) for pair in region_of.items() for item in pair]
-        region_of = F.create_map(*pairs).getItem(F.col("code_dep"))
+        region_of = F.create_map(*pairs)[F.col("code_dep")]
     placed = dimension.withColumn("_commune_region", region_of.cast("int"))
     same = F.col("_commune_region") == F.col("_region")
     return placed.join(metrics, same, "inner").drop("_region", "_commune_region")

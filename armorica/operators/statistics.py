@@ -33,16 +33,16 @@ def mean_by_territory(
     return df.groupBy(*[column(key) for key in keys]).agg(mean.alias(alias))
 
 
-def mean_by_commune(df: DataFrame, as_text: bool = True) -> DataFrame:
+def mean_by_commune(df: DataFrame, number: str = "double", as_text: bool = True) -> DataFrame:
     """Mean per commune of the metric the headers offer: poverty rate, else social index.
 
     The social index is averaged per year as well.
     """
     keys = [v.COMMUNE_CODE, v.COMMUNE_LABEL]
     if v.POVERTY_METRIC in df.columns:
-        return mean_by_territory(df, keys, v.POVERTY_METRIC, v.POVERTY_MEAN, as_text=as_text)
+        return mean_by_territory(df, keys, v.POVERTY_METRIC, v.POVERTY_MEAN, number, as_text)
     if v.SOCIAL_METRIC in df.columns:
-        return mean_by_territory(df, [*keys, v.YEAR], v.SOCIAL_METRIC, v.SOCIAL_MEAN, as_text=as_text)
+        return mean_by_territory(df, [*keys, v.YEAR], v.SOCIAL_METRIC, v.SOCIAL_MEAN, number, as_text)
     raise ValueError(f"neither {v.POVERTY_METRIC!r} nor {v.SOCIAL_METRIC!r} among {df.columns}")
 
 
@@ -52,15 +52,19 @@ def pivot_years(
     value: str = v.RATE,
     years: Iterable[int] = v.YEARS,
     year: str = v.YEAR,
+    number: str | None = None,
 ) -> DataFrame:
     """One column ``<value> <year>`` per year, the greatest value where there are several.
 
+    Values that are text are compared as text unless ``number`` names a type.
+
     One aggregation with a condition per year: a single shuffle on the keys,
     combined before it.
     """
-    number = to_int(column(find_column(df, year) or year))
+    at = to_int(column(find_column(df, year) or year))
+    cell = column(value).try_cast(number) if number else column(value)
     return df.groupBy(*[column(key) for key in keys]).agg(
-        *[F.max(F.when(number == wanted, column(value))).alias(f"{value} {wanted}") for wanted in years]
+        *[F.max(F.when(at == wanted, cell)).alias(f"{value} {wanted}") for wanted in years]
     )
 
 

@@ -19,12 +19,16 @@ FOLDER = "year_folder"
 
 
 def convert_yearly(
-    spark: SparkSession, source: str, target: str, datasets: Iterable[str] = v.YEARLY_DATASETS
+    spark: SparkSession,
+    source: str,
+    target: str,
+    datasets: Iterable[str] = v.YEARLY_DATASETS,
+    departments: Iterable[int] = v.DEPARTMENTS,
 ) -> int:
     """Datasets laid out by year, kept to the territory; gives the number of rows written."""
     written = 0
     for dataset in datasets:
-        written += _write(yearly_tables(spark, f"{source}/{dataset}"), f"{target}/{dataset}")
+        written += _write(yearly_tables(spark, f"{source}/{dataset}", departments), f"{target}/{dataset}")
     return written
 
 
@@ -34,14 +38,16 @@ def convert_tree(spark: SparkSession, source: str, target: str) -> int:
     return _write(converted(spark, books), target)
 
 
-def yearly_tables(spark: SparkSession, source: str) -> list[DataFrame]:
+def yearly_tables(
+    spark: SparkSession, source: str, departments: Iterable[int] = v.DEPARTMENTS
+) -> list[DataFrame]:
     """The files of each year folder, kept to the territory, one DataFrame per header."""
     years: dict[str, list[SourceFile]] = defaultdict(list)
     for file in list_files(spark, source):
         if file.depth > 0:
             years[file.below[0]].append(file)
     files = [file for group in years.values() for file in first_level(group, depth=1)]
-    return [keep_territory(table) for table in converted(spark, files)]
+    return [keep_territory(table, departments) for table in converted(spark, files)]
 
 
 def converted(spark: SparkSession, files: Iterable[SourceFile]) -> list[DataFrame]:

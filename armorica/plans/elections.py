@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,21 +19,25 @@ from armorica.sources.tree import FILE_PATH, file_year, output_name
 FILE = "file"
 
 
-def score_elections(spark: SparkSession, source: str, target: str) -> int:
+def score_elections(
+    spark: SparkSession, source: str, target: str, departments: Iterable[int] = v.DEPARTMENTS
+) -> int:
     """Score all result files below ``source``; gives the number of rows written.
 
     Files of one header are scored in one plan, against the reference of their
     year, and written to ``<target>/file=<name>/annee=<year>``.
     """
     written = 0
-    for turn, scores in enumerate(election_scores(spark, source)):
+    for turn, scores in enumerate(election_scores(spark, source, departments)):
         written += write_delimited(
             scores, target, partition_by=[FILE, v.YEAR], mode="append" if turn else "overwrite"
         )
     return written
 
 
-def election_scores(spark: SparkSession, source: str) -> list[DataFrame]:
+def election_scores(
+    spark: SparkSession, source: str, departments: Iterable[int] = v.DEPARTMENTS
+) -> list[DataFrame]:
     """Scores with their file name and year, one DataFrame per distinct header."""
     files = list_one_level(spark, source)
     references = [file for file in files if file.name.startswith("Reference")]
@@ -44,7 +49,7 @@ def election_scores(spark: SparkSession, source: str) -> list[DataFrame]:
     for group in read_groups(spark, results):
         path = F.col(FILE_PATH)
         rows = group.withColumns({FILE: output_name(path), v.YEAR: file_year(path)}).drop(FILE_PATH)
-        rows = keep_territory(normalise_geography(rows))
+        rows = keep_territory(normalise_geography(rows), departments)
         scored.append(camp_scores_wide(rows, reference, by=[v.YEAR], keep=(*KEPT, FILE)))
     return scored
 

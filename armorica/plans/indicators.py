@@ -6,6 +6,7 @@ Each plan gives the number of rows it wrote, or None if its input is missing.
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,35 +20,58 @@ from armorica.sources import read_file
 log = logging.getLogger(__name__)
 
 
-def average_poverty(spark: SparkSession, source: str, target: str) -> int | None:
+def average_poverty(
+    spark: SparkSession, source: str, target: str, departments: Iterable[int] = v.DEPARTMENTS
+) -> int | None:
     """Mean poverty rate per commune."""
-    table = _territory(spark, source)
+    table = _territory(spark, source, departments)
     return None if table is None else write_delimited(mean_by_commune(table), target, single=True)
 
 
-def share_diplomas(spark: SparkSession, source: str, target: str, overlap: bool = False) -> int | None:
+def share_diplomas(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    departments: Iterable[int] = v.DEPARTMENTS,
+    overlap: bool = False,
+) -> int | None:
     """Diploma shares per commune."""
-    table = _territory(spark, source)
+    table = _territory(spark, source, departments)
     return None if table is None else write_delimited(diploma_shares(table, overlap=overlap), target, single=True)
 
 
-def pivot_crime(spark: SparkSession, source: str, target: str) -> int | None:
+def pivot_crime(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    regions: Iterable[int] = v.REGIONS,
+    years: Sequence[int] = v.YEARS,
+) -> int | None:
     """Crime rates per indicator, one column per year."""
-    table = _territory(spark, source)
-    return None if table is None else write_delimited(pivot_years(keep_years(table)), target, single=True)
+    table = _territory(spark, source, regions=regions)
+    if table is None:
+        return None
+    return write_delimited(pivot_years(keep_years(table, years), years=years, number="double"), target, single=True)
 
 
-def average_social_index(spark: SparkSession, source: str, target: str) -> int | None:
+def average_social_index(
+    spark: SparkSession, source: str, target: str, departments: Iterable[int] = v.DEPARTMENTS
+) -> int | None:
     """Mean social index per commune and year, one folder per year."""
-    table = _territory(spark, source)
+    table = _territory(spark, source, departments)
     if table is None:
         return None
     return write_delimited(mean_by_commune(normalise_year(table)), target, partition_by=[v.YEAR])
 
 
-def _territory(spark: SparkSession, source: str) -> DataFrame | None:
+def _territory(
+    spark: SparkSession,
+    source: str,
+    departments: Iterable[int] = v.DEPARTMENTS,
+    regions: Iterable[int] = v.REGIONS,
+) -> DataFrame | None:
     table = read_file(spark, source)
     if table is None:
         log.info("no input at %s, skipped", source)
         return None
-    return keep_territory(normalise_geography(table))
+    return keep_territory(normalise_geography(table), departments, regions)

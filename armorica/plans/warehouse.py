@@ -14,7 +14,7 @@ from armorica.functions import columns_like, require_column, year_columns
 from armorica.operators import checks
 from armorica.operators.cleaning import keep_slice
 from armorica.operators.facts import REGION_OF, communes, departments, facts
-from armorica.operators.reshape import flatten_metrics, metric_keys, unpivot_years
+from armorica.operators.reshape import flatten_metrics, unpivot_years
 from armorica.sinks import read_facts, write_delimited, write_facts, write_table
 from armorica.sources import SourceFile, list_files, read_groups
 from armorica.sources.tree import FILE_PATH, file_type, with_provenance
@@ -83,16 +83,13 @@ def check_warehouse(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]
 def export_facts(spark: SparkSession, warehouse: str, target: str) -> dict[str, int]:
     """Facts back as columns, ``<target>/<type>.csv/annee=<year>``; rows written per type.
 
-    One job finds the keys of all types. Types differ in their columns, so each
-    has its own write, which reads that type's folder only.
+    Types differ in their columns, so each has its own write. The table is laid
+    out by type: together the writes read it once, and once more for the keys.
     """
     fact = read_facts(spark, f"{warehouse}/{v.FACT_TABLE}")
-    keys: dict[str, list[str]] = {}
-    for row in metric_keys(fact, by=[v.TYPE]).groupBy(v.TYPE).agg(F.collect_set("key").alias("keys")).collect():
-        keys[row[v.TYPE]] = row["keys"]
     written = {}
-    for kind, found in keys.items():
-        flat = flatten_metrics(keep_slice(fact, {v.TYPE: kind}), keys=found)
+    for (kind,) in fact.select(v.TYPE).distinct().collect():
+        flat = flatten_metrics(keep_slice(fact, {v.TYPE: kind}))
         written[kind] = write_delimited(flat, f"{target}/{kind}.csv", partition_by=[v.YEAR])
     return written
 

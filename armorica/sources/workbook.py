@@ -11,14 +11,13 @@ import re
 import zipfile
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
+from functools import partial
 from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armorica.functions import column
-
 # Names given by the Office Open XML format.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -26,7 +25,7 @@ WORKBOOK = "xl/workbook.xml"
 RELATIONS = "xl/_rels/workbook.xml.rels"
 SHARED_STRINGS = "xl/sharedStrings.xml"
 
-ROWS = "path string, row int, cells array<string>"
+ROWS = "path string, position int, cells array<string>"
 BATCH_ROWS = 5000
 
 
@@ -34,46 +33,52 @@ def read_workbooks(
     spark: SparkSession, paths: Sequence[str], path_column: str | None = None
 ) -> list[DataFrame]:
     """The workbooks as one DataFrame per distinct header."""
-    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-    return group_sheets(sheet_rows(files), path_column)
+    headers = sheet_rows(_files(spark, paths), header_only=True)
+    groups: dict[tuple[str | None, ...], list[str]] = defaultdict(list)
+    for row in headers.collect():
+        groups[tuple(row["cells"])].append(row["path"])
+    return [
+        sheet_table(sheet_rows(_files(spark, same)), header, path_column) for header, same in groups.items()
+    ]
+
+
+def sheet_rows(files: DataFrame, header_only: bool = False) -> DataFrame:
+    """(path, position, cells) of the first sheet of each (path, content); position 0 is the header."""
+    return files.mapInPandas(partial(_parse, header_only), ROWS)
 
 
-def sheet_rows(files: DataFrame) -> DataFrame:
-    """(path, row, cells) of the first sheet of each (path, content)."""
-    return files.mapInPandas(_parse, ROWS)
+def sheet_table(
+    rows: DataFrame, header: Sequence[str | None], path_column: str | None = None
+) -> DataFrame:
+    """Rows of cells as columns named by the header; columns without a name are left out."""
+    cells = [F.try_element_at("cells", F.lit(i + 1)).alias(name) for i, name in enumerate(header) if name]
+    if path_column:
+        cells.append(F.col("path").alias(path_column))
+    return rows.filter("position > 0").select(*cells)
 
 
-def group_sheets(rows: DataFrame, path_column: str | None = None) -> list[DataFrame]:
-    """Rows of cells as one DataFrame per distinct header row."""
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, header in rows.filter("row = 1").select("path", "cells").collect():
-        groups[tuple(header)].append(path)
-    tables = []
-    for header, paths in groups.items():
-        cells = [
-            F.try_element_at("cells", F.lit(i + 1)).alias(name) for i, name in enumerate(header) if name
-        ]
-        if path_column:
-            cells.append(F.col("path").alias(path_column))
-        tables.append(rows.filter((F.col("row") > 1) & column("path").isin(paths)).select(*cells))
-    return tables
+def _files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return spark.read.format("binaryFile").load(list(paths)).select("path", "content")
 
 
-def _parse(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse(header_only: bool, batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["path", "position", "cells"]
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
+        for path, content in zip(batch["path"], batch["content"], strict=True):
             block: list[tuple[str, int, list[str | None]]] = []
-            for number, cells in _sheet(content):
-                block.append((path, number, cells))
+            for position, cells in enumerate(_sheet(content)):
+                block.append((path, position, cells))
+                if header_only:
+                    break
                 if len(block) == BATCH_ROWS:
-                    yield pd.DataFrame(block, columns=["path", "row", "cells"])
+                    yield pd.DataFrame(block, columns=names)
                     block = []
             if block:
-                yield pd.DataFrame(block, columns=["path", "row", "cells"])
+                yield pd.DataFrame(block, columns=names)
 
 
-def _sheet(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
-    """(row number, cells) of the rows that hold a value, read as a stream."""
+def _sheet(content: bytes) -> Iterator[list[str | None]]:
+    """Cells of the rows that hold a value, read as a stream."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         strings = []
         if SHARED_STRINGS in book.namelist():
@@ -83,18 +88,16 @@ def _sheet(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
         links = ElementTree.parse(book.open(RELATIONS)).getroot()
         target = next(link.get("Target") for link in links if link.get("Id") == first.get(RELATION))
         sheet = target.lstrip("/") if target.startswith("/") else "xl/" + target
-        number = 0
         for _, element in ElementTree.iterparse(book.open(sheet)):
             if element.tag != MAIN + "row":
                 continue
-            number = int(element.get("r") or number + 1)
             cells: list[str | None] = []
             for cell in element.iter(MAIN + "c"):
                 place = _place(cell.get("r")) if cell.get("r") else len(cells)
                 cells.extend([None] * (place - len(cells)))
                 cells.append(_text(cell, strings))
             if any(text is not None for text in cells):
-                yield number, cells
+                yield cells
             element.clear()
 
 
