@@ -11,16 +11,19 @@ from pyspark.sql import functions as F
 
 
 def to_int(value: Column) -> Column:
-    """Whole number of a code written ``22``, ``22.0`` or ``22.7``; null if it is none.
-
-    Text goes through a decimal, because a direct cast of ``22.0`` fails and a
-    double would also read ``2D`` as a number.
-    """
-    return value.try_cast("decimal(38,6)").try_cast("int")
+    """Whole number of a code written ``22``, ``22.0`` or ``22.7``; null if it is none."""
+    return _whole(value, "int")
 
 
 def to_long(value: Column) -> Column:
-    return value.try_cast("decimal(38,6)").try_cast("bigint")
+    """The same for counts beyond the range of an int."""
+    return _whole(value, "bigint")
+
+
+def _whole(value: Column, number: str) -> Column:
+    # By way of a decimal: the direct cast of 22.0 fails, at the price of an
+    # exception per row, and a double would also read 2D as a number.
+    return value.try_cast("decimal(38,6)").try_cast(number)
 
 
 def pad_code(value: Column, width: int) -> Column:
@@ -28,14 +31,16 @@ def pad_code(value: Column, width: int) -> Column:
 
     Codes that are no numbers (``2a``) are kept, in upper case.
     """
-    number = to_int(value).cast("string")
-    text = F.upper(F.trim(value.cast("string")))
-    return F.when(number.isNotNull(), F.lpad(number, width, "0")).otherwise(text)
+    return F.coalesce(F.lpad(to_int(value).cast("string"), width, "0"), _text(value))
 
 
 def plain_code(value: Column) -> Column:
     """The code without padding or decimals: ``01`` and ``1.0`` both give ``1``."""
-    return F.coalesce(to_int(value).cast("string"), F.upper(F.trim(value.cast("string"))))
+    return F.coalesce(to_int(value).cast("string"), _text(value))
+
+
+def _text(value: Column) -> Column:
+    return F.upper(F.trim(value.cast("string")))
 
 
 def pad_commune(value: Column) -> Column:
@@ -50,7 +55,7 @@ def compose_commune(department: Column, commune: Column) -> Column:
 
 def first_year(value: Column) -> Column:
     """Leading four-digit year, so ``2019-2020`` is 2019; null without one."""
-    return F.regexp_extract(value.cast("string"), r"^(\d{4})", 1).try_cast("int")
+    return F.nullif(F.regexp_extract(value.cast("string"), r"^(\d{4})", 1), F.lit("")).cast("int")
 
 
 def percent(value: Column, number: str = "decimal(8,4)") -> Column:

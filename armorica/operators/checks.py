@@ -27,12 +27,14 @@ def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str)
     """
     held = child.filter(column(key).isNotNull()).groupBy(column(key)).agg(F.count(F.lit(1)).alias("n"))
     known = parent.select(column(parent_key).alias("_parent"))
-    return held.join(known, held[key] == known["_parent"], "left_anti")
+    return held.join(known, column(key) == F.col("_parent"), "left_anti")
 
 
 def is_int(name: str) -> Column:
-    """Not null and a whole number."""
-    return column(name).isNotNull() & column(name).cast("string").try_cast("int").isNotNull()
+    """Not null and a whole number in the range of an INT column."""
+    text = column(name).cast("string")
+    number = F.when(text.rlike(r"^\s*[+-]?0*\d{1,18}\s*$"), F.trim(text).cast("bigint"))
+    return F.coalesce(number.between(-(2**31), 2**31 - 1), F.lit(False))
 
 
 def fits(name: str, length: int) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from armorica import vocabulary as v
 from armorica.functions import column, find_column, to_int
 from armorica.operators.cleaning import has_columns
-from armorica.operators.joins import broadcast_if_small
+from armorica.operators.joins import broadcast_if_small, is_small
 from armorica.operators.reshape import pack_metrics
 
 FACT_KEYS = (v.COMMUNE_CODE, v.COMMUNE_LABEL, v.DEPARTMENT, v.REGION, v.YEAR, v.TYPE)
@@ -36,9 +36,14 @@ def communes(geography: DataFrame) -> DataFrame:
     )
 
 
-def join_communes(metrics: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Rows of a commune with that commune; rows of unknown communes are dropped."""
-    dimension = broadcast_if_small(dimension)
+def join_communes(metrics: DataFrame, dimension: DataFrame, small: bool | None = None) -> DataFrame:
+    """Rows of a commune with that commune; rows of unknown communes are dropped.
+
+    ``small`` tells whether the dimension is within the broadcast bound, if that
+    has been measured before.
+    """
+    if is_small(dimension) if small is None else small:
+        dimension = F.broadcast(dimension)
     return metrics.join(dimension, column(v.COMMUNE_CODE) == F.col("code_com"), "inner")
 
 
@@ -73,11 +78,14 @@ def replicate_regions(
 
 
 def join_dimension(
-    metrics: DataFrame, dimension: DataFrame, region_of: Mapping[int, int] | Column = REGION_OF
+    metrics: DataFrame,
+    dimension: DataFrame,
+    region_of: Mapping[int, int] | Column = REGION_OF,
+    small: bool | None = None,
 ) -> DataFrame:
     """Bring metrics onto communes by the finest territory code they hold."""
     if find_column(metrics, v.COMMUNE_CODE):
-        return join_communes(metrics, dimension)
+        return join_communes(metrics, dimension, small)
     if find_column(metrics, v.DEPARTMENT):
         return fan_out_departments(metrics, dimension)
     if find_column(metrics, v.REGION):
@@ -86,7 +94,10 @@ def join_dimension(
 
 
 def facts(
-    metrics: DataFrame, dimension: DataFrame, region_of: Mapping[int, int] | Column = REGION_OF
+    metrics: DataFrame,
+    dimension: DataFrame,
+    region_of: Mapping[int, int] | Column = REGION_OF,
+    small: bool | None = None,
 ) -> DataFrame | None:
     """Fact rows of a metric table, all metrics packed as JSON.
 
@@ -95,7 +106,7 @@ def facts(
     """
     if not has_columns(metrics, v.YEAR, v.TYPE):
         return None
-    packed = pack_metrics(join_dimension(metrics, dimension, region_of), FACT_KEYS)
+    packed = pack_metrics(join_dimension(metrics, dimension, region_of, small), FACT_KEYS)
     return packed.select(
         F.col("code_com").alias(v.COMMUNE_CODE),
         F.col("nom_com").alias(v.COMMUNE_LABEL),

@@ -64,6 +64,7 @@ def converted(spark: SparkSession, files: Iterable[SourceFile]) -> list[DataFram
 def _write(tables: Iterable[DataFrame], target: str) -> int:
     written = 0
     for turn, table in enumerate(tables):
+        # Rows still lie by source file, so no task meets many output files.
         mode = "append" if turn else "overwrite"
-        written += write_delimited(table, target, partition_by=[FILE, FOLDER], mode=mode)
+        written += write_delimited(table, target, partition_by=[FILE, FOLDER], compact=False, mode=mode)
     return written

@@ -29,9 +29,9 @@ def score_elections(
     """
     written = 0
     for turn, scores in enumerate(election_scores(spark, source, departments)):
-        written += write_delimited(
-            scores, target, partition_by=[FILE, v.YEAR], mode="append" if turn else "overwrite"
-        )
+        # Scoring keeps rows where they are, by source file.
+        mode = "append" if turn else "overwrite"
+        written += write_delimited(scores, target, partition_by=[FILE, v.YEAR], compact=False, mode=mode)
     return written
 
 
@@ -42,8 +42,11 @@ def election_scores(
     files = list_one_level(spark, source)
     references = [file for file in files if file.name.startswith("Reference")]
     results = [file for file in files if not file.name.startswith("Reference")]
-    if not references:
-        raise ValueError(f"no camp reference below {source}")
+    lacking = {file.folder for file in results} - {file.folder for file in references}
+    if lacking:
+        raise ValueError(f"no camp reference below {source} for {sorted(lacking)}")
+    if not results:
+        return []
     reference = reduce(DataFrame.unionByName, [_reference(group) for group in read_groups(spark, references)])
     scored = []
     for group in read_groups(spark, results):

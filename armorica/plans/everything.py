@@ -27,7 +27,10 @@ def run_all(spark: SparkSession, inputs: str, outputs: str, store: str, exports:
         "social index": (indicators.average_social_index, "IndicePositionSociale", v.SOCIAL_FILE, v.SOCIAL_FILE),
     }
     for step, (plan, folder, source, target) in single.items():
-        done[step] = plan(spark, f"{inputs}/{folder}/{source}.xlsx", f"{outputs}/{folder}/{target}.csv")
+        written = plan(spark, f"{inputs}/{folder}/{source}.xlsx", f"{outputs}/{folder}/{target}.csv")
+        if written is None:
+            written = plan(spark, f"{inputs}/{folder}/{source}.csv", f"{outputs}/{folder}/{target}.csv")
+        done[step] = written
     done["ready"] = conversion.convert_tree(spark, f"{inputs}/{v.READY_INPUT}", f"{outputs}/{v.READY_OUTPUT}")
 
     geography = read_file(spark, f"{inputs}/{v.GEOGRAPHY_FILE}")

@@ -25,7 +25,7 @@ def average_poverty(
 ) -> int | None:
     """Mean poverty rate per commune."""
     table = _territory(spark, source, departments)
-    return None if table is None else write_delimited(mean_by_commune(table), target, single=True)
+    return None if table is None else write_delimited(mean_by_commune(table), target)
 
 
 def share_diplomas(
@@ -37,7 +37,7 @@ def share_diplomas(
 ) -> int | None:
     """Diploma shares per commune."""
     table = _territory(spark, source, departments)
-    return None if table is None else write_delimited(diploma_shares(table, overlap=overlap), target, single=True)
+    return None if table is None else write_delimited(diploma_shares(table, overlap=overlap), target)
 
 
 def pivot_crime(
@@ -51,7 +51,7 @@ def pivot_crime(
     table = _territory(spark, source, regions=regions)
     if table is None:
         return None
-    return write_delimited(pivot_years(keep_years(table, years), years=years, number="double"), target, single=True)
+    return write_delimited(pivot_years(keep_years(table, years), years=years, number="double"), target)
 
 
 def average_social_index(

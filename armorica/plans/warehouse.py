@@ -14,6 +14,7 @@ from armorica.functions import columns_like, require_column, year_columns
 from armorica.operators import checks
 from armorica.operators.cleaning import keep_slice
 from armorica.operators.facts import REGION_OF, communes, departments, facts
+from armorica.operators.joins import is_small
 from armorica.operators.reshape import flatten_metrics, unpivot_years
 from armorica.sinks import read_facts, write_delimited, write_facts, write_table
 from armorica.sources import SourceFile, list_files, read_groups
@@ -36,7 +37,8 @@ def load_facts(
 ) -> int:
     """Bring every metric file onto communes and store the facts in one write."""
     dimension = spark.read.parquet(f"{warehouse}/{v.COMMUNE_TABLE}")
-    parts = [facts(table, dimension, region_of) for table in metric_tables(spark, outputs)]
+    small = is_small(dimension)
+    parts = [facts(table, dimension, region_of, small) for table in metric_tables(spark, outputs)]
     parts = [part for part in parts if part is not None]
     if not parts:
         return 0
@@ -90,7 +92,7 @@ def export_facts(spark: SparkSession, warehouse: str, target: str) -> dict[str,
     written = {}
     for (kind,) in fact.select(v.TYPE).distinct().collect():
         flat = flatten_metrics(keep_slice(fact, {v.TYPE: kind}))
-        written[kind] = write_delimited(flat, f"{target}/{kind}.csv", partition_by=[v.YEAR])
+        written[kind] = write_delimited(flat, f"{target}/{kind}.csv", partition_by=[v.YEAR], compact=False)
     return written
 
 

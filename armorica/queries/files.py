@@ -32,7 +32,7 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Every column comes back as text; a small result is one file."""
     path = new_folder(spark, "csv") + "/clients.csv"
     rows = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-    write_delimited(rows, path, single=True)
+    write_delimited(rows, path)
     return read_file(spark, path)
 
 

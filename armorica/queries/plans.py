@@ -67,14 +67,14 @@ def election_plan(spark: SparkSession, folder: str) -> DataFrame:
     base = new_folder(spark, "elections")
     orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer")
-    lines = table(spark, folder, "lineitem").withColumn("share", F.format_string("%02.0f%%", "l_quantity"))
+    lines = table(spark, folder, "lineitem")
     placed = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         customers, F.col("o_custkey") == F.col("c_custkey")
     )
     keyed = placed.select(
         "l_linenumber",
         "l_returnflag",
-        "share",
+        "l_quantity",
         F.concat(F.col("c_nationkey").cast("string"), F.lit(".0")).alias(v.DEPARTMENT),
         F.concat_ws(" ", F.lit("client"), "o_custkey").alias(v.COMMUNE_LABEL),
         F.year("o_orderdate").alias(v.YEAR),
@@ -288,11 +288,11 @@ def _warehouse(spark: SparkSession, folder: str) -> str:
     by_department = placed.groupBy(F.col("n_name").alias(v.GEO_DEPARTMENT_LABEL), code).agg(
         in_year(1996).alias("Ventes 1996"), in_year(1998).alias("Ventes 1998")
     )
-    write_delimited(by_department, f"{base}/outputs/pretes/ventes-par-departement.csv", single=True)
+    write_delimited(by_department, f"{base}/outputs/pretes/ventes-par-departement.csv")
     by_region = placed.groupBy(F.col("n_regionkey").alias(v.REGION), F.col("c_mktsegment").alias(v.INDICATOR)).agg(
         in_year(1997).alias("taux pour mille 1997")
     )
-    write_delimited(by_region, f"{base}/outputs/Security/delits-par-region.csv", single=True)
+    write_delimited(by_region, f"{base}/outputs/Security/delits-par-region.csv")
     load_dimensions(geography(spark, folder), f"{base}/store")
     load_facts(spark, f"{base}/outputs", f"{base}/store", region_of(spark, folder))
     return base

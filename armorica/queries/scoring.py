@@ -86,13 +86,21 @@ def camp_score_missing_as_zero(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ballots(lines: DataFrame, *keys: str) -> DataFrame:
-    """One row per key with a pair of columns per line number, the greatest where one repeats."""
-    cells = []
+    """One row per key with a pair of columns per line number, the greatest where one repeats.
+
+    Flags are compared by letter code and shares as numbers, which keeps the
+    aggregation in hash maps.
+    """
+    cells, spelled = [], []
     for number in range(1, 8):
         here = F.col("l_linenumber") == number
-        cells.append(F.max(F.when(here, F.col("l_returnflag"))).alias(f"{v.CANDIDATE_PREFIX}{number}"))
-        cells.append(F.max(F.when(here, F.col("share"))).alias(f"{v.VOTE_SHARE_PREFIX}{number}"))
-    return lines.groupBy(*keys).agg(*cells)
+        cells.append(F.max(F.when(here, F.ascii("l_returnflag"))).alias(f"code{number}"))
+        cells.append(F.max(F.when(here, F.col("l_quantity"))).alias(f"share{number}"))
+        spelled.append(F.chr(f"code{number}").alias(f"{v.CANDIDATE_PREFIX}{number}"))
+        text = F.concat(F.col(f"share{number}").cast("int").cast("string"), F.lit(",00%"))
+        spelled.append(text.alias(f"{v.VOTE_SHARE_PREFIX}{number}"))
+    names = [f"`{key}`" for key in keys]
+    return lines.groupBy(*names).agg(*cells).select(*names, *spelled)
 
 
 def ballot_sql(keys: str, source: str) -> str:
@@ -113,8 +121,7 @@ select {keys}, g as "Score_Gauche", d as "Score_Droite", greatest(100 - g - d, 0
 
 @query(ballot_sql("l_orderkey", "lineitem"))
 def camp_score_wide(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem").withColumn("share", F.format_string("%02.0f%%", "l_quantity"))
-    rows = ballots(lines, "l_orderkey")
+    rows = ballots(table(spark, folder, "lineitem"), "l_orderkey")
     keep = ["l_orderkey", v.SCORE_LEFT, v.SCORE_RIGHT, v.SCORE_OTHER]
     return camp_scores_wide(rows, reference(spark), keep=keep)
 

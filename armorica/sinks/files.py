@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from armorica.operators.joins import is_small
-
-SINGLE_FILE_BYTES = 64 * 1024 * 1024
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
@@ -23,19 +20,17 @@ def write_delimited(
     path: str,
     partition_by: Sequence[str] = (),
     sep: str = ";",
-    single: bool = False,
+    compact: bool = True,
     mode: str = "overwrite",
 ) -> int:
-    """Write with a header; gives the number of rows written.
+    """Write with a header, one folder per value of ``partition_by``; gives the row count.
 
-    With ``partition_by`` there is one folder per value, and rows are rebalanced
-    by it: one file for a small value, several for a value with many rows.
-    ``single`` asks for one file, which a result above a fixed size does not get.
+    ``compact`` lets adaptive execution size the files: a small result, or a
+    value with few rows, gets one file, a value with many rows gets several. It
+    costs a shuffle. Leave it out where tasks hold few values each.
     """
-    if partition_by:
+    if compact:
         df = df.hint("rebalance", *partition_by)
-    elif single and is_small(df, SINGLE_FILE_BYTES):
-        df = df.coalesce(1)
     df, seen = counted(df)
     writer = df.write.mode(mode).option("header", "true").option("sep", sep)
     if partition_by:

@@ -30,9 +30,10 @@ def write_facts(df: DataFrame, path: str) -> int:
     """Store facts by type and year; gives the number of rows written.
 
     The (type, year) parts that ``df`` holds are replaced, all others stay, so
-    that a repeated load does not double the facts.
+    that a repeated load does not double the facts. No shuffle: a metric file
+    holds one type, so a task writes to few folders.
     """
-    df, seen = counted(df.hint("rebalance", v.TYPE, v.YEAR))
+    df, seen = counted(df)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(v.TYPE, v.YEAR).parquet(path)
     return seen.get["n"]

@@ -18,8 +18,8 @@ def separator_for(path: str) -> str:
 def read_delimited(
     spark: SparkSession, paths: str | Sequence[str], sep: str = ";", schema: str | None = None
 ) -> DataFrame:
-    """Files that share one header, read in one scan."""
-    reader = spark.read.option("header", "true").option("sep", sep)
+    """Files that share one header, read in one scan; a file with another header fails."""
+    reader = spark.read.option("header", "true").option("sep", sep).option("enforceSchema", "false")
     if schema:
         reader = reader.schema(schema)
     return reader.csv(paths if isinstance(paths, str) else list(paths))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
+from armorica.functions import first_year
 from armorica.sources.delimited import read_delimited, separator_for
 from armorica.sources.workbook import read_workbooks
 
@@ -38,6 +39,7 @@ class SourceFile:
     name: str
     folder: str
     below: tuple[str, ...]
+    length: int
 
     @property
     def depth(self) -> int:
@@ -50,16 +52,17 @@ class SourceFile:
 
 
 def list_files(spark: SparkSession, base: str) -> list[SourceFile]:
-    """All delimited files and workbooks below ``base``; no content is read."""
+    """All delimited files and workbooks below ``base`` that are not empty; no content is read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    listed = reader.option("pathGlobFilter", "*.{csv,xlsx,CSV,XLSX}").load(base).select("path")
+    listed = reader.option("pathGlobFilter", "*.{csv,xlsx,CSV,XLSX}").load(base)
     root = _plain_path(base).rstrip("/")
     found = []
-    for (path,) in listed.collect():
+    for path, length in listed.filter("length > 0").select("path", "length").collect():
         match = re.search(LAYOUT, path)
         if match:
             below = _plain_path(path[: match.end(2)]).removeprefix(root).strip("/").split("/")[:-1]
-            found.append(SourceFile(path, match.group(2), match.group(3) or match.group(1), tuple(below)))
+            folder = match.group(3) or match.group(1)
+            found.append(SourceFile(path, match.group(2), folder, tuple(below), length))
     return sorted(found, key=lambda file: file.path)
 
 
@@ -90,15 +93,15 @@ def read_file(spark: SparkSession, path: str) -> DataFrame | None:
 
 def read_groups(spark: SparkSession, files: Iterable[SourceFile]) -> list[DataFrame]:
     """The files as one DataFrame per distinct header, each with its path in ``FILE_PATH``."""
-    by_format: dict[tuple[str, str], list[str]] = defaultdict(list)
+    by_format: dict[tuple[str, str], list[SourceFile]] = defaultdict(list)
     for file in files:
-        by_format[file.suffix, separator_for(file.path)].append(file.path)
+        by_format[file.suffix, separator_for(file.path)].append(file)
     groups: list[DataFrame] = []
-    for (suffix, sep), paths in by_format.items():
+    for (suffix, sep), alike in by_format.items():
         if suffix == ".xlsx":
-            groups.extend(read_workbooks(spark, paths, FILE_PATH))
+            groups.extend(read_workbooks(spark, [file.path for file in alike], FILE_PATH))
             continue
-        for same in _by_header(spark, paths):
+        for same in _by_header(spark, alike):
             scan = read_delimited(spark, same, sep)
             groups.append(scan.select("*", F.col("_metadata.file_path").alias(FILE_PATH)))
     return groups
@@ -114,7 +117,7 @@ def file_year(path: Column) -> Column:
     text = _decoded(path)
     inner = F.regexp_extract(text, LAYOUT, 3)
     folder = F.when(inner != "", inner).otherwise(F.regexp_extract(text, LAYOUT, 1))
-    return F.regexp_extract(folder, r"^(\d{4})$", 1).try_cast("int")
+    return first_year(F.when(F.length(folder) == 4, folder))
 
 
 def file_year_folder(path: Column) -> Column:
@@ -148,11 +151,22 @@ def _plain_path(path: str) -> str:
     return re.sub(r"^[a-z0-9]+:/*(?=/)", "", path)
 
 
-def _by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """Paths grouped by first line, which one scan of the text finds."""
-    if len(paths) < 2:
-        return [paths] if paths else []
-    lines = spark.read.text(paths).select(
+def _by_header(spark: SparkSession, files: list[SourceFile]) -> list[list[str]]:
+    """Paths grouped by first line, which one scan of the text finds.
+
+    Part files of one folder come from one write: the smallest stands for all.
+    A part that has another header after all makes the later read fail.
+    """
+    folders: dict[str, list[SourceFile]] = defaultdict(list)
+    for file in files:
+        folder, _, name = file.path.rpartition("/")
+        folders[folder if name.startswith("part-") else file.path].append(file)
+    parts_of = {
+        min(parts, key=lambda file: file.length).path: [file.path for file in parts] for parts in folders.values()
+    }
+    if len(parts_of) < 2:
+        return list(parts_of.values())
+    lines = spark.read.text(list(parts_of)).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -162,7 +176,6 @@ def _by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
     found = first.select(_decoded(F.col("path")).alias("path"), "header").collect()
     header_of = {row["path"]: row["header"] for row in found}
     groups: dict[str, list[str]] = defaultdict(list)
-    for path in paths:
-        if path in header_of:
-            groups[header_of[path]].append(path)
+    for path, parts in parts_of.items():
+        groups[header_of[path]].extend(parts)
     return list(groups.values())
