@@ -14,7 +14,7 @@ from armorica.sinks import write_delimited
 from armorica.sources import SourceFile, list_files, list_one_level, read_groups
 from armorica.sources.tree import FILE_PATH, file_year_folder, first_level, output_name
 
-FILE = "file"
+FILE = "source_file"
 FOLDER = "year_folder"
 
 
@@ -64,7 +64,7 @@ def converted(spark: SparkSession, files: Iterable[SourceFile]) -> list[DataFram
 def _write(tables: Iterable[DataFrame], target: str) -> int:
     written = 0
     for turn, table in enumerate(tables):
-        # Rows still lie by source file, so no task meets many output files.
+        # Rows still lie by source file, so a task meets few output files.
         mode = "append" if turn else "overwrite"
-        written += write_delimited(table, target, partition_by=[FILE, FOLDER], compact=False, mode=mode)
+        written += write_delimited(table, target, partition_by=[FILE, FOLDER], mode=mode)
     return written

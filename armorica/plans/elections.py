@@ -16,7 +16,7 @@ from armorica.sinks import write_delimited
 from armorica.sources import list_one_level, read_groups
 from armorica.sources.tree import FILE_PATH, file_year, output_name
 
-FILE = "file"
+FILE = "source_file"
 
 
 def score_elections(
@@ -25,13 +25,13 @@ def score_elections(
     """Score all result files below ``source``; gives the number of rows written.
 
     Files of one header are scored in one plan, against the reference of their
-    year, and written to ``<target>/file=<name>/annee=<year>``.
+    year, and written to ``<target>/source_file=<name>/annee=<year>``.
     """
     written = 0
     for turn, scores in enumerate(election_scores(spark, source, departments)):
         # Scoring keeps rows where they are, by source file.
         mode = "append" if turn else "overwrite"
-        written += write_delimited(scores, target, partition_by=[FILE, v.YEAR], compact=False, mode=mode)
+        written += write_delimited(scores, target, partition_by=[FILE, v.YEAR], mode=mode)
     return written
 
 

@@ -61,7 +61,7 @@ def average_social_index(
     table = _territory(spark, source, departments)
     if table is None:
         return None
-    return write_delimited(mean_by_commune(normalise_year(table)), target, partition_by=[v.YEAR])
+    return write_delimited(mean_by_commune(normalise_year(table)), target, partition_by=[v.YEAR], compact=True)
 
 
 def _territory(

@@ -29,7 +29,7 @@ select cast(c_custkey as varchar) as c_custkey, c_name, c_mktsegment, cast(c_nat
 from customer"""
 )
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Every column comes back as text; a small result is one file."""
+    """Every column comes back as text."""
     path = new_folder(spark, "csv") + "/clients.csv"
     rows = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     write_delimited(rows, path)
@@ -43,7 +43,7 @@ select cast(o_orderkey as varchar) as o_orderkey, cast(year(o_orderdate) as inte
 def split_by_year(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "split") + "/commandes.csv"
     rows = table(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").alias(v.YEAR))
-    write_delimited(rows, path, partition_by=[v.YEAR])
+    write_delimited(rows, path, partition_by=[v.YEAR], compact=True)
     return read_file(spark, path)
 
 
@@ -57,7 +57,7 @@ def split_null_year(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "split") + "/commandes.csv"
     year = F.when(F.col("o_orderpriority") != "5-LOW", F.year("o_orderdate"))
     rows = table(spark, folder, "orders").select("o_orderkey", year.alias(v.YEAR))
-    write_delimited(rows, path, partition_by=[v.YEAR])
+    write_delimited(rows, path, partition_by=[v.YEAR], compact=True)
     return read_file(spark, path).groupBy(v.YEAR).agg(F.count(F.lit(1)).alias("n"))
 
 

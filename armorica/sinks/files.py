@@ -20,14 +20,15 @@ def write_delimited(
     path: str,
     partition_by: Sequence[str] = (),
     sep: str = ";",
-    compact: bool = True,
+    compact: bool = False,
     mode: str = "overwrite",
 ) -> int:
     """Write with a header, one folder per value of ``partition_by``; gives the row count.
 
-    ``compact`` lets adaptive execution size the files: a small result, or a
-    value with few rows, gets one file, a value with many rows gets several. It
-    costs a shuffle. Leave it out where tasks hold few values each.
+    ``compact`` lets adaptive execution size the files, at the price of a
+    shuffle: a small result, or a value with few rows, gets one file, a value
+    with many rows gets several. An aggregated result is sized by its own
+    shuffle already.
     """
     if compact:
         df = df.hint("rebalance", *partition_by)

@@ -1,7 +1,7 @@
 """File trees as data: what lies where, and one scan per distinct header.
 
 A file is a plain ``name.csv`` or ``name.xlsx``, or a folder ``name.csv`` or
-``file=name.csv`` of part files as Spark writes it, where year folders such as
+``source_file=name.csv`` of part files as Spark writes it, where year folders such as
 ``annee=2017`` may lie in between. The name and the year of a file are read from
 its path.
 """
@@ -24,10 +24,10 @@ from armorica.sources.workbook import read_workbooks
 
 FILE_PATH = "_source_path"
 SUFFIXES = (".csv", ".xlsx")
-# <parent>/[file=]<name>.<suffix>[/annee=<year>][/part-...]
+# <parent>/[source_file=]<name>.<suffix>[/annee=<year>][/part-...]
 FILE_PART = r"(?:[^/=]+=)?([^/]+\.(?:csv|xlsx))(?:/[^/=]+=([^/]*))?(?:/part-[^/]*)?$"
 LAYOUT = r"(?i)/([^/]+)/" + FILE_PART
-# <year>/[<folder>/][file=]<name>.<suffix>...
+# <year>/[<folder>/][source_file=]<name>.<suffix>...
 YEARLY_LAYOUT = r"(?i)/(\d{4})/(?:[^/]+/)?" + FILE_PART
 
 
