@@ -4,7 +4,14 @@ from armorica.plans.conversion import convert_tree, convert_yearly
 from armorica.plans.elections import score_elections
 from armorica.plans.everything import run_all
 from armorica.plans.indicators import average_poverty, average_social_index, pivot_crime, share_diplomas
-from armorica.plans.warehouse import check_warehouse, export_facts, load_dimensions, load_facts, metric_tables
+from armorica.plans.warehouse import (
+    check_warehouse,
+    export_facts,
+    load_dimensions,
+    load_facts,
+    metric_tables,
+    publish,
+)
 
 __all__ = [
     "average_poverty",
@@ -17,6 +24,7 @@ __all__ = [
     "load_facts",
     "metric_tables",
     "pivot_crime",
+    "publish",
     "run_all",
     "score_elections",
     "share_diplomas",

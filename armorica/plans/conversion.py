@@ -6,13 +6,12 @@ from collections import defaultdict
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
 from armorica.operators.geography import keep_territory, normalise_geography
 from armorica.sinks import write_delimited
 from armorica.sources import SourceFile, list_files, list_one_level, read_groups
-from armorica.sources.tree import FILE_PATH, file_year_folder, first_level, output_name
+from armorica.sources.tree import add_from_path, file_year_folder, first_level, output_name
 
 FILE = "source_file"
 FOLDER = "year_folder"
@@ -52,13 +51,8 @@ def yearly_tables(
 
 def converted(spark: SparkSession, files: Iterable[SourceFile]) -> list[DataFrame]:
     """Files with canonical codes, their name and their year folder, one DataFrame per header."""
-    path = F.col(FILE_PATH)
-    return [
-        normalise_geography(group)
-        .withColumns({FILE: output_name(path), FOLDER: file_year_folder(path)})
-        .drop(FILE_PATH)
-        for group in read_groups(spark, files)
-    ]
+    rules = {FILE: output_name, FOLDER: file_year_folder}
+    return [add_from_path(normalise_geography(group), rules) for group in read_groups(spark, files)]
 
 
 def _write(tables: Iterable[DataFrame], target: str) -> int:

@@ -6,15 +6,14 @@ from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
-from armorica.functions import column, find_column, trim_headers
+from armorica.functions import column, require_column, trim_headers
 from armorica.operators.geography import keep_territory, normalise_geography
 from armorica.operators.scores import KEPT, camp_scores_wide
 from armorica.sinks import write_delimited
 from armorica.sources import list_one_level, read_groups
-from armorica.sources.tree import FILE_PATH, file_year, output_name
+from armorica.sources.tree import add_from_path, file_year, output_name
 
 FILE = "source_file"
 
@@ -50,17 +49,13 @@ def election_scores(
     reference = reduce(DataFrame.unionByName, [_reference(group) for group in read_groups(spark, references)])
     scored = []
     for group in read_groups(spark, results):
-        path = F.col(FILE_PATH)
-        rows = group.withColumns({FILE: output_name(path), v.YEAR: file_year(path)}).drop(FILE_PATH)
+        rows = add_from_path(group, {FILE: output_name, v.YEAR: file_year})
         rows = keep_territory(normalise_geography(rows), departments)
         scored.append(camp_scores_wide(rows, reference, by=[v.YEAR], keep=(*KEPT, FILE)))
     return scored
 
 
 def _reference(group: DataFrame) -> DataFrame:
-    group = trim_headers(group)
-    return group.select(
-        column(find_column(group, v.REFERENCE_CODE)).alias(v.REFERENCE_CODE),
-        column(find_column(group, v.REFERENCE_CAMP)).alias(v.REFERENCE_CAMP),
-        file_year(F.col(FILE_PATH)).alias(v.YEAR),
-    )
+    group = add_from_path(trim_headers(group), {v.YEAR: file_year})
+    names = [require_column(group, name) for name in (v.REFERENCE_CODE, v.REFERENCE_CAMP)]
+    return group.select(*[column(name) for name in names], v.YEAR).toDF(v.REFERENCE_CODE, v.REFERENCE_CAMP, v.YEAR)

@@ -7,7 +7,6 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
 from armorica.functions import columns_like, require_column, year_columns
@@ -16,9 +15,16 @@ from armorica.operators.cleaning import keep_slice
 from armorica.operators.facts import REGION_OF, communes, departments, facts
 from armorica.operators.joins import is_small
 from armorica.operators.reshape import flatten_metrics, unpivot_years
-from armorica.sinks import read_facts, write_delimited, write_facts, write_table
+from armorica.sinks import (
+    append_database,
+    overwrite_database,
+    read_facts,
+    write_delimited,
+    write_facts,
+    write_table,
+)
 from armorica.sources import SourceFile, list_files, read_groups
-from armorica.sources.tree import FILE_PATH, file_type, with_provenance
+from armorica.sources.tree import FILE_PATH, add_from_path, file_type, with_provenance
 
 
 def load_dimensions(geography: DataFrame, warehouse: str) -> dict[str, int]:
@@ -82,6 +88,17 @@ def check_warehouse(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]
     }
 
 
+def publish(spark: SparkSession, warehouse: str, url: str, options: Mapping[str, str] | None = None) -> dict[str, int]:
+    """Copy the stored tables to a database: dimensions replaced, facts added; rows written per table."""
+    dimensions = {v.DEPARTMENT_TABLE: v.DEPARTMENT_DDL, v.COMMUNE_TABLE: v.COMMUNE_DDL}
+    written = {
+        name: overwrite_database(spark.read.parquet(f"{warehouse}/{name}"), url, name, ddl, options)
+        for name, ddl in dimensions.items()
+    }
+    fact = read_facts(spark, f"{warehouse}/{v.FACT_TABLE}")
+    return written | {v.FACT_TABLE: append_database(fact, url, v.FACT_TABLE, options)}
+
+
 def export_facts(spark: SparkSession, warehouse: str, target: str) -> dict[str, int]:
     """Facts back as columns, ``<target>/<type>.csv/annee=<year>``; rows written per type.
 
@@ -106,5 +123,4 @@ def _named(files: Iterable[SourceFile], pattern: str, year_folder: bool = False)
 
 
 def _long(group: DataFrame, ids: list[str]) -> DataFrame:
-    path = F.col(FILE_PATH)
-    return unpivot_years(group, [*ids, FILE_PATH]).withColumn(v.TYPE, file_type(path)).drop(FILE_PATH)
+    return add_from_path(unpivot_years(group, [*ids, FILE_PATH]), {v.TYPE: file_type})

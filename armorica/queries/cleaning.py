@@ -53,7 +53,7 @@ select l_orderkey, l_linenumber, cast(l_suppkey as varchar) as "Code départemen
   cast(l_partkey as varchar) as "Code de la commune"
 from lineitem"""
 )
-def geo_plain_codes(spark: SparkSession, folder: str) -> DataFrame:
+def geo_clean(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterable, Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -40,7 +41,7 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """
 select cast(o_orderkey as varchar) as o_orderkey, cast(year(o_orderdate) as integer) as annee from orders"""
 )
-def split_by_year(spark: SparkSession, folder: str) -> DataFrame:
+def split_by_year_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "split") + "/commandes.csv"
     rows = table(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").alias(v.YEAR))
     write_delimited(rows, path, partition_by=[v.YEAR], compact=True)
@@ -94,22 +95,27 @@ select cast(p_partkey as varchar) as "Code", p_name as "Libellé",
 from part"""
 )
 def workbook_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Parts packed in workbooks of a thousand keys each, and read again."""
+    """Parts packed in workbooks of a thousand rows each, and read again."""
     parts = table(spark, folder, "part").select(
-        F.expr("p_partkey div 1000").alias("book"),
         "p_partkey",
         "p_name",
         F.when(F.col("p_type") != "SMALL", F.col("p_type")).alias("p_type"),
         "p_size",
     )
-    books = parts.groupBy("book").applyInPandas(_workbook, "path string, content binary")
-    return sheet_table(sheet_rows(books), HEADER)
+    return sheet_table(sheet_rows(parts.mapInPandas(_workbooks, "path string, content binary")), HEADER)
 
 
 HEADER = ("Code", "Libellé", "Type & co", "Taille")
 
 
-def _workbook(rows: pd.DataFrame) -> pd.DataFrame:
+def _workbooks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for start in range(0, len(batch), 1000):
+            content = _workbook(batch.iloc[start : start + 1000])
+            yield pd.DataFrame({"path": ["parts.xlsx"], "content": [content]})
+
+
+def _workbook(rows: pd.DataFrame) -> bytes:
     """One workbook of the given rows; numbers as numbers, text inline, null as no cell."""
 
     def cell(place: str, value: object) -> str:
@@ -119,7 +125,7 @@ def _workbook(rows: pd.DataFrame) -> pd.DataFrame:
             return f'<c r="{place}" t="inlineStr"><is><t>{escape(value)}</t></is></c>'
         return f'<c r="{place}"><v>{value}</v></c>'
 
-    lines = [HEADER, *rows.drop(columns="book").itertuples(index=False, name=None)]
+    lines = [HEADER, *rows.itertuples(index=False, name=None)]
     body = "".join(
         f'<row r="{n}">' + "".join(cell(f"{letter}{n}", value) for letter, value in zip("ABCD", line)) + "</row>"
         for n, line in enumerate(lines, start=1)
@@ -139,7 +145,7 @@ def _workbook(rows: pd.DataFrame) -> pd.DataFrame:
             f'<Relationships xmlns="{package}"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>',
         )
         book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
-    return pd.DataFrame({"path": [f"{rows['book'].iloc[0]}.xlsx"], "content": [buffer.getvalue()]})
+    return buffer.getvalue()
 
 
 @query("select cast(c_custkey as varchar) as code_com, c_name as nom_com, c_nationkey as code_dep from customer")

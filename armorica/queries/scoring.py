@@ -133,7 +133,7 @@ select l_orderkey, l_linenumber,
   case when l_returnflag <> 'N' then cast(cast(l_tax * 100 as decimal(5,2)) as double) end as tax
 from lineitem"""
 )
-def percent_parse(spark: SparkSession, folder: str) -> DataFrame:
+def pct_parse(spark: SparkSession, folder: str) -> DataFrame:
     discount = (F.col("l_discount") * 100).cast("decimal(5,2)").cast("string")
     tax = (F.col("l_tax") * 100).cast("decimal(5,2)").cast("string")
     spelled = table(spark, folder, "lineitem").select(

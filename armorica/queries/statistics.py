@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
+from armorica.operators import statistics
 from armorica.operators.cleaning import drop_empty
-from armorica.operators.statistics import diploma_shares, mean_by_commune, mean_by_territory, pivot_years
+from armorica.operators.statistics import diploma_shares, mean_by_commune, pivot_years
 from armorica.queries.registry import query, table
 
 MONEY = "decimal(12,2)"
@@ -24,9 +25,9 @@ def orders_by_commune(spark: SparkSession, folder: str) -> DataFrame:
     f"""
 select c_nationkey, c_mktsegment, {MEAN_SQL.format("c_acctbal")} as mean from customer group by all"""
 )
-def mean_by_group(spark: SparkSession, folder: str) -> DataFrame:
+def mean_by_territory(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer")
-    return mean_by_territory(customers, ["c_nationkey", "c_mktsegment"], "c_acctbal", "mean", MONEY)
+    return statistics.mean_by_territory(customers, ["c_nationkey", "c_mktsegment"], "c_acctbal", "mean", MONEY)
 
 
 @query(
@@ -50,7 +51,7 @@ select cast(c_custkey as varchar) as "CODGEO", c_name as "LIBGEO", cast(year(o_o
   {MEAN_SQL.format("o_totalprice")} as indice_position_sociale
 from orders join customer on o_custkey = c_custkey group by all"""
 )
-def mean_social_index(spark: SparkSession, folder: str) -> DataFrame:
+def mean_by_territory_year(spark: SparkSession, folder: str) -> DataFrame:
     rows = orders_by_commune(spark, folder).select(
         F.col("c_custkey").cast("string").alias(v.COMMUNE_CODE),
         F.col("c_name").alias(v.COMMUNE_LABEL),

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,11 +25,10 @@ from armorica.sources.workbook import read_workbooks
 
 FILE_PATH = "_source_path"
 SUFFIXES = (".csv", ".xlsx")
-# <parent>/[source_file=]<name>.<suffix>[/annee=<year>][/part-...]
-FILE_PART = r"(?:[^/=]+=)?([^/]+\.(?:csv|xlsx))(?:/[^/=]+=([^/]*))?(?:/part-[^/]*)?$"
-LAYOUT = r"(?i)/([^/]+)/" + FILE_PART
-# <year>/[<folder>/][source_file=]<name>.<suffix>...
-YEARLY_LAYOUT = r"(?i)/(\d{4})/(?:[^/]+/)?" + FILE_PART
+# [<folder>/]<folder>/[source_file=]<name>.<suffix>[/annee=<year>][/part-...]
+LAYOUT = (
+    r"(?i)^.*?/(?:([^/]+)/)?([^/]+)/(source_file=)?([^/]+\.(?:csv|xlsx))(?:/[^/=]+=([^/]*))?(?:/part-[^/]*)?$"
+)
 
 
 @dataclass(frozen=True)
@@ -58,11 +58,12 @@ def list_files(spark: SparkSession, base: str) -> list[SourceFile]:
     root = _plain_path(base).rstrip("/")
     found = []
     for path, length in listed.filter("length > 0").select("path", "length").collect():
-        match = re.search(LAYOUT, path)
+        match = re.match(LAYOUT, path)
         if match:
-            below = _plain_path(path[: match.end(2)]).removeprefix(root).strip("/").split("/")[:-1]
-            folder = match.group(3) or match.group(1)
-            found.append(SourceFile(path, match.group(2), folder, tuple(below), length))
+            _, parent, prefix, name, inner = match.groups()
+            below = _plain_path(path[: match.end(4)]).removeprefix(root).strip("/").split("/")[:-1]
+            name = unquote(name) if prefix else name
+            found.append(SourceFile(path, name, inner or parent, tuple(below), length))
     return sorted(found, key=lambda file: file.path)
 
 
@@ -107,44 +108,53 @@ def read_groups(spark: SparkSession, files: Iterable[SourceFile]) -> list[DataFr
     return groups
 
 
-def file_name(path: Column) -> Column:
+def add_from_path(df: DataFrame, rules: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """Columns that rules such as ``file_name`` take from the path, in place of the path.
+
+    The path is matched once per row, whatever the number of rules.
+    """
+    parts = F.regexp_replace(_unescaped(F.col(FILE_PATH)), LAYOUT, "$1/$2/$3/$4/$5")
+    placed = df.withColumn("_place", F.split(parts, "/"))
+    return placed.withColumns({name: rule(F.col("_place")) for name, rule in rules.items()}).drop("_place", FILE_PATH)
+
+
+def with_provenance(df: DataFrame) -> DataFrame:
+    """Type and year columns in place of the path."""
+    return add_from_path(df, {v.TYPE: file_type, v.YEAR: file_year})
+
+
+def file_name(place: Column) -> Column:
     """Name of the file a row comes from, such as ``niveau-pauvrete-par-commune.csv``."""
-    return F.regexp_extract(_decoded(path), LAYOUT, 2)
+    return F.when(place[2] == "", place[3]).otherwise(_unescaped(place[3]))
 
 
-def file_year(path: Column) -> Column:
+def file_year(place: Column) -> Column:
     """Year of the year folder around or in the file; null without one."""
-    text = _decoded(path)
-    inner = F.regexp_extract(text, LAYOUT, 3)
-    folder = F.when(inner != "", inner).otherwise(F.regexp_extract(text, LAYOUT, 1))
-    return first_year(F.when(F.length(folder) == 4, folder))
+    return _year(F.when(place[4] != "", place[4]).otherwise(place[1]))
 
 
-def file_year_folder(path: Column) -> Column:
-    """Year folder that holds the file or the folder of the file, as text; null without one."""
-    year = F.regexp_extract(_decoded(path), YEARLY_LAYOUT, 1)
-    return F.when(year != "", year)
+def file_year_folder(place: Column) -> Column:
+    """Year folder that holds the file or the folder of the file; null without one."""
+    return F.coalesce(_year(place[1]), _year(place[0]))
 
 
-def output_name(path: Column) -> Column:
+def output_name(place: Column) -> Column:
     """Name of the delimited file a source file is converted to."""
-    return F.regexp_replace(file_name(path), r"(?i)\.xlsx$", ".csv")
+    return F.regexp_replace(file_name(place), r"(?i)\.xlsx$", ".csv")
 
 
-def file_type(path: Column) -> Column:
+def file_type(place: Column) -> Column:
     """What a file is about: its name without territory suffix, hyphens as blanks, trimmed."""
-    name = F.regexp_replace(file_name(path), r"(?i)par-(commune|departement|region)\.csv$", "")
+    name = F.regexp_replace(file_name(place), r"(?i)par-(commune|departement|region)\.csv$", "")
     return F.trim(F.translate(name, "-", " "))
 
 
-def with_provenance(df: DataFrame) -> DataFrame:
-    """Type and year columns taken from the path, in place of the path."""
-    path = F.col(FILE_PATH)
-    return df.withColumns({v.TYPE: file_type(path), v.YEAR: file_year(path)}).drop(FILE_PATH)
+def _unescaped(text: Column) -> Column:
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
 
 
-def _decoded(path: Column) -> Column:
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+def _year(folder: Column) -> Column:
+    return first_year(F.when(F.length(folder) == 4, folder))
 
 
 def _plain_path(path: str) -> str:
@@ -173,8 +183,7 @@ def _by_header(spark: SparkSession, files: list[SourceFile]) -> list[list[str]]:
         F.monotonically_increasing_id().alias("position"),
     )
     first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "position").alias("header"))
-    found = first.select(_decoded(F.col("path")).alias("path"), "header").collect()
-    header_of = {row["path"]: row["header"] for row in found}
+    header_of = {unquote(row["path"]): row["header"] for row in first.collect()}
     groups: dict[str, list[str]] = defaultdict(list)
     for path, parts in parts_of.items():
         groups[header_of[path]].extend(parts)

@@ -53,7 +53,8 @@ def sheet_table(
     """Rows of cells as columns named by the header; columns without a name are left out."""
     cells = [F.try_element_at("cells", F.lit(i + 1)).alias(name) for i, name in enumerate(header) if name]
     if path_column:
-        cells.append(F.col("path").alias(path_column))
+        # Other sources give their path encoded.
+        cells.append(F.replace("path", F.lit("%"), F.lit("%25")).alias(path_column))
     return rows.filter("position > 0").select(*cells)
 
 
@@ -112,7 +113,14 @@ def _place(reference: str) -> int:
 def _text(cell: ElementTree.Element, strings: list[str]) -> str | None:
     if cell.get("t") == "inlineStr":
         return "".join(text.text or "" for text in cell.iter(MAIN + "t"))
-    value = cell.findtext(MAIN + "v")
-    if value is not None and cell.get("t") == "s":
+    value, kind = cell.findtext(MAIN + "v"), cell.get("t", "n")
+    if value is None or kind == "e":
+        return None
+    if kind == "s":
         return strings[int(value)]
+    if kind == "b":
+        return "true" if value == "1" else "false"
+    if kind == "n" and not value.lstrip("-").isdigit():
+        # Stored with 17 digits: 27.559999999999999 is the number 27.56.
+        return repr(float(value))
     return value

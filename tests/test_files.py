@@ -11,7 +11,8 @@ from workbooks import write_workbook
 
 from armorica import vocabulary as v
 from armorica.functions import column
-from armorica.plans import check_warehouse, convert_tree, load_facts, metric_tables, run_all
+from armorica.plans import check_warehouse, convert_tree, load_dimensions, load_facts, metric_tables, publish, run_all
+from armorica.plans.conversion import yearly_tables
 from armorica.plans.elections import election_scores
 from armorica.sinks import append_database, counted, ensure_table, overwrite_database, read_facts, write_delimited
 from armorica.sinks import write_facts
@@ -78,6 +79,23 @@ def test_workbook(spark, tmp_path):
     assert rows(df) == [("1.5", None), ("22", "Côtes & co"), (None, "z")]
 
 
+def test_workbook_cell_kinds(spark, tmp_path):
+    from armorica.sources.workbook import MAIN, _text
+    from xml.etree import ElementTree
+
+    def read(attributes, value):
+        text = _text(ElementTree.fromstring(f'<c xmlns="{MAIN[1:-1]}" {attributes}><v>{value}</v></c>'), ["zero"])
+        return text
+
+    assert read("", "27.559999999999999") == "27.56"
+    assert read("", "-22") == "-22"
+    assert read('t="n"', "1.5E-2") == "0.015"
+    assert read('t="s"', "0") == "zero"
+    assert read('t="b"', "1") == "true"
+    assert read('t="e"', "#N/A") is None
+    assert read('t="str"', "1.50") == "1.50"
+
+
 def test_workbook_wide_and_absolute_target(spark, tmp_path):
     path = str(tmp_path / "wide.xlsx")
     names = tuple(f"c{i}" for i in range(30))
@@ -119,6 +137,25 @@ def test_groups_and_provenance(spark, tmp_path):
     ]
 
 
+def test_names_with_special_characters(spark, tmp_path):
+    """Percent signs, blanks and apostrophes survive listing, conversion and reading back."""
+    names = ["100%25 a+b-par-commune", "niveau-d'étude-par-commune"]
+    for name in names:
+        write_workbook(str(tmp_path / "in" / "2017" / f"{name}.xlsx"), [("CODGEO", "x"), ("22050", name)])
+        put(tmp_path / "in" / "2018" / f"{name}.csv", f"CODGEO;x\n22050;{name}\n")
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for turn, table in enumerate(yearly_tables(spark, source)):
+        write_delimited(table, target, ["source_file", "year_folder"], mode="append" if turn else "overwrite")
+    for base in (source, target):
+        files = list_files(spark, base)
+        assert {file.name.rpartition(".")[0] for file in files} == set(names)
+        found = [row for df in read_groups(spark, files) for row in rows(with_provenance(df), "x", "type", "annee")]
+        types = {name: name.removesuffix("-par-commune").replace("-", " ") for name in names}
+        expected = [(name, types[name], year) for name in names for year in (2017, 2018)]
+        kinds = [(x, kind.removesuffix(".xlsx").removesuffix("par commune").strip(), year) for x, kind, year in found]
+        assert sorted(kinds) == sorted(expected)
+
+
 # -- sinks -------------------------------------------------------------------
 
 
@@ -235,6 +272,24 @@ def test_database_options(monkeypatch):
     assert Frame.write.told == {"format": "jdbc", "mode": "append", "url": "jdbc:x", "dbtable": "Donnees_commune", "saved": True}
 
 
+def test_publish_names_tables_and_types(spark, tmp_path, monkeypatch):
+    geography = spark.createDataFrame(
+        [("22050", "Dinan", "p", "22", "Côtes-d'Armor")],
+        [v.COMMUNE_CODE, v.GEO_COMMUNE_LABEL, v.GEO_POINT, v.DEPARTMENT, v.GEO_DEPARTMENT_LABEL],
+    )
+    load_dimensions(geography, str(tmp_path))
+    write_facts(fact(spark, ("22050", "Dinan", 22, 2017, "x", "{}")), str(tmp_path / v.FACT_TABLE))
+    calls = []
+    monkeypatch.setattr("armorica.sinks.database._write", lambda df, *rest: calls.append((df.columns, *rest)) or df.count())
+    assert publish(spark, str(tmp_path), "jdbc:x", {"user": "u"}) == {v.DEPARTMENT_TABLE: 1, v.COMMUNE_TABLE: 1, v.FACT_TABLE: 1}
+    assert [(call[2], call[3], call[4].get("createTableColumnTypes")) for call in calls] == [
+        (v.DEPARTMENT_TABLE, "overwrite", v.DEPARTMENT_DDL),
+        (v.COMMUNE_TABLE, "overwrite", v.COMMUNE_DDL),
+        (v.FACT_TABLE, "append", None),
+    ]
+    assert calls[2][0] == [v.COMMUNE_CODE, v.COMMUNE_LABEL, v.DEPARTMENT, v.YEAR, v.TYPE, v.DATA]
+
+
 # -- workspace -----------------------------------------------------------------
 
 
