@@ -189,6 +189,13 @@ def test_hot_value_is_split(spark, settings, tmp_path):
     assert read_file(spark, str(tmp_path / "x.csv")).count() == 200_000
 
 
+def test_empty_results_are_written_and_counted(spark, tmp_path):
+    empty = spark.range(10).filter("id > 100").withColumn("annee", F.lit(1))
+    assert write_delimited(empty.limit(0), str(tmp_path / "a")) == 0
+    assert write_delimited(empty, str(tmp_path / "b"), ["annee"], compact=True) == 0
+    assert write_delimited(empty.groupBy("annee").count(), str(tmp_path / "c")) == 0
+
+
 def test_counted(spark, tmp_path):
     df, seen = counted(spark.range(7))
     df.write.parquet(str(tmp_path / "x"))

@@ -76,6 +76,15 @@ def test_one_shuffle_after_partial_aggregation(spark):
         assert "partial_" in text and "SortAggregate" not in text
 
 
+def test_camp_lookup_is_computed_once(spark, tables):
+    """Seven candidates share one broadcast."""
+    scores = QUERIES["camp_score_wide"].run(spark, tables)
+    scores.collect()
+    after = plan(scores).split("Initial Plan")[0]
+    assert after.count("ReusedExchange") == 6
+    assert after.count("LocalTableScan") == 1
+
+
 @pytest.fixture
 def small_partitions(settings):
     """Thresholds that make adaptive execution treat test data as large."""
