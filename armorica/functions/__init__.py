@@ -8,6 +8,7 @@ from armorica.functions.columns import (
     require_column,
     safe_names,
     trim_headers,
+    whole_number,
     year_columns,
 )
 from armorica.functions.values import (
@@ -41,5 +42,6 @@ __all__ = [
     "to_int",
     "to_long",
     "trim_headers",
+    "whole_number",
     "year_columns",
 ]

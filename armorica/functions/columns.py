@@ -7,6 +7,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from armorica.functions.values import to_int, to_long
 
 
 def column(name: str) -> Column:
@@ -27,6 +30,17 @@ def require_column(df: DataFrame, name: str) -> str:
     return header
 
 
+def whole_number(df: DataFrame, name: str, wide: bool = False) -> Column:
+    """The column read as a whole number; as it is if it already holds whole numbers.
+
+    A column that is not touched can be compared in the scan.
+    """
+    header = require_column(df, name)
+    if isinstance(df.schema[header].dataType, IntegralType):
+        return column(header)
+    return to_long(column(header)) if wide else to_int(column(header))
+
+
 def keep_columns(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     """Only the wanted columns, in the order of ``df``; unknown names are ignored."""
     names = set(wanted)

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 
 from armorica import vocabulary as v
-from armorica.functions import column, find_column, first_year, to_int
+from armorica.functions import column, find_column, first_year, whole_number
 from armorica.operators.geography import keep_codes
 
 log = logging.getLogger(__name__)
@@ -29,7 +29,7 @@ def keep_years(df: DataFrame, years: Iterable[int] = v.YEARS, name: str = v.YEAR
     if header is None:
         log.info("no column %r, years not filtered", name)
         return df
-    return keep_codes(df, header, years).withColumn(header, to_int(column(header)))
+    return keep_codes(df, header, years).withColumn(header, whole_number(df, header))
 
 
 def keep_slice(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

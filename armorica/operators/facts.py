@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
-from armorica.functions import column, find_column, to_int
+from armorica.functions import column, find_column, whole_number
 from armorica.operators.cleaning import has_columns
 from armorica.operators.joins import broadcast_if_small, is_small
 from armorica.operators.reshape import pack_metrics
@@ -22,7 +22,7 @@ REGION_OF = {department: v.REGIONS[0] for department in v.DEPARTMENTS}
 def departments(geography: DataFrame) -> DataFrame:
     """Dimension (code_dep, nom_dep), one row per distinct pair."""
     return geography.select(
-        to_int(column(v.DEPARTMENT)).alias("code_dep"), column(v.GEO_DEPARTMENT_LABEL).alias("nom_dep")
+        whole_number(geography, v.DEPARTMENT).alias("code_dep"), column(v.GEO_DEPARTMENT_LABEL).alias("nom_dep")
     ).distinct()
 
 
@@ -32,7 +32,7 @@ def communes(geography: DataFrame) -> DataFrame:
         column(v.COMMUNE_CODE).cast("string").alias("code_com"),
         column(v.GEO_COMMUNE_LABEL).alias("nom_com"),
         column(v.GEO_POINT).alias("geo_point"),
-        to_int(column(v.DEPARTMENT)).alias("code_dep"),
+        whole_number(geography, v.DEPARTMENT).alias("code_dep"),
     )
 
 
@@ -53,7 +53,7 @@ def fan_out_departments(metrics: DataFrame, dimension: DataFrame) -> DataFrame:
     The metrics are the small side, however many communes there are.
     """
     header = find_column(metrics, v.DEPARTMENT)
-    metrics = metrics.withColumn("_department", to_int(column(header)))
+    metrics = metrics.withColumn("_department", whole_number(metrics, header))
     metrics = broadcast_if_small(metrics.withColumnRenamed(header, v.DEPARTMENT))
     return dimension.join(metrics, F.col("code_dep") == F.col("_department"), "inner").drop("_department")
 
@@ -67,7 +67,7 @@ def replicate_regions(
     codes or a column of the dimension. An equi-join on the région.
     """
     header = find_column(metrics, v.REGION)
-    metrics = metrics.withColumn("_region", to_int(column(header)))
+    metrics = metrics.withColumn("_region", whole_number(metrics, header))
     metrics = broadcast_if_small(metrics.withColumnRenamed(header, v.REGION))
     if not isinstance(region_of, Column):
         pairs = [F.lit(item) for pair in region_of.items() for item in pair]
@@ -111,7 +111,7 @@ def facts(
         F.col("code_com").alias(v.COMMUNE_CODE),
         F.col("nom_com").alias(v.COMMUNE_LABEL),
         F.col("code_dep").alias(v.DEPARTMENT),
-        to_int(column(v.YEAR)).alias(v.YEAR),
+        whole_number(packed, v.YEAR).alias(v.YEAR),
         column(v.TYPE),
         column(v.DATA),
     )

@@ -6,10 +6,9 @@ import logging
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql.types import IntegralType
 
 from armorica import vocabulary as v
-from armorica.functions import column, compose_commune, find_column, pad_code, pad_commune, to_int
+from armorica.functions import column, compose_commune, find_column, pad_code, pad_commune, whole_number
 from armorica.functions.values import plain_code
 from armorica.operators.joins import broadcast_if_small
 
@@ -69,12 +68,8 @@ def keep_territory(
 
 def keep_codes(df: DataFrame, name: str, wanted: Iterable[int] | DataFrame) -> DataFrame:
     """Rows whose code, read as a whole number, is wanted."""
-    header = find_column(df, name)
-    # A column that already is a whole number is compared as it is, so that the
-    # filter reaches the scan.
-    whole = isinstance(df.schema[header].dataType, IntegralType)
-    code = column(header) if whole else to_int(column(header))
+    code = whole_number(df, name)
     if not isinstance(wanted, DataFrame):
         return df.filter(code.isin(list(wanted)))
-    codes = broadcast_if_small(wanted.select(to_int(column(wanted.columns[0])).alias("_wanted")).distinct())
+    codes = broadcast_if_small(wanted.select(whole_number(wanted, wanted.columns[0]).alias("_wanted")).distinct())
     return df.join(codes, code == codes["_wanted"], "left_semi")

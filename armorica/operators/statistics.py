@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
-from armorica.functions import column, find_column, share, sum_columns, to_int, to_long
+from armorica.functions import column, share, sum_columns, whole_number
 from armorica.operators.cleaning import drop_empty
 
 
@@ -61,10 +61,12 @@ def pivot_years(
     One aggregation with a condition per year: a single shuffle on the keys,
     combined before it.
     """
-    at = to_int(column(find_column(df, year) or year))
     cell = column(value).try_cast(number) if number else column(value)
-    return df.groupBy(*[column(key) for key in keys]).agg(
-        *[F.max(F.when(at == wanted, cell)).alias(f"{value} {wanted}") for wanted in years]
+    rows = df.select(
+        *[column(key) for key in keys], whole_number(df, year).alias("_year"), cell.alias("_cell")
+    )
+    return rows.groupBy(*[column(key) for key in keys]).agg(
+        *[F.max(F.when(F.col("_year") == wanted, F.col("_cell"))).alias(f"{value} {wanted}") for wanted in years]
     )
 
 
@@ -82,12 +84,10 @@ def diploma_shares(df: DataFrame, keep: Sequence[str] = (), overlap: bool = Fals
     for suffix in (v.YOUNG_SUFFIX, v.ADULT_SUFFIX):
         headers = [header for header in df.columns if header.endswith(suffix)]
         stems = {header: header if overlap else header.removesuffix(suffix) for header in headers}
-        university[suffix] = _total(h for h in headers if re.search("_rec[56]", stems[h]))
-        school[suffix] = _total(
-            h
-            for h in headers
-            if re.search("_rec[0-4]", stems[h]) and (overlap or not re.search("_rec[56]", stems[h]))
-        )
+        high = [header for header in headers if re.search("_rec[56]", stems[header])]
+        low = [header for header in headers if re.search("_rec[0-4]", stems[header])]
+        university[suffix] = _total(df, high)
+        school[suffix] = _total(df, low if overlap else [header for header in low if header not in high])
     counts = df.select(
         *[column(name) for name in keep],
         school[v.YOUNG_SUFFIX].alias("_school_young"),
@@ -111,5 +111,5 @@ def diploma_shares(df: DataFrame, keep: Sequence[str] = (), overlap: bool = Fals
     return drop_empty(shares, v.POPULATION)
 
 
-def _total(headers: Iterable[str]) -> Column:
-    return sum_columns((to_long(column(header)) for header in headers), zero="0L")
+def _total(df: DataFrame, headers: Iterable[str]) -> Column:
+    return sum_columns((whole_number(df, header, wide=True) for header in headers), zero="0L")
