@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
@@ -49,6 +50,20 @@ def metric_keys(df: DataFrame, data: str = v.DATA, by: Sequence[str] = ()) -> Da
     ).distinct()
 
 
+def keys_by(df: DataFrame, by: str, data: str = v.DATA) -> dict[object, list[str]]:
+    """The JSON keys of each group, found in one job.
+
+    Of a group with more than ``MAX_KEYS`` keys the first ``MAX_KEYS + 1`` in
+    sorted order are given, which is all that ``flatten_metrics`` asks for.
+    """
+    rank = F.row_number().over(Window.partitionBy(column(by)).orderBy("key"))
+    found = metric_keys(df, data, [by]).withColumn("_rank", rank).filter(F.col("_rank") <= MAX_KEYS + 1)
+    groups: dict[object, list[str]] = defaultdict(list)
+    for row in found.select(column(by).alias("group"), "key").collect():
+        groups[row["group"]].append(row["key"])
+    return groups
+
+
 def flatten_metrics(
     df: DataFrame,
     data: str = v.DATA,

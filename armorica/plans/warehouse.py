@@ -14,7 +14,7 @@ from armorica.operators import checks
 from armorica.operators.cleaning import keep_slice
 from armorica.operators.facts import REGION_OF, communes, departments, facts
 from armorica.operators.joins import is_small
-from armorica.operators.reshape import flatten_metrics, unpivot_years
+from armorica.operators.reshape import flatten_metrics, keys_by, unpivot_years
 from armorica.sinks import (
     append_database,
     overwrite_database,
@@ -102,13 +102,15 @@ def publish(spark: SparkSession, warehouse: str, url: str, options: Mapping[str,
 def export_facts(spark: SparkSession, warehouse: str, target: str) -> dict[str, int]:
     """Facts back as columns, ``<target>/<type>.csv/annee=<year>``; rows written per type.
 
-    Types differ in their columns, so each has its own write. The table is laid
-    out by type: together the writes read it once, and once more for the keys.
+    One job finds the keys of all types. Types differ in their columns, so each
+    has its own write; the table is laid out by type, so together they read it
+    once.
     """
     fact = read_facts(spark, f"{warehouse}/{v.FACT_TABLE}")
+    keys = keys_by(fact, v.TYPE)
     written = {}
     for (kind,) in fact.select(v.TYPE).distinct().collect():
-        flat = flatten_metrics(keep_slice(fact, {v.TYPE: kind}))
+        flat = flatten_metrics(keep_slice(fact, {v.TYPE: kind}), keys=keys.get(kind, []))
         written[kind] = write_delimited(flat, f"{target}/{kind}.csv", partition_by=[v.YEAR])
     return written
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterable, Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,6 +108,7 @@ def workbook_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 HEADER = ("Code", "Libellé", "Type & co", "Taille")
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _workbooks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

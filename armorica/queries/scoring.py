@@ -129,7 +129,7 @@ def camp_score_wide(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
 select l_orderkey, l_linenumber,
-  cast(cast(l_discount * 100 as decimal(5,2)) as decimal(8,4)) as discount,
+  cast(cast(l_discount * 100 as decimal(5,2)) as double) as discount,
   case when l_returnflag <> 'N' then cast(cast(l_tax * 100 as decimal(5,2)) as double) end as tax
 from lineitem"""
 )
@@ -145,6 +145,6 @@ def pct_parse(spark: SparkSession, folder: str) -> DataFrame:
     return spelled.select(
         "l_orderkey",
         "l_linenumber",
-        percent(F.col("discount")).alias("discount"),
+        percent(F.col("discount")).cast("double").alias("discount"),
         percent(F.col("tax"), "double").alias("tax"),
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
@@ -15,6 +16,7 @@ from functools import partial
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,9 @@ SHARED_STRINGS = "xl/sharedStrings.xml"
 ROWS = "path string, position int, cells array<string>"
 BATCH_ROWS = 5000
 
+# Tasks get the code of this module with the plan, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def read_workbooks(
     spark: SparkSession, paths: Sequence[str], path_column: str | None = None

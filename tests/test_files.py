@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.errors import PySparkException
@@ -79,6 +81,19 @@ def test_workbook(spark, tmp_path):
     assert rows(df) == [("1.5", None), ("22", "Côtes & co"), (None, "z")]
 
 
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    from pyspark import cloudpickle
+
+    from armorica.queries.files import _workbooks
+    from armorica.sources.workbook import _parse
+
+    put(tmp_path / "work.py", "import pickle, sys\nfor f in pickle.load(sys.stdin.buffer): print(f.__name__)\nimport armorica")
+    packed = cloudpickle.dumps([_parse, _workbooks])
+    done = subprocess.run([sys.executable, "work.py"], input=packed, cwd=tmp_path, capture_output=True)
+    assert done.stdout.split() == [b"_parse", b"_workbooks"]
+    assert b"No module named 'armorica'" in done.stderr
+
+
 def test_workbook_cell_kinds(spark, tmp_path):
     from armorica.sources.workbook import MAIN, _text
     from xml.etree import ElementTree

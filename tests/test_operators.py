@@ -21,7 +21,7 @@ from armorica.operators.facts import (
 )
 from armorica.operators.geography import keep_territory, normalise_geography, plain_codes
 from armorica.operators.joins import broadcast_if_small, is_small, measured_bytes
-from armorica.operators.reshape import flatten_metrics, malformed_json, metric_keys, pack_metrics, unpivot_years
+from armorica.operators.reshape import flatten_metrics, keys_by, malformed_json, metric_keys, pack_metrics, unpivot_years
 from armorica.operators.scores import camp_scores_long, camp_scores_wide, candidate_pairs
 from armorica.operators.statistics import diploma_shares, mean_by_commune, mean_by_territory, pivot_years
 
@@ -287,6 +287,7 @@ def test_flatten_edge_rows(spark, monkeypatch):
     monkeypatch.setattr("armorica.operators.reshape.MAX_KEYS", 1)
     capped = flatten_metrics(df)
     assert capped.columns == ["type", "a_b", "other_metrics"]
+    assert keys_by(df, "type") == {"x": ["A b", "a_b"]}
     assert capped.filter("type = 'x'").first()["other_metrics"] == {"a_b": "2.5", "type": '{"z":1}'}
 
 

@@ -9,6 +9,9 @@ import __spark_entry__ as driver
 from armorica.queries import QUERIES
 
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE"}
+
+
 @pytest.fixture(scope="module")
 def duck(tables):
     return connect(tables)
@@ -18,7 +21,10 @@ def duck(tables):
 def test_query_matches_sql(spark, duck, tables, name):
     query = QUERIES[name]
     assert query.sql, "every query has equivalent SQL"
-    assert difference(query.run(spark, tables), duck, query.sql) is None
+    frame = query.run(spark, tables)
+    assert difference(frame, duck, query.sql) is None
+    described = duck.execute("describe " + query.sql).fetchall()
+    assert sorted((name, TYPES[kind]) for name, kind in frame.dtypes) == sorted((row[0], row[1]) for row in described)
 
 
 def test_driver_contract(spark):

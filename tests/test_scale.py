@@ -134,6 +134,14 @@ def test_hot_department_is_split_beyond_the_broadcast_bound(spark, small_partiti
     assert fanned.count() == 60_000
 
 
+def test_hot_code_of_a_long_list_is_split(spark, small_partitions, monkeypatch):
+    monkeypatch.setattr("armorica.operators.geography.broadcast_if_small", lambda df: df)
+    rows = hot(spark).withColumnRenamed("code", v.DEPARTMENT)
+    kept = keep_codes(rows, v.DEPARTMENT, spark.range(0, 250))
+    assert "skew=true" in final_plan(kept)
+    assert kept.count() == rows.filter(F.col(f"`{v.DEPARTMENT}`").cast("int") < 250).count()
+
+
 @pytest.mark.parametrize("max_bytes", [0, 10**6])
 def test_hot_code_and_hot_territory(spark, small_partitions, max_bytes):
     """One territory with a third of the votes, all of them for one code."""
