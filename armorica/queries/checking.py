@@ -30,7 +30,8 @@ select l_suppkey, count(*) as n from lineitem anti join nation on l_suppkey = n_
 )
 def check_reference_many(spark: SparkSession, folder: str) -> DataFrame:
     """Many rows per orphan key."""
-    return checks.orphan_keys(table(spark, folder, "lineitem"), "l_suppkey", table(spark, folder, "nation"), "n_nationkey")
+    lines = table(spark, folder, "lineitem")
+    return checks.orphan_keys(lines, "l_suppkey", table(spark, folder, "nation"), "n_nationkey")
 
 
 @query(

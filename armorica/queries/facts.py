@@ -37,7 +37,10 @@ select cast(c_custkey as varchar) as code_com, c_name as nom_com, c_mktsegment a
 from customer"""
 
 
-@query("select distinct n_nationkey as code_dep, n_name as nom_dep from nation join customer on c_nationkey = n_nationkey")
+@query(
+    """
+select distinct n_nationkey as code_dep, n_name as nom_dep from nation join customer on c_nationkey = n_nationkey"""
+)
 def dim_departement(spark: SparkSession, folder: str) -> DataFrame:
     return departments(geography(spark, folder))
 
@@ -49,10 +52,9 @@ def dim_commune(spark: SparkSession, folder: str) -> DataFrame:
 
 def commune_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Users of events as communes, some of them unknown."""
+    unknown = F.when(F.col("event_type") == "error", "X").otherwise("")
     return table(spark, folder, "events").select(
-        F.concat(F.col("user_id").cast("string"), F.when(F.col("event_type") == "error", "X").otherwise("")).alias(v.COMMUNE_CODE),
-        F.col("event_id"),
-        F.col("event_type"),
+        F.concat(F.col("user_id").cast("string"), unknown).alias(v.COMMUNE_CODE), "event_id", "event_type"
     )
 
 
@@ -70,7 +72,8 @@ def department_metrics(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    counted = placed.groupBy("c_nationkey", F.year("o_orderdate").alias(v.YEAR)).agg(F.count(F.lit(1)).alias("orders"))
+    year = F.year("o_orderdate").alias(v.YEAR)
+    counted = placed.groupBy("c_nationkey", year).agg(F.count(F.lit(1)).alias("orders"))
     code = F.concat(F.col("c_nationkey").cast("string"), F.lit(".0"))
     return materialise(counted.select(code.alias("Code Département"), v.YEAR, "orders"))
 
@@ -97,7 +100,8 @@ def region_metrics(spark: SparkSession, folder: str) -> DataFrame:
     placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
         nations, F.col("c_nationkey") == F.col("n_nationkey")
     )
-    counted = placed.groupBy("n_regionkey", F.year("o_orderdate").alias(v.YEAR)).agg(F.count(F.lit(1)).alias("orders"))
+    year = F.year("o_orderdate").alias(v.YEAR)
+    counted = placed.groupBy("n_regionkey", year).agg(F.count(F.lit(1)).alias("orders"))
     return materialise(counted.select(F.col("n_regionkey").cast("string").alias(v.REGION), v.YEAR, "orders"))
 
 
@@ -145,7 +149,9 @@ def key_dispatch(spark: SparkSession, folder: str) -> DataFrame:
         ),
     }
     joined = [
-        join_dimension(metrics, dimension, regions).select("code_com", "code_dep", v.YEAR, "orders", F.lit(kind).alias("key"))
+        join_dimension(metrics, dimension, regions).select(
+            "code_com", "code_dep", v.YEAR, "orders", F.lit(kind).alias("key")
+        )
         for kind, metrics in tables.items()
     ]
     return joined[0].unionByName(joined[1]).unionByName(joined[2])

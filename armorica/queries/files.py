@@ -78,7 +78,11 @@ def tree_provenance(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer")
     write_delimited(
-        orders.select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias(v.YEAR)),
+        orders.select(
+            F.col("o_orderkey").alias("key"),
+            F.col("o_orderstatus").alias("status"),
+            F.year("o_orderdate").alias(v.YEAR),
+        ),
         f"{base}/ventes/commandes-client-par-commune.csv",
         partition_by=[v.YEAR],
     )
@@ -145,9 +149,11 @@ def _workbook(rows: pd.DataFrame) -> bytes:
         )
         book.writestr(
             "xl/_rels/workbook.xml.rels",
-            f'<Relationships xmlns="{package}"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>',
+            f'<Relationships xmlns="{package}">'
+            '<Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>',
         )
-        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
+        sheet = f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>'
+        book.writestr("xl/worksheets/sheet1.xml", sheet)
     return buffer.getvalue()
 
 

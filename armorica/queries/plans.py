@@ -90,9 +90,8 @@ def election_plan(spark: SparkSession, folder: str) -> DataFrame:
     write_delimited(camps, f"{base}/in/{v.REFERENCE_FILE}", partition_by=[v.YEAR], sep=",")
     score_elections(spark, f"{base}/in", f"{base}/out", departments=NATIONS)
     back = read_delimited(spark, f"{base}/out")
-    return back.select(
-        F.col(f"`{v.DEPARTMENT}`"), v.COMMUNE_LABEL, v.YEAR, number(v.SCORE_LEFT), number(v.SCORE_RIGHT), number(v.SCORE_OTHER)
-    )
+    scores = [number(name) for name in (v.SCORE_LEFT, v.SCORE_RIGHT, v.SCORE_OTHER)]
+    return back.select(F.col(f"`{v.DEPARTMENT}`"), v.COMMUNE_LABEL, v.YEAR, *scores)
 
 
 def commune_code() -> Column:
@@ -184,10 +183,13 @@ def crime_plan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    diploma_sql("l_suppkey").replace("select l_suppkey, u1", """
-select lpad(cast(l_suppkey as varchar), 5, '0') as "CODGEO", cast(cast(substr(lpad(cast(l_suppkey as varchar), 5, '0'), 1, 2)
-  as integer) as varchar) as "Code département", substr(lpad(cast(l_suppkey as varchar), 5, '0'), 3, 3) as "Code de la commune",
-  'fournisseur ' || l_suppkey as "LIBGEO", u1""")
+    f"""
+with shares as ({diploma_sql("l_suppkey")}), coded as (
+  select *, lpad(cast(l_suppkey as varchar), 5, '0') as code, 'fournisseur ' || l_suppkey as label from shares
+)
+select code as "CODGEO", cast(cast(substr(code, 1, 2) as integer) as varchar) as "Code département",
+  substr(code, 3, 3) as "Code de la commune", label as "LIBGEO", * exclude (l_suppkey, code, label)
+from coded"""
 )
 def education_plan(spark: SparkSession, folder: str) -> DataFrame:
     base = new_folder(spark, "education")
@@ -197,12 +199,9 @@ def education_plan(spark: SparkSession, folder: str) -> DataFrame:
     # A list of départements as long as the data has, given as they stand.
     share_diplomas(spark, f"{base}/in.csv", f"{base}/out.csv", departments=range(100))
     back = read_file(spark, f"{base}/out.csv")
-    text = [name for name in back.columns[:4]]
-    return back.select(*[F.col(f"`{name}`") for name in text], *[_typed(name) for name in back.columns[4:]])
-
-
-def _typed(name: str) -> Column:
-    return F.col(name).cast("bigint").alias(name) if name == v.POPULATION else number(name)
+    codes = [F.col(f"`{name}`") for name in (v.COMMUNE_CODE, v.DEPARTMENT, v.COMMUNE_PART, v.COMMUNE_LABEL)]
+    shares = [number(name) for name in back.columns if name.startswith("taux")]
+    return back.select(*codes, F.col(v.POPULATION).cast("bigint").alias(v.POPULATION), *shares)
 
 
 @query(
@@ -217,15 +216,14 @@ def yearly_plan(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer")
     rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey",
-        F.col("c_nationkey").alias("code département"),
-        F.year("o_orderdate").alias(v.YEAR),
-        F.when(F.year("o_orderdate") < 1998, "loyers").otherwise("charges").alias("dataset"),
+        "o_orderkey", F.col("c_nationkey").alias("code département"), F.year("o_orderdate").alias(v.YEAR)
     )
+    # Stored by year first, so that each file is written from its own part.
+    rows.write.partitionBy(v.YEAR).parquet(f"{base}/rows")
     for year in range(1995, 2002):
         dataset = "loyers" if year < 1998 else "charges"
-        of_year = rows.filter(F.col(v.YEAR) == year).drop(v.YEAR)
-        write_delimited(of_year.drop("dataset"), f"{base}/in/{dataset}/{year}/{dataset}-par-departement.csv")
+        of_year = spark.read.parquet(f"{base}/rows").filter(F.col(v.YEAR) == year).drop(v.YEAR)
+        write_delimited(of_year, f"{base}/in/{dataset}/{year}/{dataset}-par-departement.csv")
     convert_yearly(spark, f"{base}/in", f"{base}/out", ["loyers", "charges"], departments=(3, 7, 11, 22, 24))
     back = [read_delimited(spark, f"{base}/out/{dataset}") for dataset in ("loyers", "charges")]
     return back[0].unionByName(back[1]).select(

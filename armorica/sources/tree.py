@@ -8,6 +8,7 @@ its path.
 
 from __future__ import annotations
 
+import logging
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Mapping
@@ -23,6 +24,8 @@ from armorica.functions import first_year
 from armorica.sources.delimited import read_delimited, separator_for
 from armorica.sources.workbook import read_workbooks
 
+log = logging.getLogger(__name__)
+
 FILE_PATH = "_source_path"
 SUFFIXES = (".csv", ".xlsx")
 # [<folder>/]<folder>/[source_file=]<name>.<suffix>[/annee=<year>][/part-...]
@@ -52,9 +55,18 @@ class SourceFile:
 
 
 def list_files(spark: SparkSession, base: str) -> list[SourceFile]:
-    """All delimited files and workbooks below ``base`` that are not empty; no content is read."""
+    """All delimited files and workbooks below ``base`` that are not empty; no content is read.
+
+    A folder that is not there holds no files.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    listed = reader.option("pathGlobFilter", "*.{csv,xlsx,CSV,XLSX}").load(base)
+    try:
+        listed = reader.option("pathGlobFilter", "*.{csv,xlsx,CSV,XLSX}").load(base)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            log.info("no folder %s", base)
+            return []
+        raise
     root = _plain_path(base).rstrip("/")
     found = []
     for path, length in listed.filter("length > 0").select("path", "length").collect():

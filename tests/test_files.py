@@ -13,7 +13,16 @@ from workbooks import write_workbook
 
 from armorica import vocabulary as v
 from armorica.functions import column
-from armorica.plans import check_warehouse, convert_tree, load_dimensions, load_facts, metric_tables, publish, run_all
+from armorica.plans import (
+    average_poverty,
+    check_warehouse,
+    convert_tree,
+    load_dimensions,
+    load_facts,
+    metric_tables,
+    publish,
+    run_all,
+)
 from armorica.plans.conversion import yearly_tables
 from armorica.plans.elections import election_scores
 from armorica.sinks import append_database, counted, ensure_table, overwrite_database, read_facts, write_delimited
@@ -439,9 +448,16 @@ def test_everything(spark, inputs, tmp_path):
     assert {name: df.count() for name, df in broken.items()} == done["violations"]
 
 
-def test_missing_inputs_are_skipped(spark, inputs, tmp_path):
-    from armorica.plans import average_poverty
+def test_nothing_to_do(spark, tmp_path):
+    places = [str(tmp_path / name) for name in ("inputs", "outputs", "store", "exports")]
+    done = run_all(spark, *places)
+    assert not any(done.values())
+    put(tmp_path / "inputs" / v.GEOGRAPHY_FILE, "CODGEO;Libellé Commune;Geo Point;Code département;Libellé département\n")
+    done = run_all(spark, *places)
+    assert done["facts"] == 0 and done["exports"] == {} and not any(done["violations"].values())
 
+
+def test_missing_inputs_are_skipped(spark, inputs, tmp_path):
     assert average_poverty(spark, str(tmp_path / "none.xlsx"), str(tmp_path / "out")) is None
     assert not os.path.exists(tmp_path / "out")
 
