@@ -58,7 +58,7 @@ def first_year(value: Column) -> Column:
     return F.nullif(F.regexp_extract(value.cast("string"), r"^(\d{4})", 1), F.lit("")).cast("int")
 
 
-def percent(value: Column, number: str = "decimal(8,4)") -> Column:
+def percent(value: Column, number: str = "double") -> Column:
     """Number of a percentage written ``12,34%``."""
     return F.translate(value.cast("string"), ",%", ".").try_cast(number)
 

@@ -17,6 +17,7 @@ from armorica.operators.geography import plain_codes
 from armorica.operators.joins import BROADCAST_BYTES, is_small
 
 CAMPS = {v.SCORE_LEFT: v.LEFT, v.SCORE_RIGHT: v.RIGHT}
+SHARE_TYPE = "decimal(18,10)"
 KEPT = (
     v.COMMUNE_CODE,
     v.COMMUNE_LABEL,
@@ -69,10 +70,11 @@ def camp_scores_long(
     """Scores per territory of rows (territory, candidate code, share text).
 
     ``nulls="propagate"`` makes a score null when a share of that camp is
-    missing; ``"zero"`` counts the missing share as nothing.
+    missing; ``"zero"`` counts the missing share as nothing. Shares are added
+    as decimals, so that the order of partitions does not matter.
     """
     lookup = camp_lookup(reference)
-    value = percent(column(vote_share))
+    value = percent(column(vote_share), SHARE_TYPE)
     rows = df.select(
         *[column(key) for key in keys],
         column(code).alias("code"),

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
 from armorica.functions import columns_like, require_column, year_columns
@@ -14,7 +15,7 @@ from armorica.operators import checks
 from armorica.operators.cleaning import keep_slice
 from armorica.operators.facts import REGION_OF, communes, departments, facts
 from armorica.operators.joins import is_small
-from armorica.operators.reshape import flatten_metrics, keys_by, unpivot_years
+from armorica.operators.reshape import flatten_metrics, keys_by, malformed_json, unpivot_years
 from armorica.sinks import (
     append_database,
     overwrite_database,
@@ -85,6 +86,7 @@ def check_warehouse(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]
             fact,
             {v.COMMUNE_CODE: checks.fits(v.COMMUNE_CODE, 5), v.DEPARTMENT: checks.is_int(v.DEPARTMENT)},
         ),
+        "fact data": malformed_json(fact).groupBy(v.TYPE).agg(F.count(F.lit(1)).alias("n")),
     }
 
 

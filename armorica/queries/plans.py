@@ -321,7 +321,7 @@ KINDS = ("commandes", "ventes", "delits")
 
 
 @query(
-    """
+    f"""
 with facts as (
   select o_custkey, c_custkey, c_nationkey, n_nationkey
   from orders left join customer on o_custkey = c_custkey left join nation on c_nationkey = n_nationkey
@@ -332,7 +332,8 @@ union all select 'commune key', count(*) from (select c_custkey from customer gr
 union all select 'commune in department', count(distinct c_nationkey) from facts where n_nationkey is null
 union all select 'fact in commune', count(distinct o_custkey) from facts where c_custkey is null
 union all select 'fact in department', count(distinct c_nationkey) from facts where n_nationkey is null
-union all select 'fact types', count(distinct true) from facts where length(cast(o_custkey as varchar)) > 5"""
+union all select 'fact types', count(distinct true) from facts where length(cast(o_custkey as varchar)) > 5
+union all select 'fact data', count(distinct type) from ({WAREHOUSE_SQL}) where not json_valid(data)"""
 )
 def warehouse_checks(spark: SparkSession, folder: str) -> DataFrame:
     """How many violations each check of the stored tables finds."""

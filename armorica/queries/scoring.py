@@ -145,6 +145,6 @@ def pct_parse(spark: SparkSession, folder: str) -> DataFrame:
     return spelled.select(
         "l_orderkey",
         "l_linenumber",
-        percent(F.col("discount")).cast("double").alias("discount"),
-        percent(F.col("tax"), "double").alias("tax"),
+        percent(F.col("discount"), "decimal(8,4)").cast("double").alias("discount"),
+        percent(F.col("tax")).alias("tax"),
     )

@@ -457,6 +457,28 @@ def test_nothing_to_do(spark, tmp_path):
     assert done["facts"] == 0 and done["exports"] == {} and not any(done["violations"].values())
 
 
+def test_checks_find_what_is_broken(spark, tmp_path):
+    dimension = "code_com string, nom_com string, geo_point string, code_dep int"
+    communes = [("22050", "Dinan", "p", 22), ("22050", "Dinan", "p", 22), ("75056", "Paris", "p", 75)]
+    spark.createDataFrame(communes, dimension).write.parquet(str(tmp_path / v.COMMUNE_TABLE))
+    departments = [(22, "Côtes-d'Armor"), (None, "?")]
+    spark.createDataFrame(departments, "code_dep int, nom_dep string").write.parquet(str(tmp_path / v.DEPARTMENT_TABLE))
+    facts = fact(
+        spark, ("22050", "Dinan", 22, 2017, "a", "{}"), ("999999", "?", 99, 2017, "a", "{bad"), (None, "?", None, 2017, "b", None)
+    )
+    write_facts(facts, str(tmp_path / v.FACT_TABLE))
+    broken = {name: rows(df) for name, df in check_warehouse(spark, str(tmp_path)).items()}
+    assert broken == {
+        "department key": [(None, 1)],
+        "commune key": [("22050", 2)],
+        "commune in department": [(75, 1)],
+        "fact in commune": [("999999", 1)],
+        "fact in department": [(99, 1)],
+        "fact types": [(v.COMMUNE_CODE, 2), (v.DEPARTMENT, 1)],
+        "fact data": [("a", 1)],
+    }
+
+
 def test_missing_inputs_are_skipped(spark, inputs, tmp_path):
     assert average_poverty(spark, str(tmp_path / "none.xlsx"), str(tmp_path / "out")) is None
     assert not os.path.exists(tmp_path / "out")

@@ -184,6 +184,15 @@ def test_long_scores_agree_with_wide(spark, max_bytes):
         assert rows(out) == sorted(expected, key=str)
 
 
+def test_shares_are_not_rounded_before_they_are_added(spark):
+    df = texts(spark, BALLOT[:5], ("a", "FI", "12.34496", "FI", "0.00003"), ("b", "FI", "27.559999999999999", "RN", "1e1"))
+    expected = [("a", 12.34, 0.0, 87.66), ("b", 27.56, 10.0, 62.44)]
+    assert rows(camp_scores_wide(df, reference(spark), keep=list(SCORES)), *SCORES) == expected
+    pairs = [F.struct(column(c).alias("code"), column(s).alias("share")) for c, s in candidate_pairs(df)]
+    long = df.select("id", F.inline(F.array(*pairs)))
+    assert rows(camp_scores_long(long, ["id"], "code", "share", reference(spark))) == expected
+
+
 def test_scores_per_year_reference(spark):
     df = frame(
         spark,

@@ -62,9 +62,10 @@ def test_first_year(spark, ansi):
 
 def test_percent(spark, ansi):
     texts = ["12,34%", "12.34", "100%", "", "n/a", None, "-3,5 "]
-    found = results(spark, lambda x: percent(x, "double"), texts)
+    found = results(spark, percent, texts)
     assert found == [12.34, 12.34, 100.0, None, None, None, -3.5]
-    assert [str(x) for x in results(spark, percent, ["12,34%"])] == ["12.3400"]
+    assert results(spark, percent, ["12,34%"]) == [12.34]
+    assert [str(x) for x in results(spark, lambda x: percent(x, "decimal(8,4)"), ["12,34%"])] == ["12.3400"]
 
 
 def test_share_rounds_half_up_and_survives_zero(spark, ansi):
