@@ -20,25 +20,28 @@ def normalise_geography(df: DataFrame) -> DataFrame:
 
     Département to 2 characters, commune number to 3, commune code to 5. A
     missing commune code is composed from the two parts; missing parts are cut
-    out of the commune code. One projection, whatever the headers are.
+    out of the commune code. Codes of any header case get the standard name.
     """
-    found = {name: find_column(df, name) for name in (v.COMMUNE_CODE, v.DEPARTMENT, v.COMMUNE_PART)}
-    codes: dict[str, Column] = {}
-    if found[v.DEPARTMENT]:
-        codes[v.DEPARTMENT] = pad_code(column(found[v.DEPARTMENT]), 2)
-    if found[v.COMMUNE_PART]:
-        codes[v.COMMUNE_PART] = pad_code(column(found[v.COMMUNE_PART]), 3)
-    if found[v.COMMUNE_CODE]:
-        codes[v.COMMUNE_CODE] = pad_commune(column(found[v.COMMUNE_CODE]))
-        codes.setdefault(v.DEPARTMENT, codes[v.COMMUNE_CODE].substr(1, 2))
-        codes.setdefault(v.COMMUNE_PART, codes[v.COMMUNE_CODE].substr(3, 3))
-    elif v.DEPARTMENT in codes and v.COMMUNE_PART in codes:
-        codes[v.COMMUNE_CODE] = compose_commune(codes[v.DEPARTMENT], codes[v.COMMUNE_PART])
-
-    header_of = {header: name for name, header in found.items() if header}
-    kept = [codes[header_of[h]].alias(header_of[h]) if h in header_of else column(h) for h in df.columns]
-    derived = [code.alias(name) for name, code in codes.items() if not found[name]]
-    return df.select(*kept, *derived)
+    rules = {
+        v.DEPARTMENT: lambda code: pad_code(code, 2),
+        v.COMMUNE_PART: lambda code: pad_code(code, 3),
+        v.COMMUNE_CODE: pad_commune,
+    }
+    name_of = {find_column(df, name): name for name in rules if find_column(df, name)}
+    padded = df.select(
+        *[
+            rules[name_of[header]](column(header)).alias(name_of[header]) if header in name_of else column(header)
+            for header in df.columns
+        ]
+    )
+    present = set(name_of.values())
+    commune = column(v.COMMUNE_CODE)
+    derived: dict[str, Column] = {}
+    if v.COMMUNE_CODE in present:
+        derived = {v.DEPARTMENT: commune.substr(1, 2), v.COMMUNE_PART: commune.substr(3, 3)}
+    elif {v.DEPARTMENT, v.COMMUNE_PART} <= present:
+        derived = {v.COMMUNE_CODE: compose_commune(column(v.DEPARTMENT), column(v.COMMUNE_PART))}
+    return padded.withColumns({name: code for name, code in derived.items() if name not in present})
 
 
 def plain_codes(df: DataFrame, names: Iterable[str]) -> DataFrame:

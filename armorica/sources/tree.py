@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
 from armorica.functions import first_year
+from armorica.operators.joins import BROADCAST_BYTES, ROW_BYTES
 from armorica.sources.delimited import read_delimited, separator_for
 from armorica.sources.workbook import read_workbooks
 
@@ -123,11 +124,23 @@ def read_groups(spark: SparkSession, files: Iterable[SourceFile]) -> list[DataFr
 def add_from_path(df: DataFrame, rules: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
     """Columns that rules such as ``file_name`` take from the path, in place of the path.
 
-    The path is matched once per row, whatever the number of rules.
+    The rules are applied once per file and the result is joined to the rows, as
+    matching the path of every row costs more than reading it. With more files
+    than can be broadcast, or none known, they are applied per row.
     """
+    files = [unquote(file) for file in df.inputFiles()]
+    if not files or sum(ROW_BYTES + len(file) for file in files) * (1 + len(rules)) > BROADCAST_BYTES:
+        return _placed(df, rules).drop(FILE_PATH)
+    # Listed once more, without content, for the path exactly as scans spell it.
+    listed = df.sparkSession.read.format("binaryFile").load(files)
+    known = _placed(listed.select(F.col("_metadata.file_path").alias(FILE_PATH)), rules)
+    return df.drop(*rules).join(F.broadcast(known), FILE_PATH, "left").drop(FILE_PATH)
+
+
+def _placed(df: DataFrame, rules: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
     parts = F.regexp_replace(_unescaped(F.col(FILE_PATH)), LAYOUT, "$1/$2/$3/$4/$5")
     placed = df.withColumn("_place", F.split(parts, "/"))
-    return placed.withColumns({name: rule(F.col("_place")) for name, rule in rules.items()}).drop("_place", FILE_PATH)
+    return placed.withColumns({name: rule(F.col("_place")) for name, rule in rules.items()}).drop("_place")
 
 
 def with_provenance(df: DataFrame) -> DataFrame:

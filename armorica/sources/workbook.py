@@ -13,6 +13,7 @@ import zipfile
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from functools import partial
+from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -41,7 +42,7 @@ def read_workbooks(
     headers = sheet_rows(_files(spark, paths), header_only=True)
     groups: dict[tuple[str | None, ...], list[str]] = defaultdict(list)
     for row in headers.collect():
-        groups[tuple(row["cells"])].append(row["path"])
+        groups[tuple(row["cells"])].append(unquote(row["path"]))
     return [
         sheet_table(sheet_rows(_files(spark, same)), header, path_column) for header, same in groups.items()
     ]
@@ -58,13 +59,13 @@ def sheet_table(
     """Rows of cells as columns named by the header; columns without a name are left out."""
     cells = [F.try_element_at("cells", F.lit(i + 1)).alias(name) for i, name in enumerate(header) if name]
     if path_column:
-        # Other sources give their path encoded.
-        cells.append(F.replace("path", F.lit("%"), F.lit("%25")).alias(path_column))
+        cells.append(F.col("path").alias(path_column))
     return rows.filter("position > 0").select(*cells)
 
 
 def _files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return spark.read.format("binaryFile").load(list(paths)).select("path", "content")
+    files = spark.read.format("binaryFile").load(list(paths))
+    return files.select(F.col("_metadata.file_path").alias("path"), "content")
 
 
 def _parse(header_only: bool, batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -161,8 +161,10 @@ def test_groups_and_provenance(spark, tmp_path):
     ]
 
 
-def test_names_with_special_characters(spark, tmp_path):
+@pytest.mark.parametrize("max_bytes", [0, 10**6])
+def test_names_with_special_characters(spark, tmp_path, monkeypatch, max_bytes):
     """Percent signs, blanks and apostrophes survive listing, conversion and reading back."""
+    monkeypatch.setattr("armorica.sources.tree.BROADCAST_BYTES", max_bytes)
     names = ["100%25 a+b-par-commune", "niveau-d'étude-par-commune"]
     for name in names:
         write_workbook(str(tmp_path / "in" / "2017" / f"{name}.xlsx"), [("CODGEO", "x"), ("22050", name)])
