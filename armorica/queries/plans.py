@@ -20,12 +20,13 @@ from armorica.plans import (
     score_elections,
     share_diplomas,
 )
+from armorica.plans.conversion import converted
 from armorica.queries.facts import geography, region_of
 from armorica.queries.registry import query, table
 from armorica.queries.scoring import ballots
 from armorica.queries.statistics import diploma_counts, diploma_sql
 from armorica.sinks import read_facts, write_delimited
-from armorica.sources import read_delimited, read_file
+from armorica.sources import list_one_level, read_delimited, read_file
 from armorica.workspace import new_folder
 
 NATIONS = range(25)
@@ -234,6 +235,35 @@ def yearly_plan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    """
+select lpad(cast(c_nationkey as varchar), 2, '0') as "Code département",
+  lpad(cast(c_custkey % 1000 as varchar), 3, '0') as "Code de la commune",
+  lpad(cast(c_nationkey as varchar), 2, '0') || lpad(cast(c_custkey % 1000 as varchar), 3, '0') as "CODGEO",
+  c_mktsegment as segment, 'clients.csv' as source_file, null as solde
+from customer
+union all
+select substr(code, 1, 2), substr(code, 3, 3), code, null, 'fournisseurs.csv', solde
+from (select lpad(cast(l_suppkey as varchar), 5, '0') as code, cast(l_linenumber as varchar) as solde from lineitem)"""
+)
+def tree_conversion(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of two headers brought to canonical codes, no row left out."""
+    base = new_folder(spark, "conversion")
+    customers = table(spark, folder, "customer").select(
+        F.concat(F.col("c_nationkey").cast("string"), F.lit(".0")).alias("Code Département"),
+        (F.col("c_custkey") % 1000).alias(v.COMMUNE_PART),
+        F.col("c_mktsegment").alias("segment"),
+    )
+    write_delimited(customers, f"{base}/clients.csv")
+    lines = table(spark, folder, "lineitem").select(
+        F.concat(F.col("l_suppkey").cast("string"), F.lit(".0")).alias(v.COMMUNE_CODE),
+        F.col("l_linenumber").alias("solde"),
+    )
+    write_delimited(lines, f"{base}/fournisseurs.csv")
+    tables = converted(spark, list_one_level(spark, base))
+    return tables[0].unionByName(tables[1], allowMissingColumns=True).drop("year_folder")
+
+
 WAREHOUSE_SQL = f"""
 with counted as (
   select o_custkey, {ORDER_YEAR} as annee, count(*) as orders from orders group by all

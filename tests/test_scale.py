@@ -68,6 +68,19 @@ def test_fact_slice_reads_its_folder_only(spark, tmp_path):
     assert "Exchange" not in plan(facts)
 
 
+def test_fact_load_has_no_shuffle(spark, tables, monkeypatch):
+    plans = []
+
+    def write(df, path):
+        plans.append(plan(df))
+        return write_facts(df, path)
+
+    monkeypatch.setattr("armorica.plans.warehouse.write_facts", write)
+    QUERIES["warehouse_plan"].run(spark, tables)
+    assert len(plans) == 1 and "Exchange hashpartitioning" not in plans[0]
+    assert not re.search("NestedLoop|Cartesian|SinglePartition", plans[0])
+
+
 def test_one_shuffle_after_partial_aggregation(spark):
     df = spark.range(100).selectExpr("cast(id % 3 as string) k", "cast(id as string) x", "cast(2017 + id % 2 as int) annee")
     for result in (mean_by_territory(df, ["k"], "x", "m"), pivot_years(df, ["k"], "x", (2017, 2018), number="double")):
