@@ -33,9 +33,9 @@ def keep_years(df: DataFrame, years: Iterable[int] = v.YEARS, name: str = v.YEAR
 
 
 def keep_slice(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    """Rows equal to every given value, such as ``{"annee": 2017, "type": "loyer"}``."""
+    """Rows equal to every given value, such as ``{"annee": 2017, "type": "loyer"}``; None is null."""
     for name, value in values.items():
-        df = df.filter(column(name) == value)
+        df = df.filter(column(name).isNull() if value is None else column(name) == value)
     return df
 
 

@@ -40,6 +40,8 @@ def pack_metrics(df: DataFrame, keys: Iterable[str], data: str = v.DATA) -> Data
     """All columns that are no keys as one JSON text, null metrics included."""
     keys = set(keys)
     metrics = [column(name) for name in df.columns if name not in keys]
+    if not metrics:
+        return df.withColumn(data, F.lit("{}"))
     return df.withColumn(data, F.to_json(F.struct(*metrics), {"ignoreNullFields": "false"}))
 
 

@@ -105,6 +105,8 @@ def test_years(spark):
 def test_slice_empty_and_gate(spark):
     df = frame(spark, {"annee": "int", "type": "string"}, (2017, "a"), (2018, "a"))
     assert keep_slice(df, {"annee": 2017, "type": "a"}).count() == 1
+    nulls = df.union(frame(df.sparkSession, {"annee": "int", "type": "string"}, (None, "a")))
+    assert rows(keep_slice(nulls, {"annee": None})) == [(None, "a")]
     assert empty(df).count() == 0 and empty(df).columns == df.columns
     assert has_columns(df, "annee", "type") and not has_columns(df, "Annee")
 
@@ -286,6 +288,12 @@ def test_pack_keeps_nulls_and_flatten_restores(spark):
     assert rows(flat) == [(1, 'a"b', "3", None), (2, None, "4", None)]
 
 
+def test_nothing_to_pack(spark):
+    packed = pack_metrics(texts(spark, ["id"], ("1",)), ["id"])
+    assert rows(packed) == [("1", "{}")]
+    assert rows(flatten_metrics(packed)) == [("1",)]
+
+
 def test_flatten_edge_rows(spark, monkeypatch):
     df = texts(spark, ["type", "data"], ("x", '{"A b": 1, "a_b": 2.50, "type": {"z": 1}}'), ("y", "{bad"), ("z", None))
     out = flatten_metrics(df)
