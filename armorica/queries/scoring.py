@@ -38,6 +38,12 @@ def votes(spark: SparkSession, folder: str, blank_without_tax: bool = False) ->
     return table(spark, folder, "lineitem").select("l_orderkey", "l_returnflag", text.alias("share"))
 
 
+def scores(spark: SparkSession, rows: DataFrame, **options: object) -> DataFrame:
+    """Scores per order; the shares have four digits after the point."""
+    camps = reference(spark)
+    return camp_scores_long(rows, ["l_orderkey"], "l_returnflag", "share", camps, number="decimal(8,4)", **options)
+
+
 def score_sql(share: str, left: str = "g", right: str = "d") -> str:
     return f"""
 with votes as (
@@ -63,26 +69,26 @@ GAPS = f"case when l_tax <> 0 then {SHARE_SQL} end"
 @query(score_sql(SHARE_SQL))
 def camp_score_long(spark: SparkSession, folder: str) -> DataFrame:
     rows = votes(spark, folder)
-    return camp_scores_long(rows, ["l_orderkey"], "l_returnflag", "share", reference(spark))
+    return scores(spark, rows)
 
 
 @query(score_sql(SHARE_SQL))
 def camp_score_large_reference(spark: SparkSession, folder: str) -> DataFrame:
     """The way taken when the reference is beyond the broadcast bound."""
     rows = votes(spark, folder)
-    return camp_scores_long(rows, ["l_orderkey"], "l_returnflag", "share", reference(spark), max_bytes=0)
+    return scores(spark, rows, max_bytes=0)
 
 
 @query(score_sql(GAPS, "case when gaps_g = 0 then g end", "case when gaps_d = 0 then d end"))
 def camp_score_missing_share(spark: SparkSession, folder: str) -> DataFrame:
     rows = votes(spark, folder, blank_without_tax=True)
-    return camp_scores_long(rows, ["l_orderkey"], "l_returnflag", "share", reference(spark))
+    return scores(spark, rows)
 
 
 @query(score_sql(GAPS))
 def camp_score_missing_as_zero(spark: SparkSession, folder: str) -> DataFrame:
     rows = votes(spark, folder, blank_without_tax=True)
-    return camp_scores_long(rows, ["l_orderkey"], "l_returnflag", "share", reference(spark), nulls="zero")
+    return scores(spark, rows, nulls="zero")
 
 
 def ballots(lines: DataFrame, *keys: str) -> DataFrame:

@@ -22,6 +22,14 @@ def seconds(spark: SparkSession, name: str, folder: str) -> float:
     return time.perf_counter() - start
 
 
+def scale(folder: str) -> float | str:
+    name = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -43,7 +51,7 @@ def main() -> None:
         "value": round(sum(timed.values()), 3),
         "unit": "sec",
         "queries": timed,
-        "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+        "sf": scale(folder),
         "cpus": int(cpus),
         "runs": runs,
     }

@@ -182,7 +182,7 @@ def test_long_scores_agree_with_wide(spark, max_bytes):
     pairs = [F.struct(column(c).alias("code"), column(s).alias("share")) for c, s in candidate_pairs(df)]
     long = df.select("id", F.inline(F.array(*pairs)))
     for nulls, expected in (("propagate", EXPECTED), ("zero", ZERO)):
-        out = camp_scores_long(long, ["id"], "code", "share", reference(spark), nulls, max_bytes)
+        out = camp_scores_long(long, ["id"], "code", "share", reference(spark), nulls, max_bytes=max_bytes)
         assert rows(out) == sorted(expected, key=str)
 
 
