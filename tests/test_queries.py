@@ -29,4 +29,5 @@ def test_query_matches_sql(spark, duck, tables, name):
 
 def test_driver_contract(spark):
     assert driver.entry(spark).limit(1).count() == 1
-    assert driver.queries().keys() == driver.oracle_sql().keys() == QUERIES.keys()
+    assert driver.queries().keys() >= QUERIES.keys()
+    assert QUERIES.keys() <= driver.oracle_sql().keys() <= driver.queries().keys()
