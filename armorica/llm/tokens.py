@@ -13,6 +13,7 @@ corpus are a shard's base, the prefix sum of the tokens of the shards before it.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import sys
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext, cloudpickle
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,30 +33,90 @@ from armorica.workspace import new_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CACHED_SEGMENTS = 400_000
+CACHED_SEGMENTS = 500_000
+# How byte-level vocabularies write the byte 32, and letters of two bytes.
+BYTE_SPACE = "\u0120"
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+MARKS = ",.;:!?"
+# Bytes without a visible character of their own are numbered from 256 on.
+_UNSEEN = [byte for byte in range(256) if not (33 <= byte <= 126 or 161 <= byte <= 172 or byte >= 174)]
+_BYTE = {byte: chr(256 + _UNSEEN.index(byte)) if byte in _UNSEEN else chr(byte) for byte in range(256)}
+_WRITTEN = {code: "".join(_BYTE[byte] for byte in chr(code).encode()) for code in range(0xC0, 0x100)}
+_PLAIN = re.compile(f"([{LETTERS}]+)([{MARKS}]?)(?:\n([{LETTERS}]+)([{MARKS}]?))?")
+_WHITE_AFTER_SPACE = re.compile(r" \s")
+_SPACE_PAIRS = [" " + white for white in " \t\n\v\f\r\x1c\x1d\x1e\x1f"]
 READ_BYTES = 8 << 20
 _MANIFEST = "shard int, name string, documents bigint, null_ids bigint, tokens bigint, width int"
 _READ = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
 
 
+class _Segments(dict):
+    """Ids of segments after a space, as bytes; what is asked for is learnt.
+
+    A key that begins with a line end stands for the word after it, without a space.
+    """
+
+    def __init__(self, tokenizer, width: int) -> None:
+        self._tokenizer, self._tokenize = tokenizer, tokenizer.model.tokenize
+        self._dtype = np.dtype(f"<u{width}")
+        self._bytes = [number.to_bytes(width, "little") for number in range(tokenizer.get_vocab_size(with_added_tokens=True))]
+        self._marks = {mark: self.whole(mark) for mark in MARKS} | {"": b""}
+        self._line_end = self.whole("\n")
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self._dtype).tobytes()
+
+    def _word(self, written: str) -> bytes:
+        """Ids of a word as byte-level vocabularies write it."""
+        each = self._bytes
+        return b"".join([each[token.id] for token in self._tokenize(written)])
+
+    def __missing__(self, segment: str) -> bytes:
+        if segment.isascii() and segment.isalpha():
+            ids = self._word(BYTE_SPACE + segment)
+        elif segment[:1] == "\n":
+            ids = self._word(segment[1:].translate(_WRITTEN))
+        elif match := _PLAIN.fullmatch(segment):
+            word, mark, next_word, next_mark = match.groups()
+            if next_word:
+                return self[word] + self._marks[mark] + self._line_end + self["\n" + next_word] + self._marks[next_mark]
+            ids = self[word] + self._marks[mark] if mark else self._word(BYTE_SPACE + word.translate(_WRITTEN))
+        else:
+            ids = self.whole(" " + segment)
+        self[segment] = ids
+        return ids
+
+
 class Encoder:
     """Texts to ids as bytes.
 
-    A byte-level pre-tokenizer ends a token before any single space between two
-    characters that are no white space. Texts are cut there, and the ids of a segment
-    are remembered, up to ``CACHED_SEGMENTS``; other tokenizers get whole texts.
+    A byte-level pre-tokenizer begins a token at every single space before a character
+    that is no white space, and keeps letters, punctuation and line ends apart. Texts are
+    cut there: a segment is a word of Latin letters with at most one mark after it, perhaps
+    a line end and one more such word, or anything else, which is encoded as it is. The
+    ids of segments are remembered, up to ``CACHED_SEGMENTS``; new words go straight to the
+    tokenizer's model. Texts with other white space after a space, and all texts for other
+    tokenizers, are encoded whole.
+
+    Sent as a broadcast, it is built once in a worker and keeps what it has learnt.
     """
 
     def __init__(self, spec: str, width: int) -> None:
+        self._spec, self._width = spec, width
+        self._segments = None
+
+    def __getstate__(self) -> dict:
+        return {"_spec": self._spec, "_width": self._width, "_segments": None}
+
+    def _load(self) -> None:
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_str(spec)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._dtype = np.dtype(f"<u{width}")
-        self._known: dict[str, bytes] = {}
-        model = json.loads(spec)
+        tokenizer = Tokenizer.from_str(self._spec)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._segments = _Segments(tokenizer, self._width)
+        model = json.loads(self._spec)
         cut = model.get("pre_tokenizer") or {}
-        self._by_segment = (
+        self._cuts = (
             cut.get("type") == "ByteLevel"
             and cut.get("use_regex", True)
             and not cut.get("add_prefix_space")
@@ -62,37 +124,43 @@ class Encoder:
             and not model["model"].get("dropout")
             and all(token.get("special") for token in model.get("added_tokens") or [])
         )
-        self._mixed = re.compile(r"\s | \s")
-        self._border = re.compile(r"(?<=\S) (?=\S)")
-
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self._dtype).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self._by_segment:
-            return self._packed(texts)
-        # The segments of a text but for the space each begins with, the first one has none.
-        cut = [self._border.split(text) if self._mixed.search(text) else text.split(" ") for text in texts]
-        new = set()
-        for parts in cut:
-            new.update(parts[1:])
-        new -= self._known.keys()
-        if len(self._known) + len(new) > CACHED_SEGMENTS:
-            self._known.clear()
-            new = set().union(*[parts[1:] for parts in cut])
-        fresh = list(new)
-        self._known.update(zip(fresh, self._packed([" " + part for part in fresh]), strict=True))
-        firsts = self._packed([parts[0] for parts in cut])
-        known = self._known.__getitem__
-        return [first + b"".join(map(known, parts[1:])) for first, parts in zip(firsts, cut, strict=True)]
-
-
-def _writer(spec: str, folder: str, width: int, end_id: int | None) -> Callable:
+        if self._segments is None:
+            self._load()
+        segments = self._segments
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here refers to itself
+        try:
+            out = []
+            for text in texts:
+                if not self._cuts or _has_white_space_after_space(text):
+                    out.append(segments.whole(text))
+                    continue
+                if len(segments) > CACHED_SEGMENTS:
+                    segments.clear()
+                parts = text.split(" ")
+                parts[0] = segments.whole(parts[0])
+                parts[1:] = map(segments.__getitem__, parts[1:])
+                out.append(b"".join(parts))
+            return out
+        finally:
+            if collecting:
+                gc.enable()
+
+
+def _has_white_space_after_space(text: str) -> bool:
+    if text.isascii():
+        return any(pair in text for pair in _SPACE_PAIRS)
+    return _WHITE_AFTER_SPACE.search(text) is not None
+
+
+def _writer(sent: Broadcast, folder: str, width: int, end_id: int | None) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(spec, width)
+        encoder = sent.value
         end = b"" if end_id is None else end_id.to_bytes(width, "little")
         store, path = fs.FileSystem.from_uri(folder)
         shard = TaskContext.get().partitionId()
@@ -161,7 +229,8 @@ def write_tokens(
         .sortWithinPartitions("doc_id", "key", "row")
         .select("doc_id", octets(F.col("text")).alias("text"))
     )
-    manifest = ordered.mapInArrow(_writer(spec, folder, width, end_id), _MANIFEST)
+    sent = spark.sparkContext.broadcast(Encoder(spec, width))
+    manifest = ordered.mapInArrow(_writer(sent, folder, width, end_id), _MANIFEST)
     manifest.write.parquet(f"{folder}/manifest")
     return folder
 
