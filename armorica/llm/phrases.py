@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -37,7 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW_WORDS = 35
 ANCHOR_WORDS = 8
 # Different segments of one anchor that one task takes.
-SEGMENTS_AT_ONCE = 4_000
+SEGMENTS_AT_ONCE = 1_500
 # Words of the segments of one automaton, unless one anchor has more.
 AUTOMATON_WORDS = 200_000
 CHUNK_BYTES = 1 << 20
@@ -150,7 +151,7 @@ def _find_runs(window: int, anchor: int):
 
 
 _RUNS = "id bigint, key bigint, start int, n int, anchor bigint, content bigint"
-_SEGMENTS = "anchor bigint, content bigint, copies bigint, text binary"
+_SEGMENTS = "anchor bigint, content bigint, copies bigint, salt int, text binary"
 
 
 def _cut_segments(window: int):
@@ -165,9 +166,10 @@ def _cut_segments(window: int):
                         pa.array([row["anchor"] for row in some], pa.int64()),
                         pa.array([row["content"] for row in some], pa.int64()),
                         pa.array([row["copies"] for row in some], pa.int64()),
+                        pa.array([row["salt"] for row in some], pa.int32()),
                         pa.array([b" ".join(words[row["start"] : row["start"] + row["n"] + window - 1]) for row in some], pa.binary()),
                     ]
-                    yield pa.RecordBatch.from_arrays(columns, names=["anchor", "content", "copies", "text"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["anchor", "content", "copies", "salt", "text"])
 
     return cut
 
@@ -233,6 +235,7 @@ def _search(window: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, anchor, group = Shard(window), None, {}
         for batch in batches:
+            batch = batch.filter(pc.less(batch.column("salt"), 0))
             for row in zip(*(batch.column(name).to_pylist() for name in ("anchor", "content", "copies", "text")), strict=True):
                 if row[0] != anchor:
                     if group:
@@ -249,11 +252,12 @@ def _search(window: int):
 
 
 def _windows(window: int):
-    """Windows of the segments of spread anchors, as 128-bit hashes."""
+    """Windows of the segments of crowded anchors, as 128-bit hashes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
+            batch = batch.filter(pc.greater_equal(batch.column("salt"), 0))
             for anchor, content, copies, text in zip(
                 *(batch.column(name).to_pylist() for name in ("anchor", "content", "copies", "text")), strict=True
             ):
@@ -272,17 +276,6 @@ _WINDOWS = "window binary, anchor bigint, content bigint, first int, copies bigi
 _FOUND = "anchor bigint, content bigint, spans array<struct<first:int,words:int>>"
 
 
-def _counted(segments: DataFrame, window: int) -> DataFrame:
-    """Repeated windows of segments, whatever their number of an anchor: counts are summed before they are dealt."""
-    folder = new_folder(segments.sparkSession, "windows")
-    single = segments.dropDuplicates(["anchor", "content"]).mapInArrow(_windows(window), _WINDOWS)
-    single.write.parquet(folder)
-    single = segments.sparkSession.read.schema(_WINDOWS).parquet(folder)
-    twice = single.groupBy("window").agg(F.sum("copies").alias("total")).filter("total > 1").select("window")
-    span = F.struct("first", F.lit(window).alias("words"))
-    return single.join(materialise(twice), "window").groupBy("anchor", "content").agg(F.collect_list(span).alias("spans"))
-
-
 def repeated_passages(
     docs: DataFrame,
     window_words: int = WINDOW_WORDS,
@@ -307,18 +300,20 @@ def repeated_passages(
     crowded = materialise(
         different.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments")).filter(F.col("segments") > segments_at_once)
     )
-    dealt = different.join(crowded, "anchor", "left")
-
-    def segments(some: DataFrame) -> DataFrame:
-        """The texts of different segments, from the documents that stand for them."""
-        run = F.struct("anchor", "content", "copies", F.col("place.start").alias("start"), F.col("place.n").alias("n"))
-        of_text = some.groupBy(F.col("place.id").alias("id"), F.col("place.key").alias("key")).agg(F.collect_list(run).alias("runs"))
-        return docs.join(of_text, ["id", "key"]).mapInArrow(_cut_segments(window_words), _SEGMENTS)
-
-    shards = segments(dealt.filter("segments is null")).repartition("anchor").sortWithinPartitions("anchor")
-    every = shards.mapInArrow(_search(window_words), _FOUND)
+    salt = F.pmod("content", F.ceil(F.col("segments") / segments_at_once))
+    dealt = different.join(crowded, "anchor", "left").withColumn("salt", F.coalesce(salt, F.lit(-1)).cast("int"))
+    run = F.struct("anchor", "content", "copies", "salt", F.col("place.start").alias("start"), F.col("place.n").alias("n"))
+    of_text = dealt.groupBy(F.col("place.id").alias("id"), F.col("place.key").alias("key")).agg(F.collect_list(run).alias("runs"))
+    segments = docs.join(of_text, ["id", "key"]).mapInArrow(_cut_segments(window_words), _SEGMENTS)
+    # Both ways read the same exchange; each function passes over the rows of the other.
+    shards = segments.repartition("anchor", "salt")
+    every = shards.sortWithinPartitions("anchor").mapInArrow(_search(window_words), _FOUND)
     if not crowded.isEmpty():
-        every = every.unionByName(_counted(segments(dealt.filter("segments is not null")), window_words))
+        single = shards.mapInArrow(_windows(window_words), _WINDOWS)
+        twice = single.groupBy("window").agg(F.sum("copies").alias("total")).filter("total > 1").select("window")
+        span = F.struct("first", F.lit(window_words).alias("words"))
+        counted = single.join(twice, "window").groupBy("anchor", "content").agg(F.collect_set(span).alias("spans"))
+        every = every.unionByName(counted)
     in_text = F.transform("spans", lambda x: F.struct((x["first"] + F.col("start")).alias("first"), x["words"].alias("words")))
     back = held.join(every, ["anchor", "content"]).select("id", "key", in_text.alias("spans"))
     return back.groupBy("id", "key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
