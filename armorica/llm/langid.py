@@ -244,7 +244,7 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
 
 
 class Judge:
-    """Languages of texts; remembers the sums of words, up to ``CACHED_WORDS``."""
+    """Languages of texts; remembers the sums of words, up to ``CACHED_WORDS``, from task to task of a worker."""
 
     def __init__(self, model: Model) -> None:
         self._model = model
@@ -306,11 +306,11 @@ def judge(text: Column, model: Model) -> Column:
     over 40 characters at most. Text that is null or has no letter: ``und``, 0, null, rejected. Ties go to the
     first language by code point. Without labelled rows every text is ``und``.
     """
-    sent = _spark_context().broadcast(model)
+    sent = _spark_context().broadcast(Judge(model))
 
     @arrow_udf(_JUDGED)
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        judging = Judge(sent.value)
+        judging = sent.value
         for batch in batches:
             columns: list[list] = [[], [], [], []]
             for texts in slices(batch, 1 << 20):

@@ -184,11 +184,11 @@ class Scorer:
 
 def toxicity(text: Column, model: Model) -> Column:
     """Probability (0 to 1) that a text is toxic; null and empty texts get that of a text without words."""
-    sent = _spark_context().broadcast(model)
+    sent = _spark_context().broadcast(Scorer(model))
 
     @arrow_udf("double")
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = Scorer(sent.value)
+        scorer = sent.value
         for batch in batches:
             yield pa.array([x for texts in slices(batch, 1 << 20) for x in scorer.score(texts)], pa.float64())
 
