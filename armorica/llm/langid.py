@@ -41,7 +41,9 @@ CALIBRATION_DOCS = 4_000
 QUANTILE, MARGIN, SHORT_MARGIN = 0.999, 0.35, 6.0
 # Characters after which the score of a language is no longer sharpened.
 SCORED_CHARS = 40
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
+# Different words, and sequences, that a task counts before it hands them on.
+COUNTED_WORDS, COUNTED_SEQUENCES = 100_000, 300_000
 UNKNOWN = "und"
 # Runs of letters.
 WORD = re.compile(r"[^\W\d_]+")
@@ -120,9 +122,9 @@ def _find(ascending: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.nda
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (language, text) to counts of 5-character sequences, summed over as many rows as memory allows."""
     words: dict[str, Counter] = {}
+    sums: dict[tuple[str, str], int] = {}
 
-    def counted() -> pa.RecordBatch:
-        sums: dict[tuple[str, str], int] = {}
+    def fold() -> None:
         for language, counts in words.items():
             for word, n in counts.items():
                 padded = PAD * (ORDER - 1) + word + END
@@ -130,15 +132,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     key = (language, padded[i : i + ORDER])
                     sums[key] = sums.get(key, 0) + n
         words.clear()
+
+    def counted() -> pa.RecordBatch:
         languages, found = zip(*sums.keys(), strict=True) if sums else ((), ())
         columns = [pa.array(languages, pa.string()), pa.array(found, pa.string()), pa.array(sums.values(), pa.int64())]
+        sums.clear()
         return pa.RecordBatch.from_arrays(columns, names=["language", "sequence", "n"])
 
     for batch in batches:
         for language, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             words.setdefault(language, Counter()).update(words_of(text.as_py()))
-            if len(words[language]) > CACHED_WORDS:
+            if sum(map(len, words.values())) > COUNTED_WORDS:
+                fold()
+            if len(sums) > COUNTED_SEQUENCES:
                 yield counted()
+    fold()
     yield counted()
 
 

@@ -33,7 +33,7 @@ SAMPLE_DOCS = 4_000
 STEPS = 120
 RATE = 0.5
 PENALTY = 1e-5
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
