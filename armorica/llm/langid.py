@@ -38,7 +38,7 @@ PAD, END = "\x02", "\x03"
 MOST_SEQUENCES = 200_000
 CALIBRATION_DOCS = 4_000
 # Beyond the calibrated quantile, in nats a character, plus more for short texts.
-QUANTILE, MARGIN, SHORT_MARGIN = 0.999, 0.35, 6.0
+QUANTILE, MARGIN, SHORT_MARGIN = 0.999, 0.8, 6.0
 # Characters after which the score of a language is no longer sharpened.
 SCORED_CHARS = 40
 CACHED_WORDS = 150_000

@@ -13,20 +13,30 @@ from pyspark.sql import functions as F
 from armorica.llm import decontaminate, langid, mixing, queries, simhash, tokens
 from armorica.workspace import new_folder
 
+# Documents are long: few of them make an Arrow batch, which bounds what a worker holds.
+DOCS_PER_BATCH = 2_000
+
+
+def _short_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", DOCS_PER_BATCH)
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; null texts and texts without a letter go too."""
+    _short_batches(spark)
     found = langid.identify(docs, queries.language_model(docs), out_col="_identified")
     return found.filter(~F.col("_identified.rejected")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the document of the smallest id."""
+    _short_batches(spark)
     return simhash.keep_one(docs, shingle_words=queries.SHINGLE_WORDS, max_distance=queries.MAX_DISTANCE)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no test item of the benchmark."""
+    _short_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.contaminated(docs, benchmark, out_col="_items")
     return found.filter(F.size("_items") == 0).select(*docs.columns)
@@ -34,11 +44,13 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents as often as they are taken, parts of documents cut out."""
+    _short_batches(spark)
     return mixing.mixture(docs)
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix; their index, read back: doc_id, start, n_tokens, ids_crc32."""
+    _short_batches(spark)
     path = tokens.write_tokens(docs, public_tokenizers.path(queries.TOKENIZER), end_id=queries.END_ID)
     return tokens.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
