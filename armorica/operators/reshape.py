@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
 from armorica.functions import column, safe_names, year_columns
 
-MAX_KEYS = 2000
-
 
 def unpivot_years(
     df: DataFrame,
@@ -53,46 +51,36 @@ def metric_keys(df: DataFrame, data: str = v.DATA, by: Sequence[str] = ()) -> Da
 
 
 def keys_by(df: DataFrame, by: str, data: str = v.DATA) -> dict[object, list[str]]:
-    """The JSON keys of each group, found in one job.
-
-    Of a group with more than ``MAX_KEYS`` keys the first ``MAX_KEYS + 1`` in
-    sorted order are given, which is all that ``flatten_metrics`` asks for.
-    """
-    rank = F.row_number().over(Window.partitionBy(column(by)).orderBy("key"))
-    found = metric_keys(df, data, [by]).withColumn("_rank", rank).filter(F.col("_rank") <= MAX_KEYS + 1)
+    """The JSON keys of each group, sorted, found in one job; each is to become a column, so all are given."""
     groups: dict[object, list[str]] = defaultdict(list)
-    for row in found.select(column(by).alias("group"), "key").collect():
+    for row in metric_keys(df, data, [by]).select(column(by).alias("group"), "key").collect():
         groups[row["group"]].append(row["key"])
-    return groups
+    return {group: sorted(keys) for group, keys in groups.items()}
 
 
-def flatten_metrics(
-    df: DataFrame,
-    data: str = v.DATA,
-    prefix: str = "",
-    keys: Iterable[str] | None = None,
-    rest: str = "other_metrics",
-) -> DataFrame:
+def flatten_metrics(df: DataFrame, data: str = v.DATA, prefix: str = "", keys: Iterable[str] | None = None) -> DataFrame:
     """One text column per JSON key, in sorted order, in place of the JSON.
 
-    Without ``keys`` they are looked up first, in one job. Of more than
-    ``MAX_KEYS`` keys the ones that follow in sorted order stay together in a
-    map column ``rest``, so that nothing is lost. Malformed JSON gives nulls.
+    Without ``keys`` they are looked up first, in one job. Every key becomes a
+    column, whatever their number; ``long_metrics`` has a row per key instead.
+    Malformed JSON gives nulls.
     """
     if keys is None:
-        found = metric_keys(df, data).orderBy("key").limit(MAX_KEYS + 1).collect()
-        keys = [row["key"] for row in found]
+        keys = [row["key"] for row in metric_keys(df, data).collect()]
     keys = sorted(set(keys))
     kept = [name for name in df.columns if name != data]
-    names = safe_names(keys[:MAX_KEYS], prefix, taken=kept)
+    names = safe_names(keys, prefix, taken=kept)
     parsed = df.withColumn("_metrics", F.from_json(column(data), "map<string,string>"))
     cells = [F.col("_metrics").getItem(key).alias(name) for key, name in names.items()]
-    if len(keys) > MAX_KEYS:
-        last = keys[MAX_KEYS - 1]
-        cells.append(F.map_filter("_metrics", lambda key, _: key > F.lit(last)).alias(rest))
     return parsed.select(*[column(name) for name in kept], *cells)
 
 
+def long_metrics(df: DataFrame, data: str = v.DATA, key: str = "metric", value: str = "valeur") -> DataFrame:
+    """One row per JSON key and its value as text, in place of the JSON; no keys, no rows."""
+    kept = [column(name) for name in df.columns if name != data]
+    return df.select(*kept, F.explode(F.from_json(column(data), "map<string,string>")).alias(key, value))
+
+
 def malformed_json(df: DataFrame, data: str = v.DATA) -> DataFrame:
     """Rows whose text is there but is no JSON object."""
     return df.filter(column(data).isNotNull() & F.json_object_keys(column(data)).isNull())

@@ -35,7 +35,7 @@ def camp_lookup(reference: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """One row per code: its camp in lower case, next to the ``extra`` key columns.
 
     Rows without a code or a camp are left out; of several camps for one code
-    the greatest in text order is taken, whatever the order of the rows.
+    the greatest in text order is taken, whatever their case or the order of the rows.
     """
     reference = trim_headers(reference)
     code = column(require_column(reference, v.REFERENCE_CODE))
@@ -43,7 +43,7 @@ def camp_lookup(reference: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return (
         reference.filter(code.isNotNull() & camp.isNotNull())
         .groupBy(*[column(name) for name in extra], code.alias("code"))
-        .agg(F.lower(F.max(camp)).alias("camp"))
+        .agg(F.max(F.lower(camp)).alias("camp"))
     )
 
 

@@ -36,6 +36,9 @@ def run_all(spark: SparkSession, inputs: str, outputs: str, store: str, exports:
     geography = read_file(spark, f"{inputs}/{v.GEOGRAPHY_FILE}")
     if geography is not None:
         done["dimensions"] = warehouse.load_dimensions(geography, store)
+        broken = {name: rows.count() for name, rows in warehouse.check_dimensions(spark, store).items()}
+        if any(broken.values()):
+            raise ValueError(f"dimensions break their constraints, no facts were loaded: {broken}")
         done["facts"] = warehouse.load_facts(spark, outputs, store)
         done["violations"] = {
             name: broken.count() for name, broken in warehouse.check_warehouse(spark, store).items()

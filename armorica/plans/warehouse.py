@@ -27,6 +27,10 @@ from armorica.sinks import (
 from armorica.sources import SourceFile, list_files, read_groups
 from armorica.sources.tree import FILE_PATH, add_from_path, file_type, with_provenance
 
+# Folder of the rows without a year in a file split by year.
+NO_YEAR = "__HIVE_DEFAULT_PARTITION__"
+METRIC_FILE = r"par-(commune|departement)\.csv"
+
 
 def load_dimensions(geography: DataFrame, warehouse: str) -> dict[str, int]:
     """Write both dimension tables; gives their row counts."""
@@ -41,15 +45,19 @@ def load_facts(
     outputs: str,
     warehouse: str,
     region_of: Mapping[int, int] | Column = REGION_OF,
+    mode: str = "replace",
 ) -> int:
-    """Bring every metric file onto communes and store the facts in one write."""
+    """Bring every metric file onto communes and store the facts in one write.
+
+    ``mode`` is that of ``write_facts``. Rows without a year are loaded without one.
+    """
     dimension = spark.read.parquet(f"{warehouse}/{v.COMMUNE_TABLE}")
     small = is_small(dimension)
     parts = [facts(table, dimension, region_of, small) for table in metric_tables(spark, outputs)]
     parts = [part for part in parts if part is not None]
     if not parts:
         return 0
-    return write_facts(reduce(DataFrame.unionByName, parts), f"{warehouse}/{v.FACT_TABLE}")
+    return write_facts(reduce(DataFrame.unionByName, parts), f"{warehouse}/{v.FACT_TABLE}", mode)
 
 
 def metric_tables(spark: SparkSession, outputs: str) -> list[DataFrame]:
@@ -60,8 +68,11 @@ def metric_tables(spark: SparkSession, outputs: str) -> list[DataFrame]:
     both; one that is neither is left out.
     """
     files = list_files(spark, outputs)
-    yearly = _named(files, r"par-(commune|departement)\.csv", year_folder=True)
-    tables = [with_provenance(group) for group in read_groups(spark, yearly)]
+    tables = [with_provenance(group) for group in read_groups(spark, _named(files, METRIC_FILE, r"\d{4}"))]
+    for group in read_groups(spark, _named(files, METRIC_FILE, NO_YEAR)):
+        # With year columns it is one of the files below.
+        if not year_columns(group):
+            tables.append(with_provenance(group))
     for group in read_groups(spark, _named(files, r"par-region\.csv$")):
         if columns_like(group, r"(?i)%|pour mille") and year_columns(group):
             tables.append(_long(group, [require_column(group, v.REGION), v.INDICATOR]))
@@ -71,15 +82,23 @@ def metric_tables(spark: SparkSession, outputs: str) -> list[DataFrame]:
     return tables
 
 
-def check_warehouse(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    """The violations of each constraint on the stored tables."""
+def check_dimensions(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
+    """The violations of the constraints between the dimension tables, to be looked at before facts are loaded."""
     department = spark.read.parquet(f"{warehouse}/{v.DEPARTMENT_TABLE}")
     commune = spark.read.parquet(f"{warehouse}/{v.COMMUNE_TABLE}")
-    fact = read_facts(spark, f"{warehouse}/{v.FACT_TABLE}")
     return {
         "department key": checks.duplicate_keys(department, ["code_dep"]),
         "commune key": checks.duplicate_keys(commune, ["code_com"]),
         "commune in department": checks.orphan_keys(commune, "code_dep", department, "code_dep"),
+    }
+
+
+def check_warehouse(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
+    """The violations of each constraint on the stored tables."""
+    department = spark.read.parquet(f"{warehouse}/{v.DEPARTMENT_TABLE}")
+    commune = spark.read.parquet(f"{warehouse}/{v.COMMUNE_TABLE}")
+    fact = read_facts(spark, f"{warehouse}/{v.FACT_TABLE}")
+    return check_dimensions(spark, warehouse) | {
         "fact in commune": checks.orphan_keys(fact, v.COMMUNE_CODE, commune, "code_com"),
         "fact in department": checks.orphan_keys(fact, v.DEPARTMENT, department, "code_dep"),
         "fact types": checks.type_violations(
@@ -117,12 +136,12 @@ def export_facts(spark: SparkSession, warehouse: str, target: str) -> dict[str,
     return written
 
 
-def _named(files: Iterable[SourceFile], pattern: str, year_folder: bool = False) -> list[SourceFile]:
+def _named(files: Iterable[SourceFile], pattern: str, folder: str = "") -> list[SourceFile]:
     return [
         file
         for file in files
         if re.search(pattern, file.name.lower())
-        and (not year_folder or re.fullmatch(r"\d{4}", file.folder))
+        and (not folder or re.fullmatch(folder, file.folder.rpartition("=")[2]))
     ]
 
 

@@ -26,15 +26,18 @@ def ensure_table(df: DataFrame, path: str) -> None:
     df.limit(0).write.mode("ignore").parquet(path)
 
 
-def write_facts(df: DataFrame, path: str) -> int:
+def write_facts(df: DataFrame, path: str, mode: str = "replace") -> int:
     """Store facts by type and year; gives the number of rows written.
 
-    The (type, year) parts that ``df`` holds are replaced, all others stay, so
-    that a repeated load does not double the facts. No shuffle: a metric file
+    With ``replace`` the (type, year) parts that ``df`` holds are replaced, all
+    others stay, so that a repeated load does not double the facts. With
+    ``append`` the rows are added to what is there. No shuffle: a metric file
     holds one type, so a task writes to few folders.
     """
+    if mode not in ("replace", "append"):
+        raise ValueError(f"mode is replace or append, not {mode}")
     df, seen = counted(df)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode("append" if mode == "append" else "overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(v.TYPE, v.YEAR).parquet(path)
     return seen.get["n"]
 

@@ -12,7 +12,7 @@ from armorica import vocabulary as v
 def separator_for(path: str) -> str:
     """Camp references are separated by commas, all other files by semicolons."""
     stem = v.REFERENCE_FILE.removesuffix(".csv").casefold()
-    return "," if stem in path.casefold() else ";"
+    return "," if stem in path.rstrip("/").rpartition("/")[2].casefold() else ";"
 
 
 def read_delimited(

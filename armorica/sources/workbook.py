@@ -56,8 +56,14 @@ def sheet_rows(files: DataFrame, header_only: bool = False) -> DataFrame:
 def sheet_table(
     rows: DataFrame, header: Sequence[str | None], path_column: str | None = None
 ) -> DataFrame:
-    """Rows of cells as columns named by the header; columns without a name are left out."""
-    cells = [F.try_element_at("cells", F.lit(i + 1)).alias(name) for i, name in enumerate(header) if name]
+    """Rows of cells as columns named by the header.
+
+    As in delimited files, a column without a name is called by its place, and
+    of names that differ in case at most each gets its place added.
+    """
+    folded = [(name or "").casefold() for name in header]
+    names = [f"_c{i}" if not name else f"{name}{i}" if folded.count(folded[i]) > 1 else name for i, name in enumerate(header)]
+    cells = [F.try_element_at("cells", F.lit(i + 1)).alias(name) for i, name in enumerate(names)]
     if path_column:
         cells.append(F.col("path").alias(path_column))
     return rows.filter("position > 0").select(*cells)

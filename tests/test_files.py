@@ -86,8 +86,16 @@ def test_workbook(spark, tmp_path):
     path = str(tmp_path / "é" / "a b.xlsx")
     write_workbook(path, [(), ("Code", None, "Libellé <x>"), (22, "gap", "Côtes & co"), (), (None, None, "z"), (1.5,)])
     df = read_file(spark, path)
-    assert df.columns == ["Code", "Libellé <x>"]
-    assert rows(df) == [("1.5", None), ("22", "Côtes & co"), (None, "z")]
+    assert df.columns == ["Code", "_c1", "Libellé <x>"]
+    assert rows(df) == [("1.5", None, None), ("22", "gap", "Côtes & co"), (None, None, "z")]
+
+
+def test_workbook_repeated_headers(spark, tmp_path):
+    path = str(tmp_path / "twice.xlsx")
+    write_workbook(path, [("x", "X", None, "x"), (1, 2, 3, 4)])
+    df = read_file(spark, path)
+    assert df.columns == ["x0", "X1", "_c2", "x3"]
+    assert rows(df) == [("1", "2", "3", "4")]
 
 
 def test_workers_need_no_copy_of_the_package(tmp_path):
@@ -96,11 +104,10 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     from armorica.queries.files import _workbooks
     from armorica.sources.workbook import _parse
 
-    put(tmp_path / "work.py", "import pickle, sys\nfor f in pickle.load(sys.stdin.buffer): print(f.__name__)\nimport armorica")
+    put(tmp_path / "work.py", "import pickle, sys\nsys.modules['armorica'] = None\nfor f in pickle.load(sys.stdin.buffer): print(f.__name__)\n")
     packed = cloudpickle.dumps([_parse, _workbooks])
     done = subprocess.run([sys.executable, "work.py"], input=packed, cwd=tmp_path, capture_output=True)
     assert done.stdout.split() == [b"_parse", b"_workbooks"]
-    assert b"No module named 'armorica'" in done.stderr
 
 
 def test_workbook_cell_kinds(spark, tmp_path):
@@ -510,3 +517,43 @@ def test_malformed_files_fail_loudly(spark, tmp_path):
     put(tmp_path / "broken.xlsx", "no zip")
     with pytest.raises(PySparkException):
         read_file(spark, str(tmp_path / "broken.xlsx"))
+
+
+def test_facts_are_replaced_or_added(spark, tmp_path):
+    from armorica.sinks import read_facts, write_facts
+    from armorica.sinks.warehouse import FACT_SCHEMA
+
+    def one(code):
+        return spark.createDataFrame([(code, "x", 22, "{}", "t", 2017)], FACT_SCHEMA).selectExpr("*")
+
+    path = str(tmp_path / "fact")
+    write_facts(one("a"), path)
+    write_facts(one("b"), path, mode="append")
+    assert sorted(row[0] for row in read_facts(spark, path).collect()) == ["a", "b"]
+    write_facts(one("c"), path)
+    assert [row[0] for row in read_facts(spark, path).collect()] == ["c"]
+
+
+def test_rows_without_a_year_reach_the_facts(spark, tmp_path):
+    from armorica.plans.warehouse import metric_tables
+
+    base = tmp_path / "outputs" / "d" / "x-par-commune.csv"
+    put(base / "annee=2017" / "part-0.csv", "Code Commune;n\n22050;1\n")
+    put(base / "annee=__HIVE_DEFAULT_PARTITION__" / "part-0.csv", "Code Commune;n\n22113;2\n")
+    found = [(row["n"], row[v.YEAR]) for table in metric_tables(spark, str(tmp_path / "outputs")) for row in table.collect()]
+    assert sorted(found) == [("1", 2017), ("2", None)]
+
+
+def test_camp_of_mixed_case(spark):
+    from armorica.operators.scores import camp_lookup
+
+    rows_in = [("1", "Gauche"), ("1", "droite"), ("2", "gauche"), ("2", "Droite")]
+    reference = spark.createDataFrame(rows_in, f"`{v.REFERENCE_CODE}` string, `{v.REFERENCE_CAMP}` string")
+    assert {row["camp"] for row in camp_lookup(reference).collect()} == {"gauche"}
+
+
+def test_separator_follows_the_file_name():
+    from armorica.sources.delimited import separator_for
+
+    stem = v.REFERENCE_FILE.removesuffix(".csv")
+    assert separator_for(f"/a/{stem}.csv") == "," and separator_for(f"/{stem}/other.csv") == ";"

@@ -21,7 +21,15 @@ from armorica.operators.facts import (
 )
 from armorica.operators.geography import keep_territory, normalise_geography, plain_codes
 from armorica.operators.joins import broadcast_if_small, is_small, measured_bytes
-from armorica.operators.reshape import flatten_metrics, keys_by, malformed_json, metric_keys, pack_metrics, unpivot_years
+from armorica.operators.reshape import (
+    flatten_metrics,
+    keys_by,
+    long_metrics,
+    malformed_json,
+    metric_keys,
+    pack_metrics,
+    unpivot_years,
+)
 from armorica.operators.scores import camp_scores_long, camp_scores_wide, candidate_pairs
 from armorica.operators.statistics import diploma_shares, mean_by_commune, mean_by_territory, pivot_years
 
@@ -294,18 +302,22 @@ def test_nothing_to_pack(spark):
     assert rows(flatten_metrics(packed)) == [("1",)]
 
 
-def test_flatten_edge_rows(spark, monkeypatch):
+def test_flatten_edge_rows(spark):
     df = texts(spark, ["type", "data"], ("x", '{"A b": 1, "a_b": 2.50, "type": {"z": 1}}'), ("y", "{bad"), ("z", None))
     out = flatten_metrics(df)
     assert out.columns == ["type", "a_b", "a_b_2", "type_2"]
     assert [row[:3] for row in rows(out)] == [("x", "1", "2.5"), ("y", None, None), ("z", None, None)]
     assert rows(malformed_json(df), "type") == [("y",)]
     assert rows(metric_keys(df)) == [("A b",), ("a_b",), ("type",)]
-    monkeypatch.setattr("armorica.operators.reshape.MAX_KEYS", 1)
-    capped = flatten_metrics(df)
-    assert capped.columns == ["type", "a_b", "other_metrics"]
-    assert keys_by(df, "type") == {"x": ["A b", "a_b"]}
-    assert capped.filter("type = 'x'").first()["other_metrics"] == {"a_b": "2.5", "type": '{"z":1}'}
+    assert keys_by(df, "type") == {"x": ["A b", "a_b", "type"]}
+    assert rows(long_metrics(df)) == [("x", "A b", "1"), ("x", "a_b", "2.5"), ("x", "type", '{"z":1}')]
+
+
+def test_every_key_becomes_a_column(spark):
+    keys = [f"k{i:05d}" for i in range(2005)]
+    df = spark.range(1).select(F.to_json(F.create_map(*[F.lit(x) for key in keys for x in (key, key)])).alias("data"))
+    out = flatten_metrics(df)
+    assert out.columns == keys and list(out.first()) == keys
 
 
 # -- facts ---------------------------------------------------------------------------
