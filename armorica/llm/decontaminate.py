@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from armorica.llm.common import named, octets, slices
+from armorica.llm.common import give_back_memory, named, octets, slices
 from armorica.llm.langid import _spark_context
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -287,6 +287,7 @@ def _search(index: Broadcast) -> Callable:
         )
         for batch in batches:
             yield pa.array([row for texts in slices(batch, 1 << 20) for row in index.value.hits(texts)], kind)
+        give_back_memory()
 
     return search
 

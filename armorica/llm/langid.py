@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from armorica.llm.common import named, octets, slices
+from armorica.llm.common import give_back_memory, named, octets, slices
 from armorica.workspace import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -148,6 +148,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield counted()
     fold()
     yield counted()
+    give_back_memory()
 
 
 def _fit(group: pd.DataFrame) -> pd.DataFrame:
@@ -327,6 +328,7 @@ def judge(text: Column, model: Model) -> Column:
             kinds = [pa.string(), pa.float64(), pa.float64(), pa.bool_()]
             arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
             yield pa.StructArray.from_arrays(arrays, ["language", "score", "cross_entropy", "rejected"])
+        give_back_memory()
 
     return compute(octets(text))
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from armorica.llm.common import named, octets, slices, text_key
+from armorica.llm.common import give_back_memory, named, octets, slices, text_key
 from armorica.llm.components import components
 from armorica.workspace import materialise
 
@@ -63,6 +63,7 @@ def fingerprint(text: Column, shingle_words: int = 3) -> Column:
         for batch in batches:
             found = [_fingerprint(text.lower().split(), shingle_words) for part in slices(batch) for text in part]
             yield pa.array(found, pa.int64())
+        give_back_memory()
 
     return compute(octets(text))
 

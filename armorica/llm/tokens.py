@@ -28,7 +28,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from armorica.llm.common import named, octets, slices, text_key
+from armorica.llm.common import give_back_memory, named, octets, slices, text_key
 from armorica.workspace import new_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -94,19 +94,19 @@ class Encoder:
     that is no white space, and keeps letters, punctuation and line ends apart. Texts are
     cut there: a segment is a word of Latin letters with at most one mark after it, perhaps
     a line end and one more such word, or anything else, which is encoded as it is. The
-    ids of segments are remembered, up to ``CACHED_SEGMENTS``; new words go straight to the
+    ids of segments are remembered, up to ``cached_segments``; new words go straight to the
     tokenizer's model. Texts with other white space after a space, and all texts for other
     tokenizers, are encoded whole.
 
     Sent as a broadcast, it is built once in a worker and keeps what it has learnt.
     """
 
-    def __init__(self, spec: str, width: int) -> None:
-        self._spec, self._width = spec, width
+    def __init__(self, spec: str, width: int, cached_segments: int = CACHED_SEGMENTS) -> None:
+        self._spec, self._width, self._most = spec, width, cached_segments
         self._segments = None
 
     def __getstate__(self) -> dict:
-        return {"_spec": self._spec, "_width": self._width, "_segments": None}
+        return self.__dict__ | {"_segments": None}
 
     def _load(self) -> None:
         from tokenizers import Tokenizer
@@ -137,7 +137,7 @@ class Encoder:
                 if not self._cuts or _has_white_space_after_space(text):
                     out.append(segments.whole(text))
                     continue
-                if len(segments) > CACHED_SEGMENTS:
+                if len(segments) > self._most:
                     segments.clear()
                 parts = text.split(" ")
                 parts[0] = segments.whole(parts[0])
@@ -186,6 +186,7 @@ def _writer(sent: Broadcast, folder: str, width: int, end_id: int | None) -> Cal
         finally:
             for stream in (out or {}).values():
                 stream.close()
+        give_back_memory()
         if out is not None:
             row = [[shard], [name], [documents], [null_ids], [position], [width]]
             types = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
@@ -202,12 +203,14 @@ def write_tokens(
     end_id: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
+    cached_segments: int = CACHED_SEGMENTS,
 ) -> str:
     """Encode whole texts in ascending order of the id and write the files; the folder is returned.
 
     ``tokenizer``: path of a ``tokenizers`` file, read on the driver. ``folder``: a new
     folder all executors share, given as a URI or a path; by default one below
-    ``spark.checkpoint.dir``. ``end_id`` is appended to each document.
+    ``spark.checkpoint.dir``. ``end_id`` is appended to each document. ``cached_segments``
+    bounds what a worker remembers; it changes no result.
 
     Null texts are empty. Rows without an id come first; rows of one id are ordered by
     a hash of their text. Other columns are not read. An empty table gives a manifest
@@ -229,7 +232,7 @@ def write_tokens(
         .sortWithinPartitions("doc_id", "key", "row")
         .select("doc_id", octets(F.col("text")).alias("text"))
     )
-    sent = spark.sparkContext.broadcast(Encoder(spec, width))
+    sent = spark.sparkContext.broadcast(Encoder(spec, width, cached_segments))
     manifest = ordered.mapInArrow(_writer(sent, folder, width, end_id), _MANIFEST)
     manifest.write.parquet(f"{folder}/manifest")
     return folder

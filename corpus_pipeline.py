@@ -15,6 +15,8 @@ from armorica.workspace import new_folder
 
 # Documents are long: few of them make an Arrow batch, which bounds what a worker holds.
 DOCS_PER_BATCH = 2_000
+# Workers still hold what earlier stages left; the encoder remembers less than it does alone.
+CACHED_SEGMENTS = 100_000
 
 
 def _short_batches(spark: SparkSession) -> None:
@@ -51,7 +53,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix; their index, read back: doc_id, start, n_tokens, ids_crc32."""
     _short_batches(spark)
-    path = tokens.write_tokens(docs, public_tokenizers.path(queries.TOKENIZER), end_id=queries.END_ID)
+    tokenizer = public_tokenizers.path(queries.TOKENIZER)
+    path = tokens.write_tokens(docs, tokenizer, end_id=queries.END_ID, cached_segments=CACHED_SEGMENTS)
     return tokens.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
