@@ -109,7 +109,7 @@ def read_groups(spark: SparkSession, files: Iterable[SourceFile]) -> list[DataFr
     """The files as one DataFrame per distinct header, each with its path in ``FILE_PATH``."""
     by_format: dict[tuple[str, str], list[SourceFile]] = defaultdict(list)
     for file in files:
-        by_format[file.suffix, separator_for(file.path)].append(file)
+        by_format[file.suffix, separator_for(file.name)].append(file)
     groups: list[DataFrame] = []
     for (suffix, sep), alike in by_format.items():
         if suffix == ".xlsx":
