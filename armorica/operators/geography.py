@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from armorica import vocabulary as v
 from armorica.functions import column, compose_commune, find_column, pad_code, pad_commune, whole_number
 from armorica.functions.values import plain_code
-from armorica.operators.joins import broadcast_if_small
 
 log = logging.getLogger(__name__)
 
@@ -74,5 +73,5 @@ def keep_codes(df: DataFrame, name: str, wanted: Iterable[int] | DataFrame) -> D
     code = whole_number(df, name)
     if not isinstance(wanted, DataFrame):
         return df.filter(code.isin(list(wanted)))
-    codes = broadcast_if_small(wanted.select(whole_number(wanted, wanted.columns[0]).alias("_wanted")).distinct())
+    codes = wanted.select(whole_number(wanted, wanted.columns[0]).alias("_wanted"))
     return df.join(codes, code == codes["_wanted"], "left_semi")

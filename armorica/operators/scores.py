@@ -18,6 +18,8 @@ from armorica.operators.joins import BROADCAST_BYTES, is_small
 
 CAMPS = {v.SCORE_LEFT: v.LEFT, v.SCORE_RIGHT: v.RIGHT}
 SHARE_TYPE = "decimal(18,10)"
+# Equal rows that are repeated by one array.
+COPIES_AT_ONCE = 10_000
 KEPT = (
     v.COMMUNE_CODE,
     v.COMMUNE_LABEL,
@@ -108,39 +110,79 @@ def camp_scores_wide(
     by: Sequence[str] = (),
     keep: Sequence[str] = KEPT,
     nulls: str = "propagate",
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Scores of rows that hold one pair of columns per candidate.
 
-    No shuffle: the camp of each candidate comes from a small lookup. Columns
-    in ``by`` are further keys of the reference, such as the year.
+    Columns in ``by`` are further keys of the reference, such as the year. A
+    reference within the bound is broadcast once and looked up per candidate,
+    without a shuffle. Beyond it the votes are shuffled twice, however many
+    candidates there are.
     """
     pairs = candidate_pairs(df)
     lookup = camp_lookup(reference, by)
-    if is_small(lookup):
-        lookup = F.broadcast(lookup)
+    kept = [name for name in (*keep, *by) if find_column(df, name) == name]
+    if not pairs:
+        joined = df
+    elif is_small(lookup, max_bytes):
+        joined = _camps_by_lookup(df, pairs, F.broadcast(lookup), by)
+    else:
+        joined = _camps_by_shuffle(df, pairs, lookup, by, kept)
     votes: dict[str, list[Column]] = {score: [] for score in CAMPS}
-    joined = df
-    for turn, (code, vote_share) in enumerate(pairs):
-        side = lookup.select(
-            *[column(key).alias(f"_key{i}_{turn}") for i, key in enumerate(by)],
-            F.col("code").alias(f"_code_{turn}"),
-            F.col("camp").alias(f"_camp_{turn}"),
-        )
-        same = column(code) == F.col(f"_code_{turn}")
-        for i, key in enumerate(by):
-            same = same & (column(key) == F.col(f"_key{i}_{turn}"))
-        joined = joined.join(side, same, "left")
+    for turn, (_, vote_share) in enumerate(pairs):
         value = percent(column(vote_share))
         if nulls == "zero":
             value = F.coalesce(value, F.lit(0))
         for score, camp in CAMPS.items():
             votes[score].append(F.when(F.col(f"_camp_{turn}") == camp, value).otherwise(F.lit(0)))
     sums = {score: sum_columns(votes[score]) for score in CAMPS}
-    kept = [name for name in (*keep, *by) if find_column(df, name) == name]
     scored = joined.select(*[column(name) for name in df.columns if name in kept], *_scores(sums))
     return plain_codes(scored, [v.DEPARTMENT, v.COMMUNE_PART])
 
 
+def _camps_by_lookup(
+    df: DataFrame, pairs: Sequence[tuple[str, str]], lookup: DataFrame, by: Sequence[str]
+) -> DataFrame:
+    """The camp of each candidate as ``_camp_<turn>``, by one look into the lookup each."""
+    for turn, (code, _) in enumerate(pairs):
+        side = lookup.select(
+            *[column(key).alias(f"_key{i}_{turn}") for i, key in enumerate(by)],
+            F.col("code").alias(f"_code_{turn}"),
+            F.col("camp").alias(f"_camp_{turn}"),
+        )
+        same = column(code) == F.col(f"_code_{turn}")
+        for i, key in enumerate(by):
+            same = same & (column(key) == F.col(f"_key{i}_{turn}"))
+        df = df.join(side, same, "left")
+    return df
+
+
+def _camps_by_shuffle(
+    df: DataFrame, pairs: Sequence[tuple[str, str]], lookup: DataFrame, by: Sequence[str], kept: Sequence[str]
+) -> DataFrame:
+    """The same columns by one join of all candidates.
+
+    A row becomes one row per candidate, which meets the lookup by code, where
+    adaptive execution splits a hot one. Rows come together again by their
+    content; equal rows are counted and then repeated, in blocks.
+    """
+    headers = dict.fromkeys([*kept, *[header for pair in pairs for header in pair]])
+    content = [column(name) for name in headers]
+    codes = F.posexplode(F.array(*[column(code) for code, _ in pairs])).alias("_turn", "_candidate")
+    side = lookup.select(
+        *[column(key).alias(f"_key{i}") for i, key in enumerate(by)], F.col("code").alias("_code"), F.col("camp").alias("_camp")
+    )
+    same = F.col("_candidate") == F.col("_code")
+    for i, key in enumerate(by):
+        same = same & (column(key) == F.col(f"_key{i}"))
+    met = df.select(*content, codes).join(side, same, "left")
+    camps = [F.max(F.when(F.col("_turn") == turn, F.col("_camp"))).alias(f"_camp_{turn}") for turn in range(len(pairs))]
+    rows = met.groupBy(*content).agg(*camps, (F.count(F.lit(1)) / len(pairs)).cast("bigint").alias("_copies"))
+    blocks = rows.withColumn("_block", F.explode(F.expr(f"sequence(0, (_copies - 1) div {COPIES_AT_ONCE})")))
+    here = F.least(F.lit(COPIES_AT_ONCE), F.col("_copies") - F.col("_block") * COPIES_AT_ONCE)
+    return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1), here))).drop("_copies", "_block", "_copy")
+
+
 def _masked(total: Column, gaps: Column, nulls: str) -> Column:
     if nulls == "zero":
         return total

@@ -11,6 +11,7 @@ from armorica.plans.warehouse import (
     load_facts,
     metric_tables,
     publish,
+    unplaced_regions,
 )
 
 __all__ = [
@@ -28,4 +29,5 @@ __all__ = [
     "run_all",
     "score_elections",
     "share_diplomas",
+    "unplaced_regions",
 ]

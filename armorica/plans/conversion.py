@@ -22,9 +22,9 @@ def convert_yearly(
     source: str,
     target: str,
     datasets: Iterable[str] = v.YEARLY_DATASETS,
-    departments: Iterable[int] = v.DEPARTMENTS,
+    departments: Iterable[int] | DataFrame = v.DEPARTMENTS,
 ) -> int:
-    """Datasets laid out by year, kept to the territory; gives the number of rows written."""
+    """Datasets laid out by year, kept to the territory and mirrored; gives the number of rows written."""
     written = 0
     for dataset in datasets:
         written += _write(yearly_tables(spark, f"{source}/{dataset}", departments), f"{target}/{dataset}")
@@ -32,13 +32,13 @@ def convert_yearly(
 
 
 def convert_tree(spark: SparkSession, source: str, target: str) -> int:
-    """Every workbook of a tree, no row left out; gives the number of rows written."""
+    """Every workbook of a tree, mirrored, no row left out; gives the number of rows written."""
     books = [file for file in list_one_level(spark, source) if file.suffix == ".xlsx"]
-    return _write(converted(spark, books), target)
+    return _write(converted(spark, books, source), target)
 
 
 def yearly_tables(
-    spark: SparkSession, source: str, departments: Iterable[int] = v.DEPARTMENTS
+    spark: SparkSession, source: str, departments: Iterable[int] | DataFrame = v.DEPARTMENTS
 ) -> list[DataFrame]:
     """The files of each year folder, kept to the territory, one DataFrame per header."""
     years: dict[str, list[SourceFile]] = defaultdict(list)
@@ -46,12 +46,12 @@ def yearly_tables(
         if file.depth > 0:
             years[file.below[0]].append(file)
     files = [file for group in years.values() for file in first_level(group, depth=1)]
-    return [keep_territory(table, departments) for table in converted(spark, files)]
+    return [keep_territory(table, departments) for table in converted(spark, files, source)]
 
 
-def converted(spark: SparkSession, files: Iterable[SourceFile]) -> list[DataFrame]:
-    """Files with canonical codes, their name and their year folder, one DataFrame per header."""
-    rules = {FILE: output_name, FOLDER: file_year_folder}
+def converted(spark: SparkSession, files: Iterable[SourceFile], base: str) -> list[DataFrame]:
+    """Files with canonical codes, their path below ``base`` and their year folder, one DataFrame per header."""
+    rules = {FILE: output_name(base), FOLDER: file_year_folder}
     return [add_from_path(normalise_geography(group), rules) for group in read_groups(spark, files)]
 
 

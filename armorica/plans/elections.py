@@ -49,7 +49,7 @@ def election_scores(
     reference = reduce(DataFrame.unionByName, [_reference(group) for group in read_groups(spark, references)])
     scored = []
     for group in read_groups(spark, results):
-        rows = add_from_path(group, {FILE: output_name, v.YEAR: file_year})
+        rows = add_from_path(group, {FILE: output_name(source), v.YEAR: file_year})
         rows = keep_territory(normalise_geography(rows), departments)
         scored.append(camp_scores_wide(rows, reference, by=[v.YEAR], keep=(*KEPT, FILE)))
     return scored

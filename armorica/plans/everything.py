@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from armorica import vocabulary as v
+from armorica.operators.facts import REGION_OF, regions
 from armorica.plans import conversion, elections, indicators, warehouse
+from armorica.sinks import write_table
 from armorica.sources import read_file
 
 
@@ -39,7 +41,12 @@ def run_all(spark: SparkSession, inputs: str, outputs: str, store: str, exports:
         broken = {name: rows.count() for name, rows in warehouse.check_dimensions(spark, store).items()}
         if any(broken.values()):
             raise ValueError(f"dimensions break their constraints, no facts were loaded: {broken}")
-        done["facts"] = warehouse.load_facts(spark, outputs, store)
+        region_of = REGION_OF
+        if (named := regions(geography)) is not None:
+            write_table(named, f"{store}/{v.REGION_TABLE}")
+            region_of = spark.read.parquet(f"{store}/{v.REGION_TABLE}")
+        done["facts"] = warehouse.load_facts(spark, outputs, store, region_of)
+        done["unplaced regions"] = warehouse.unplaced_regions(spark, outputs, store, region_of).count()
         done["violations"] = {
             name: broken.count() for name, broken in warehouse.check_warehouse(spark, store).items()
         }

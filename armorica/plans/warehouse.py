@@ -6,14 +6,22 @@ import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
 from armorica.functions import columns_like, require_column, year_columns
 from armorica.operators import checks
 from armorica.operators.cleaning import keep_slice
-from armorica.operators.facts import REGION_OF, communes, departments, facts
+from armorica.operators.facts import (
+    REGION_OF,
+    RegionOf,
+    communes,
+    departments,
+    facts,
+    regions_without_commune,
+    territory_level,
+)
 from armorica.operators.joins import is_small
 from armorica.operators.reshape import flatten_metrics, keys_by, malformed_json, unpivot_years
 from armorica.sinks import (
@@ -44,12 +52,13 @@ def load_facts(
     spark: SparkSession,
     outputs: str,
     warehouse: str,
-    region_of: Mapping[int, int] | Column = REGION_OF,
+    region_of: RegionOf = REGION_OF,
     mode: str = "replace",
 ) -> int:
     """Bring every metric file onto communes and store the facts in one write.
 
     ``mode`` is that of ``write_facts``. Rows without a year are loaded without one.
+    Régions without a commune are told by ``unplaced_regions``.
     """
     dimension = spark.read.parquet(f"{warehouse}/{v.COMMUNE_TABLE}")
     small = is_small(dimension)
@@ -60,6 +69,21 @@ def load_facts(
     return write_facts(reduce(DataFrame.unionByName, parts), f"{warehouse}/{v.FACT_TABLE}", mode)
 
 
+def unplaced_regions(
+    spark: SparkSession, outputs: str, warehouse: str, region_of: RegionOf = REGION_OF
+) -> DataFrame:
+    """Régions of the metric files that no commune lies in and that make no facts, with their row count ``n``."""
+    dimension = spark.read.parquet(f"{warehouse}/{v.COMMUNE_TABLE}")
+    lost = [
+        regions_without_commune(table, dimension, region_of)
+        for table in metric_tables(spark, outputs)
+        if territory_level(table) == v.REGION
+    ]
+    if not lost:
+        return spark.createDataFrame([], "code_region int, n bigint")
+    return reduce(DataFrame.unionByName, lost).groupBy("code_region").agg(F.sum("n").alias("n"))
+
+
 def metric_tables(spark: SparkSession, outputs: str) -> list[DataFrame]:
     """Metric files as tables with a type and a year, one per distinct header.
 

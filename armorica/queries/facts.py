@@ -12,11 +12,14 @@ from armorica.operators.facts import (
     fan_out_departments,
     join_communes,
     join_dimension,
+    regions,
+    regions_without_commune,
     replicate_regions,
 )
 from armorica.operators import facts as fact_operators
 from armorica.queries.registry import query, table
-from armorica.workspace import materialise
+from armorica.sinks import write_table
+from armorica.workspace import materialise, new_folder
 
 
 def geography(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,10 +108,15 @@ def region_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return materialise(counted.select(F.col("n_regionkey").cast("string").alias(v.REGION), v.YEAR, "orders"))
 
 
-def region_of(spark: SparkSession, folder: str) -> dict[int, int]:
-    """Région of each département, a list as long as there are nations."""
-    nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
-    return {row["n_nationkey"]: row["n_regionkey"] for row in nations.collect()}
+def region_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Région of each département, as the nations tell."""
+    path = new_folder(spark, "regions")
+    nations = table(spark, folder, "nation").select(
+        F.concat(F.col("n_nationkey").cast("string"), F.lit(".0")).alias(v.DEPARTMENT),
+        F.col("n_regionkey").cast("string").alias(v.REGION),
+    )
+    write_table(regions(nations), path)
+    return spark.read.parquet(path)
 
 
 REGION_SQL = """
@@ -126,6 +134,19 @@ def replicate_region(spark: SparkSession, folder: str) -> DataFrame:
     return replicate_regions(region_metrics(spark, folder), dimension, region_of(spark, folder))
 
 
+@query(
+    """
+select r_regionkey + 3 as code_region, count(*) as n from region join orders on o_custkey % 5 = r_regionkey
+where r_regionkey + 3 not in (select n_regionkey from nation join customer on c_nationkey = n_nationkey) group by all"""
+)
+def region_unplaced(spark: SparkSession, folder: str) -> DataFrame:
+    """Région rows that meet no commune are counted, not lost without notice."""
+    orders, areas = table(spark, folder, "orders"), table(spark, folder, "region")
+    placed = orders.join(areas, F.col("o_custkey") % 5 == F.col("r_regionkey"))
+    metrics = placed.select((F.col("r_regionkey") + 3).cast("string").alias(v.REGION), "o_orderkey")
+    return regions_without_commune(metrics, communes(geography(spark, folder)), region_of(spark, folder))
+
+
 @query(
     f"""
 select code_com, code_dep, annee, orders, 'departement' as key

@@ -6,6 +6,7 @@ import io
 import sys
 import zipfile
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -15,11 +16,12 @@ from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
 from armorica.operators import facts as fact_operators
+from armorica.operators.cleaning import empty
 from armorica.operators.facts import communes
 from armorica.plans import export_facts
 from armorica.queries.facts import FACT_SQL, geography, order_metrics
 from armorica.queries.registry import query, table
-from armorica.sinks import read_facts, write_delimited, write_facts, write_table
+from armorica.sinks import ensure_table, read_facts, write_delimited, write_facts, write_table
 from armorica.sources import list_files, read_delimited, read_file, read_groups
 from armorica.sources.tree import with_provenance
 from armorica.sources.workbook import sheet_rows, sheet_table
@@ -164,6 +166,26 @@ def dimension_stored(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query("select cast(c_custkey as varchar) as code_com, c_name as nom_com, c_nationkey as code_dep from customer")
+def table_ensured(spark: SparkSession, folder: str) -> DataFrame:
+    """Created empty where there is none, left as it is where there is one."""
+    path = new_folder(spark, "ensured")
+    rows = communes(geography(spark, folder)).drop("geo_point")
+    ensure_table(rows, path)
+    rows.write.mode("append").parquet(path)
+    ensure_table(rows, path)
+    return spark.read.parquet(path)
+
+
+@query(FACT_SQL)
+def facts_gated(spark: SparkSession, folder: str) -> DataFrame:
+    """A table without a type makes no facts, nor does one without rows."""
+    metrics, places = order_metrics(spark, folder), communes(geography(spark, folder))
+    tables = [metrics, metrics.drop(v.TYPE), empty(metrics)]
+    found = [fact_operators.facts(one, places) for one in tables]
+    return reduce(DataFrame.unionByName, [one for one in found if one is not None])
+
+
 @query(FACT_SQL)
 def facts_stored(spark: SparkSession, folder: str) -> DataFrame:
     """Loaded twice: the second load replaces the first."""

@@ -221,7 +221,8 @@ def yearly_plan(spark: SparkSession, folder: str) -> DataFrame:
     )
     # Stored by year first, so that each file is written from its own part.
     rows.write.partitionBy(v.YEAR).parquet(f"{base}/rows")
-    for year in range(1995, 2002):
+    years = spark.read.parquet(f"{base}/rows").select(v.YEAR).distinct().collect()
+    for (year,) in years:
         dataset = "loyers" if year < 1998 else "charges"
         of_year = spark.read.parquet(f"{base}/rows").filter(F.col(v.YEAR) == year).drop(v.YEAR)
         write_delimited(of_year, f"{base}/in/{dataset}/{year}/{dataset}-par-departement.csv")
@@ -260,10 +261,34 @@ def tree_conversion(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_linenumber").alias("solde"),
     )
     write_delimited(lines, f"{base}/fournisseurs.csv")
-    tables = converted(spark, list_one_level(spark, base))
+    tables = converted(spark, list_one_level(spark, base), base)
     return tables[0].unionByName(tables[1], allowMissingColumns=True).drop("year_folder")
 
 
+@query(
+    f"""
+select cast(c_custkey as varchar) as key, cast(c_nationkey as varchar) as "Code département", 2017 as annee,
+  case when c_custkey % 2 = 0 then 'nord/clients.csv' else 'sud/clients.csv' end as source_file from customer
+union all
+select cast(s_suppkey as varchar), cast(s_nationkey as varchar), 2018, 'clients.csv' from supplier"""
+)
+def mirrored_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of equal name from several folders stay apart when a tree is converted."""
+    base = new_folder(spark, "mirrored")
+    customers = table(spark, folder, "customer")
+    rows = customers.select(F.col("c_custkey").alias("key"), F.col("c_nationkey").alias(v.DEPARTMENT))
+    for turn, side in enumerate(("nord", "sud")):
+        write_delimited(rows.filter(F.col("key") % 2 == turn), f"{base}/in/ventes/2017/{side}/clients.csv")
+    suppliers = table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.col("s_nationkey").alias(v.DEPARTMENT)
+    )
+    write_delimited(suppliers, f"{base}/in/ventes/2018/clients.csv")
+    codes = table(spark, folder, "nation").select("n_nationkey")
+    convert_yearly(spark, f"{base}/in", f"{base}/out", ["ventes"], departments=codes)
+    back = read_delimited(spark, f"{base}/out/ventes")
+    return back.select("key", F.col(f"`{v.DEPARTMENT}`"), F.col("year_folder").alias(v.YEAR), "source_file")
+
+
 WAREHOUSE_SQL = f"""
 with counted as (
   select o_custkey, {ORDER_YEAR} as annee, count(*) as orders from orders group by all

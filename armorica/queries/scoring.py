@@ -132,6 +132,24 @@ def camp_score_wide(spark: SparkSession, folder: str) -> DataFrame:
     return camp_scores_wide(rows, reference(spark), keep=keep)
 
 
+@query(ballot_sql("l_orderkey", "lineitem"))
+def camp_score_wide_large_reference(spark: SparkSession, folder: str) -> DataFrame:
+    """The way taken when the reference is beyond the broadcast bound: one join for all candidates."""
+    rows = ballots(table(spark, folder, "lineitem"), "l_orderkey")
+    keep = ["l_orderkey", v.SCORE_LEFT, v.SCORE_RIGHT, v.SCORE_OTHER]
+    return camp_scores_wide(rows, reference(spark), keep=keep, max_bytes=0)
+
+
+@query(score_sql(SHARE_SQL))
+def camp_score_two_camps(spark: SparkSession, folder: str) -> DataFrame:
+    """A code of two camps counts for the greatest in text order, however they are spelled."""
+    twice = reference(spark).unionByName(
+        spark.sql("select * from values ('R', 'Red', 'DROITE'), ('A', 'Amber', 'droite') as ref(`Code `, Nuance, orientation)")
+    )
+    rows = votes(spark, folder)
+    return camp_scores_long(rows, ["l_orderkey"], "l_returnflag", "share", twice, number="decimal(8,4)")
+
+
 @query(
     """
 select l_orderkey, l_linenumber,

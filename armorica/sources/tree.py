@@ -138,8 +138,10 @@ def add_from_path(df: DataFrame, rules: Mapping[str, Callable[[Column], Column]]
 
 
 def _placed(df: DataFrame, rules: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
-    parts = F.regexp_replace(_unescaped(F.col(FILE_PATH)), LAYOUT, "$1/$2/$3/$4/$5")
-    placed = df.withColumn("_place", F.split(parts, "/"))
+    path = _unescaped(F.col(FILE_PATH))
+    parts = F.split(F.regexp_replace(path, LAYOUT, "$1/$2/$3/$4/$5"), "/")
+    # The whole path comes last.
+    placed = df.withColumn("_place", F.concat(parts, F.array(path)))
     return placed.withColumns({name: rule(F.col("_place")) for name, rule in rules.items()}).drop("_place")
 
 
@@ -163,14 +165,32 @@ def file_year_folder(place: Column) -> Column:
     return F.coalesce(_year(place[1]), _year(place[0]))
 
 
-def output_name(place: Column) -> Column:
-    """Name of the delimited file a source file is converted to."""
-    return F.regexp_replace(file_name(place), r"(?i)\.xlsx$", ".csv")
+def output_name(base: str) -> Callable[[Column], Column]:
+    """Rule for the name of the delimited file a source file is converted to.
+
+    The folders between ``base`` and the file are part of the name, but for the
+    year folder, which is a column.
+    """
+    root = _plain_path(base).rstrip("/")
+    before = rf"^.*?\Q{root}\E/+"
+    after = r"(?i)/?(?:source_file=)?[^/]+\.(?:csv|xlsx)(?:/.*)?$"
+
+    def rule(place: Column) -> Column:
+        below = F.regexp_replace(F.regexp_replace(F.element_at(place, -1), before, ""), after, "")
+        folders = F.filter(F.split(below, "/"), lambda folder: folder != "")
+        year_at = F.when(_year(F.try_element_at(folders, F.lit(-1))).isNotNull(), F.size(folders) - 1)
+        year_at = year_at.when(_year(F.try_element_at(folders, F.lit(-2))).isNotNull(), F.size(folders) - 2)
+        others = F.filter(folders, lambda folder, at: at != F.coalesce(year_at, F.lit(-1)))
+        name = F.regexp_replace(file_name(place), r"(?i)\.xlsx$", ".csv")
+        return F.concat_ws("/", F.concat(others, F.array(name)))
+
+    return rule
 
 
 def file_type(place: Column) -> Column:
     """What a file is about: its name without territory suffix, hyphens as blanks, trimmed."""
-    name = F.regexp_replace(file_name(place), r"(?i)par-(commune|departement|region)\.csv$", "")
+    name = F.regexp_replace(file_name(place), r"^.*/", "")
+    name = F.regexp_replace(name, r"(?i)par-(commune|departement|region)\.csv$", "")
     return F.trim(F.translate(name, "-", " "))
 
 

@@ -60,6 +60,8 @@ YEARS = (2017, 2022, 2024)
 # -- dimensions and fact table ------------------------------------------------
 DEPARTMENT_TABLE = "Departement"
 COMMUNE_TABLE = "Commune"
+# Not in the published database: the région of each département.
+REGION_TABLE = "Region"
 FACT_TABLE = "Donnees_commune"
 DEPARTMENT_DDL = "code_dep INT NOT NULL, nom_dep VARCHAR(255)"
 COMMUNE_DDL = "code_com VARCHAR(5) NOT NULL, nom_com VARCHAR(255), geo_point VARCHAR(100), code_dep INT NOT NULL"

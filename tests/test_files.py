@@ -503,6 +503,19 @@ def test_convert_tree_takes_workbooks_only(spark, inputs, tmp_path):
     assert convert_tree(spark, str(inputs / v.READY_INPUT), str(tmp_path / "out")) == 1
 
 
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    """Workbooks of equal name, from folders with odd names, one of them a year."""
+    names = ["a b%2Fc", "d", "2017"]
+    for name in names:
+        write_workbook(str(tmp_path / "in" / name / "x-par-commune.xlsx"), [("CODGEO", "x"), ("22050", name)])
+    target = str(tmp_path / "out")
+    assert convert_tree(spark, str(tmp_path / "in"), target) == 3
+    files = list_files(spark, target)
+    assert sorted(file.name for file in files) == ["a b%2Fc/x-par-commune.csv", "d/x-par-commune.csv", "x-par-commune.csv"]
+    found = [row for df in read_groups(spark, files) for row in rows(with_provenance(df), "x", "type", "annee")]
+    assert sorted(found, key=str) == [("2017", "x", 2017), ("a b%2Fc", "x", None), ("d", "x", None)]
+
+
 def test_metric_files_that_fit_no_plan_are_left_out(spark, tmp_path):
     put(tmp_path / "o" / "a-par-departement.csv", "Code département;x\n22;1\n")
     put(tmp_path / "o" / "b-par-region.csv", "Code région;indicateur;x 2017\n53;i;1\n")

@@ -17,6 +17,8 @@ from armorica.operators.facts import (
     facts,
     join_communes,
     join_dimension,
+    regions,
+    regions_without_commune,
     replicate_regions,
 )
 from armorica.operators.geography import keep_territory, normalise_geography, plain_codes
@@ -357,6 +359,13 @@ def test_joins_by_level(spark):
     assert rows(spread, "code_com", "x") == [(c, x) for c in ("22050", "22113", "29019") for x in ("1", "2")]
     placed = dimension.withColumn("zone", F.lit("11") + F.col("code_dep") * 0)
     assert replicate_regions(region, placed, F.col("zone")).count() == 4
+    named = texts(spark, [v.DEPARTMENT, v.REGION], ("22", "53"), ("29.0", "53"), ("75", "11"), (None, "1"), ("75", "11"))
+    assert rows(regions(named), "code_dep", "code_region") == [(22, 53), (29, 53), (75, 11)]
+    assert replicate_regions(region, dimension, regions(named)).count() == 7
+    assert regions(geography(spark)) is None
+    lost = texts(spark, [v.REGION], ("11",), ("11",), ("99",), ("x",), ("53",))
+    assert rows(regions_without_commune(lost, dimension), "code_region", "n") == [(11, 2), (99, 1), (None, 1)]
+    assert rows(regions_without_commune(lost, dimension, regions(named)), "code_region", "n") == [(99, 1), (None, 1)]
     for metrics, n in ((commune, 2), (department, 3), (region, 6)):
         assert join_dimension(metrics, dimension).count() == n
     with pytest.raises(ValueError):

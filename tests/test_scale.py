@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
 from armorica.operators.cleaning import keep_slice
-from armorica.operators.facts import fan_out_departments, join_communes
+from armorica.operators.facts import fan_out_departments, join_communes, join_dimension
 from armorica.operators.geography import keep_codes, keep_territory
-from armorica.operators.scores import camp_scores_long
+from armorica.operators.scores import camp_scores_long, camp_scores_wide
 from armorica.operators.statistics import mean_by_territory, pivot_years
 from armorica.queries import QUERIES
 from armorica.sinks import read_facts, write_facts
@@ -71,9 +71,9 @@ def test_fact_slice_reads_its_folder_only(spark, tmp_path):
 def test_fact_load_has_no_shuffle(spark, tables, monkeypatch):
     plans = []
 
-    def write(df, path):
+    def write(df, path, mode):
         plans.append(plan(df))
-        return write_facts(df, path)
+        return write_facts(df, path, mode)
 
     monkeypatch.setattr("armorica.plans.warehouse.write_facts", write)
     QUERIES["warehouse_plan"].run(spark, tables)
@@ -133,11 +133,63 @@ def test_hot_commune_is_split_beyond_the_broadcast_bound(spark, small_partitions
     assert "SortMergeJoin(skew=true)" in text
     assert joined.count() == 60_000
     assert joined.agg(F.sum("x")).first()[0] == sum(range(60_000))
-    assert "BroadcastHashJoin" in plan(join_communes(metrics, dimension(spark)))
+    assert "BroadcastHashJoin" in plan(join_communes(metrics, dimension(spark), small=True))
+
+
+def jobs_of(spark, build):
+    """What ``build`` gives, and how many jobs ran meanwhile."""
+    context = spark.sparkContext
+    context.setJobGroup("building", "building")
+    try:
+        return build(), len(context.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_joins_start_no_job_when_built(spark):
+    places = dimension(spark)
+    of_region = places.select("code_dep", (F.col("code_dep") % 2).alias("code_region")).distinct()
+    for header in (v.COMMUNE_CODE, v.DEPARTMENT, v.REGION):
+        metrics = spark.range(9).select(F.col("id").cast("string").alias(header), F.lit(1).alias("x"))
+        assert jobs_of(spark, lambda: join_dimension(metrics, places, of_region))[1] == 0
+    codes = spark.range(5)
+    rows = spark.range(9).select(F.col("id").cast("string").alias(v.DEPARTMENT))
+    kept, jobs = jobs_of(spark, lambda: keep_territory(rows, codes))
+    assert jobs == 0 and kept.count() == 5
+
+
+def ballots(spark, n=6_000):
+    """Rows of three candidates, each row twice, a third of the first ones on one code."""
+    row = spark.range(0, n, 1, 8).select((F.col("id") / 2).cast("bigint").alias("id"))
+    first = F.when(F.col("id") % 3 == 0, "L1").otherwise(F.concat(F.lit("R"), F.col("id") % 50))
+    return row.select(
+        F.col("id").alias("place"),
+        first.alias(f"{v.CANDIDATE_PREFIX}1"),
+        F.lit("10,00%").alias(f"{v.VOTE_SHARE_PREFIX}1"),
+        F.when(F.col("id") % 7 == 0, None).otherwise("L1").alias(f"{v.CANDIDATE_PREFIX}2"),
+        F.lit("20,50%").alias(f"{v.VOTE_SHARE_PREFIX}2"),
+        F.lit("unknown").alias(f"{v.CANDIDATE_PREFIX}3"),
+        F.when(F.col("id") % 5 == 0, "30%").alias(f"{v.VOTE_SHARE_PREFIX}3"),
+    )
+
+
+@pytest.mark.parametrize("copies_at_once", [1, 10_000])
+def test_wide_scores_beyond_the_bound_join_once(spark, small_partitions, monkeypatch, copies_at_once):
+    monkeypatch.setattr("armorica.operators.scores.COPIES_AT_ONCE", copies_at_once)
+    camps = spark.range(1, 51).selectExpr("concat('R', id) Code", "'Droite' Orientation")
+    camps = camps.unionByName(spark.sql("select * from values ('L1', 'Gauche') as t(Code, Orientation)"))
+    rows = ballots(spark)
+    near = camp_scores_wide(rows, camps, keep=["place"])
+    far = camp_scores_wide(rows, camps, keep=["place"], max_bytes=0)
+    assert sorted(near.collect()) == sorted(far.collect())
+    assert far.count() == 6_000
+    text = plan(far).split("Initial Plan")[0]
+    assert text.count("SortMergeJoin") == 1
+    # Two over the votes, one over the reference.
+    assert text.count("Exchange hashpartitioning") <= 3
 
 
-def test_hot_department_is_split_beyond_the_broadcast_bound(spark, small_partitions, monkeypatch):
-    monkeypatch.setattr("armorica.operators.facts.broadcast_if_small", lambda df: df)
+def test_hot_department_is_split_beyond_the_broadcast_bound(spark, small_partitions):
     places = hot(spark).select(
         F.col("x").cast("string").alias("code_com"), F.col("code").cast("int").alias("code_dep")
     )
@@ -147,8 +199,7 @@ def test_hot_department_is_split_beyond_the_broadcast_bound(spark, small_partiti
     assert fanned.count() == 60_000
 
 
-def test_hot_code_of_a_long_list_is_split(spark, small_partitions, monkeypatch):
-    monkeypatch.setattr("armorica.operators.geography.broadcast_if_small", lambda df: df)
+def test_hot_code_of_a_long_list_is_split(spark, small_partitions):
     rows = hot(spark).withColumnRenamed("code", v.DEPARTMENT)
     kept = keep_codes(rows, v.DEPARTMENT, spark.range(0, 250))
     assert "skew=true" in final_plan(kept)
