@@ -3,8 +3,12 @@
 Per language: counts of 5-character sequences over all labelled texts, words padded on
 the left and closed on the right; below the highest order, the number of different
 characters seen before a sequence. Probabilities are interpolated down to a uniform
-distribution and kept, with the weight each context leaves to the next lower order, in
-arrays of 64-bit hashes in ascending order.
+distribution and kept, with the weight each context leaves to the next lower order. Every
+sequence is kept; all of this is joins and aggregates.
+
+A model of bounded size is sent to the workers as arrays of 64-bit hashes in ascending
+order. A larger one stays in the shared folder: the different words of the texts are
+scored by joins with it, and summed back per text. Results are the same, to rounding.
 
 A text gets the language of lowest cross-entropy per character, and is rejected if that
 is beyond what labelled texts of this language show.
@@ -20,7 +24,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -34,9 +37,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ORDER = 5
 PAD, END = "\x02", "\x03"
-# Sequences kept of each language, the most frequent: 12 bytes each, for every order.
-MOST_SEQUENCES = 200_000
+# Sequences and contexts of all orders and languages, 12 bytes each, up to which workers get the model.
+SENT_ENTRIES = 4_000_000
 CALIBRATION_DOCS = 4_000
+# Keys with more than this part of the rows are joined by broadcast: no more than its inverse.
+HOT_PART = 1e-4
 # Beyond the calibrated quantile, in nats a character, plus more for short texts.
 QUANTILE, MARGIN, SHORT_MARGIN = 0.999, 0.8, 6.0
 # Characters after which the score of a language is no longer sharpened.
@@ -151,59 +156,120 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     give_back_memory()
 
 
-def _fit(group: pd.DataFrame) -> pd.DataFrame:
-    """Counts of one language to its arrays, one row per order."""
-    counts = dict(zip(group["sequence"], group["n"].astype(float), strict=True))
+@dataclass
+class StoredModel:
+    """A model beyond what workers are sent: per order rows (sequence, logs by place of the language)."""
+
+    languages: list[str]
+    grams: list[DataFrame]
+    contexts: list[DataFrame]
+    uniform: float
+    limits: dict[str, float]
+
+    def log_probabilities(self, wanted: DataFrame) -> DataFrame:
+        """Rows (sequence, logs) of different 5-character sequences, logs in the order of the languages."""
+        levels = [wanted.select("sequence")]
+        for _ in range(ORDER - 1):
+            levels.insert(0, materialise(levels[0].select(F.substring("sequence", 2, ORDER).alias("sequence")).distinct()))
+        places = F.sequence(F.lit(0), F.lit(len(self.languages) - 1))
+        known = None
+        for k, level in enumerate(levels, 1):
+            shorter = F.substring("sequence", 2, ORDER).alias("shorter")
+            rows = level.select("sequence", F.substring("sequence", 1, k - 1).alias("context"), shorter)
+            rows = rows.join(self.grams[k - 1].withColumnRenamed("logs", "gram"), "sequence", "left")
+            rows = rows.join(self.contexts[k - 1].select(F.col("sequence").alias("context"), F.col("logs").alias("weight")), "context", "left")
+            if known is not None:
+                rows = rows.join(known.select(F.col("sequence").alias("shorter"), F.col("logs").alias("below")), "shorter")
+            else:
+                rows = rows.withColumn("below", F.transform(places, lambda _: F.lit(self.uniform)))
+
+            def log(at: Column) -> Column:
+                weight = F.coalesce(F.try_element_at("weight", at), F.lit(0.0))
+                return F.coalesce(F.try_element_at("gram", at), weight + F.get("below", at))
+
+            known = materialise(rows.select("sequence", F.transform(places, log).alias("logs")))
+        return known
+
+
+def _levels(counts: DataFrame) -> list[DataFrame]:
+    """Rows (language, sequence, n) of each order, the first one first."""
     levels = [counts]
     for _ in range(ORDER - 1):
-        lower: dict[str, float] = {}
-        for sequence, n in levels[0].items():
-            # What begins at the padding is preceded by nothing else: counts stay as they are.
-            lower[sequence[1:]] = lower.get(sequence[1:], 0.0) + (n if sequence[1] == PAD else 1.0)
-        levels.insert(0, lower)
-    alphabet = float(group["alphabet"].iloc[0])
-    below: dict[str, float] = {"": 1.0 / alphabet}
-    rows = []
+        # What begins at the padding is preceded by nothing else: counts stay as they are.
+        n = F.when(F.substring("sequence", 2, 1) == PAD, F.col("n")).otherwise(1)
+        shorter = levels[0].select("language", F.substring("sequence", 2, ORDER).alias("sequence"), n.alias("n"))
+        levels.insert(0, materialise(shorter.groupBy("language", "sequence").agg(F.sum("n").alias("n"))))
+    return levels
+
+
+def _smoothed(levels: list[DataFrame], alphabet: float) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Of each order probabilities and weights of contexts, as rows (language, sequence, p)."""
+    grams: list[DataFrame] = []
+    contexts: list[DataFrame] = []
     for k, level in enumerate(levels, 1):
-        ones = sum(1 for n in level.values() if n == 1)
-        twos = sum(1 for n in level.values() if n == 2)
-        discount = min(0.95, ones / (ones + 2 * twos)) if ones and twos else 0.5
-        totals: dict[str, float] = {}
-        kinds: dict[str, int] = {}
-        for sequence, n in level.items():
-            context = sequence[:-1]
-            totals[context] = totals.get(context, 0.0) + n
-            kinds[context] = kinds.get(context, 0) + 1
-        weights = {context: discount * kinds[context] / total for context, total in totals.items()}
-        now = {
-            sequence: (n - min(discount, n)) / totals[sequence[:-1]] + weights[sequence[:-1]] * below[sequence[1:] if k > 1 else ""]
-            for sequence, n in level.items()
-        }
-        rows.append({"level": k} | _arrays("gram", now, k) | _arrays("context", weights, k - 1))
-        below = now
-    return pd.DataFrame(rows).assign(language=group["language"].iloc[0])
-
-
-def _arrays(name: str, table: dict[str, float], k: int) -> dict[str, bytes]:
-    codes = np.frombuffer("".join(table).encode("utf-32-le"), "<u4").reshape(len(table), k)
-    hashes = hashed(codes)[k]
-    ascending = np.argsort(hashes)
-    logs = np.log(np.maximum(np.fromiter(table.values(), float, len(table)), 1e-300))
-    return {f"{name}_hash": hashes[ascending].tobytes(), f"{name}_log": logs[ascending].astype("<f4").tobytes()}
-
-
-_FITTED = "level int, gram_hash binary, gram_log binary, context_hash binary, context_log binary, language string"
+        ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+        share = F.when((ones > 0) & (twos > 0), F.least(F.lit(0.95), ones / (ones + 2 * twos))).otherwise(0.5)
+        discounts = F.broadcast(level.groupBy("language").agg(share.alias("discount")))
+        rows = level.withColumn("context", F.substring("sequence", 1, k - 1))
+        weights = rows.groupBy("language", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        weights = materialise(weights.join(discounts, "language").withColumn("weight", F.col("discount") * F.col("kinds") / F.col("total")))
+        # Of the first order there is one context in a language.
+        rows = rows.join(F.broadcast(weights) if k == 1 else weights, ["language", "context"])
+        if grams:
+            below = grams[-1].select("language", F.col("sequence").alias("shorter"), F.col("p").alias("below"))
+            rows = rows.withColumn("shorter", F.substring("sequence", 2, ORDER)).join(below, ["language", "shorter"])
+        else:
+            rows = rows.withColumn("below", F.lit(1.0 / alphabet))
+        own = (F.col("n") - F.least("discount", "n")) / F.col("total")
+        grams.append(materialise(rows.select("language", "sequence", (own + F.col("weight") * F.col("below")).alias("p"))))
+        contexts.append(weights.select("language", F.col("context").alias("sequence"), F.col("weight").alias("p")))
+    return grams, contexts
+
+
+def _log() -> Column:
+    return F.log(F.greatest(F.col("p"), F.lit(1e-300))).cast("float")
+
+
+def _place(languages: list[str]) -> Column:
+    return (F.array_position(F.array(*map(F.lit, languages)), F.col("language")) - 1).cast("int")
+
+
+def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (place, sequence, log), sequences of one length, with hashes for sequences."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        text = "".join(batch.column(1).to_pylist())
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(batch.num_rows, -1)
+        hashes = hashed(codes)[-1] if codes.size else np.zeros(batch.num_rows, np.uint64)
+        columns = [batch.column(0), pa.array(hashes.view(np.int64)), batch.column(2)]
+        yield pa.RecordBatch.from_arrays(columns, names=["place", "hash", "log"])
+
+
+def _arrays(level: DataFrame, languages: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each language the hashes in ascending order, and their logs."""
+    rows = level.select(_place(languages).alias("place"), "sequence", _log().alias("log"))
+    found = rows.mapInArrow(_hash, "place int, hash bigint, log float").toArrow()
+    place, hashes, logs = (found.column(name).to_numpy() for name in ("place", "hash", "log"))
+    hashes = hashes.view(np.uint64)
+    order = np.lexsort((hashes, place))
+    borders = np.searchsorted(place[order], np.arange(len(languages) + 1))
+    return [(hashes[order[a:b]], logs[order[a:b]]) for a, b in zip(borders[:-1], borders[1:], strict=True)]
+
+
+def _by_sequence(level: DataFrame, languages: list[str]) -> DataFrame:
+    """Rows (sequence, logs), logs a map from the places of the languages."""
+    entry = F.struct(_place(languages).alias("place"), _log().cast("double").alias("log"))
+    return materialise(level.groupBy("sequence").agg(F.map_from_entries(F.collect_list(entry)).alias("logs")))
 
 
 def fit(
-    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", most_sequences: int = MOST_SEQUENCES,
-    calibration_docs: int = CALIBRATION_DOCS, most_languages: int = 256,
-) -> Model:
+    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", most_languages: int = 256, sent_entries: int = SENT_ENTRIES
+) -> Model | StoredModel:
     """Model of all rows with a text and a language.
 
-    Sequences are counted over all rows; of each language the ``most_sequences`` most
-    frequent are kept, which bounds the model. Limits of rejection are calibrated on
-    about ``calibration_docs`` rows, chosen by a hash of their text.
+    All sequences are kept. A model of more than ``sent_entries`` sequences and contexts
+    is a ``StoredModel``, which is joined instead of sent to workers.
     """
     rows = labelled.select(named(lang_col).alias("language"), octets(named(text_col)).alias("text")).filter(
         F.col("language").isNotNull() & F.col("text").isNotNull()
@@ -214,44 +280,24 @@ def fit(
     if len(languages) > most_languages:
         raise ValueError(f"more than {most_languages} languages")
     alphabet = counts.select(F.substring("sequence", -1, 1)).distinct().count() + 1
-    kept = _most_frequent(counts, most_sequences).withColumn("alphabet", F.lit(alphabet))
-    fitted = kept.groupBy("language").applyInPandas(_fit, _FITTED)
-    found = {(row["language"], row["level"]): row for row in fitted.collect()}
-
-    def arrays(name: str, language: str) -> list[tuple[np.ndarray, np.ndarray]]:
-        every = [found[language, k] for k in range(1, ORDER + 1)]
-        return [(np.frombuffer(row[f"{name}_hash"], "<u8"), np.frombuffer(row[f"{name}_log"], "<f4")) for row in every]
-
-    model = Model(
-        languages, [arrays("gram", x) for x in languages], [arrays("context", x) for x in languages], -math.log(alphabet), {}
-    )
-    if languages:
-        number = rows.count()
-        some = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < 1e6 * calibration_docs / number)
-        judged = some.select("language", judge(F.col("text"), model).alias("found")).filter("language = found.language")
-        spread = judged.groupBy("language").agg(F.percentile_approx("found.cross_entropy", QUANTILE, 10_000).alias("limit"))
-        model.limits = {row["language"]: row["limit"] for row in spread.collect()}
+    if not languages:
+        return Model([], [], [], -math.log(alphabet), {})
+    grams, contexts = _smoothed(_levels(counts), float(alphabet))
+    if sum(level.count() for level in [*grams, *contexts]) <= sent_entries:
+        by_order = [[_arrays(level, languages) for level in part] for part in (grams, contexts)]
+        by_language = [[list(orders) for orders in zip(*part, strict=True)] for part in by_order]
+        model = Model(languages, *by_language, -math.log(alphabet), {})
+    else:
+        stored = [[_by_sequence(level, languages) for level in part] for part in (grams, contexts)]
+        model = StoredModel(languages, *stored, -math.log(alphabet), {})
+    number = rows.count()
+    some = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < 1e6 * CALIBRATION_DOCS / number)
+    judged = identify(some, model, out_col="found").filter("language = found.language")
+    spread = judged.groupBy("language").agg(F.percentile_approx("found.cross_entropy", QUANTILE, 10_000).alias("limit"))
+    model.limits = {row["language"]: row["limit"] for row in spread.collect()}
     return model
 
 
-def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """Of each language the sequences at least as frequent as the limit that leaves ``most`` at the most."""
-    sizes = counts.groupBy("language", "n").agg(F.count(F.lit(1)).alias("rows"))
-    steps = sizes.groupBy("language").agg(F.sort_array(F.collect_list(F.struct("n", "rows")), asc=False).alias("steps"))
-
-    def take(state: Column, step: Column) -> Column:
-        fits = state["open"] & (state["rows"] + step["rows"] <= most)
-        return F.struct(
-            F.when(fits, step["n"]).otherwise(state["least"]).alias("least"),
-            (state["rows"] + F.when(fits, step["rows"]).otherwise(0)).alias("rows"),
-            fits.alias("open"),
-        )
-
-    start = F.struct(F.lit((1 << 62)).cast("bigint").alias("least"), F.lit(0).cast("bigint").alias("rows"), F.lit(True).alias("open"))
-    limits = steps.select("language", F.aggregate("steps", start, take, lambda state: state["least"]).alias("least"))
-    return counts.join(limits, "language").filter("n >= least").drop("least")
-
-
 class Judge:
     """Languages of texts; remembers the sums of words, up to ``CACHED_WORDS``, from task to task of a worker."""
 
@@ -339,9 +385,82 @@ def _spark_context():
     return SparkContext._active_spark_context
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "identified") -> DataFrame:
+def identify(docs: DataFrame, model: Model | StoredModel, text_col: str = "text", out_col: str = "identified") -> DataFrame:
     """All rows and columns, with the struct of ``judge`` in ``out_col`` (replaced if it exists)."""
-    return docs.withColumn(out_col, judge(named(text_col), model))
+    if isinstance(model, Model):
+        return docs.withColumn(out_col, judge(named(text_col), model))
+    row = F.struct(*[named(name) for name in docs.columns]).alias("_row")
+    keyed = docs.select(row, F.sha2(octets(named(text_col)), 256).alias("_key"))
+    found = keyed.join(_judged(docs.select(octets(named(text_col)).alias("text")), model), "_key", "left")
+    none = F.struct(F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
+    columns = [F.col("_row")[name].alias(name) for name in docs.columns]
+    return found.select(*columns, F.coalesce("_judged", none).alias("_judged")).withColumn(out_col, F.col("_judged")).drop("_judged")
+
+
+def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, text) to rows (key, word, n)."""
+    for batch in batches:
+        for key, text in zip(batch.column(0), batch.column(1), strict=True):
+            words = Counter(words_of(text.as_py()))
+            if words:
+                keys = pa.array([key.as_py()] * len(words), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [keys, pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], names=["_key", "word", "n"]
+                )
+
+
+def _word_sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (word) to rows (word, sequence, n)."""
+    for batch in batches:
+        for word in batch.column(0).to_pylist():
+            padded = PAD * (ORDER - 1) + word + END
+            found = Counter(padded[i : i + ORDER] for i in range(len(word) + 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([word] * len(found), pa.string()), pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())],
+                names=["word", "sequence", "n"],
+            )
+
+
+def _looked_up(rows: DataFrame, sizes: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Rows joined with the table by key; of hot keys, which ``sizes`` tells, by broadcast."""
+    hot = sizes.filter(F.col("rows") > HOT_PART * (sizes.agg(F.sum("rows")).first()[0] or 0)).select(key)
+    hot_table = table.join(F.broadcast(hot), key, "left_semi")
+    often = rows.join(F.broadcast(hot_table), key)
+    return often.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(table, key))
+
+
+def _summed(rows: DataFrame, by: str, languages: int, *more: Column) -> DataFrame:
+    """Sums of n times logs, place by place."""
+    sums = [F.sum(F.col("n") * F.get("logs", F.lit(place))).alias(f"_{place}") for place in range(languages)]
+    summed = rows.groupBy(by).agg(*sums, *more)
+    return summed.withColumn("logs", F.array(*[F.col(f"_{place}") for place in range(languages)])).drop(*[f"_{place}" for place in range(languages)])
+
+
+def _judged(texts: DataFrame, model: StoredModel) -> DataFrame:
+    """Rows (_key, _judged) of the different texts that have words."""
+    number = len(model.languages)
+    keyed = texts.filter(F.col("text").isNotNull()).select(F.sha2("text", 256).alias("_key"), "text")
+    pairs = keyed.mapInArrow(_text_words, "_key string, word string, n bigint")
+    # Of equal texts one.
+    pairs = materialise(pairs.groupBy("_key", "word").agg(F.first("n").alias("n")))
+    words = materialise(pairs.groupBy("word").agg(F.count(F.lit(1)).alias("rows")))
+    parts = materialise(words.select("word").mapInArrow(_word_sequences, "word string, sequence string, n bigint"))
+    sizes = materialise(parts.groupBy("sequence").agg(F.count(F.lit(1)).alias("rows")))
+    scored = _looked_up(parts, sizes, model.log_probabilities(sizes), "sequence")
+    table = materialise(_summed(scored, "word", number))
+    chars = F.sum(F.col("n") * (F.length("word") + 1)).alias("chars")
+    found = _summed(_looked_up(pairs, words, table, "word"), "_key", number, chars)
+    found = found.withColumn("entropies", F.transform("logs", lambda x: -x / F.col("chars")))
+    found = found.withColumn("least", F.array_min("entropies"))
+    found = found.withColumn("language", F.get(F.array(*map(F.lit, model.languages)), (F.array_position("entropies", F.col("least")) - 1).cast("int")))
+    limit = F.lit(math.inf)
+    for language, value in model.limits.items():
+        limit = F.when(F.col("language") == language, F.lit(value)).otherwise(limit)
+    limit = limit + MARGIN + SHORT_MARGIN / F.sqrt("chars")
+    odds = F.transform("entropies", lambda x: F.exp((F.col("least") - x) * F.least("chars", F.lit(SCORED_CHARS))))
+    score = 1 / F.aggregate(odds, F.lit(0.0), lambda total, x: total + x)
+    judged = F.struct("language", score.alias("score"), F.col("least").alias("cross_entropy"), (F.col("least") > limit).alias("rejected"))
+    return found.select("_key", judged.alias("_judged"))
 
 
 def held_out(id_column: Column, parts: int, part: int) -> Column:

@@ -174,6 +174,30 @@ def test_probabilities_add_up(spark):
         assert np.allclose(np.exp(model.log_probabilities(codes)).sum(axis=0), 1, atol=1e-5)
 
 
+def test_every_sequence_is_kept_and_joins_agree(spark):
+    rng = random.Random(6)
+    words = ["".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(60)) for _ in range(3600)]
+    rows = [(" ".join(words[i : i + 20]), "x") for i in range(0, len(words), 20)]
+    rows += [("abba cab bead", "y"), ("zzz bead", "y"), ("12", "y"), (None, "x"), ("q", None)]
+    table = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    sent, stored = langid.fit(table), langid.fit(table, sent_entries=0)
+    assert len(sent.grams[0][langid.ORDER - 1][0]) > 200_000
+    assert isinstance(stored, langid.StoredModel) and stored.limits == pytest.approx(sent.limits)
+    texts = [("abba", 1), ("abba", 1), ("zzz cab " + words[0], 2), ("12", 3), (None, 4), ("unseen \u00e9t\u00e9", 5)]
+    asked = spark.createDataFrame(texts, "text string, doc_id int")
+
+    def found(model):
+        frame = langid.identify(asked, model)
+        assert frame.columns == ["text", "doc_id", "identified"]
+        rows = frame.orderBy("doc_id").collect()
+        return [(r.doc_id, r.text, r.identified.language, r.identified.rejected) for r in rows], [
+            (r.identified.score, r.identified.cross_entropy or 0.0) for r in rows
+        ]
+
+    (one, numbers), (other, others) = found(sent), found(stored)
+    assert one == other and np.allclose(numbers, others, atol=1e-9)
+
+
 def test_no_language(spark, no_docs, odd_docs):
     model = langid.fit(no_docs)
     assert {row.identified.language for row in langid.identify(odd_docs, model).collect()} == {langid.UNKNOWN}
