@@ -39,7 +39,6 @@ ORDER = 5
 PAD, END = "\x02", "\x03"
 # Sequences and contexts of all orders and languages, 12 bytes each, up to which workers get the model.
 SENT_ENTRIES = 4_000_000
-CALIBRATION_DOCS = 4_000
 # Keys with more than this part of the rows are joined by broadcast: no more than its inverse.
 HOT_PART = 1e-4
 # Beyond the calibrated quantile, in nats a character, plus more for short texts.
@@ -268,7 +267,7 @@ def fit(
 ) -> Model | StoredModel:
     """Model of all rows with a text and a language.
 
-    All sequences are kept. A model of more than ``sent_entries`` sequences and contexts
+    All sequences are kept, and limits of rejection come from all rows. A model of more than ``sent_entries`` sequences and contexts
     is a ``StoredModel``, which is joined instead of sent to workers.
     """
     rows = labelled.select(named(lang_col).alias("language"), octets(named(text_col)).alias("text")).filter(
@@ -290,11 +289,11 @@ def fit(
     else:
         stored = [[_by_sequence(level, languages) for level in part] for part in (grams, contexts)]
         model = StoredModel(languages, *stored, -math.log(alphabet), {})
-    number = rows.count()
-    some = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < 1e6 * CALIBRATION_DOCS / number)
-    judged = identify(some, model, out_col="found").filter("language = found.language")
-    spread = judged.groupBy("language").agg(F.percentile_approx("found.cross_entropy", QUANTILE, 10_000).alias("limit"))
-    model.limits = {row["language"]: row["limit"] for row in spread.collect()}
+    # No filter: it would judge every row a second time.
+    judged = identify(rows, model, out_col="found")
+    right = F.when(F.col("language") == F.col("found.language"), F.col("found.cross_entropy"))
+    spread = judged.groupBy("language").agg(F.percentile_approx(right, QUANTILE, 10_000).alias("limit"))
+    model.limits = {row["language"]: row["limit"] for row in spread.collect() if row["limit"] is not None}
     return model
 
 

@@ -198,6 +198,14 @@ def test_every_sequence_is_kept_and_joins_agree(spark):
     assert one == other and np.allclose(numbers, others, atol=1e-9)
 
 
+def test_every_language_has_a_limit(spark):
+    rng = random.Random(8)
+    rows = [(" ".join(rng.choices(["abba", "cab", "bead", "deaf"], k=6)) + " " + "abcdef"[i % 6] * (i % 9), "x") for i in range(20_000)]
+    rows += [("zzz yyy zyz", "y"), ("uvw wvu uuu", "w"), ("kkl lkl kll", "k")]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert sorted(model.limits) == ["k", "w", "x", "y"]
+
+
 def test_no_language(spark, no_docs, odd_docs):
     model = langid.fit(no_docs)
     assert {row.identified.language for row in langid.identify(odd_docs, model).collect()} == {langid.UNKNOWN}
