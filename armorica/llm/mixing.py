@@ -32,6 +32,8 @@ SHARE = 1.5
 MOST_REPEATS = 2
 DOCS_PER_SHARD = 4096
 BLOCKS_PER_SHARD = 1024
+# Blocks of the source with the smallest target, at the least, while a block is a word or more.
+BLOCKS_PER_SOURCE = 50
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_REPEATS) -> DataFrame:
@@ -131,9 +133,11 @@ def mix(
     goals = targets(sources.select("source", "source_size"), weights, share, most_repeats)
     joined = goals.alias("g").join(shard_counts.alias("c"), F.col("g.source").eqNullSafe(F.col("c.source")))
     planned = materialise(joined.select("g.source", "source_size", "rank", "target", "shards"))
-    whole = planned.agg(F.sum("target").alias("target"), F.sum("shards").alias("shards")).first()
+    least = F.min(F.when(F.col("target") > 0, F.col("target"))).alias("least")
+    whole = planned.agg(F.sum("target").alias("target"), F.sum("shards").alias("shards"), least).first()
     total = float(whole["target"] or 0)
-    block = max(1, int(total // (blocks_per_shard * (whole["shards"] or 1))))
+    # Rare sources need smaller blocks; more blocks cost no more rows.
+    block = max(1, int(min(total / (blocks_per_shard * (whole["shards"] or 1)), (whole["least"] or 0) / BLOCKS_PER_SOURCE)))
     quotas = apportion(planned.withColumn("share", F.col("target")), [], F.lit(round(total / block)), [F.col("rank")])
     quotas = materialise(quotas.select("rank", F.col("quota").alias("source_quota")))
 

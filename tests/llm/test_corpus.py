@@ -407,6 +407,18 @@ def test_mix_meets_targets(docs):
         assert abs(taken[source] - want[source]) < 0.02 * want[source]
 
 
+def test_mix_meets_targets_of_rare_sources(spark):
+    rows = [(i, "a b c d e f g h i j", "hot") for i in range(20_000)]
+    rows += [(50_000 + i, "a b c d e f g h i j", "rare") for i in range(10)] + [(60_000, "k l m n o p q r s t", "single")]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    taken, target = collections.Counter(), {row.source: row.target for row in mixed}
+    for row in mixed:
+        taken[row.source] += row.taken
+    assert len(target) == 3
+    for source in target:
+        assert abs(taken[source] - target[source]) <= max(1, 0.02 * target[source])
+
+
 def test_apportionment(spark):
     rng = random.Random(8)
     shares = {i: rng.choice([0.1, 1.0, 5.0, 90.0, 400.0]) for i in range(25)}
