@@ -8,7 +8,8 @@ each term the index keeps the most it adds in a block.
 Every document is cut into overlapping passages, so that any 64 consecutive words lie in
 one. Passages whose terms cannot reach the threshold together are left out, then blocks
 whose maxima cannot; only what is left is scored. An item found is confirmed if most of
-the 5-word shingles of its question and of its answer stand in the document.
+the 5-word shingles of its question and of its answer stand in the document, an item of
+fewer words if all of them stand there in a row.
 """
 
 from __future__ import annotations
@@ -50,9 +51,9 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
-    n = max(1, len(words) - SHINGLE_WORDS + 1) if words else 0
-    return {tuple(words[i : i + SHINGLE_WORDS]) for i in range(n)}
+def shingles(words: list[str], size: int = SHINGLE_WORDS) -> set[tuple[str, ...]]:
+    n = max(1, len(words) - size + 1) if words else 0
+    return {tuple(words[i : i + size]) for i in range(n)}
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
@@ -165,11 +166,15 @@ class Index:
         number = self.terms.get
         out = []
         for words, items in zip(plain, self.candidates([[number(word, -1) for word in words] for words in plain]), strict=True):
-            held = shingles(words) if items else set()
+            held: dict[int, set] = {}
             sure = []
             for item in sorted(items):
                 parts = self._parts(item)
-                overlap = [len(part & held) / len(part) if part else 1.0 for part in parts]
+                # All shingles of an item are of one length: five words, or all its words if they are fewer.
+                size = len(next(iter(parts[0])))
+                if size not in held:
+                    held[size] = shingles(words, size)
+                overlap = [len(part & held[size]) / len(part) if part else 1.0 for part in parts]
                 if min(overlap) >= LEAST_OVERLAP:
                     row = {"item_id": self.ids[item], "score": items[item], "question": overlap[0], "answer": overlap[1]}
                     sure.append(row)

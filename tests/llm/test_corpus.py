@@ -150,6 +150,21 @@ def test_odd_benchmarks(spark, odd_docs, no_docs):
     assert decontaminate.contaminated(no_docs, items).count() == 0
 
 
+def test_short_items(spark):
+    items = [(1, "Capital of France? Paris"), (2, "法国的首都是哪里？巴黎"), (3, "Colour? Red"), (4, "Anagrams")]
+    texts = [
+        "we ask: Capital of France? Paris is the answer to it",
+        "paris france of capital and more words here",
+        "前言，法国的首都是哪里？巴黎。后记，还有别的话，更多，再多",
+        "colour red anagrams",
+        "red is a colour like any other one",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.contaminated(rows, benchmark).orderBy("doc_id").collect()
+    assert [{hit.item_id for hit in row["items"]} for row in found] == [{1}, set(), {2}, {3, 4}, set()]
+
+
 # --- language
 
 
