@@ -24,7 +24,22 @@ DIGITS = "0123456789"
 
 # Each starts where no longer run of its characters begins, so no text is scanned twice.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+# Characters of an IBAN by country: those of the registry, then countries that use the format without being in it.
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST AO CV GW MZ",
+    26: "IS TR DZ IR", 27: "BI DJ FR GR IT MC MR SM CF CG CM GA GQ KM MG TD", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV BF BJ CI MA ML NE SN TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(size: int, countries: str) -> str:
+    groups, rest = divmod(size - 4, 4)
+    last = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{last}"
+
+
+IBAN = rf"(?<![A-Za-z0-9])(?:{'|'.join(_iban_of(*each) for each in IBAN_COUNTRIES.items())})(?![A-Za-z0-9])"
 DATE = r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?![0-9/-])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = r"(?<![0-9(])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
@@ -303,15 +318,34 @@ def pseudonymise(
     def found(value: Column) -> Column:
         return F.struct(value.alias("value"), _kind(value).alias("kind"))
 
-    values = F.when(text.rlike(HINT) & text.rlike(ANY), F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), found))
+    # What fails its rule hides nothing: values are looked for at every place, also within others.
+    all_values = F.regexp_extract_all(text, F.lit(f"(?=({ANY}))"), F.lit(1))
+    values = F.when(text.rlike(HINT) & text.rlike(ANY), F.transform(all_values, found))
     hits = docs.withColumn("_values", values)
     some = F.exists("_values", lambda x: x["kind"].isNotNull())
-    # A text is a piece, a value, a piece, ..., a piece.
-    between = F.split(text, ANY, -1)
-    new = F.transform("_values", lambda x: _pseudonym(x["value"], x["kind"], secret))
-    rebuilt = F.array_join(
-        F.zip_with(between, new, lambda piece, value: F.concat(F.coalesce(piece, F.lit("")), F.coalesce(value, F.lit("")))), ""
+    # A piece begins with each value, and one before the first.
+    pieces = F.split(text, f"(?={ANY})", -1)
+    pieces = F.when(F.size(pieces) > F.size("_values"), pieces).otherwise(F.concat(F.array(F.lit("")), pieces))
+    new = F.transform(
+        "_values", lambda x: F.struct(F.length(x["value"]).alias("length"), _pseudonym(x["value"], x["kind"], secret).alias("text"), x["kind"].alias("kind"))
     )
-    number = F.coalesce(F.size(F.filter("_values", lambda x: x["kind"].isNotNull())), F.lit(0))
-    changed = hits.withColumn(out_col, F.when(some, rebuilt).otherwise(text))
-    return changed.withColumn(counts_col, F.when(F.col("_values").isNull(), 0).otherwise(number)).drop("_values")
+    steps = F.zip_with(F.slice(pieces, F.lit(2), F.size("_values")), new, lambda piece, value: F.struct(piece.alias("piece"), value.alias("value")))
+
+    def put(state: Column, step: Column) -> Column:
+        piece, value = step["piece"], step["value"]
+        # A value that begins within a replaced one is not looked at.
+        replaced = (state["left"] == 0) & value["kind"].isNotNull()
+        left = F.when(replaced, value["length"]).otherwise(state["left"])
+        return F.struct(
+            F.concat(
+                state["parts"], F.array(F.concat(F.when(replaced, value["text"]).otherwise(""), F.substring(piece, left + 1, F.length(piece))))
+            ).alias("parts"),
+            F.greatest(F.lit(0), left - F.length(piece)).alias("left"),
+            (state["found"] + F.when(replaced, 1).otherwise(0)).alias("found"),
+        )
+
+    start = F.struct(F.array(F.get(pieces, F.lit(0))).alias("parts"), F.lit(0).alias("left"), F.lit(0).alias("found"))
+    rebuilt = F.aggregate(steps, start, put, lambda state: F.struct(F.array_join(state["parts"], "").alias("text"), state["found"].alias("found")))
+    changed = hits.withColumn("_rebuilt", F.when(some, rebuilt))
+    changed = changed.withColumn(out_col, F.when(F.col("_rebuilt").isNull(), text).otherwise(F.col("_rebuilt.text")))
+    return changed.withColumn(counts_col, F.coalesce("_rebuilt.found", F.lit(0))).drop("_values", "_rebuilt")

@@ -98,6 +98,20 @@ def test_pseudonyms_keep_the_format(spark):
     assert "".join(cards) == found["4111 1111 1111 1111 28.68.191.238"].pseudonymised[:19].replace(" ", ""), "equal values stay equal"
 
 
+def test_values_end_where_they_end(spark):
+    texts = {
+        "ES91 2100 0418 4502 0005 1332 BIC CAIXESBB": r"^ES\d\d \d{4} \d{4} \d{4} \d{4} \d{4} BIC CAIXESBB$",
+        "BE68 5390 0754 7034 2024": r"^BE\d\d \d{4} \d{4} \d{4} 2024$",
+        "pay PL61109010140000071219812874 2024 now": r"^pay PL\d{26} 2024 now$",
+        "DE12 DE89 3704 0044 0532 0130 00": r"^DE12 DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d$",
+        "2024 4111 1111 1111 1111 ok": r"^2024 4\d{3} \d{4} \d{4} \d{4} ok$",
+        "BE12 4111 1111 1111 1111": r"^BE12 4\d{3} \d{4} \d{4} \d{4}$",
+    }
+    rows = spark.createDataFrame([(text,) for text in texts], "text string")
+    for row in pii.pseudonymise(rows, "key").collect():
+        assert row.found == 1 and row.pseudonymised != row.text and re.match(texts[row.text], row.pseudonymised), row
+
+
 def test_permutations_are_one_to_one(spark):
     rows = spark.range(35).select(pii.permute_number(F.col("id"), (7, 5), F.lit("k"), "test").alias("x"))
     assert sorted(row.x for row in rows.collect()) == list(range(35))
