@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armorica.llm import chat, decontaminate, langid, mixing, phrases, pii, simhash, tokens, toxicity, vptree
+from armorica.llm import chat, decontaminate, langid, middle, mixing, phrases, pii, simhash, spelling, tokens, toxicity, vptree, warc
 from armorica.queries.registry import Query, Run, table
 
 QUERIES: dict[str, Query] = {}
@@ -17,6 +17,8 @@ PII_KEY = "a key for tests; in production it comes from a secret store"
 SHINGLE_WORDS, MAX_DISTANCE = 3, 2
 TOXIC_FROM = 0.7
 NEIGHBOURS = 20
+# Of the letter runs, those that lose a letter; what is a word; how much commoner a form is.
+MISSPELT, WORD_CHARS, WORD_COUNT, FORM_RATIO = 31, 7, 2, 10
 # Exact search.
 FACTOR = 1.0
 
@@ -171,3 +173,110 @@ def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+@query(r"""
+with l as (
+    select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as lines,
+        sha256('7:' || coalesce(doc_id::varchar, '')) as hex from documents
+), h as (
+    select *, len(lines) as n, ('0x' || hex[1:8])::ubigint as h1, ('0x' || hex[9:16])::ubigint as h2,
+        ('0x' || hex[25:32])::ubigint as h4 from l
+), c as (
+    select *, least(h1 % (n + 1), h2 % (n + 1)) as low, greatest(h1 % (n + 1), h2 % (n + 1)) as high,
+        case when text = '' or regexp_matches(text, '<[PSM]>') then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form from h
+), p as (
+    select *, array_to_string(lines[1:low], '') as prefix, array_to_string(lines[low + 1:high], '') as middle,
+        array_to_string(lines[high + 1:], '') as suffix from c
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(prefix) end::bigint as prefix_chars,
+    case when form <> 'plain' then length(middle) end::bigint as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256, sha256(text) as restored_sha256 from p
+""")
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = middle.fill_in_middle(table(spark, folder, "documents").select("doc_id", "text"))
+    restored = middle.restore(F.col("fim.output"), F.col("fim.form"))
+    return cut.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2(F.col("fim.output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def misspelt_words(docs: DataFrame) -> DataFrame:
+    """Rows (word, n): letter runs of the documents, some of which lose a letter, as often as they occur."""
+    # Deleting shortens: shorter runs make no words.
+    runs = spelling.letter_runs(docs, min_chars=WORD_CHARS)
+    hashed = F.crc32(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    place = (F.col("h") % F.length("run")).cast("int")
+    shorter = F.concat(F.substring("run", F.lit(1), place), F.substring("run", place + 2, F.length("run")))
+    words = runs.withColumn("h", hashed).select(F.when(F.col("h") % MISSPELT == 0, shorter).otherwise(F.col("run")).alias("word"))
+    words = words.filter(F.length("word") >= WORD_CHARS)
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= WORD_COUNT)
+
+
+@query(r"""
+with recursive steps as (
+    select list_transform(range(256), lambda i: list_reduce(range(8),
+        lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, i)) as of
+), runs as (
+    select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents
+), counted as (
+    select doc_id, run, count(*) as n from runs where length(run) >= 7 group by all
+), octets as (
+    select *, flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+        lambda c: case when ord(c) < 128 then [ord(c)] else [195, ord(c) - 64] end)) as codes from counted
+), hashed as (
+    select run, n, xor(list_reduce(codes, lambda c, x: xor(c // 256, of[xor(c % 256, x) + 1]), 4294967295), 4294967295) as h from octets, steps
+), words as (
+    select case when h % 31 = 0 then run[1:h % length(run)] || run[h % length(run) + 2:] else run end as word, sum(n)::bigint as n
+    from hashed group by 1 having length(word) >= 7 and sum(n) >= 2
+), places as (
+    select word, n, unnest(range(1, length(word) + 1)) as i from words
+), cut as (
+    select distinct word, n, word[1:i - 1] || word[i + 1:] as rest from places
+), pairs as (
+    select a.word, b.word as near, b.n as near_n from places a join places b
+        on a.i = b.i and a.word[1:a.i - 1] || '*' || a.word[a.i + 1:] = b.word[1:b.i - 1] || '*' || b.word[b.i + 1:] and a.word <> b.word
+    union all select c.word, w.word, w.n from cut c join words w on c.rest = w.word
+    union all select w.word, c.word, c.n from cut c join words w on c.rest = w.word
+), best as (
+    select word, count(*)::bigint as n_near, max(near_n) as top, arg_min(near, row(-near_n, near)) as near from pairs group by word
+), known as (
+    select w.word, w.n, coalesce(n_near, 0) as n_near, case when top >= 10 * w.n then near end as form,
+        case when top >= 10 * w.n then top end as form_n from words w left join best b using (word)
+), followed as (
+    select word, word as root from known where form is null
+    union all select k.word, f.root from known k join followed f on k.form = f.word
+)
+select word, form, root, n, n_near, form_n from known join followed using (word)
+""")
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(misspelt_words(table(spark, folder, "documents")), ratio=FORM_RATIO)
+
+
+@query("""
+with p as (
+    select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), f as (
+    select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as first from p
+)
+select page_id, payload_bytes, payload_digest, case when page_id <> first then 'revisit' else 'response' end as record_type,
+    case when page_id <> first then first end as refers_to from f
+""")
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = warc.write_warc(table(spark, folder, "pages"))
+    found = warc.read_pages(spark, path)
+    return found.select(
+        F.col("id").cast("bigint").alias("page_id"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
