@@ -127,7 +127,7 @@ class _Archives:
         done = self.close() if self._out is not None and not self.room else None
         if self._out is None:
             self._name = f"{uuid.uuid4().hex}.warc{'.gz' if self._compress else ''}"
-            self._out = self._store.open_output_stream(f"{self._path}/{self._name}")
+            self._out = self._store.open_output_stream(f"{self._path}/{self._name}", compression=None)
         record = gzip.compress(record, 6) if self._compress else record
         self._out.write(record)
         self._records += 1
