@@ -19,6 +19,7 @@ import sys
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.broadcast import Broadcast
@@ -35,22 +36,39 @@ LETTERS = r"A-Za-zÀ-ÿ"
 GROUPS = 11
 # Words that a task holds, and visitors it takes; more words in a large vocabulary, so that
 # there are at most CROWDED crowded counts of each length.
-HELD_WORDS, VISITORS, CROWDED = 8_192, 16_384, 8_192
-# A leaf of the trie is split above this number of words.
-LEAF_WORDS = 6
+HELD_WORDS, VISITORS, CROWDED = 16_384, 32_768, 8_192
+# A node of the trie with more words is no leaf; pairs of words that are verified at once.
+LEAF_WORDS, PAIRS = 16, 200_000
+# Words up to this length are verified as rows of arrays.
+ROW_CHARS = 30
 # How much commoner a form is than its variants.
 RATIO = 10
 # Distinct counts that a task sums before it hands them on.
 COUNTED = 200_000
-ROWS = 8_192
-
-
-def group_counts(word: str) -> tuple[int, ...]:
-    """Letters of each group; a letter belongs to the group of its code point, modulo ``GROUPS``."""
-    counts = [0] * GROUPS
-    for code in map(ord, word):
-        counts[code % GROUPS] += 1
-    return tuple(counts)
+ROWS, GUESTS_AT_ONCE = 8_192, 16_384
+
+
+class Features:
+    """Of words: code points, length, letters of each group, and which letters there are (one bit each, modulo 64)."""
+
+    def __init__(self, words: list[str]) -> None:
+        self.words = words
+        # A closing zero keeps empty words in sight.
+        codes = np.frombuffer("".join([word + "\0" for word in words]).encode("utf-32-le"), "<u4")
+        self.lengths = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(self.lengths + 1) - self.lengths - 1
+        owner = np.repeat(np.arange(len(words)), self.lengths + 1)
+        letter = codes != 0
+        at = owner[letter] * GROUPS + codes[letter] % GROUPS
+        self.counts = np.bincount(at, minlength=len(words) * GROUPS).reshape(len(words), GROUPS)
+        bits = np.left_shift(np.uint64(1), codes.astype(np.uint64) & np.uint64(63))
+        self.letters = np.bitwise_or.reduceat(bits, starts) if len(words) else np.zeros(0, np.uint64)
+        # Code points in rows of 16-bit numbers, closed by zeros; words that do not fit are left out.
+        self.in_rows = self.lengths <= ROW_CHARS
+        self.in_rows[owner[codes > 0xFFFF]] = False
+        short = letter & self.in_rows[owner]
+        self.codes = np.zeros((len(words), ROW_CHARS + 1), np.uint16)
+        self.codes[owner[short], (np.arange(len(codes)) - starts[owner])[short]] = codes[short]
 
 
 def one_apart(a: str, b: str) -> bool:
@@ -69,41 +87,84 @@ def one_apart(a: str, b: str) -> bool:
     return a[at:] == b[at + 1 :]
 
 
+def pairs_apart(a: Features, at_a: np.ndarray, b: Features, at_b: np.ndarray) -> np.ndarray:
+    """``one_apart`` of pairs of words, given by their places in a and in b."""
+    longer = a.lengths[at_a] - b.lengths[at_b]
+    # One edit changes two letters at the most.
+    near = (np.abs(longer) <= 1) & (np.bitwise_count(a.letters[at_a] ^ b.letters[at_b]) <= 2)
+    place = np.flatnonzero(near)
+    at_a, at_b, longer = at_a[place], at_b[place], longer[place]
+    x, y = a.codes[at_a], b.codes[at_b]
+    swap = longer > 0
+    x[swap], y[swap] = y[swap], x[swap]
+    differ = x != y
+    same_length = longer == 0
+    good = np.zeros(len(place), bool)
+    good[same_length] = differ[same_length].sum(axis=1) == 1
+    # x is one shorter: behind the first difference it goes on like y does one place later.
+    other = ~same_length
+    first = differ[other].argmax(axis=1)
+    late = np.arange(ROW_CHARS) >= first[:, None]
+    good[other] = ~((x[other, :-1] != y[other, 1:]) & late).any(axis=1)
+    for i in np.flatnonzero(~(a.in_rows[at_a] & b.in_rows[at_b])):
+        good[i] = one_apart(a.words[at_a[i]], b.words[at_b[i]])
+    near[place] = good
+    return near
+
+
 class Trie:
-    """Words by their group counts; ``entries`` are (word, counts) in any order."""
-
-    def __init__(self, entries: list[tuple[str, tuple[int, ...]]]) -> None:
-        self._entries = entries
-        self._root = self._built(list(range(len(entries))), 0)
-
-    def _built(self, places: list[int], level: int) -> dict | list:
-        if len(places) <= LEAF_WORDS or level == GROUPS:
-            return places
-        parts: dict[int, list[int]] = {}
-        for place in places:
-            parts.setdefault(self._entries[place][1][level], []).append(place)
-        return {count: self._built(part, level + 1) for count, part in parts.items()}
-
-    def near(self, word: str, counts: tuple[int, ...]) -> list[int]:
-        """Places of the words that are one edit away."""
-        entries = self._entries
-        found = []
-        # Node, level, and what is left of surplus and deficit.
-        stack = [(self._root, 0, True, True)]
+    """Words in the order of their group counts: a node is a range of words of equal first counts."""
+
+    def __init__(self, words: Features) -> None:
+        self._words = words
+        self._order = np.lexsort(words.counts.T[::-1])
+        self._counts = words.counts[self._order]
+
+    def near(self, wanted: Features) -> tuple[np.ndarray, np.ndarray]:
+        """Places of wanted words and of words of the trie that are one edit apart.
+
+        The words wanted descend together, depth first; at each node those stay that can
+        pay for its count from what is left of their surplus and deficit.
+        """
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        leaves: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def verify() -> None:
+            if leaves:
+                at, places = (np.concatenate(part) for part in zip(*leaves, strict=True))
+                good = pairs_apart(wanted, at, self._words, places)
+                pairs.append((at[good], places[good]))
+                leaves.clear()
+
+        start = np.ones(len(wanted.words), bool)
+        stack = [(0, len(self._order), 0, np.arange(len(start)), start, start)]
         while stack:
-            node, level, more, less = stack.pop()
-            if type(node) is list:
-                found += [place for place in node if one_apart(word, entries[place][0])]
+            low, high, level, at, more, less = stack.pop()
+            if high - low <= LEAF_WORDS or level == GROUPS:
+                step = max(1, PAIRS // max(1, high - low))
+                for some in range(0, len(at), step):
+                    part = at[some : some + step]
+                    leaves.append((np.repeat(part, high - low), np.tile(self._order[low:high], len(part))))
+                    size += len(part) * (high - low)
+                    if size >= PAIRS:
+                        verify()
+                        size = 0
                 continue
-            own = counts[level]
-            level += 1
-            if (child := node.get(own)) is not None:
-                stack.append((child, level, more, less))
-            if more and (child := node.get(own + 1)) is not None:
-                stack.append((child, level, False, less))
-            if less and (child := node.get(own - 1)) is not None:
-                stack.append((child, level, more, False))
-        return found
+            column = self._counts[low:high, level]
+            borders = np.r_[0, np.flatnonzero(np.diff(column)) + 1, high - low]
+            own = wanted.counts[at, level]
+            for first, last in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+                over = column[first] - own
+                surplus, deficit = over == 1, over == -1
+                stay = np.flatnonzero((over == 0) | surplus & more | deficit & less)
+                if len(stay):
+                    left = more[stay] & ~surplus[stay], less[stay] & ~deficit[stay]
+                    stack.append((low + first, low + last, level + 1, at[stay], *left))
+        verify()
+        if not pairs:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return tuple(np.concatenate(part) for part in zip(*pairs, strict=True))
 
 
 def _cell(counts: tuple[int, ...]) -> str:
@@ -139,10 +200,10 @@ def _count_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         return pa.RecordBatch.from_arrays(columns, names=["prefix", "words"])
 
     for batch in batches:
-        for word in batch.column(0).to_pylist():
-            counts = group_counts(word)
-            for length in range(GROUPS):
-                sums[counts[:length]] += 1
+        for start in range(0, batch.num_rows, ROWS):
+            for counts in map(tuple, Features(batch.column(0).slice(start, ROWS).to_pylist()).counts.tolist()):
+                for length in range(GROUPS):
+                    sums[counts[:length]] += 1
             if len(sums) > COUNTED:
                 yield counted()
     yield counted()
@@ -156,8 +217,9 @@ def _place(crowded: Broadcast):
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
                 rows = []
-                for word, n in zip(*(column.to_pylist() for column in part.columns), strict=True):
-                    own, *others = cells(group_counts(word), crowded.value)
+                words, ns = (column.to_pylist() for column in part.columns)
+                for word, n, counts in zip(words, ns, map(tuple, Features(words).counts.tolist()), strict=True):
+                    own, *others = cells(counts, crowded.value)
                     rows.append((own, 0, word, n))
                     rows += [(cell, 1, word, n) for cell in others if cell > own]
                 columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), _PLACED_TYPES, strict=True)]
@@ -171,72 +233,69 @@ _PLACED = "cell string, visits int, word string, n bigint"
 _NEAR = "word string, n_near bigint, near_n bigint, near string"
 
 
-class _Best:
-    """Number of near words, and the commonest, of equally common ones the smallest."""
-
-    __slots__ = ("n", "number", "word")
-
-    def __init__(self) -> None:
-        self.number, self.n, self.word = 0, 0, ""
-
-    def add(self, word: str, n: int) -> None:
-        if not self.number or n > self.n or n == self.n and word < self.word:
-            self.n, self.word = n, word
-        self.number += 1
+def _best(at: list[int], others: list[int], words: list[str], ns: list[int]) -> dict[int, tuple[int, int, str]]:
+    """By place of a word, given the places of words near to it: their number, the n of the commonest and that word, of equally common ones the smallest."""
+    found: dict[int, tuple[int, int, str]] = {}
+    for place, other in zip(at, others, strict=True):
+        word, n = words[other], ns[other]
+        number, most, best = found.get(place, (0, 0, ""))
+        if not number or n > most or n == most and word < best:
+            most, best = n, word
+        found[place] = (number + 1, most, best)
+    return found
+
+
+class _Block:
+    """Words held by a task, as they come; visitors are looked for together."""
+
+    def __init__(self, first_share: bool) -> None:
+        self._first_share = first_share
+        self.held: list[tuple[str, int]] = []
+        self.guests: list[tuple[str, int]] = []
+        self._trie: Trie | None = None
+        self._features: Features | None = None
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        """Rows of ``_NEAR`` for words that have met since the last call."""
+        if not self.held:
+            self.guests.clear()
+            return
+        words, ns = map(list, zip(*self.held, strict=True))
+        if self._trie is None:
+            self._features = Features(words)
+            self._trie = Trie(self._features)
+            if self._first_share:
+                # Each finds the other.
+                at, others = self._trie.near(self._features)
+                yield _near_rows(words, _best(at.tolist(), others.tolist(), words, ns))
+        if self.guests:
+            guests, guest_ns = map(list, zip(*self.guests, strict=True))
+            self.guests.clear()
+            at, others = (part.tolist() for part in self._trie.near(Features(guests)))
+            yield _near_rows(guests, _best(at, others, words, ns))
+            yield _near_rows(words, _best(others, at, guests, guest_ns))
+
+
+def _near_rows(words: list[str], found: dict[int, tuple[int, int, str]]) -> pa.RecordBatch:
+    rows = [(words[place], *row) for place, row in found.items()]
+    columns = zip(*rows, strict=True) if rows else [()] * 4
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+    arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=["word", "n_near", "near_n", "near"])
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (cell, part, share, visits, word, n), a group's words before its visitors, to rows of ``_NEAR``."""
-    out: list[tuple[str, _Best]] = []
-    group, held, trie, best = None, [], None, []
-
-    def written() -> pa.RecordBatch:
-        rows = [(word, found.number, found.n, found.word) for word, found in out]
-        out.clear()
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
-        columns = zip(*rows, strict=True) if rows else [()] * 4
-        arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names=["word", "n_near", "near_n", "near"])
-
-    def built() -> Trie:
-        """The trie of the words held; each pair among them counts once, in the first share."""
-        entries = [(word, group_counts(word)) for word, _ in held]
-        made = Trie(entries)
-        best.extend(_Best() for _ in held)
-        if group[2] == 0:
-            for place, entry in enumerate(entries):
-                for other in made.near(*entry):
-                    best[place].add(*held[other])
-        return made
-
-    def close() -> None:
-        if group is not None and trie is None:
-            built()
-        out.extend((word, found) for (word, _), found in zip(held, best, strict=True) if found.number)
-        held.clear()
-        best.clear()
-
+    """Rows (cell, part, share, visits, word, n), the words of a block before its visitors, to rows of ``_NEAR``."""
+    at, block = None, _Block(True)
     for batch in batches:
         for cell, part, share, visits, word, n in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            if (cell, part, share) != group:
-                close()
-                group, trie = (cell, part, share), None
-            if not visits:
-                held.append((word, n))
-                continue
-            if not held:
-                continue
-            trie = trie or built()
-            found = _Best()
-            for place in trie.near(word, group_counts(word)):
-                found.add(*held[place])
-                best[place].add(word, n)
-            if found.number:
-                out.append((word, found))
-            if len(out) >= ROWS:
-                yield written()
-    close()
-    yield written()
+            if (cell, part, share) != at:
+                yield from block.found()
+                at, block = (cell, part, share), _Block(share == 0)
+            (block.guests if visits else block.held).append((word, n))
+            if len(block.guests) >= GUESTS_AT_ONCE:
+                yield from block.found()
+    yield from block.found()
 
 
 def near_words(words: DataFrame, held_words: int = HELD_WORDS, visitors: int = VISITORS) -> DataFrame:

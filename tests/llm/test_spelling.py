@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from armorica.llm import queries, spelling
@@ -87,9 +88,22 @@ def test_ties_and_odd_rows(spark):
 
 def test_one_apart_is_one_edit():
     rng = random.Random(8)
-    for _ in range(20_000):
-        a, b = ("".join(rng.choices("ab", k=rng.randrange(6))) for _ in range(2))
-        assert spelling.one_apart(a, b) == (_edits(a, b) == 1)
+    pairs = [tuple("".join(rng.choices("ab", k=rng.randrange(6))) for _ in range(2)) for _ in range(20_000)]
+    pairs += [("x" * n + a, "x" * n + b) for n in (26, 28, 30, 50) for a, b in pairs[:300]]
+    pairs += [("\U0001f642" + a, "\U0001f643" + b) for a, b in pairs[:300]]
+    want = [_edits(a.lstrip("x"), b.lstrip("x")) == 1 for a, b in pairs]
+    assert [spelling.one_apart(a, b) for a, b in pairs] == want
+    left, right = (spelling.Features(list(part)) for part in zip(*pairs, strict=True))
+    at = np.arange(len(pairs))
+    assert spelling.pairs_apart(left, at, right, at).tolist() == want
+
+
+def test_trie_finds_all_pairs():
+    words = list(_words(2000, "abcdefghijk"))
+    at, others = spelling.Trie(spelling.Features(words)).near(spelling.Features(words))
+    found = set(zip(at.tolist(), others.tolist(), strict=True))
+    assert len(found) == len(at) > 1000
+    assert found == {(i, j) for i, a in enumerate(words) for j, b in enumerate(words) if spelling.one_apart(a, b)}
 
 
 def test_letter_runs_of_odd_rows(spark, odd_docs, no_docs):
