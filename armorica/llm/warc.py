@@ -444,7 +444,8 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     stored = responses.select(
         F.col("record_id").alias("origin"), F.col("id").alias("refers_to"), "bytes", "digest", F.lit(True).alias("there")
     )
-    found = revisits.join(stored, "origin", "left")
+    # Spark takes archives for as small as their manifest: a hint keeps it from a broadcast.
+    found = revisits.join(stored.hint("merge"), "origin", "left")
     same = F.col("digest") == F.col("said")
     names = ["id", "url", "record_type", "refers_to", "bytes", "digest"]
     found = found.withColumns({name: F.when(same, F.col(name)) for name in ("bytes", "digest")})
