@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
@@ -81,6 +81,11 @@ def long_metrics(df: DataFrame, data: str = v.DATA, key: str = "metric", value:
     return df.select(*kept, F.explode(F.from_json(column(data), "map<string,string>")).alias(key, value))
 
 
+def is_malformed(data: str = v.DATA) -> Column:
+    """Whether a text is there but is no JSON object; never null."""
+    return column(data).isNotNull() & F.json_object_keys(column(data)).isNull()
+
+
 def malformed_json(df: DataFrame, data: str = v.DATA) -> DataFrame:
     """Rows whose text is there but is no JSON object."""
-    return df.filter(column(data).isNotNull() & F.json_object_keys(column(data)).isNull())
+    return df.filter(is_malformed(data))

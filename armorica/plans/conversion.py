@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
 from armorica.operators.geography import keep_territory, normalise_geography
 from armorica.sinks import write_delimited
-from armorica.sources import SourceFile, list_files, list_one_level, read_groups
-from armorica.sources.tree import add_from_path, file_year_folder, first_level, output_name
+from armorica.sources import FileTree, file_tree
+from armorica.sources.tree import add_from_path, file_year_folder, output_name, read_labelled
 
 FILE = "source_file"
 FOLDER = "year_folder"
@@ -33,7 +33,7 @@ def convert_yearly(
 
 def convert_tree(spark: SparkSession, source: str, target: str) -> int:
     """Every workbook of a tree, mirrored, no row left out; gives the number of rows written."""
-    books = [file for file in list_one_level(spark, source) if file.suffix == ".xlsx"]
+    books = file_tree(spark, source).one_level().where(F.col("suffix") == ".xlsx")
     return _write(converted(spark, books, source), target)
 
 
@@ -41,18 +41,15 @@ def yearly_tables(
     spark: SparkSession, source: str, departments: Iterable[int] | DataFrame = v.DEPARTMENTS
 ) -> list[DataFrame]:
     """The files of each year folder, kept to the territory, one DataFrame per header."""
-    years: dict[str, list[SourceFile]] = defaultdict(list)
-    for file in list_files(spark, source):
-        if file.depth > 0:
-            years[file.below[0]].append(file)
-    files = [file for group in years.values() for file in first_level(group, depth=1)]
+    files = file_tree(spark, source).one_level_of_each()
     return [keep_territory(table, departments) for table in converted(spark, files, source)]
 
 
-def converted(spark: SparkSession, files: Iterable[SourceFile], base: str) -> list[DataFrame]:
+def converted(spark: SparkSession, files: FileTree, base: str) -> list[DataFrame]:
     """Files with canonical codes, their path below ``base`` and their year folder, one DataFrame per header."""
     rules = {FILE: output_name(base), FOLDER: file_year_folder}
-    return [add_from_path(normalise_geography(group), rules) for group in read_groups(spark, files)]
+    groups = read_labelled(spark, files, {"": F.lit(True)})
+    return [add_from_path(normalise_geography(group.table), rules, group) for group in groups]
 
 
 def _write(tables: Iterable[DataFrame], target: str) -> int:

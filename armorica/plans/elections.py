@@ -6,14 +6,15 @@ from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
 from armorica.functions import column, require_column, trim_headers
 from armorica.operators.geography import keep_territory, normalise_geography
 from armorica.operators.scores import KEPT, camp_scores_wide
 from armorica.sinks import write_delimited
-from armorica.sources import list_one_level, read_groups
-from armorica.sources.tree import add_from_path, file_year, output_name
+from armorica.sources import file_tree
+from armorica.sources.tree import Group, add_from_path, file_year, output_name, read_labelled
 
 FILE = "source_file"
 
@@ -38,24 +39,27 @@ def election_scores(
     spark: SparkSession, source: str, departments: Iterable[int] = v.DEPARTMENTS
 ) -> list[DataFrame]:
     """Scores with their file name and year, one DataFrame per distinct header."""
-    files = list_one_level(spark, source)
-    references = [file for file in files if file.name.startswith("Reference")]
-    results = [file for file in files if not file.name.startswith("Reference")]
-    lacking = {file.folder for file in results} - {file.folder for file in references}
+    files = file_tree(spark, source).one_level()
+    is_reference = F.startswith("name", F.lit("Reference"))
+    held = files.files.groupBy("folder").agg(F.bool_or(is_reference).alias("reference"), F.bool_or(~is_reference).alias("result"))
+    lacking = sorted(row["folder"] for row in held.filter("result and not reference").select("folder").collect())
     if lacking:
-        raise ValueError(f"no camp reference below {source} for {sorted(lacking)}")
+        raise ValueError(f"no camp reference below {source} for {lacking}")
+    groups = read_labelled(spark, files, {"reference": is_reference, "result": ~is_reference})
+    references = [_reference(group) for group in groups if group.label == "reference"]
+    results = [group for group in groups if group.label == "result"]
     if not results:
         return []
-    reference = reduce(DataFrame.unionByName, [_reference(group) for group in read_groups(spark, references)])
+    reference = reduce(DataFrame.unionByName, references)
     scored = []
-    for group in read_groups(spark, results):
-        rows = add_from_path(group, {FILE: output_name(source), v.YEAR: file_year})
+    for group in results:
+        rows = add_from_path(group.table, {FILE: output_name(source), v.YEAR: file_year}, group)
         rows = keep_territory(normalise_geography(rows), departments)
         scored.append(camp_scores_wide(rows, reference, by=[v.YEAR], keep=(*KEPT, FILE)))
     return scored
 
 
-def _reference(group: DataFrame) -> DataFrame:
-    group = add_from_path(trim_headers(group), {v.YEAR: file_year})
-    names = [require_column(group, name) for name in (v.REFERENCE_CODE, v.REFERENCE_CAMP)]
-    return group.select(*[column(name) for name in names], v.YEAR).toDF(v.REFERENCE_CODE, v.REFERENCE_CAMP, v.YEAR)
+def _reference(group: Group) -> DataFrame:
+    table = add_from_path(trim_headers(group.table), {v.YEAR: file_year}, group)
+    names = [require_column(table, name) for name in (v.REFERENCE_CODE, v.REFERENCE_CAMP)]
+    return table.select(*[column(name) for name in names], v.YEAR).toDF(v.REFERENCE_CODE, v.REFERENCE_CAMP, v.YEAR)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Mapping
+import logging
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from armorica.operators.facts import (
     territory_level,
 )
 from armorica.operators.joins import is_small
-from armorica.operators.reshape import flatten_metrics, keys_by, malformed_json, unpivot_years
+from armorica.operators.reshape import flatten_metrics, is_malformed, keys_by, unpivot_years
 from armorica.sinks import (
     append_database,
     overwrite_database,
@@ -32,12 +34,17 @@ from armorica.sinks import (
     write_facts,
     write_table,
 )
-from armorica.sources import SourceFile, list_files, read_groups
-from armorica.sources.tree import FILE_PATH, add_from_path, file_type, with_provenance
+from armorica.sources import file_tree
+from armorica.sources.tree import FILE_PATH, Group, add_from_path, file_type, read_labelled, with_provenance
+from armorica.workspace import materialise
+
+log = logging.getLogger(__name__)
 
 # Folder of the rows without a year in a file split by year.
 NO_YEAR = "__HIVE_DEFAULT_PARTITION__"
 METRIC_FILE = r"par-(commune|departement)\.csv"
+# Types written at the same time.
+EXPORTS_AT_ONCE = 4
 
 
 def load_dimensions(geography: DataFrame, warehouse: str) -> dict[str, int]:
@@ -91,18 +98,29 @@ def metric_tables(spark: SparkSession, outputs: str) -> list[DataFrame]:
     with year columns give one row per year column. A département file can be
     both; one that is neither is left out.
     """
-    files = list_files(spark, outputs)
-    tables = [with_provenance(group) for group in read_groups(spark, _named(files, METRIC_FILE, r"\d{4}"))]
-    for group in read_groups(spark, _named(files, METRIC_FILE, NO_YEAR)):
-        # With year columns it is one of the files below.
-        if not year_columns(group):
-            tables.append(with_provenance(group))
-    for group in read_groups(spark, _named(files, r"par-region\.csv$")):
-        if columns_like(group, r"(?i)%|pour mille") and year_columns(group):
-            tables.append(_long(group, [require_column(group, v.REGION), v.INDICATOR]))
-    for group in read_groups(spark, _named(files, r"par-departement\.csv$")):
-        if year_columns(group):
-            tables.append(_long(group, [require_column(group, v.DEPARTMENT)]))
+    name, year = F.lower("name"), F.substring_index("folder", "=", -1)
+    is_metric = name.rlike(METRIC_FILE)
+    # All headers are found in one job; a file can be of several kinds.
+    kinds = {
+        "dated": is_metric & year.rlike(r"^\d{4}$"),
+        "undated": is_metric & (year == NO_YEAR),
+        "region": name.rlike(r"par-region\.csv$"),
+        "department": name.rlike(r"par-departement\.csv$"),
+    }
+    groups = read_labelled(spark, file_tree(spark, outputs), kinds)
+    tables = []
+    for kind in kinds:
+        for group in groups:
+            if group.label != kind:
+                continue
+            years = year_columns(group.table)
+            # Without a year folder it is one of the files below, if it has year columns.
+            if kind == "dated" or kind == "undated" and not years:
+                tables.append(with_provenance(group.table, group))
+            elif kind == "region" and years and columns_like(group.table, r"(?i)%|pour mille"):
+                tables.append(_long(group, [require_column(group.table, v.REGION), v.INDICATOR]))
+            elif kind == "department" and years:
+                tables.append(_long(group, [require_column(group.table, v.DEPARTMENT)]))
     return tables
 
 
@@ -118,18 +136,31 @@ def check_dimensions(spark: SparkSession, warehouse: str) -> dict[str, DataFrame
 
 
 def check_warehouse(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    """The violations of each constraint on the stored tables."""
+    """The violations of each constraint on the stored tables; the facts are scanned once."""
     department = spark.read.parquet(f"{warehouse}/{v.DEPARTMENT_TABLE}")
     commune = spark.read.parquet(f"{warehouse}/{v.COMMUNE_TABLE}")
     fact = read_facts(spark, f"{warehouse}/{v.FACT_TABLE}")
-    return check_dimensions(spark, warehouse) | {
-        "fact in commune": checks.orphan_keys(fact, v.COMMUNE_CODE, commune, "code_com"),
-        "fact in department": checks.orphan_keys(fact, v.DEPARTMENT, department, "code_dep"),
-        "fact types": checks.type_violations(
-            fact,
-            {v.COMMUNE_CODE: checks.fits(v.COMMUNE_CODE, 5), v.DEPARTMENT: checks.is_int(v.DEPARTMENT)},
+    return check_dimensions(spark, warehouse) | check_facts(fact, commune, department)
+
+
+def check_facts(fact: DataFrame, commune: DataFrame, department: DataFrame) -> dict[str, DataFrame]:
+    """The violations of the constraints on facts.
+
+    One scan counts the rows, and those that break a rule, of every commune, département and
+    type; keys are looked up among what is left.
+    """
+    rules = {v.COMMUNE_CODE: checks.fits(v.COMMUNE_CODE, 5), v.DEPARTMENT: checks.is_int(v.DEPARTMENT)}
+    malformed = is_malformed(v.DATA)
+    reduced = materialise(checks.counted_by(fact, [v.COMMUNE_CODE, v.DEPARTMENT, v.TYPE], [*rules.values(), ~malformed]))
+    broken = {name: F.sum(F.col("broken")[place]) for place, name in enumerate(rules)}
+    of_type = reduced.filter(F.col("key") == v.TYPE)
+    return {
+        "fact in commune": checks.unknown_keys(reduced, v.COMMUNE_CODE, commune, "code_com"),
+        "fact in department": checks.unknown_keys(reduced, v.DEPARTMENT, department, "code_dep"),
+        "fact types": checks.broken_rules(of_type, broken),
+        "fact data": of_type.filter(F.col("broken")[len(rules)] > 0).select(
+            F.col("value").alias(v.TYPE), F.col("broken")[len(rules)].alias("n")
         ),
-        "fact data": malformed_json(fact).groupBy(v.TYPE).agg(F.count(F.lit(1)).alias("n")),
     }
 
 
@@ -144,30 +175,47 @@ def publish(spark: SparkSession, warehouse: str, url: str, options: Mapping[str,
     return written | {v.FACT_TABLE: append_database(fact, url, v.FACT_TABLE, options)}
 
 
-def export_facts(spark: SparkSession, warehouse: str, target: str) -> dict[str, int]:
+class ExportFailed(RuntimeError):
+    """Types that could not be exported, with their errors; ``written`` has the rows of the others."""
+
+    def __init__(self, failed: Mapping[str, Exception], written: Mapping[str, int]) -> None:
+        self.failed, self.written = dict(failed), dict(written)
+        super().__init__("; ".join(f"{kind}: {str(error).splitlines()[0]}" for kind, error in self.failed.items()))
+
+
+def export_facts(spark: SparkSession, warehouse: str, target: str, at_once: int = EXPORTS_AT_ONCE) -> dict[str, int]:
     """Facts back as columns, ``<target>/<type>.csv/annee=<year>``; rows written per type.
 
-    One job finds the keys of all types. Types differ in their columns, so each
-    has its own write; the table is laid out by type, so together they read it
-    once.
+    One job finds the keys of all types. Types differ in their columns, so each has its own
+    write; the table is laid out by type, so together they read it once. ``at_once`` writes
+    run together, each in a scheduler pool and job group of its own. A type that fails
+    stops no other: ``ExportFailed`` tells all that did, when the others are written.
     """
     fact = read_facts(spark, f"{warehouse}/{v.FACT_TABLE}")
     keys = keys_by(fact, v.TYPE)
-    written = {}
-    for (kind,) in fact.select(v.TYPE).distinct().collect():
+    kinds = [kind for (kind,) in fact.select(v.TYPE).distinct().collect()]
+
+    def export(kind: str | None) -> int:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"export {kind}")
+        spark.sparkContext.setJobGroup(f"export {kind}", f"export {kind}")
         flat = flatten_metrics(keep_slice(fact, {v.TYPE: kind}), keys=keys.get(kind, []))
-        written[kind] = write_delimited(flat, f"{target}/{kind}.csv", partition_by=[v.YEAR])
+        return write_delimited(flat, f"{target}/{kind}.csv", partition_by=[v.YEAR])
+
+    written: dict[str, int] = {}
+    failed: dict[str, Exception] = {}
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as threads:
+        # Threads take over the settings of this one.
+        running = {kind: threads.submit(inheritable_thread_target(spark)(export), kind) for kind in kinds}
+        for kind, run in running.items():
+            try:
+                written[kind] = run.result()
+            except Exception as error:  # told below, together with others
+                log.error("type %s was not exported: %s", kind, error)
+                failed[kind] = error
+    if failed:
+        raise ExportFailed(failed, written)
     return written
 
 
-def _named(files: Iterable[SourceFile], pattern: str, folder: str = "") -> list[SourceFile]:
-    return [
-        file
-        for file in files
-        if re.search(pattern, file.name.lower())
-        and (not folder or re.fullmatch(folder, file.folder.rpartition("=")[2]))
-    ]
-
-
-def _long(group: DataFrame, ids: list[str]) -> DataFrame:
-    return add_from_path(unpivot_years(group, [*ids, FILE_PATH]), {v.TYPE: file_type})
+def _long(group: Group, ids: list[str]) -> DataFrame:
+    return add_from_path(unpivot_years(group.table, [*ids, FILE_PATH]), {v.TYPE: file_type}, group)

@@ -5,12 +5,13 @@ from __future__ import annotations
 import io
 import sys
 import zipfile
-from collections.abc import Iterable, Iterator
-from functools import reduce
+from collections.abc import Iterable, Iterator, Sequence
+from functools import partial, reduce
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark import cloudpickle
+from pyarrow import fs
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +19,12 @@ from armorica import vocabulary as v
 from armorica.operators import facts as fact_operators
 from armorica.operators.cleaning import empty
 from armorica.operators.facts import communes
-from armorica.plans import export_facts
+from armorica.plans import convert_tree, export_facts
 from armorica.queries.facts import FACT_SQL, geography, order_metrics
 from armorica.queries.registry import query, table
 from armorica.sinks import ensure_table, read_facts, write_delimited, write_facts, write_table
-from armorica.sources import list_files, read_delimited, read_file, read_groups
-from armorica.sources.tree import with_provenance
-from armorica.sources.workbook import sheet_rows, sheet_table
+from armorica.sources import file_tree, read_delimited, read_file, read_workbooks
+from armorica.sources.tree import read_labelled, with_provenance
 from armorica.workspace import new_folder
 
 
@@ -92,39 +92,110 @@ def tree_provenance(spark: SparkSession, folder: str) -> DataFrame:
         customers.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("segment")),
         f"{base}/clients/2017/clients-par-departement.csv",
     )
-    groups = [with_provenance(group) for group in read_groups(spark, list_files(spark, base))]
+    groups = [with_provenance(group.table, group) for group in read_labelled(spark, file_tree(spark, base), {"": F.lit(True)})]
     return groups[0].unionByName(groups[1], allowMissingColumns=True)
 
 
 @query(
     """
-select cast(p_partkey as varchar) as "Code", p_name as "Libellé",
-  case when p_type <> 'SMALL' then p_type end as "Type & co", cast(p_size as varchar) as "Taille"
+select cast(p_partkey as bigint) as "Code", p_name as "Libellé",
+  case when p_type <> 'SMALL' then p_type end as "Type & co", cast(p_size as bigint) as "Taille"
 from part"""
 )
 def workbook_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Parts packed in workbooks of a thousand rows each, and read again."""
+    """Parts written to workbooks of a thousand rows each, and read again with the types of their cells."""
     parts = table(spark, folder, "part").select(
         "p_partkey",
         "p_name",
         F.when(F.col("p_type") != "SMALL", F.col("p_type")).alias("p_type"),
         "p_size",
     )
-    return sheet_table(sheet_rows(parts.mapInPandas(_workbooks, "path string, content binary")), HEADER)
+    return read_workbooks(spark, [write_workbooks(parts, "parts", HEADER)])[0]
+
+
+@query(
+    """
+select c_custkey as "Code", 'client ' || c_custkey as "Libellé", lpad(cast(c_nationkey as varchar), 2, '0') as "Code département",
+  case when c_nationkey % 2 = 0 then 'pairs' else 'impairs' end as folder from customer"""
+)
+def workbook_conversion(spark: SparkSession, folder: str) -> DataFrame:
+    """Workbooks of two folders converted to delimited files, and read again."""
+    base = new_folder(spark, "books")
+    customers = table(spark, folder, "customer").select(
+        "c_custkey", F.concat_ws(" ", F.lit("client"), "c_custkey").alias("label"), "c_nationkey"
+    )
+    for turn, side in enumerate(("pairs", "impairs")):
+        write_workbooks(customers.filter(F.col("c_nationkey") % 2 == turn), "clients", PLACED, f"{base}/in/{side}")
+    convert_tree(spark, f"{base}/in", f"{base}/out")
+    back = read_delimited(spark, f"{base}/out")
+    return back.select(
+        F.col("Code").cast("bigint").alias("Code"),
+        "Libellé",
+        F.lpad(f"`{v.DEPARTMENT}`", 2, "0").alias(v.DEPARTMENT),
+        F.substring_index("source_file", "/", 1).alias("folder"),
+    )
+
+
+@query(
+    """
+select 'csv' as format, 'read' as outcome, count(*) as n from customer
+union all select 'xlsx', 'read', count(*) from nation
+union all select 'txt', 'unsupported', null
+union all select 'xls', 'unsupported', null
+union all select 'csv', 'absent', null
+union all select 'xlsx', 'absent', null"""
+)
+def format_guard(spark: SparkSession, folder: str) -> DataFrame:
+    """What becomes of files by format: those read with their rows, those not supported, those that are not there."""
+    base = new_folder(spark, "formats")
+    write_delimited(table(spark, folder, "customer").select("c_custkey", "c_name"), f"{base}/clients.csv")
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    write_workbooks(nations.coalesce(1), "nations", ("Code", "Libellé"), base)
+    paths = {"clients.csv": "csv", "nations-0-0.xlsx": "xlsx", "note.txt": "txt", "old.xls": "xls", "none.csv": "csv", "none.xlsx": "xlsx"}
+    found = []
+    for name, kind in paths.items():
+        try:
+            rows = read_file(spark, f"{base}/{name}")
+        except ValueError:
+            rows, outcome = None, "unsupported"
+        else:
+            outcome = "absent" if rows is None else "read"
+        counted = (spark.range(1) if rows is None else rows).agg(F.count(F.lit(1)).alias("n"))
+        n = F.col("n") if outcome == "read" else F.lit(None).cast("bigint")
+        found.append(counted.select(F.lit(kind).alias("format"), F.lit(outcome).alias("outcome"), n.alias("n")))
+    return reduce(DataFrame.unionByName, found)
 
 
 HEADER = ("Code", "Libellé", "Type & co", "Taille")
+PLACED = ("Code", "Libellé", "code département")
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _workbooks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def write_workbooks(rows: DataFrame, name: str, header: Sequence[str], folder: str | None = None) -> str:
+    """Workbooks of a thousand rows each, written by the tasks; gives their folder.
+
+    The files of a task are named by its number, so that of a repeated task one copy stays.
+    """
+    folder = folder or new_folder(rows.sparkSession, name)
+    store, path = fs.FileSystem.from_uri(folder)
+    store.create_dir(path, recursive=True)
+    rows.mapInPandas(partial(_workbooks, f"{folder}/{name}", header), "path string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+def _workbooks(base: str, header: Sequence[str], batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    store, path = fs.FileSystem.from_uri(base)
+    turn, task = 0, TaskContext.get().partitionId()
     for batch in batches:
         for start in range(0, len(batch), 1000):
-            content = _workbook(batch.iloc[start : start + 1000])
-            yield pd.DataFrame({"path": ["parts.xlsx"], "content": [content]})
+            place = f"{path}-{task}-{turn}.xlsx"
+            with store.open_output_stream(place) as file:
+                file.write(_workbook(header, batch.iloc[start : start + 1000]))
+            turn += 1
+            yield pd.DataFrame({"path": [place]})
 
 
-def _workbook(rows: pd.DataFrame) -> bytes:
+def _workbook(header: Sequence[str], rows: pd.DataFrame) -> bytes:
     """One workbook of the given rows; numbers as numbers, text inline, null as no cell."""
 
     def cell(place: str, value: object) -> str:
@@ -134,7 +205,7 @@ def _workbook(rows: pd.DataFrame) -> bytes:
             return f'<c r="{place}" t="inlineStr"><is><t>{escape(value)}</t></is></c>'
         return f'<c r="{place}"><v>{value}</v></c>'
 
-    lines = [HEADER, *rows.itertuples(index=False, name=None)]
+    lines = [tuple(header), *rows.itertuples(index=False, name=None)]
     body = "".join(
         f'<row r="{n}">' + "".join(cell(f"{letter}{n}", value) for letter, value in zip("ABCD", line)) + "</row>"
         for n, line in enumerate(lines, start=1)

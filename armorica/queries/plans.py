@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ from armorica.queries.registry import query, table
 from armorica.queries.scoring import ballots
 from armorica.queries.statistics import diploma_counts, diploma_sql
 from armorica.sinks import read_facts, write_delimited
-from armorica.sources import list_one_level, read_delimited, read_file
+from armorica.sources import file_tree, read_delimited, read_file
 from armorica.workspace import new_folder
 
 NATIONS = range(25)
@@ -222,10 +224,14 @@ def yearly_plan(spark: SparkSession, folder: str) -> DataFrame:
     # Stored by year first, so that each file is written from its own part.
     rows.write.partitionBy(v.YEAR).parquet(f"{base}/rows")
     years = spark.read.parquet(f"{base}/rows").select(v.YEAR).distinct().collect()
-    for (year,) in years:
+
+    def write(year: int) -> None:
         dataset = "loyers" if year < 1998 else "charges"
         of_year = spark.read.parquet(f"{base}/rows").filter(F.col(v.YEAR) == year).drop(v.YEAR)
         write_delimited(of_year, f"{base}/in/{dataset}/{year}/{dataset}-par-departement.csv")
+
+    with ThreadPoolExecutor(max_workers=4) as threads:
+        list(threads.map(inheritable_thread_target(spark)(write), [year for (year,) in years]))
     convert_yearly(spark, f"{base}/in", f"{base}/out", ["loyers", "charges"], departments=(3, 7, 11, 22, 24))
     back = [read_delimited(spark, f"{base}/out/{dataset}") for dataset in ("loyers", "charges")]
     return back[0].unionByName(back[1]).select(
@@ -261,7 +267,7 @@ def tree_conversion(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_linenumber").alias("solde"),
     )
     write_delimited(lines, f"{base}/fournisseurs.csv")
-    tables = converted(spark, list_one_level(spark, base), base)
+    tables = converted(spark, file_tree(spark, base).one_level(), base)
     return tables[0].unionByName(tables[1], allowMissingColumns=True).drop("year_folder")
 
 

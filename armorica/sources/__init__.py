@@ -2,11 +2,13 @@
 
 from armorica.sources.database import read_database
 from armorica.sources.delimited import read_delimited, separator_for
-from armorica.sources.tree import SourceFile, list_files, list_one_level, read_file, read_groups
+from armorica.sources.tree import FileTree, SourceFile, file_tree, list_files, list_one_level, read_file, read_groups
 from armorica.sources.workbook import read_workbooks
 
 __all__ = [
+    "FileTree",
     "SourceFile",
+    "file_tree",
     "list_files",
     "list_one_level",
     "read_database",

@@ -102,12 +102,13 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     from pyspark import cloudpickle
 
     from armorica.queries.files import _workbooks
-    from armorica.sources.workbook import _parse
+    from armorica.sources.store import add_first_lines
+    from armorica.sources.workbook import _parse, _parse_paths
 
     put(tmp_path / "work.py", "import pickle, sys\nsys.modules['armorica'] = None\nfor f in pickle.load(sys.stdin.buffer): print(f.__name__)\n")
-    packed = cloudpickle.dumps([_parse, _workbooks])
+    packed = cloudpickle.dumps([_parse, _workbooks, _parse_paths, add_first_lines])
     done = subprocess.run([sys.executable, "work.py"], input=packed, cwd=tmp_path, capture_output=True)
-    assert done.stdout.split() == [b"_parse", b"_workbooks"]
+    assert done.stdout.split() == [b"_parse", b"_workbooks", b"_parse_paths", b"add_first_lines"]
 
 
 def test_workbook_cell_kinds(spark, tmp_path):
