@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
+from armorica.concurrency import run_together
 from armorica.operators.geography import keep_territory, normalise_geography
 from armorica.sinks import write_delimited
 from armorica.sources import FileTree, file_tree
@@ -25,10 +27,12 @@ def convert_yearly(
     departments: Iterable[int] | DataFrame = v.DEPARTMENTS,
 ) -> int:
     """Datasets laid out by year, kept to the territory and mirrored; gives the number of rows written."""
-    written = 0
-    for dataset in datasets:
-        written += _write(yearly_tables(spark, f"{source}/{dataset}", departments), f"{target}/{dataset}")
-    return written
+
+    def convert(dataset: str) -> int:
+        return _write(yearly_tables(spark, f"{source}/{dataset}", departments), f"{target}/{dataset}")
+
+    # Datasets share no file.
+    return sum(run_together(spark, {dataset: partial(convert, dataset) for dataset in datasets}, "convert").values())
 
 
 def convert_tree(spark: SparkSession, source: str, target: str) -> int:

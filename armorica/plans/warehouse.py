@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
+from armorica.concurrency import AT_ONCE, attempt_together, run_together
 from armorica.functions import columns_like, require_column, year_columns
 from armorica.operators import checks
 from armorica.operators.cleaning import keep_slice
@@ -38,21 +36,16 @@ from armorica.sources import file_tree
 from armorica.sources.tree import FILE_PATH, Group, add_from_path, file_type, read_labelled, with_provenance
 from armorica.workspace import materialise
 
-log = logging.getLogger(__name__)
-
 # Folder of the rows without a year in a file split by year.
 NO_YEAR = "__HIVE_DEFAULT_PARTITION__"
 METRIC_FILE = r"par-(commune|departement)\.csv"
-# Types written at the same time.
-EXPORTS_AT_ONCE = 4
 
 
 def load_dimensions(geography: DataFrame, warehouse: str) -> dict[str, int]:
     """Write both dimension tables; gives their row counts."""
-    return {
-        v.DEPARTMENT_TABLE: write_table(departments(geography), f"{warehouse}/{v.DEPARTMENT_TABLE}"),
-        v.COMMUNE_TABLE: write_table(communes(geography), f"{warehouse}/{v.COMMUNE_TABLE}"),
-    }
+    tables = {v.DEPARTMENT_TABLE: departments(geography), v.COMMUNE_TABLE: communes(geography)}
+    tasks = {name: partial(write_table, table, f"{warehouse}/{name}") for name, table in tables.items()}
+    return run_together(geography.sparkSession, tasks, "dimension")
 
 
 def load_facts(
@@ -183,7 +176,7 @@ class ExportFailed(RuntimeError):
         super().__init__("; ".join(f"{kind}: {str(error).splitlines()[0]}" for kind, error in self.failed.items()))
 
 
-def export_facts(spark: SparkSession, warehouse: str, target: str, at_once: int = EXPORTS_AT_ONCE) -> dict[str, int]:
+def export_facts(spark: SparkSession, warehouse: str, target: str, at_once: int = AT_ONCE) -> dict[str, int]:
     """Facts back as columns, ``<target>/<type>.csv/annee=<year>``; rows written per type.
 
     One job finds the keys of all types. Types differ in their columns, so each has its own
@@ -193,25 +186,13 @@ def export_facts(spark: SparkSession, warehouse: str, target: str, at_once: int
     """
     fact = read_facts(spark, f"{warehouse}/{v.FACT_TABLE}")
     keys = keys_by(fact, v.TYPE)
-    kinds = [kind for (kind,) in fact.select(v.TYPE).distinct().collect()]
 
     def export(kind: str | None) -> int:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"export {kind}")
-        spark.sparkContext.setJobGroup(f"export {kind}", f"export {kind}")
         flat = flatten_metrics(keep_slice(fact, {v.TYPE: kind}), keys=keys.get(kind, []))
         return write_delimited(flat, f"{target}/{kind}.csv", partition_by=[v.YEAR])
 
-    written: dict[str, int] = {}
-    failed: dict[str, Exception] = {}
-    with ThreadPoolExecutor(max_workers=max(1, at_once)) as threads:
-        # Threads take over the settings of this one.
-        running = {kind: threads.submit(inheritable_thread_target(spark)(export), kind) for kind in kinds}
-        for kind, run in running.items():
-            try:
-                written[kind] = run.result()
-            except Exception as error:  # told below, together with others
-                log.error("type %s was not exported: %s", kind, error)
-                failed[kind] = error
+    tasks = {kind: partial(export, kind) for (kind,) in fact.select(v.TYPE).distinct().collect()}
+    written, failed = attempt_together(spark, tasks, "export", at_once)
     if failed:
         raise ExportFailed(failed, written)
     return written

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armorica import vocabulary as v
+from armorica.concurrency import run_together
 from armorica.plans import (
     average_poverty,
     average_social_index,
@@ -230,8 +229,7 @@ def yearly_plan(spark: SparkSession, folder: str) -> DataFrame:
         of_year = spark.read.parquet(f"{base}/rows").filter(F.col(v.YEAR) == year).drop(v.YEAR)
         write_delimited(of_year, f"{base}/in/{dataset}/{year}/{dataset}-par-departement.csv")
 
-    with ThreadPoolExecutor(max_workers=4) as threads:
-        list(threads.map(inheritable_thread_target(spark)(write), [year for (year,) in years]))
+    run_together(spark, {year: partial(write, year) for (year,) in years}, "year")
     convert_yearly(spark, f"{base}/in", f"{base}/out", ["loyers", "charges"], departments=(3, 7, 11, 22, 24))
     back = [read_delimited(spark, f"{base}/out/{dataset}") for dataset in ("loyers", "charges")]
     return back[0].unionByName(back[1]).select(
@@ -342,16 +340,19 @@ def _warehouse(spark: SparkSession, folder: str) -> str:
     by_commune = orders.groupBy(F.col("o_custkey").alias(v.COMMUNE_CODE), v.YEAR).agg(
         F.count(F.lit(1)).alias("orders")
     )
-    write_delimited(by_commune, f"{base}/outputs/commandes-par-commune.csv", partition_by=[v.YEAR])
     code = F.concat(F.col("c_nationkey").cast("string"), F.lit(".0")).alias("Code Département")
     by_department = placed.groupBy(F.col("n_name").alias(v.GEO_DEPARTMENT_LABEL), code).agg(
         in_year(1996).alias("Ventes 1996"), in_year(1998).alias("Ventes 1998")
     )
-    write_delimited(by_department, f"{base}/outputs/pretes/ventes-par-departement.csv")
     by_region = placed.groupBy(F.col("n_regionkey").alias(v.REGION), F.col("c_mktsegment").alias(v.INDICATOR)).agg(
         in_year(1997).alias("taux pour mille 1997")
     )
-    write_delimited(by_region, f"{base}/outputs/Security/delits-par-region.csv")
+    outputs = {
+        "commandes-par-commune": partial(write_delimited, by_commune, f"{base}/outputs/commandes-par-commune.csv", [v.YEAR]),
+        "ventes-par-departement": partial(write_delimited, by_department, f"{base}/outputs/pretes/ventes-par-departement.csv"),
+        "delits-par-region": partial(write_delimited, by_region, f"{base}/outputs/Security/delits-par-region.csv"),
+    }
+    run_together(spark, outputs, "output")
     load_dimensions(geography(spark, folder), f"{base}/store")
     load_facts(spark, f"{base}/outputs", f"{base}/store", region_of(spark, folder))
     return base

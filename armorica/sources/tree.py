@@ -111,23 +111,32 @@ def file_tree(spark: SparkSession, base: str) -> FileTree:
     else:
         found = found.select("path", "length", F.col("_metadata.file_path").alias("_spelt"))
     found = found.filter((F.col("length") > 0) & F.col("path").rlike(LAYOUT))
-    # Parent, folder, prefix, name, year folder.
-    parts = F.split(F.regexp_replace("path", LAYOUT, "$1\n$2\n$3\n$4\n$5"), "\n")
-    root = re.escape(_plain_path(base).rstrip("/"))
-    below = F.regexp_replace(F.regexp_replace(F.regexp_extract("path", BEFORE, 1), r"^[a-z0-9]+:/*(?=/)", ""), rf"^{root}(?=/|$)", "")
-    name = F.when(parts[2] != "", _unescaped(parts[3])).otherwise(parts[3])
-    listed = found.select(
+    root = _plain_path(base).rstrip("/")
+    listed = found.selectExpr(
+        "path",
+        "length",
+        f"_spelt as {FILE_PATH}",
+        # Parent, folder, prefix, name, year folder.
+        f"split(regexp_replace(path, {_quoted(LAYOUT)}, '$1\n$2\n$3\n$4\n$5'), '\n') as _parts",
+        f"regexp_replace(regexp_extract(path, {_quoted(BEFORE)}, 1), '^[a-z0-9]+:/*(?=/)', '') as _before",
+        "regexp_extract(path, '^(.*)/', 1) as place",
+        "path rlike '/part-[^/]*$' as part",
+    ).selectExpr(
         "path",
         "length",
-        F.col("_spelt").alias(FILE_PATH),
-        name.alias("name"),
-        F.when(parts[4] != "", parts[4]).otherwise(parts[1]).alias("folder"),
-        F.filter(F.split(below, "/"), lambda part: part != "").alias("below"),
-        F.lower(F.regexp_extract(name, r"\.[^.]*$", 0)).alias("suffix"),
-        F.regexp_extract("path", r"^(.*)/", 1).alias("place"),
-        F.col("path").rlike(r"/part-[^/]*$").alias("part"),
+        FILE_PATH,
+        "if(_parts[2] != '', url_decode(replace(_parts[3], '+', '%2B')), _parts[3]) as name",
+        "if(_parts[4] != '', _parts[4], _parts[1]) as folder",
+        f"filter(split(if(startswith(_before, {_quoted(root)}), substr(_before, {len(root) + 1}), _before), '/'), x -> x != '') as below",
+        "place",
+        "part",
     )
-    return FileTree(listed.withColumn("depth", F.size("below")), F.lit(True))
+    return FileTree(listed.selectExpr("*", "lower(regexp_extract(name, '[.][^.]*$', 0)) as suffix", "size(below) as depth"), F.lit(True))
+
+
+def _quoted(text: str) -> str:
+    """A text as a literal of SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def list_files(spark: SparkSession, base: str) -> list[SourceFile]:
