@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import partial, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ from armorica.operators.facts import (
     territory_level,
 )
 from armorica.operators.joins import is_small
-from armorica.operators.reshape import flatten_metrics, is_malformed, keys_by, unpivot_years
+from armorica.operators.reshape import MOST_COLUMNS, flatten_metrics, is_malformed, keys_by, long_metrics, unpivot_years
 from armorica.sinks import (
     append_database,
     overwrite_database,
@@ -32,8 +33,8 @@ from armorica.sinks import (
     write_facts,
     write_table,
 )
-from armorica.sources import file_tree
-from armorica.sources.tree import FILE_PATH, Group, add_from_path, file_type, read_labelled, with_provenance
+from armorica.sources import FileTree, file_tree
+from armorica.sources.tree import FILE_PATH, Group, add_from_path, file_type, path_columns, read_labelled, with_provenance
 from armorica.workspace import materialise
 
 # Folder of the rows without a year in a file split by year.
@@ -54,19 +55,60 @@ def load_facts(
     warehouse: str,
     region_of: RegionOf = REGION_OF,
     mode: str = "replace",
+    changed_only: bool = False,
 ) -> int:
-    """Bring every metric file onto communes and store the facts in one write.
+    """Bring every metric file onto communes and store the facts in one write; gives the rows written.
 
     ``mode`` is that of ``write_facts``. Rows without a year are loaded without one.
     Régions without a commune are told by ``unplaced_regions``.
+
+    A manifest beside the facts keeps path, length and time of the files that were loaded. With
+    ``changed_only`` (and ``replace``) only types with a file that is new, changed or gone since are loaded, and
+    replace their (type, year) parts; all types if the communes have been stored anew. A year
+    that no file of a type holds any more stays. A load that fails leaves the manifest as it was.
     """
-    dimension = spark.read.parquet(f"{warehouse}/{v.COMMUNE_TABLE}")
-    small = is_small(dimension)
-    parts = [facts(table, dimension, region_of, small) for table in metric_tables(spark, outputs)]
-    parts = [part for part in parts if part is not None]
-    if not parts:
-        return 0
-    return write_facts(reduce(DataFrame.unionByName, parts), f"{warehouse}/{v.FACT_TABLE}", mode)
+    if changed_only and mode != "replace":
+        raise ValueError("changed files replace their parts, they cannot be appended")
+    tree = _with_types(file_tree(spark, outputs))
+    loaded = f"{warehouse}/{v.FACT_TABLE}_loaded"
+    communes_at = f"{warehouse}/{v.COMMUNE_TABLE}"
+    stored = spark.read.format("binaryFile").load(communes_at).selectExpr("path", "length", "modificationTime as modified")
+    now = tree.listed.select("path", "length", "modified", v.TYPE).unionByName(stored.withColumn(v.TYPE, F.lit(None).cast("string")))
+    chosen = _changed(spark, tree, now, loaded) if changed_only else tree
+    tables = metric_tables(spark, outputs, chosen)
+    written = 0
+    if tables:
+        dimension = spark.read.parquet(communes_at)
+        small = is_small(dimension)
+        parts = [facts(table, dimension, region_of, small) for table in tables]
+        parts = [part for part in parts if part is not None]
+        if parts:
+            written = write_facts(reduce(DataFrame.unionByName, parts), f"{warehouse}/{v.FACT_TABLE}", mode)
+    now.write.mode("overwrite").parquet(loaded)
+    return written
+
+
+def _with_types(tree: FileTree) -> FileTree:
+    """The tree with the type of each file."""
+    return FileTree(path_columns(tree.listed, {v.TYPE: file_type}, "path"), tree.chosen)
+
+
+def _changed(spark: SparkSession, tree: FileTree, now: DataFrame, loaded: str) -> FileTree:
+    """Files of the types that differ from what was loaded."""
+    try:
+        before = spark.read.parquet(loaded)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return tree
+    same = ["path", "length", "modified"]
+    # What is there before or now, but not both.
+    different = now.join(before, same, "left_anti").unionByName(before.join(now, same, "left_anti"))
+    different = materialise(different.select(v.TYPE).distinct())
+    if not different.filter(F.col(v.TYPE).isNull()).isEmpty():
+        return tree
+    listed = tree.listed.join(different.withColumn("_changed", F.lit(True)), v.TYPE, "left")
+    return FileTree(listed, tree.chosen).where(F.col("_changed"))
 
 
 def unplaced_regions(
@@ -84,8 +126,8 @@ def unplaced_regions(
     return reduce(DataFrame.unionByName, lost).groupBy("code_region").agg(F.sum("n").alias("n"))
 
 
-def metric_tables(spark: SparkSession, outputs: str) -> list[DataFrame]:
-    """Metric files as tables with a type and a year, one per distinct header.
+def metric_tables(spark: SparkSession, outputs: str, tree: FileTree | None = None) -> list[DataFrame]:
+    """Metric files, of the whole folder or those chosen in its ``tree``, as tables with a type and a year, one per distinct header.
 
     Files in a year folder take the year from it. Département and région files
     with year columns give one row per year column. A département file can be
@@ -100,7 +142,7 @@ def metric_tables(spark: SparkSession, outputs: str) -> list[DataFrame]:
         "region": name.rlike(r"par-region\.csv$"),
         "department": name.rlike(r"par-departement\.csv$"),
     }
-    groups = read_labelled(spark, file_tree(spark, outputs), kinds)
+    groups = read_labelled(spark, tree or file_tree(spark, outputs), kinds)
     tables = []
     for kind in kinds:
         for group in groups:
@@ -176,19 +218,23 @@ class ExportFailed(RuntimeError):
         super().__init__("; ".join(f"{kind}: {str(error).splitlines()[0]}" for kind, error in self.failed.items()))
 
 
-def export_facts(spark: SparkSession, warehouse: str, target: str, at_once: int = AT_ONCE) -> dict[str, int]:
+def export_facts(
+    spark: SparkSession, warehouse: str, target: str, at_once: int = AT_ONCE, most_columns: int = MOST_COLUMNS
+) -> dict[str, int]:
     """Facts back as columns, ``<target>/<type>.csv/annee=<year>``; rows written per type.
 
-    One job finds the keys of all types. Types differ in their columns, so each has its own
-    write; the table is laid out by type, so together they read it once. ``at_once`` writes
-    run together, each in a scheduler pool and job group of its own. A type that fails
-    stops no other: ``ExportFailed`` tells all that did, when the others are written.
+    Two jobs count and find the keys of all types. A type of more than about ``most_columns`` keys
+    is written as rows (``metric``, ``valeur``) instead of columns, which a warning tells. Types differ
+    in their columns, so each has its own write; the table is laid out by type, so together they read it
+    once. ``at_once`` writes run together, each in a scheduler pool and job group of its own. A type that
+    fails stops no other: ``ExportFailed`` tells all that did, when the others are written.
     """
     fact = read_facts(spark, f"{warehouse}/{v.FACT_TABLE}")
-    keys = keys_by(fact, v.TYPE)
+    keys = keys_by(fact, v.TYPE, most=most_columns)
 
     def export(kind: str | None) -> int:
-        flat = flatten_metrics(keep_slice(fact, {v.TYPE: kind}), keys=keys.get(kind, []))
+        rows, columns = keep_slice(fact, {v.TYPE: kind}), keys.get(kind, [])
+        flat = long_metrics(rows) if columns is None else flatten_metrics(rows, keys=columns)
         return write_delimited(flat, f"{target}/{kind}.csv", partition_by=[v.YEAR])
 
     tasks = {kind: partial(export, kind) for (kind,) in fact.select(v.TYPE).distinct().collect()}

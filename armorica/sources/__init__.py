@@ -1,6 +1,6 @@
 """Sources: delimited files, workbooks, file trees and database tables."""
 
-from armorica.sources.database import read_database
+from armorica.sources.database import quantile_predicates, read_database, read_database_evenly
 from armorica.sources.delimited import read_delimited, separator_for
 from armorica.sources.tree import FileTree, SourceFile, file_tree, list_files, list_one_level, read_file, read_groups
 from armorica.sources.workbook import read_workbooks
@@ -11,7 +11,9 @@ __all__ = [
     "file_tree",
     "list_files",
     "list_one_level",
+    "quantile_predicates",
     "read_database",
+    "read_database_evenly",
     "read_delimited",
     "read_file",
     "read_groups",

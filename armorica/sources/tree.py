@@ -67,7 +67,7 @@ class SourceFile:
 class FileTree:
     """Files below a base, one row each, and a condition that tells which of them are chosen.
 
-    Columns: ``path``, ``length``, the path as scans spell it (``FILE_PATH``), ``name`` (the file goes by),
+    Columns: ``path``, ``length``, ``modified``, the path as scans spell it (``FILE_PATH``), ``name`` (the file goes by),
     ``folder`` (its parent or year folder), ``below`` (folders between base and file) and their
     number ``depth``, ``suffix``, ``place`` (folder that holds it) and ``part`` (of one write).
     """
@@ -107,14 +107,15 @@ def file_tree(spark: SparkSession, base: str) -> FileTree:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         log.info("no folder %s", base)
-        found = spark.createDataFrame([], "path string, length bigint").withColumn("_spelt", F.lit(""))
+        found = spark.createDataFrame([], "path string, length bigint, modified timestamp").withColumn("_spelt", F.lit(""))
     else:
-        found = found.select("path", "length", F.col("_metadata.file_path").alias("_spelt"))
+        found = found.selectExpr("path", "length", "modificationTime as modified", "_metadata.file_path as _spelt")
     found = found.filter((F.col("length") > 0) & F.col("path").rlike(LAYOUT))
     root = _plain_path(base).rstrip("/")
     listed = found.selectExpr(
         "path",
         "length",
+        "modified",
         f"_spelt as {FILE_PATH}",
         # Parent, folder, prefix, name, year folder.
         f"split(regexp_replace(path, {_quoted(LAYOUT)}, '$1\n$2\n$3\n$4\n$5'), '\n') as _parts",
@@ -124,6 +125,7 @@ def file_tree(spark: SparkSession, base: str) -> FileTree:
     ).selectExpr(
         "path",
         "length",
+        "modified",
         FILE_PATH,
         "if(_parts[2] != '', url_decode(replace(_parts[3], '+', '%2B')), _parts[3]) as name",
         "if(_parts[4] != '', _parts[4], _parts[1]) as folder",
@@ -229,8 +231,16 @@ def add_from_path(
     return df.drop(*rules).join(F.broadcast(known), FILE_PATH, "left").drop(FILE_PATH)
 
 
+def path_columns(df: DataFrame, rules: Mapping[str, Callable[[Column], Column]], path: str) -> DataFrame:
+    """The columns that rules take from a plain path, besides the others."""
+    return _by_rules(df, rules, F.col(path))
+
+
 def _placed(df: DataFrame, rules: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
-    path = _unescaped(F.col(FILE_PATH))
+    return _by_rules(df, rules, _unescaped(F.col(FILE_PATH)))
+
+
+def _by_rules(df: DataFrame, rules: Mapping[str, Callable[[Column], Column]], path: Column) -> DataFrame:
     parts = F.split(F.regexp_replace(path, LAYOUT, "$1/$2/$3/$4/$5"), "/")
     # The whole path comes last.
     placed = df.withColumn("_place", F.concat(parts, F.array(path)))

@@ -25,6 +25,7 @@ from armorica.operators.geography import keep_territory, normalise_geography, pl
 from armorica.operators.joins import broadcast_if_small, is_small, measured_bytes
 from armorica.operators.reshape import (
     flatten_metrics,
+    key_numbers,
     keys_by,
     long_metrics,
     malformed_json,
@@ -322,6 +323,21 @@ def test_every_key_becomes_a_column(spark):
     assert out.columns == keys and list(out.first()) == keys
 
 
+def test_a_million_keys_stay_rows(spark):
+    """Neither collected nor lost; types of few keys keep their columns."""
+    many = spark.range(1_000_000).select(F.lit("many").alias("type"), F.to_json(F.create_map(F.concat(F.lit("k"), "id"), "id")).alias("data"))
+    few = spark.range(3).select(F.lit("few").alias("type"), F.to_json(F.create_map(F.lit("a"), "id")).alias("data"))
+    none = spark.range(2).select(F.lit(None).cast("string").alias("type"), F.lit('{"b": 1}').alias("data"))
+    facts = many.unionByName(few).unionByName(none)
+    assert keys_by(facts, "type") == {"many": None, "few": ["a"], None: ["b"]}
+    assert keys_by(facts, "type", most=0) == {"many": None, "few": None, None: None}
+    assert long_metrics(facts.filter("type = 'many'")).count() == 1_000_000
+    with pytest.raises(ValueError, match="too many"):
+        flatten_metrics(facts)
+    numbers = {row["group"]: row["keys"] for row in key_numbers(facts, "type").collect()}
+    assert abs(numbers["many"] - 1_000_000) < 60_000 and numbers["few"] == 1
+
+
 # -- facts ---------------------------------------------------------------------------
 
 

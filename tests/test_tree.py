@@ -67,7 +67,7 @@ def test_paths_are_opened_as_spark_lists_them(tmp_path):
 
 def test_header_columns():
     assert header_schema("Code;Taux  %").names == ["Code", "Taux  %"]
-    for odd in (None, "", "a;;b", "a;A", '"a\;b";c', "a\;b"):
+    for odd in (None, "", "a;;b", "a;A", '"a\\;b";c', "a\\;b"):
         assert header_schema(odd) is None
 
 
@@ -211,3 +211,89 @@ def test_jobs_run_together(spark):
     assert time.time() - start < 8 and set(done) == {"a", "b"} and isinstance(failed["c"], ZeroDivisionError)
     with pytest.raises(ZeroDivisionError):
         run_together(spark, {"c": lambda: 1 / 0}, "t")
+
+
+def test_only_changed_types_are_loaded_again(spark, tmp_path, monkeypatch):
+    from armorica.sinks import read_facts, write_table
+
+    outputs, store = tmp_path / "outputs", str(tmp_path / "store")
+    places = spark.createDataFrame([("1", "x", "p", 22)], "code_com string, nom_com string, geo_point string, code_dep int")
+
+    def metrics(name, year, value):
+        put(outputs / str(year) / f"{name}-par-commune.csv", f"CODGEO;x\n1;{value}\n")
+
+    def load():
+        return warehouse_plans.load_facts(spark, str(outputs), store, changed_only=True)
+
+    def stored():
+        facts = read_facts(spark, f"{store}/{v.FACT_TABLE}")
+        return sorted((row[v.TYPE], row[v.YEAR], row["x"]) for row in facts.selectExpr("type", "annee", "get_json_object(data, '$.x') as x").collect())
+
+    write_table(places, f"{store}/{v.COMMUNE_TABLE}")
+    for name, year in (("a", 2017), ("a", 2018), ("b", 2017)):
+        metrics(name, year, 1)
+    assert load() == 3
+    read = []
+    monkeypatch.setattr(trees, "read_delimited", lambda *rest, f=trees.read_delimited: read.append(rest[1]) or f(*rest))
+    assert load() == 0 and not read, "no metric file is read"
+    metrics("a", 2018, 22)
+    assert load() == 2 and "b-par" not in str(read)
+    assert stored() == [("a", 2017, "1"), ("a", 2018, "22"), ("b", 2017, "1")]
+    metrics("c", 2020, 3)
+    assert load() == 1
+    write_table(places.withColumn("nom_com", F.lit("y")), f"{store}/{v.COMMUNE_TABLE}")
+    assert load() == 4, "all, as the communes are new"
+    with pytest.raises(ValueError):
+        warehouse_plans.load_facts(spark, str(outputs), store, mode="append", changed_only=True)
+
+
+def test_crowded_types_are_exported_as_rows(spark, tmp_path):
+    fact = spark.createDataFrame(
+        [("1", "x", 1, '{"a": 1, "b": 2, "c": 3}', "wide", 2017), ("1", "x", 1, '{"a": 4}', "slim", 2017)], FACT_SCHEMA
+    )
+    write_facts(fact, str(tmp_path / v.FACT_TABLE))
+    assert export_facts(spark, str(tmp_path), str(tmp_path / "out"), most_columns=2) == {"wide": 3, "slim": 1}
+    wide = spark.read.option("header", True).option("sep", ";").csv(str(tmp_path / "out" / "wide.csv"))
+    assert sorted((row.metric, row.valeur) for row in wide.collect()) == [("a", "1"), ("b", "2"), ("c", "3")]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 50])
+def test_predicates_hold_for_every_value_once(spark, parts):
+    from armorica.sources import quantile_predicates
+
+    skewed = spark.range(1000).select(F.when(F.col("id") % 10 != 0, F.when(F.col("id") < 600, 5).otherwise(F.col("id") * 1000 - 500_000)).alias("code"))
+    predicates = quantile_predicates(skewed.sample(0.5, seed=1), "code", parts)
+    held = skewed.select(sum((F.coalesce(F.expr(one), F.lit(False)).cast("int") for one in predicates), F.lit(0)).alias("n"))
+    assert held.distinct().collect() == [(1,)] and len(predicates) <= parts
+    assert quantile_predicates(skewed.limit(0), "code", parts) == ["1 = 1"]
+    sizes = [skewed.filter(one).count() for one in predicates]
+    assert max(sizes) <= max(641, 2 * 1000 / parts), "all rows of one key stay in one part"
+
+
+def test_even_reads_of_a_database(spark):
+    from armorica.sources import database
+
+    class Reader:
+        told = {}
+
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            self.told["sample"] = options["dbtable"]
+            return self
+
+        def load(self):
+            return spark.range(100).withColumnRenamed("id", "code")
+
+        def jdbc(self, url, table, predicates, properties):
+            self.told |= {"table": table, "predicates": predicates, "properties": properties}
+            return "rows"
+
+    class Session:
+        read = Reader()
+
+    assert database.read_database_evenly(Session(), "jdbc:x", "Commune", "code", 4, options={"user": "u"}) == "rows"
+    told = Session.read.told
+    assert told["sample"] == "(SELECT code FROM Commune) sampled_keys" and told["properties"] == {"user": "u"}
+    assert len(told["predicates"]) == 4 and told["predicates"][0].endswith("IS NULL")
