@@ -4,8 +4,8 @@
    hash, so equal windows have equal anchors, and the windows of one anchor are few and
    adjacent. A segment is the words these windows span. Only anchors that occur more
    than once can hold a repeated window.
-2. Equal segments are represented by one, with their number. Its text goes to the shard
-   of its anchor.
+2. Equal segments, by 128 bits of XXH3 over their words, are represented by one, with
+   their number. Its text goes to the shard of its anchor.
 3. In a shard, windows that occur twice are confirmed word by word, the borders of each
    stretch of confirmed windows become the patterns of an Aho-Corasick automaton over
    words, and all segments of the shard are streamed through it. No repeated window is
@@ -43,7 +43,7 @@ SEGMENTS_AT_ONCE = 1_500
 AUTOMATON_WORDS = 200_000
 CHUNK_BYTES = 1 << 20
 NO_ID = -(1 << 63)
-_M, _M2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+_M2 = 0xD6E8FEB86659FD93
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -64,30 +64,27 @@ def _powers(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def _stretch_hashes(values: np.ndarray, starts: np.ndarray, stops: np.ndarray, base: int) -> np.ndarray:
-    """Hash of the values of each stretch, the same wherever it stands."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(base, len(values)), dtype=np.uint64)])
-    return _mixed((sums[stops] - sums[starts]) * _powers(pow(base, -1, 1 << 64), len(values) + 1)[starts])
+def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word, and the byte after it."""
+    edges = np.flatnonzero(np.diff(np.r_[True, _SPACE[data], True].view(np.int8)))
+    return edges[0::2], edges[1::2]
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, and the number of words of each text."""
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    space = _SPACE[data]
-    edges = np.flatnonzero(np.diff(np.r_[True, space].view(np.int8)))
-    starts, stops = edges[0::2], edges[1::2]
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hashes of words: the sum of a mixed number for each byte at its place in the word."""
     hashes = np.empty(len(starts), np.uint64)
     first = 0
     while first < len(starts):
         # Words of about 1 MiB at a time.
         last = max(first + 1, int(np.searchsorted(stops, starts[first] + CHUNK_BYTES, "right")))
-        low, high = starts[first], stops[last - 1]
-        hashes[first:last] = _stretch_hashes(
-            data[low:high].astype(np.uint64) + np.uint64(1), starts[first:last] - low, stops[first:last] - low, _M
-        )
+        sizes = stops[first:last] - starts[first:last]
+        ends = np.cumsum(sizes)
+        place = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+        octets = data[place + np.repeat(starts[first:last], sizes)]
+        values = _mixed((octets.astype(np.uint64) + np.uint64(1)) + (place.astype(np.uint64) << np.uint64(8)))
+        hashes[first:last] = _mixed(np.add.reduceat(values, ends - sizes))
         first = last
-    ends = np.cumsum([len(text) + 1 for text in texts])
-    return hashes, np.diff(np.r_[0, np.searchsorted(starts, ends)])
+    return hashes
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -105,11 +102,18 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def runs_of(texts: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """The segments of texts: text, first word, number of windows, hash of the anchor, hash of the words."""
-    words, numbers = word_hashes(texts)
-    if len(words) < window:
-        return tuple(np.zeros(0, kind) for kind in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+def runs_of(texts: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """The segments of texts: text, first word, number of windows, hash of the anchor, 128-bit hash of the words."""
+    none = tuple(np.zeros(0, kind) for kind in (np.int64, np.int64, np.int64, np.uint64))
+    # One space between words, so that equal words are equal bytes.
+    flat = b"\n".join([b" ".join(text.split()) for text in texts]) + b"\n"
+    data = np.frombuffer(flat, np.uint8)
+    starts, stops = words_of(data)
+    if len(starts) < window:
+        return *none, []
+    ends = np.flatnonzero(data == 10)
+    numbers = np.diff(np.r_[0, np.searchsorted(starts, ends)])
+    words = word_hashes(data, starts, stops)
     grams = np.zeros(len(words) - anchor + 1, np.uint64)
     for j in range(anchor):
         grams += words[j : j + len(grams)] * _powers(_M2, anchor)[j]
@@ -118,11 +122,12 @@ def runs_of(texts: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, .
     owner = np.repeat(np.arange(len(texts)), numbers)
     windows = np.flatnonzero(owner[: len(at)] == owner[window - 1 :])
     if not len(windows):
-        return runs_of([], window, anchor)
+        return *none, []
     new = np.r_[True, (np.diff(at[windows]) != 0) | (np.diff(windows) != 1)]
     first = windows[new]
     number = np.diff(np.r_[np.flatnonzero(new), len(windows)])
-    content = _stretch_hashes(words, first, first + number + window - 1, _M2)
+    bytes_of = zip(starts[first].tolist(), stops[first + number + window - 2].tolist(), strict=True)
+    content = [xxhash.xxh3_128_digest(flat[low:high]) for low, high in bytes_of]
     begin = np.cumsum(numbers) - numbers
     return owner[first], first - begin[owner[first]], number, grams[at[first]], content
 
@@ -141,7 +146,7 @@ def _find_runs(window: int, anchor: int):
                         pa.array(start, pa.int32()),
                         pa.array(number, pa.int32()),
                         pa.array(anchors.view(np.int64)),
-                        pa.array(content.view(np.int64)),
+                        pa.array(content, pa.binary()),
                     ],
                     names=["id", "key", "start", "n", "anchor", "content"],
                 )
@@ -150,8 +155,8 @@ def _find_runs(window: int, anchor: int):
     return find
 
 
-_RUNS = "id bigint, key bigint, start int, n int, anchor bigint, content bigint"
-_SEGMENTS = "anchor bigint, content bigint, copies bigint, salt int, text binary"
+_RUNS = "id bigint, key bigint, start int, n int, anchor bigint, content binary"
+_SEGMENTS = "anchor bigint, content binary, copies bigint, salt int, text binary"
 
 
 def _cut_segments(window: int):
@@ -164,7 +169,7 @@ def _cut_segments(window: int):
                     some = rows[at : at + 4096]
                     columns = [
                         pa.array([row["anchor"] for row in some], pa.int64()),
-                        pa.array([row["content"] for row in some], pa.int64()),
+                        pa.array([row["content"] for row in some], pa.binary()),
                         pa.array([row["copies"] for row in some], pa.int64()),
                         pa.array([row["salt"] for row in some], pa.int32()),
                         pa.array([b" ".join(words[row["start"] : row["start"] + row["n"] + window - 1]) for row in some], pa.binary()),
@@ -180,11 +185,11 @@ class Shard:
     def __init__(self, window: int) -> None:
         self._window = window
         self._numbers: dict[bytes, int] = {}
-        self._segments: list[tuple[int, int, tuple[int, ...]]] = []
+        self._segments: list[tuple[int, bytes, tuple[int, ...]]] = []
         self._patterns: set[tuple[int, ...]] = set()
         self.words = 0
 
-    def add(self, anchor: int, segments: dict[int, tuple[int, bytes]]) -> None:
+    def add(self, anchor: int, segments: dict[bytes, tuple[int, bytes]]) -> None:
         """The different segments of an anchor: content to copies and text."""
         window = self._window
         number = self._numbers
@@ -209,7 +214,7 @@ class Shard:
         """Rows of segments with the stretches of words that repeat."""
         import ahocorasick
 
-        rows: list[tuple[int, int, list[dict]]] = []
+        rows: list[tuple[int, bytes, list[dict]]] = []
         if self._patterns:
             automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
             for pattern in self._patterns:
@@ -227,7 +232,7 @@ class Shard:
                     rows.append((anchor, content, [{"first": a, "words": b - a} for a, b in spans]))
         self.__init__(self._window)
         kind = pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32())]))
-        arrays = [pa.array([row[0] for row in rows], pa.int64()), pa.array([row[1] for row in rows], pa.int64())]
+        arrays = [pa.array([row[0] for row in rows], pa.int64()), pa.array([row[1] for row in rows], pa.binary())]
         return pa.RecordBatch.from_arrays([*arrays, pa.array([row[2] for row in rows], kind)], names=["anchor", "content", "spans"])
 
 
@@ -265,15 +270,15 @@ def _windows(window: int):
                 for i in range(len(words) - window + 1):
                     rows.append((xxhash.xxh3_128_digest(b" ".join(words[i : i + window])), anchor, content, i, copies))
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
             arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=["window", "anchor", "content", "first", "copies"])
 
     return cut
 
 
-_WINDOWS = "window binary, anchor bigint, content bigint, first int, copies bigint"
-_FOUND = "anchor bigint, content bigint, spans array<struct<first:int,words:int>>"
+_WINDOWS = "window binary, anchor bigint, content binary, first int, copies bigint"
+_FOUND = "anchor bigint, content binary, spans array<struct<first:int,words:int>>"
 
 
 def repeated_passages(
@@ -300,7 +305,7 @@ def repeated_passages(
     crowded = materialise(
         different.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments")).filter(F.col("segments") > segments_at_once)
     )
-    salt = F.pmod("content", F.ceil(F.col("segments") / segments_at_once))
+    salt = F.pmod(F.xxhash64("content"), F.ceil(F.col("segments") / segments_at_once))
     dealt = different.join(crowded, "anchor", "left").withColumn("salt", F.coalesce(salt, F.lit(-1)).cast("int"))
     run = F.struct("anchor", "content", "copies", "salt", F.col("place.start").alias("start"), F.col("place.n").alias("n"))
     of_text = dealt.groupBy(F.col("place.id").alias("id"), F.col("place.key").alias("key")).agg(F.collect_list(run).alias("runs"))
@@ -316,7 +321,8 @@ def repeated_passages(
         every = every.unionByName(counted)
     in_text = F.transform("spans", lambda x: F.struct((x["first"] + F.col("start")).alias("first"), x["words"].alias("words")))
     back = held.join(every, ["anchor", "content"]).select("id", "key", in_text.alias("spans"))
-    return back.groupBy("id", "key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    # Rows of equal id and text find the same spans: each is kept once.
+    return back.groupBy("id", "key").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 _REMOVED = "id bigint, n_words bigint, n_removed bigint, kept string"

@@ -265,6 +265,31 @@ def test_repeated_passages(spark, crowd):
     assert [(row.n_words, row.n_removed, row.kept) for row in found] == _strip(texts, 8)
 
 
+def test_words_that_differ_are_not_repeated(spark):
+    """Words that polynomial hashes modulo 2^64 take for equal."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"z{i}" for i in range(34))
+    mixed = ["u", "v"]
+    sentence = " ".join(mixed[bin(i).count("1") % 2] for i in range(62))
+    swapped = " ".join(mixed[1 - bin(i).count("1") % 2] for i in range(62))
+    texts = [f"{one} {rest}", f"{other} {rest}", f"{sentence} end", f"{swapped} end", "a  b " * 20, "a\nb\t" * 20]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {row.doc_id: row.n_removed for row in phrases.remove_repeats(rows).collect()}
+    assert found == {i: gone for i, (_, gone, _) in enumerate(_strip(texts, 35))}
+    assert found[0] == found[1] == 0 and found[4] == 40
+
+
+def test_spans_of_equal_rows_do_not_add_up(spark):
+    text = " ".join(f"w{i}" for i in range(120))
+    for n in (2, 200):
+        rows = spark.createDataFrame([(7, text)] * n, "doc_id bigint, text string")
+        source = rows.select(F.col("doc_id").alias("id"), F.lit(1).cast("bigint").alias("key"), F.col("text").cast("binary").alias("text"))
+        spans = phrases.repeated_passages(source).collect()
+        assert len(spans) == 1 and len(spans[0].spans) < 30
+        assert phrases.remove_repeats(rows).filter("n_removed = 120").count() == n
+
+
 def test_repeated_passages_of_odd_rows(odd_docs, no_docs):
     found = collections.Counter((row.doc_id, row.n_words, row.n_removed) for row in phrases.remove_repeats(odd_docs).collect())
     assert found[2, 60, 60] == 2 and found[1, 60, 60] == 1 and found[6, 30_000, 0] == 1 and found[None, 0, 0] == 1
