@@ -12,8 +12,9 @@
    missed: it is a stretch, or a part of one, of its own segment.
 4. What is found in a segment holds for all equal segments, and goes back to the documents.
 
-An anchor with more different segments than a task should hold is spread over tasks, and
-its windows are counted by an aggregation instead.
+Segments of an anchor that has more different ones than a task should hold are cut into
+pieces by finer anchors first, the four least sequences of a window, and go through
+automata under these.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ WINDOW_WORDS = 35
 ANCHOR_WORDS = 8
 # Different segments of one anchor that one task takes.
 SEGMENTS_AT_ONCE = 1_500
+# Least sequences of a window that make a finer anchor.
+FINE_ANCHORS = 4
 # Words of the segments of one automaton, unless one anchor has more.
 AUTOMATON_WORDS = 200_000
 CHUNK_BYTES = 1 << 20
@@ -256,6 +259,45 @@ def _search(window: int):
     return search
 
 
+def _refine(window: int, anchor: int):
+    """Segments of crowded anchors, cut where the ``FINE_ANCHORS`` least sequences of a window change.
+
+    Equal windows have these in common too, so the pieces of equal ones are found under one finer anchor.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pc.greater_equal(batch.column("salt"), 0))
+            for at in range(0, batch.num_rows, 1024):
+                yield pieces(batch.slice(at, 1024))
+
+    def pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows: list[tuple] = []
+        for coarse, whole, copies, text in zip(
+            *(batch.column(name).to_pylist() for name in ("anchor", "content", "copies", "text")), strict=True
+        ):
+            words = text.split()
+            grams = [xxhash.xxh3_64_intdigest(b" ".join(words[i : i + anchor])) for i in range(len(words) - anchor + 1)]
+            span = window - anchor + 1
+            keys = [tuple(sorted(set(grams[i : i + span]))[:FINE_ANCHORS]) for i in range(len(words) - window + 1)]
+            first = 0
+            for i in range(1, len(keys) + 1):
+                if i == len(keys) or keys[i] != keys[first]:
+                    piece = b" ".join(words[first : i - 1 + window])
+                    fine = xxhash.xxh3_64_intdigest(np.array(keys[first], "<u8").tobytes()) - (1 << 63)
+                    rows.append((coarse, whole, first, fine, xxhash.xxh3_128_digest(piece), copies, piece))
+                    first = i
+        columns = zip(*rows, strict=True) if rows else [()] * 7
+        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
+        arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["coarse", "whole", "start", "anchor", "content", "copies", "text"])
+
+    return cut
+
+
+_PIECES = "coarse bigint, whole binary, start int, anchor bigint, content binary, copies bigint, text binary"
+
+
 def _windows(window: int):
     """Windows of the segments of crowded anchors, as 128-bit hashes."""
 
@@ -314,17 +356,41 @@ def repeated_passages(
     shards = segments.repartition("anchor", "salt")
     every = shards.sortWithinPartitions("anchor").mapInArrow(_search(window_words), _FOUND)
     if not crowded.isEmpty():
-        single = shards.mapInArrow(_windows(window_words), _WINDOWS)
-        twice = single.groupBy("window").agg(F.sum("copies").alias("total")).filter("total > 1").select("window")
-        span = F.struct("first", F.lit(window_words).alias("words"))
-        counted = single.join(twice, "window").groupBy("anchor", "content").agg(F.collect_set(span).alias("spans"))
-        every = every.unionByName(counted)
+        every = every.unionByName(_in_pieces(shards, window_words, anchor_words, segments_at_once))
     in_text = F.transform("spans", lambda x: F.struct((x["first"] + F.col("start")).alias("first"), x["words"].alias("words")))
     back = held.join(every, ["anchor", "content"]).select("id", "key", in_text.alias("spans"))
     # Rows of equal id and text find the same spans: each is kept once.
     return back.groupBy("id", "key").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
+def _in_pieces(shards: DataFrame, window_words: int, anchor_words: int, segments_at_once: int) -> DataFrame:
+    """Rows of ``_FOUND`` for segments of crowded anchors, by way of finer anchors.
+
+    A finer anchor that is crowded again is spread over tasks, and its windows are counted by an aggregation.
+    """
+    spark = shards.sparkSession
+    folder = new_folder(spark, "pieces")
+    shards.mapInArrow(_refine(window_words, anchor_words), _PIECES).write.parquet(folder)
+    pieces = spark.read.schema(_PIECES).parquet(folder)
+    different = pieces.groupBy("anchor", "content").agg(F.sum("copies").alias("copies"), F.any_value("text").alias("text"))
+    crowded = pieces.select("anchor", "content").distinct().groupBy("anchor").agg(F.count(F.lit(1)).alias("segments"))
+    crowded = materialise(crowded.filter(F.col("segments") > segments_at_once))
+    salt = F.pmod(F.xxhash64("content"), F.ceil(F.col("segments") / segments_at_once))
+    dealt = different.join(crowded, "anchor", "left").withColumn("salt", F.coalesce(salt, F.lit(-1)).cast("int"))
+    fine = dealt.select("anchor", "content", "copies", "salt", "text").repartition("anchor", "salt")
+    found = fine.sortWithinPartitions("anchor").mapInArrow(_search(window_words), _FOUND)
+    if not crowded.isEmpty():
+        single = fine.mapInArrow(_windows(window_words), _WINDOWS)
+        twice = single.groupBy("window").agg(F.sum("copies").alias("total")).filter("total > 1").select("window")
+        span = F.struct("first", F.lit(window_words).alias("words"))
+        counted = single.join(twice, "window").groupBy("anchor", "content").agg(F.collect_set(span).alias("spans"))
+        found = found.unionByName(counted)
+    in_segment = F.transform("spans", lambda x: F.struct((x["first"] + F.col("start")).alias("first"), x["words"].alias("words")))
+    back = pieces.select("coarse", "whole", "start", "anchor", "content").join(found, ["anchor", "content"])
+    back = back.select(F.col("coarse").alias("anchor"), F.col("whole").alias("content"), in_segment.alias("spans"))
+    return back.groupBy("anchor", "content").agg(F.flatten(F.collect_set("spans")).alias("spans"))
+
+
 _REMOVED = "id bigint, n_words bigint, n_removed bigint, kept string"
 
 
