@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from armorica.llm.common import give_back_memory, named, octets, slices
-from armorica.workspace import materialise
+from armorica.workspace import materialise, new_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -49,8 +49,9 @@ CACHED_WORDS = 150_000
 # Different words, and sequences, that a task counts before it hands them on.
 COUNTED_WORDS, COUNTED_SEQUENCES = 100_000, 300_000
 UNKNOWN = "und"
-# Runs of letters.
-WORD = re.compile(r"[^\W\d_]+")
+# Runs of letters. Word characters that are neither letters nor decimal digits are marks and numbers such as "½".
+_NO_LETTERS = "".join(char for char in map(chr, range(sys.maxunicode + 1)) if char.isalnum() and not char.isalpha() and not char.isdecimal())
+WORD = re.compile(rf"[^\W\d_{_NO_LETTERS}]+")
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -263,11 +264,16 @@ def _by_sequence(level: DataFrame, languages: list[str]) -> DataFrame:
 
 
 def fit(
-    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", most_languages: int = 256, sent_entries: int = SENT_ENTRIES
+    labelled: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    most_languages: int = 256,
+    sent_entries: int = SENT_ENTRIES,
+    calibrate: bool = True,
 ) -> Model | StoredModel:
     """Model of all rows with a text and a language.
 
-    All sequences are kept, and limits of rejection come from all rows. A model of more than ``sent_entries`` sequences and contexts
+    All sequences are kept, and limits of rejection come from all rows; without ``calibrate`` there are none. A model of more than ``sent_entries`` sequences and contexts
     is a ``StoredModel``, which is joined instead of sent to workers.
     """
     rows = labelled.select(named(lang_col).alias("language"), octets(named(text_col)).alias("text")).filter(
@@ -289,11 +295,9 @@ def fit(
     else:
         stored = [[_by_sequence(level, languages) for level in part] for part in (grams, contexts)]
         model = StoredModel(languages, *stored, -math.log(alphabet), {})
-    # No filter: it would judge every row a second time.
-    judged = identify(rows, model, out_col="found")
-    right = F.when(F.col("language") == F.col("found.language"), F.col("found.cross_entropy"))
-    spread = judged.groupBy("language").agg(F.percentile_approx(right, QUANTILE, 10_000).alias("limit"))
-    model.limits = {row["language"]: row["limit"] for row in spread.collect() if row["limit"] is not None}
+    if calibrate:
+        # No filter: it would judge every row a second time.
+        model.limits = _limits(identify(rows, model, out_col="found"))
     return model
 
 
@@ -315,7 +319,7 @@ class Judge:
         self._sums = np.vstack([self._sums, np.add.reduceat(each, starts)])
         self._chars = np.concatenate([self._chars, np.array([len(word) + 1 for word in words])])
 
-    def judge(self, texts: list[bytes]) -> tuple[list[str], list[float], list[float | None], list[bool]]:
+    def judge(self, texts: list[bytes]) -> tuple[list[str], list[float], list[float | None], list[bool], list[int]]:
         model = self._model
         found = [words_of(text) for text in texts]
         if not model.languages:
@@ -326,10 +330,10 @@ class Judge:
             new = set().union(*found)
         if new:
             self._learn(list(new))
-        languages, scores, entropies, rejected = [], [], [], []
+        languages, scores, entropies, rejected, sizes = [], [], [], [], []
         for words in found:
             if not words:
-                languages.append(UNKNOWN), scores.append(0.0), entropies.append(None), rejected.append(True)
+                languages.append(UNKNOWN), scores.append(0.0), entropies.append(None), rejected.append(True), sizes.append(0)
                 continue
             at = np.fromiter(map(self._places.__getitem__, words), np.int64, len(words))
             chars = int(self._chars[at].sum())
@@ -341,7 +345,8 @@ class Judge:
             scores.append(float(1 / np.exp((entropy[best] - entropy) * min(chars, SCORED_CHARS)).sum()))
             entropies.append(float(entropy[best]))
             rejected.append(bool(entropy[best] > limit))
-        return languages, scores, entropies, rejected
+            sizes.append(chars)
+        return languages, scores, entropies, rejected, sizes
 
 
 def _unique_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -350,11 +355,11 @@ def _unique_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows[first], inverse
 
 
-_JUDGED = "struct<language:string,score:double,cross_entropy:double,rejected:boolean>"
+_JUDGED = "struct<language:string,score:double,cross_entropy:double,rejected:boolean,chars:bigint>"
 
 
 def judge(text: Column, model: Model) -> Column:
-    """Struct of ``language``, ``score`` (0 to 1), ``cross_entropy`` (nats a character) and ``rejected``.
+    """Struct of ``language``, ``score`` (0 to 1), ``cross_entropy`` (nats a character), ``rejected`` and ``chars`` (that were scored).
 
     The score is the share of the language among all languages at equal prior odds,
     over 40 characters at most. Text that is null or has no letter: ``und``, 0, null, rejected. Ties go to the
@@ -366,13 +371,13 @@ def judge(text: Column, model: Model) -> Column:
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         judging = sent.value
         for batch in batches:
-            columns: list[list] = [[], [], [], []]
+            columns: list[list] = [[], [], [], [], []]
             for texts in slices(batch, 1 << 20):
                 for column, values in zip(columns, judging.judge(texts), strict=True):
                     column.extend(values)
-            kinds = [pa.string(), pa.float64(), pa.float64(), pa.bool_()]
+            kinds = [pa.string(), pa.float64(), pa.float64(), pa.bool_(), pa.int64()]
             arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
-            yield pa.StructArray.from_arrays(arrays, ["language", "score", "cross_entropy", "rejected"])
+            yield pa.StructArray.from_arrays(arrays, ["language", "score", "cross_entropy", "rejected", "chars"])
         give_back_memory()
 
     return compute(octets(text))
@@ -391,9 +396,41 @@ def identify(docs: DataFrame, model: Model | StoredModel, text_col: str = "text"
     row = F.struct(*[named(name) for name in docs.columns]).alias("_row")
     keyed = docs.select(row, F.sha2(octets(named(text_col)), 256).alias("_key"))
     found = keyed.join(_judged(docs.select(octets(named(text_col)).alias("text")), model), "_key", "left")
-    none = F.struct(F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
-    columns = [F.col("_row")[name].alias(name) for name in docs.columns]
-    return found.select(*columns, F.coalesce("_judged", none).alias("_judged")).withColumn(out_col, F.col("_judged")).drop("_judged")
+    nothing = {"language": F.lit(UNKNOWN), "score": F.lit(0.0), "cross_entropy": F.lit(None).cast("double"), "rejected": F.lit(True), "chars": F.lit(0).cast("bigint")}
+    judged = F.coalesce("_judged", F.struct(*[value.alias(name) for name, value in nothing.items()]))
+    # The row is one column here: its names clash with no other.
+    columns = {name: F.col("_row")[name] for name in docs.columns} | {out_col: judged}
+    return found.select(*[value.alias(name) for name, value in columns.items()])
+
+
+def fit_and_identify(docs: DataFrame, labelled: Column, text_col: str = "text", lang_col: str = "lang", out_col: str = "identified") -> DataFrame:
+    """``identify`` with a model and limits from the ``labelled`` rows, each row judged once; all columns but the text.
+
+    The struct is that of ``judge``; limits are found among what was judged, in the shared folder.
+    """
+    labelled = F.coalesce(labelled, F.lit(False))
+    model = fit(docs.filter(labelled).select(named(text_col).alias("text"), named(lang_col).alias("lang")), calibrate=False)
+    kept = [name for name in docs.columns if name not in (text_col, out_col)]
+    # The row is one column here: its names clash with no other.
+    row = F.struct(*[named(name) for name in kept], F.lit(True).alias("_")) if kept else F.struct(F.lit(True).alias("_"))
+    language = F.when(labelled & named(text_col).isNotNull(), named(lang_col)).alias("language")
+    judged = identify(docs.select(row.alias("row"), language, named(text_col).alias("text")), model, out_col="found")
+    folder = new_folder(docs.sparkSession, "judged")
+    judged.select("row", "language", "found").write.parquet(folder)
+    judged = docs.sparkSession.read.parquet(folder)
+    limit = F.lit(math.inf)
+    for language, value in _limits(judged).items():
+        limit = F.when(F.col("found.language") == language, F.lit(value)).otherwise(limit)
+    beyond = F.col("found.cross_entropy") > limit + MARGIN + SHORT_MARGIN / F.sqrt("found.chars")
+    found = F.col("found").withField("rejected", F.coalesce(beyond, F.lit(True)))
+    return judged.select(*[F.col("row")[name].alias(name) for name in kept], found.alias(out_col))
+
+
+def _limits(judged: DataFrame) -> dict[str, float]:
+    """Limits of cross-entropy by language, from all rows (language, found) of known language that were judged right."""
+    right = F.when(F.col("language") == F.col("found.language"), F.col("found.cross_entropy"))
+    spread = judged.groupBy("language").agg(F.percentile_approx(right, QUANTILE, 10_000).alias("limit"))
+    return {row["language"]: row["limit"] for row in spread.collect() if row["limit"] is not None}
 
 
 def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -458,7 +495,9 @@ def _judged(texts: DataFrame, model: StoredModel) -> DataFrame:
     limit = limit + MARGIN + SHORT_MARGIN / F.sqrt("chars")
     odds = F.transform("entropies", lambda x: F.exp((F.col("least") - x) * F.least("chars", F.lit(SCORED_CHARS))))
     score = 1 / F.aggregate(odds, F.lit(0.0), lambda total, x: total + x)
-    judged = F.struct("language", score.alias("score"), F.col("least").alias("cross_entropy"), (F.col("least") > limit).alias("rejected"))
+    judged = F.struct(
+        "language", score.alias("score"), F.col("least").alias("cross_entropy"), (F.col("least") > limit).alias("rejected"), F.col("chars").cast("bigint").alias("chars")
+    )
     return found.select("_key", judged.alias("_judged"))
 
 

@@ -57,11 +57,12 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    found = langid.identify(docs.select("doc_id", "text"), language_model(docs))
+    held_out = langid.held_out(F.col("doc_id"), 4, 2)
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = langid.fit_and_identify(docs, ~held_out)
     return found.select(
         "doc_id",
-        langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"),
+        held_out.alias("held_out"),
         F.col("identified.language").alias("lang_pred"),
         "identified.score",
         "identified.cross_entropy",

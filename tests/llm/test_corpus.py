@@ -244,6 +244,73 @@ def test_no_language(spark, no_docs, odd_docs):
 # --- repeated passages
 
 
+def test_numbers_are_no_letters(spark, docs):
+    """Neither way of scoring takes them for words; clashing names do no harm."""
+    texts = ["½ ² ① Ⅷ ٣ 12 _", "½ the ²", "", None, "x" * 100_000, "the of and"]
+    rows = spark.createDataFrame([(i, text, "j", 1, "k") for i, text in enumerate(texts)], "doc_id int, text string, _judged string, _row int, _key string")
+    labelled = docs.filter("lang is not null").limit(60)
+    for entries in (langid.SENT_ENTRIES, 0):
+        model = langid.fit(labelled, sent_entries=entries)
+        found = langid.identify(rows, model)
+        assert found.columns == [*rows.columns, "identified"] and found.count() == len(texts)
+        languages = {row.doc_id: row.identified.language for row in found.collect()}
+        assert sorted(i for i, language in languages.items() if language == "und") == [0, 2, 3]
+        assert langid.identify(rows.limit(0), model).count() == 0
+
+
+def test_one_pass_equals_two(docs, odd_docs, no_docs):
+    held_out = langid.held_out(F.col("doc_id"), 4, 2)
+    model = langid.fit(docs.filter(~held_out).select("text", "lang"))
+    two = {row.doc_id: tuple(row.identified) for row in langid.identify(docs.select("doc_id", "text"), model).collect()}
+    one = langid.fit_and_identify(docs.select("doc_id", "text", "lang"), ~held_out)
+    assert one.columns == ["doc_id", "lang", "identified"]
+    assert {row.doc_id: tuple(row.identified) for row in one.collect()} == two
+    odd = langid.fit_and_identify(odd_docs.withColumnsRenamed({"anchor": "row", "rank": "found"}), F.col("doc_id") < 7)
+    assert odd.count() == odd_docs.count() and "row" in odd.columns
+    assert langid.fit_and_identify(no_docs, F.lit(True)).count() == 0
+
+
+def _kneser_ney(texts, alphabet):
+    """Probability of a character after the ones before, worked out from plain counts."""
+    pad, end, order = langid.PAD, langid.END, langid.ORDER
+    grams = [collections.Counter() for _ in range(order + 1)]
+    for text in texts:
+        for word in langid.words_of(text.encode()):
+            padded = pad * (order - 1) + word + end
+            for i in range(len(word) + 1):
+                grams[order][padded[i : i + order]] += 1
+    for k in range(order - 1, 0, -1):
+        for longer, n in grams[k + 1].items():
+            grams[k][longer[1:]] += n if longer[1] == pad else 1
+
+    def probability(sequence):
+        if not sequence:
+            return 1 / alphabet
+        counts = grams[len(sequence)]
+        ones, twos = (sum(n == x for n in counts.values()) for x in (1, 2))
+        discount = min(0.95, ones / (ones + 2 * twos)) if ones and twos else 0.5
+        same = [n for gram, n in counts.items() if gram[:-1] == sequence[:-1]]
+        below = probability(sequence[1:])
+        if not same:
+            return below
+        n = counts.get(sequence, 0)
+        return (n - min(discount, n)) / sum(same) + discount * len(same) / sum(same) * below
+
+    return probability
+
+
+def test_model_equals_plain_kneser_ney(spark):
+    texts = ["the cat sat on the mat", "that hat the cat", "a rat"]
+    rows = spark.createDataFrame([(text, "en") for text in texts], "text string, lang string")
+    model = langid.fit(rows)
+    letters = {char for text in texts for word in text.split() for char in word} | {langid.END}
+    plainly = _kneser_ney(texts, len(letters) + 1)
+    sequences = ["\x02\x02\x02\x02t", "\x02\x02\x02th", "\x02\x02the", "\x02the\x03", "that\x03", "xxcat", "zzzzz", "cat\x03"[-5:].rjust(5, "q")]
+    codes = np.array([[ord(char) for char in sequence] for sequence in sequences])
+    found = np.exp(model.log_probabilities(codes)[:, 0])
+    assert np.allclose(found, [plainly(sequence) for sequence in sequences], rtol=1e-5)
+
+
 def _strip(texts, window):
     words = [(text or "").encode().split() for text in texts]
     counts = collections.Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))
