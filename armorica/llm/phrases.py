@@ -267,7 +267,6 @@ def _refine(window: int, anchor: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pc.greater_equal(batch.column("salt"), 0))
             for at in range(0, batch.num_rows, 1024):
                 yield pieces(batch.slice(at, 1024))
 
@@ -351,26 +350,26 @@ def repeated_passages(
     dealt = different.join(crowded, "anchor", "left").withColumn("salt", F.coalesce(salt, F.lit(-1)).cast("int"))
     run = F.struct("anchor", "content", "copies", "salt", F.col("place.start").alias("start"), F.col("place.n").alias("n"))
     of_text = dealt.groupBy(F.col("place.id").alias("id"), F.col("place.key").alias("key")).agg(F.collect_list(run).alias("runs"))
-    segments = docs.join(of_text, ["id", "key"]).mapInArrow(_cut_segments(window_words), _SEGMENTS)
-    # Both ways read the same exchange; each function passes over the rows of the other.
-    shards = segments.repartition("anchor", "salt")
-    every = shards.sortWithinPartitions("anchor").mapInArrow(_search(window_words), _FOUND)
+    texts = new_folder(docs.sparkSession, "segments")
+    docs.join(of_text, ["id", "key"]).mapInArrow(_cut_segments(window_words), _SEGMENTS).write.parquet(texts)
+    segments = docs.sparkSession.read.schema(_SEGMENTS).parquet(texts)
+    every = segments.filter("salt < 0").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_search(window_words), _FOUND)
     if not crowded.isEmpty():
-        every = every.unionByName(_in_pieces(shards, window_words, anchor_words, segments_at_once))
+        every = every.unionByName(_in_pieces(segments.filter("salt >= 0"), window_words, anchor_words, segments_at_once))
     in_text = F.transform("spans", lambda x: F.struct((x["first"] + F.col("start")).alias("first"), x["words"].alias("words")))
     back = held.join(every, ["anchor", "content"]).select("id", "key", in_text.alias("spans"))
     # Rows of equal id and text find the same spans: each is kept once.
     return back.groupBy("id", "key").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
-def _in_pieces(shards: DataFrame, window_words: int, anchor_words: int, segments_at_once: int) -> DataFrame:
+def _in_pieces(segments: DataFrame, window_words: int, anchor_words: int, segments_at_once: int) -> DataFrame:
     """Rows of ``_FOUND`` for segments of crowded anchors, by way of finer anchors.
 
     A finer anchor that is crowded again is spread over tasks, and its windows are counted by an aggregation.
     """
-    spark = shards.sparkSession
+    spark = segments.sparkSession
     folder = new_folder(spark, "pieces")
-    shards.mapInArrow(_refine(window_words, anchor_words), _PIECES).write.parquet(folder)
+    segments.mapInArrow(_refine(window_words, anchor_words), _PIECES).write.parquet(folder)
     pieces = spark.read.schema(_PIECES).parquet(folder)
     different = pieces.groupBy("anchor", "content").agg(F.sum("copies").alias("copies"), F.any_value("text").alias("text"))
     crowded = pieces.select("anchor", "content").distinct().groupBy("anchor").agg(F.count(F.lit(1)).alias("segments"))
@@ -378,6 +377,7 @@ def _in_pieces(shards: DataFrame, window_words: int, anchor_words: int, segments
     salt = F.pmod(F.xxhash64("content"), F.ceil(F.col("segments") / segments_at_once))
     dealt = different.join(crowded, "anchor", "left").withColumn("salt", F.coalesce(salt, F.lit(-1)).cast("int"))
     fine = dealt.select("anchor", "content", "copies", "salt", "text").repartition("anchor", "salt")
+    # Both ways read the same exchange; each function passes over the rows of the other.
     found = fine.sortWithinPartitions("anchor").mapInArrow(_search(window_words), _FOUND)
     if not crowded.isEmpty():
         single = fine.mapInArrow(_windows(window_words), _WINDOWS)
