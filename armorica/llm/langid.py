@@ -49,14 +49,18 @@ CACHED_WORDS = 150_000
 # Different words, and sequences, that a task counts before it hands them on.
 COUNTED_WORDS, COUNTED_SEQUENCES = 100_000, 300_000
 UNKNOWN = "und"
-# Runs of letters. Word characters that are neither letters nor decimal digits are marks and numbers such as "½".
-_NO_LETTERS = "".join(char for char in map(chr, range(sys.maxunicode + 1)) if char.isalnum() and not char.isalpha() and not char.isdecimal())
-WORD = re.compile(rf"[^\W\d_{_NO_LETTERS}]+")
+# Runs of word characters that are no decimal digits.
+WORD = re.compile(r"[^\W\d_]+")
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
 def words_of(text: bytes) -> list[str]:
-    return WORD.findall(text.decode("utf-8", "ignore").lower())
+    """Runs of letters, in lower case."""
+    found = WORD.findall(text.decode("utf-8", "ignore").lower())
+    if "".join(found).isalpha():
+        return found
+    # Some word characters are neither letters nor decimal digits, such as "½".
+    return [part for word in found for part in "".join([char if char.isalpha() else " " for char in word]).split()]
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
