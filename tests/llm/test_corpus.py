@@ -29,6 +29,25 @@ def test_query_matches_sql(spark, duck, tables, name):
     assert difference(query.run(spark, tables), duck, query.sql) is None
 
 
+COLUMNS = {
+    "op1_token_ids": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op2_pii_pseudonyms": ["doc_id", "text"],
+    "op3_decontamination": ["doc_id", "item_id"],
+    "op4_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op6_simhash_groups": ["doc_id", "fingerprint", "component_id"],
+    "op7_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op10_source_mix": ["doc_id", "size", "source_size", "target", "taken"],
+}
+
+
+@pytest.mark.parametrize("name", [name for name, query in queries.QUERIES.items() if not query.sql])
+def test_query_gives_its_columns(spark, docs, tables, name):
+    found = queries.QUERIES[name].run(spark, tables)
+    assert set(COLUMNS[name]) <= set(found.columns)
+    number = found.count()
+    assert number > 0 if name == "op3_decontamination" else number == docs.count()
+
+
 # --- token ids
 
 
