@@ -314,6 +314,9 @@ def pseudonymise(
     new names are replaced.
     """
     text, secret = named(text_col), F.lit(key)
+    taken = {name.lower() for name in (*docs.columns, out_col, counts_col)}
+    # Names of working columns that no other has.
+    values_col, rebuilt_col = (name + "_" * next(n for n in range(len(taken) + 1) if name + "_" * n not in taken) for name in ("_values", "_rebuilt"))
 
     def found(value: Column) -> Column:
         return F.struct(value.alias("value"), _kind(value).alias("kind"))
@@ -321,15 +324,15 @@ def pseudonymise(
     # What fails its rule hides nothing: values are looked for at every place, also within others.
     all_values = F.regexp_extract_all(text, F.lit(f"(?=({ANY}))"), F.lit(1))
     values = F.when(text.rlike(HINT) & text.rlike(ANY), F.transform(all_values, found))
-    hits = docs.withColumn("_values", values)
-    some = F.exists("_values", lambda x: x["kind"].isNotNull())
+    hits = docs.withColumn(values_col, values)
+    some = F.exists(values_col, lambda x: x["kind"].isNotNull())
     # A piece begins with each value, and one before the first.
     pieces = F.split(text, f"(?={ANY})", -1)
-    pieces = F.when(F.size(pieces) > F.size("_values"), pieces).otherwise(F.concat(F.array(F.lit("")), pieces))
+    pieces = F.when(F.size(pieces) > F.size(values_col), pieces).otherwise(F.concat(F.array(F.lit("")), pieces))
     new = F.transform(
-        "_values", lambda x: F.struct(F.length(x["value"]).alias("length"), _pseudonym(x["value"], x["kind"], secret).alias("text"), x["kind"].alias("kind"))
+        values_col, lambda x: F.struct(F.length(x["value"]).alias("length"), _pseudonym(x["value"], x["kind"], secret).alias("text"), x["kind"].alias("kind"))
     )
-    steps = F.zip_with(F.slice(pieces, F.lit(2), F.size("_values")), new, lambda piece, value: F.struct(piece.alias("piece"), value.alias("value")))
+    steps = F.zip_with(F.slice(pieces, F.lit(2), F.size(values_col)), new, lambda piece, value: F.struct(piece.alias("piece"), value.alias("value")))
 
     def put(state: Column, step: Column) -> Column:
         piece, value = step["piece"], step["value"]
@@ -346,6 +349,6 @@ def pseudonymise(
 
     start = F.struct(F.array(F.get(pieces, F.lit(0))).alias("parts"), F.lit(0).alias("left"), F.lit(0).alias("found"))
     rebuilt = F.aggregate(steps, start, put, lambda state: F.struct(F.array_join(state["parts"], "").alias("text"), state["found"].alias("found")))
-    changed = hits.withColumn("_rebuilt", F.when(some, rebuilt))
-    changed = changed.withColumn(out_col, F.when(F.col("_rebuilt").isNull(), text).otherwise(F.col("_rebuilt.text")))
-    return changed.withColumn(counts_col, F.coalesce("_rebuilt.found", F.lit(0))).drop("_values", "_rebuilt")
+    changed = hits.withColumn(rebuilt_col, F.when(some, rebuilt))
+    changed = changed.withColumn(out_col, F.when(F.col(rebuilt_col).isNull(), text).otherwise(F.col(rebuilt_col)["text"]))
+    return changed.withColumn(counts_col, F.coalesce(F.col(rebuilt_col)["found"], F.lit(0))).drop(values_col, rebuilt_col)

@@ -117,6 +117,16 @@ def test_pseudonyms_keep_the_format(spark):
     assert "".join(cards) == found["4111 1111 1111 1111 28.68.191.238"].pseudonymised[:19].replace(" ", ""), "equal values stay equal"
 
 
+def test_pseudonyms_keep_columns_of_any_name(spark, no_docs, odd_docs):
+    rows = [("call +1 (269) 555-3296.", 1, 2, 3), (None, 4, 5, 6), ("", 7, 8, 9), ("x" * 200_000, 10, 11, 12)] * 2
+    named = spark.createDataFrame(rows, "text string, _values int, _values_ int, _Rebuilt int")
+    found = pii.pseudonymise(named, "key")
+    assert found.columns == [*named.columns, "pseudonymised", "found"]
+    assert sorted(tuple(row)[1:4] for row in found.collect()) == sorted(row[1:] for row in rows)
+    assert {row.text: row.found for row in found.collect() if row.found} == {"call +1 (269) 555-3296.": 1}
+    assert pii.pseudonymise(no_docs, "key").count() == 0 and pii.pseudonymise(odd_docs, "key").count() == odd_docs.count()
+
+
 def test_values_end_where_they_end(spark):
     texts = {
         "ES91 2100 0418 4502 0005 1332 BIC CAIXESBB": r"^ES\d\d \d{4} \d{4} \d{4} \d{4} \d{4} BIC CAIXESBB$",
