@@ -28,9 +28,12 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from armorica.llm.common import give_back_memory, named, octets, slices
 from armorica.llm.langid import _spark_context
+from armorica.workspace import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,9 +44,10 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.6
 LEAST_OVERLAP = 0.5
 K1, B = 1.2, 0.75
-# Items of one index; more items make several, searched one after the other.
-ITEMS_PER_INDEX = 20_000
-PAIRS_AT_ONCE = 1 << 20
+# Postings of one index, about; more make several, of which a worker opens one at a time.
+POSTINGS_PER_INDEX = 2_000_000
+# Postings looked at in one step; a passage has no more than its index.
+POSTINGS_AT_ONCE = 1 << 21
 _WORD = re.compile(r"\w+")
 
 
@@ -101,12 +105,13 @@ class Index:
         bound = np.bincount(passage, self.most[term], minlength=len(passage_text))
         keep = bound[passage] >= THRESHOLD
         passage, term = passage[keep], term[keep]
-        for part in np.array_split(np.arange(len(passage)), max(1, -(-len(passage) // PAIRS_AT_ONCE))):
-            if len(part):
-                # Whole passages: up to the next border.
-                first = np.searchsorted(passage, passage[part[0]]) if part[0] else 0
-                first = first if first == part[0] else np.searchsorted(passage, passage[part[0]], "right")
-                last = np.searchsorted(passage, passage[part[-1]], "right")
+        if len(passage):
+            # Steps of whole passages, by the postings of their terms.
+            postings = (np.diff(self.starts) + np.diff(self.block_starts))[term]
+            starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
+            step = np.cumsum(np.add.reduceat(postings, starts)) // POSTINGS_AT_ONCE
+            borders = [*starts[np.r_[True, step[1:] != step[:-1]]], len(passage)]
+            for first, last in zip(borders, borders[1:], strict=False):
                 self._score(passage[first:last], term[first:last], passage_text, found)
         return found
 
@@ -129,10 +134,7 @@ class Index:
         return np.repeat(np.arange(len(texts)), number), np.unique(np.concatenate(pairs))
 
     def _score(self, passage: np.ndarray, term: np.ndarray, passage_text: np.ndarray, found: list[dict[int, float]]) -> None:
-        if not len(passage):
-            return
         blocks = -(-len(self.items) // BLOCK_UNITS)
-        first = passage[0]
         # Terms are in the order of what they add: those before the first one at which the
         # sum reaches the threshold cannot make a unit reach it without a later one.
         sums = np.cumsum(self.most[term])
@@ -140,19 +142,17 @@ class Index:
         before = np.repeat((sums - self.most[term])[starts], np.diff(np.r_[starts, len(passage)]))
         essential = sums - before >= THRESHOLD - 1e-6
         place, at = _expand(self.block_starts, term[essential])
-        wanted = np.unique((passage[essential][place] - first) * blocks + self.blocks[at])
+        wanted = np.unique(passage[essential][place] * blocks + self.blocks[at])
         # The most the passage can get in these blocks, over all its terms.
-        open_blocks = np.zeros((passage[-1] - first + 1) * blocks, bool)
-        open_blocks[wanted] = True
         place, at = _expand(self.block_starts, term)
-        keys = (passage[place] - first) * blocks + self.blocks[at]
-        most = np.bincount(keys, self.block_gains[at], minlength=len(open_blocks))
-        open_blocks &= most >= THRESHOLD - 1e-6
-        hopeful = open_blocks.reshape(-1, blocks).any(axis=1)[passage - first]
+        spot, among = _find(wanted, passage[place] * blocks + self.blocks[at])
+        most = np.bincount(spot[among], self.block_gains[at[among]], minlength=len(wanted))
+        open_blocks = wanted[most >= THRESHOLD - 1e-6]
+        _, hopeful = _find(np.unique(open_blocks // blocks), passage)
         passage, term = passage[hopeful], term[hopeful]
         place, at = _expand(self.starts, term)
         unit = self.units[at]
-        good = open_blocks[(passage[place] - first) * blocks + unit // BLOCK_UNITS]
+        _, good = _find(open_blocks, passage[place] * blocks + unit // BLOCK_UNITS)
         keys, inverse = np.unique(passage[place[good]] * len(self.items) + unit[good], return_inverse=True)
         scores = np.bincount(inverse, self.gains[at[good]], minlength=len(keys))
         for key, score in zip(keys[scores >= THRESHOLD], scores[scores >= THRESHOLD], strict=True):
@@ -199,6 +199,14 @@ def _expand(starts: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return place, starts[term][place] + within
 
 
+def _find(ordered: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each key among different ordered ones, and whether it is one of them."""
+    if not len(ordered):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    spot = np.minimum(np.searchsorted(ordered, keys), len(ordered) - 1)
+    return spot, ordered[spot] == keys
+
+
 def _pack(group: pd.DataFrame) -> pd.DataFrame:
     """Rows (unit of an item, term, gain) of one index to its arrays."""
     group = group.sort_values(["item", "part", "term"], kind="stable")
@@ -239,34 +247,33 @@ def _unit_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def indexes(
-    benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", items_per_index: int = ITEMS_PER_INDEX
+    benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", postings_per_index: int = POSTINGS_PER_INDEX
 ) -> Iterator[Broadcast]:
-    """Broadcast indexes of all items with words, each of about ``items_per_index`` items.
+    """Broadcast indexes of all items with words, each of about ``postings_per_index`` postings.
 
     BM25's document counts and lengths are those of the whole benchmark. Equal texts of
-    different ids are different items; rows without text or words give none.
+    different ids are different items; rows without text or words give none. The driver
+    holds one index at a time.
     """
     rows = benchmark.select(named(id_col).alias("id"), named(text_col).alias("text")).filter(F.col("text").isNotNull()).distinct()
     rows = rows.withColumn("item", F.xxhash64("id", "text"))
-    parts = max(1, -(-rows.count() // items_per_index))
-    rows = rows.withColumn("index", F.pmod(F.xxhash64("item"), F.lit(parts)).cast("int"))
-    terms = rows.select("item", "text").mapInPandas(_unit_terms, "item bigint, part int, term string, n int, words int")
+    terms = materialise(rows.select("item", "text").mapInPandas(_unit_terms, "item bigint, part int, term string, n int, words int"))
     whole = terms.select("item", "part", "words").distinct().agg(F.count(F.lit(1)).alias("units"), F.avg("words").alias("words")).first()
     if not whole["units"]:
         return
+    parts = max(1, -(-terms.count() // postings_per_index))
     among = terms.groupBy("term").agg(F.count(F.lit(1)).alias("held"))
     rarity = F.log1p((F.lit(whole["units"]) - F.col("held") + 0.5) / (F.col("held") + 0.5))
     length = 1 - B + B * F.col("words") / whole["words"]
     gains = terms.join(among, "term").withColumn("gain", rarity * F.col("n") * (K1 + 1) / (F.col("n") + K1 * length))
     own = gains.groupBy("item", "part").agg(F.sum("gain").alias("own"))
-    gains = gains.join(own, ["item", "part"]).withColumn("gain", F.col("gain") / F.col("own"))
+    gains = materialise(gains.join(own, ["item", "part"]).select("item", "part", "term", (F.col("gain") / F.col("own")).alias("gain")))
     for part in range(parts):
-        mine = rows.filter(F.col("index") == part)
-        packed = gains.join(mine.select("item"), "item", "left_semi").select("item", "part", "term", "gain")
-        packed = packed.groupBy(F.lit(part).alias("index")).applyInPandas(_pack, "terms array<string>, arrays binary").first()
+        mine = F.pmod(F.xxhash64("item"), F.lit(parts)) == part
+        packed = gains.filter(mine).groupBy(F.lit(part).alias("index")).applyInPandas(_pack, "terms array<string>, arrays binary").first()
         if packed is None:
             continue
-        items = {row["item"]: (row["id"], row["text"]) for row in mine.select("item", "id", "text").collect()}
+        items = {row["item"]: (row["id"], row["text"]) for row in rows.filter(mine).select("item", "id", "text").collect()}
         with np.load(io.BytesIO(packed["arrays"])) as arrays:
             held = dict(arrays)
         places = {item: n for n, item in enumerate(sorted(items))}
@@ -281,33 +288,47 @@ def indexes(
         )
 
 
-_HITS = "array<struct<item_id:bigint,score:double,question:double,answer:double>>"
-
-
-def _search(index: Broadcast) -> Callable:
-    @arrow_udf(_HITS)
+def _search(parts: list[Broadcast], id_type: DataType) -> Callable:
+    @arrow_udf(_hits_type(id_type))
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(
-            pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())])
+            pa.struct([("item_id", to_arrow_type(id_type)), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())])
         )
         for batch in batches:
-            yield pa.array([row for texts in slices(batch, 1 << 20) for row in index.value.hits(texts)], kind)
+            rows: list[list[dict]] = [[] for _ in range(len(batch))]
+            for part in parts:
+                index, at = part.value, 0
+                for texts in slices(batch, 1 << 20):
+                    for hits in index.hits(texts):
+                        rows[at].extend(hits)
+                        at += 1
+                if len(parts) > 1 and hasattr(part, "_path"):
+                    # Forget it: the next use opens it again from the executor's copy on disk (none if encrypted).
+                    del index, part._value
+            yield pa.array(rows, kind)
         give_back_memory()
 
     return search
 
 
-def contamination(text: Column, benchmark: DataFrame, **columns: str) -> Column:
+def _hits_type(id_type: DataType) -> str:
+    return f"array<struct<item_id:{id_type.simpleString()},score:double,question:double,answer:double>>"
+
+
+def contamination(text: Column, benchmark: DataFrame, id_col: str = "item_id", **options) -> Column:
     """Array of the test items a text holds: ``item_id``, ``score``, ``question``, ``answer`` (overlaps, 0 to 1).
 
     ``score`` is the greatest BM25 score of a passage for a part of the item, 1 for one
     that holds the part. Null and empty texts, and an empty benchmark, give an empty
-    array. Ids of items are whole numbers. Items come in the order of a hash.
+    array. Ids of items keep their type, numbers or texts. Items come in the order of a
+    hash. A benchmark of several indexes is searched one index after the other, for
+    each batch of documents.
     """
-    found = [_search(index)(octets(text)) for index in indexes(benchmark, **columns)]
-    return F.concat(*found) if found else F.array().cast(_HITS)
+    id_type = benchmark.select(named(id_col)).schema[0].dataType
+    parts = list(indexes(benchmark, id_col, **options))
+    return _search(parts, id_type)(octets(text)) if parts else F.array().cast(_hits_type(id_type))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", out_col: str = "items") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", out_col: str = "items", **options) -> DataFrame:
     """All rows and columns, with the test items each text holds in ``out_col`` (replaced if it exists)."""
-    return docs.withColumn(out_col, contamination(named(text_col), benchmark))
+    return docs.withColumn(out_col, contamination(named(text_col), benchmark, **options))
