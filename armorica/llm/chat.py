@@ -3,7 +3,7 @@
 A turn is ``### <role>: <text> </turn>`` and a line end. Each turn is rendered as it
 is, reparsed, and compared with the source; where the two differ, or the text holds a
 control string, its control strings and backslashes are escaped and the turn is
-compared again. In a role, ``%``, ``:``, ``<`` and line ends are written as percent codes.
+compared again; one that still differed would fail the job. In a role, ``%``, ``:``, ``<`` and line ends are written as percent codes.
 
 The end of a turn cannot occur inside a turn that read back, and it cannot overlap with
 itself, so a rendered conversation reads back turn by turn.
@@ -99,7 +99,8 @@ def format_conversations(
     )
     role, text = F.col("role"), F.col("text")
     plain = ~text.rlike(CONTROL) & _reads_back(role, text, text)
-    written = source.withColumn("body", F.when(plain, text).otherwise(escape(text)))
+    escaped = F.when(_reads_back(role, text, escape(text)), escape(text)).otherwise(F.raise_error(F.lit("a turn does not read back")))
+    written = source.withColumn("body", F.when(plain, text).otherwise(escaped))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     piece = _render(role, F.col("body"))
     header = F.length(_write_role(role)) + len(START) + len(BETWEEN)

@@ -121,7 +121,8 @@ select conv_id, count(*)::bigint as n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
     coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
     sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
-    sum(length(code) + length(body) + 15)::bigint as formatted_chars
+    sum(length(code) + length(body) + 15)::bigint as formatted_chars,
+    true as intact
 from b group by conv_id
 """)
 def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
@@ -149,6 +150,7 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.length("loss").cast("bigint").alias("loss_chars"),
         digest(F.col("loss")).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
+        "intact",
     )
 
 
