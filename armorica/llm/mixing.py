@@ -120,15 +120,18 @@ def mix(
     one. Documents of equal id and text are interchangeable; the order of all others is
     seeded, so reruns agree. Other columns are not read. An empty table gives no rows.
     """
-    slim = materialise(
-        docs.select(
-            named(id_col).alias("doc_id"),
-            named(source_col).alias("source"),
-            text_key(named(text_col)).alias("text_key"),
-            count_words(named(text_col)).alias("size"),
-        )
+    each = docs.select(
+        named(id_col).alias("doc_id"),
+        named(source_col).alias("source"),
+        text_key(named(text_col)).alias("text_key"),
+        count_words(named(text_col)).alias("size"),
     )
-    sources = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
+    # Equal rows are one with a number of copies; more copies than a shard has documents are several.
+    counted = each.groupBy("doc_id", "source", "text_key", "size").agg(F.count(F.lit(1)).alias("copies"))
+    chunks = counted.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / docs_per_shard))))
+    copies = F.least(F.col("copies") - F.col("chunk") * docs_per_shard, F.lit(docs_per_shard)).cast("bigint")
+    slim = materialise(chunks.withColumn("copies", copies).withColumn("words", F.col("size") * F.col("copies")))
+    sources = slim.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("copies").alias("docs"))
     shard_counts = sources.select("source", F.ceil(F.col("docs") / docs_per_shard).cast("int").alias("shards"))
     goals = targets(sources.select("source", "source_size"), weights, share, most_repeats)
     joined = goals.alias("g").join(shard_counts.alias("c"), F.col("g.source").eqNullSafe(F.col("c.source")))
@@ -148,13 +151,16 @@ def mix(
         "text_key",
         "d.source",
         "size",
+        "copies",
+        "words",
+        "chunk",
         "source_size",
         "rank",
         "target",
         seeded.alias("place"),
-        F.pmod(F.xxhash64(seeded, F.lit("shard")), F.col("shards")).cast("int").alias("shard"),
+        F.pmod(F.xxhash64(seeded, "chunk", F.lit("shard")), F.col("shards")).cast("int").alias("shard"),
     )
-    held = placed.groupBy("rank", "shard").agg(F.sum("size").alias("held"))
+    held = placed.groupBy("rank", "shard").agg(F.sum("words").alias("held"))
     shares = held.join(quotas, "rank").withColumn("share", F.col("held").cast("double"))
     shard_quotas = apportion(shares, ["rank"], F.col("source_quota"), [F.col("shard")])
     # Words to take of a shard, and the block its reading starts at.
@@ -167,9 +173,12 @@ def mix(
         )
     )
     read = placed.join(reading, ["rank", "shard"], "left")
-    order = Window.partitionBy("rank", "shard").orderBy("place", "doc_id", "text_key")
-    stop = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    read = read.withColumn("stop", stop).withColumn("start", F.col("stop") - F.col("size"))
+    order = Window.partitionBy("rank", "shard").orderBy("place", "doc_id", "text_key", "chunk")
+    end = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    read = read.withColumn("end", end).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    # Copies stand one after the other in the stream.
+    start = F.col("end") - F.col("words") + (F.col("copy") - 1) * F.col("size")
+    read = read.withColumn("start", start).withColumn("stop", F.col("start") + F.col("size"))
     # The reading covers [first, last) of the stream and, beyond its end, [0, over).
     last = F.least(F.col("first") + F.col("rest"), F.col("held"))
     over = F.greatest(F.lit(0), F.col("first") + F.col("rest") - F.col("held"))

@@ -6,6 +6,7 @@ import collections
 import os
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -193,6 +194,40 @@ def test_odd_benchmarks(spark, odd_docs, no_docs):
     assert decontaminate.contaminated(no_docs, items).count() == 0
 
 
+def test_several_indexes_find_what_one_finds(spark, docs, tables):
+    items = spark.read.parquet(os.path.join(tables, "benchmark.parquet"))
+    assert len(list(decontaminate.indexes(items, postings_per_index=300))) > 3
+
+    def found(**options):
+        rows = decontaminate.contaminated(docs.repartition(3), items, **options).collect()
+        return {(row.doc_id, hit.item_id, round(hit.score, 9)) for row in rows for hit in row["items"]}
+
+    assert found(postings_per_index=300) == found() != set()
+
+
+def test_ids_of_items_keep_their_type(spark):
+    rows = spark.createDataFrame([(1, "one two three four five six seven")], "doc_id int, text string")
+    items = spark.createDataFrame([("a-1", "one two three four five six"), (None, "two three four five six seven")], "id string, text string")
+    (row,) = decontaminate.contaminated(rows, items, id_col="id").collect()
+    assert {hit.item_id for hit in row["items"]} == {"a-1", None}
+    empty = decontaminate.contaminated(rows, items.limit(0), id_col="id")
+    assert empty.schema["items"].dataType.elementType["item_id"].dataType.simpleString() == "string" and empty.first()["items"] == []
+
+
+def test_memory_of_long_items_is_bounded(spark):
+    """Common words in every item: what a step holds follows its postings, not passages times blocks."""
+    rng = random.Random(3)
+    vocabulary = [f"w{int(rng.paretovariate(0.7)) % 5000}" for _ in range(20_000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=200))) for i in range(3000)]
+    index = next(decontaminate.indexes(spark.createDataFrame(items, "item_id int, text string"))).value
+    texts = [" ".join(rng.choices(vocabulary, k=400)).encode() for _ in range(300)] + [items[5][1].encode()]
+    tracemalloc.start()
+    hits = index.hits(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [hit["item_id"] for hit in hits[-1]] == [5] and peak < 400 << 20, peak
+
+
 def test_short_items(spark):
     items = [(1, "Capital of France? Paris"), (2, "法国的首都是哪里？巴黎"), (3, "Colour? Red"), (4, "Anagrams")]
     texts = [
@@ -569,6 +604,25 @@ def test_mix_meets_targets_of_rare_sources(spark):
         assert abs(taken[source] - target[source]) <= max(1, 0.02 * target[source])
 
 
+def test_equal_rows_are_dealt_to_shards(spark):
+    """Equal rows, a third of all, are one row with a number of copies in each of several shards."""
+    rows = [(1, "a b c", "s")] * 5000 + [(i, f"d{i} e f g h", "s") for i in range(2, 6000)] + [(None, None, None)] * 300 + [(1, "a b c", "t")] * 7
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    mixed = mixing.mix(docs, docs_per_shard=512).collect()
+    again = mixing.mix(docs.repartition(5), docs_per_shard=512).collect()
+    assert sorted(map(tuple, mixed), key=repr) == sorted(map(tuple, again), key=repr), "reruns agree"
+    number = collections.Counter((row.doc_id, row.size, row.source) for row in mixed)
+    assert number == collections.Counter((i, len((text or "").split()), source) for i, text, source in rows)
+    taken = collections.Counter()
+    for row in mixed:
+        taken[row.source] += row.taken
+        assert row.taken == row.size * row.whole + sum(part["words"] for part in row.parts) <= 2 * row.size
+    want = _targets({"s": 5000 * 3 + 5998 * 5, "t": 21, None: 0})
+    assert all(abs(taken[source] - want[source]) <= max(3, 0.02 * want[source]) for source in want)
+    pieces = mixing.mixture(docs, docs_per_shard=512).collect()
+    assert sum(len((row.text or "").split()) for row in pieces) == sum(taken.values())
+
+
 def test_apportionment(spark):
     rng = random.Random(8)
     shares = {i: rng.choice([0.1, 1.0, 5.0, 90.0, 400.0]) for i in range(25)}
