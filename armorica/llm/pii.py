@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -308,15 +309,21 @@ def pseudonymise(
 ) -> DataFrame:
     """All rows and columns, the text with pseudonyms in ``out_col`` and the number of values replaced in ``counts_col``.
 
-    ``key`` is secret: whoever has it can undo the permutations. Null text stays null
+    ``key`` is secret: whoever has it can undo the permutations. It is read from a table
+    of one row, so plans and event logs show no more than a subquery. Null text stays null
     (nothing found); a text without valid values is unchanged, to the letter. Repeated
     rows get equal results. An empty table gives no rows. Existing columns of the two
     new names are replaced.
     """
-    text, secret = named(text_col), F.lit(key)
+    text = named(text_col)
     taken = {name.lower() for name in (*docs.columns, out_col, counts_col)}
     # Names of working columns that no other has.
-    values_col, rebuilt_col = (name + "_" * next(n for n in range(len(taken) + 1) if name + "_" * n not in taken) for name in ("_values", "_rebuilt"))
+    values_col, rebuilt_col, secret_col = (
+        name + "_" * next(n for n in range(len(taken) + 1) if name + "_" * n not in taken) for name in ("_values", "_rebuilt", "_secret")
+    )
+    # A lambda cannot hold a subquery: the secret is a column first.
+    secret = F.col(secret_col)
+    one_row = docs.sparkSession.createDataFrame(pa.table({"key": [key]}))
 
     def found(value: Column) -> Column:
         return F.struct(value.alias("value"), _kind(value).alias("kind"))
@@ -324,7 +331,7 @@ def pseudonymise(
     # What fails its rule hides nothing: values are looked for at every place, also within others.
     all_values = F.regexp_extract_all(text, F.lit(f"(?=({ANY}))"), F.lit(1))
     values = F.when(text.rlike(HINT) & text.rlike(ANY), F.transform(all_values, found))
-    hits = docs.withColumn(values_col, values)
+    hits = docs.withColumn(values_col, values).withColumn(secret_col, one_row.scalar())
     some = F.exists(values_col, lambda x: x["kind"].isNotNull())
     # A piece begins with each value, and one before the first.
     pieces = F.split(text, f"(?={ANY})", -1)
@@ -351,4 +358,4 @@ def pseudonymise(
     rebuilt = F.aggregate(steps, start, put, lambda state: F.struct(F.array_join(state["parts"], "").alias("text"), state["found"].alias("found")))
     changed = hits.withColumn(rebuilt_col, F.when(some, rebuilt))
     changed = changed.withColumn(out_col, F.when(F.col(rebuilt_col).isNull(), text).otherwise(F.col(rebuilt_col)["text"]))
-    return changed.withColumn(counts_col, F.coalesce(F.col(rebuilt_col)["found"], F.lit(0))).drop(values_col, rebuilt_col)
+    return changed.withColumn(counts_col, F.coalesce(F.col(rebuilt_col)["found"], F.lit(0))).drop(values_col, rebuilt_col, secret_col)

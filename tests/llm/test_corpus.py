@@ -128,6 +128,16 @@ def test_pseudonyms_keep_columns_of_any_name(spark, no_docs, odd_docs):
     assert pii.pseudonymise(no_docs, "key").count() == 0 and pii.pseudonymise(odd_docs, "key").count() == odd_docs.count()
 
 
+def test_the_key_stands_in_no_plan(spark):
+    rows = spark.createDataFrame([("call +1 (269) 555-3296.",)], "text string")
+    found = pii.pseudonymise(rows, "open-sesame")
+    assert found.first().pseudonymised != pii.pseudonymise(rows, "other").first().pseudonymised
+    plan = found._jdf.queryExecution()
+    for shown in (plan.toString(), plan.executedPlan().toString()):
+        assert "open-sesame" not in shown
+    assert "Python" not in plan.executedPlan().toString()
+
+
 def test_values_end_where_they_end(spark):
     texts = {
         "ES91 2100 0418 4502 0005 1332 BIC CAIXESBB": r"^ES\d\d \d{4} \d{4} \d{4} \d{4} \d{4} BIC CAIXESBB$",
