@@ -27,6 +27,7 @@ from armorica.operators.joins import is_small
 from armorica.operators.reshape import MOST_COLUMNS, flatten_metrics, is_malformed, keys_by, long_metrics, unpivot_years
 from armorica.sinks import (
     append_database,
+    load_once,
     overwrite_database,
     read_facts,
     write_delimited,
@@ -199,9 +200,20 @@ def check_facts(fact: DataFrame, commune: DataFrame, department: DataFrame) -> d
     }
 
 
-def publish(spark: SparkSession, warehouse: str, url: str, options: Mapping[str, str] | None = None) -> dict[str, int]:
-    """Copy the stored tables to a database: dimensions replaced, facts added; rows written per table."""
+def publish(
+    spark: SparkSession, warehouse: str, url: str, options: Mapping[str, str] | None = None, run: str | None = None
+) -> dict[str, int]:
+    """Copy the stored tables to a database: dimensions replaced, facts added; rows written per table.
+
+    With a ``run`` each table is loaded once for it (``sinks.load_once``), however often tasks or the whole are
+    repeated; without, a repeated task or call adds its facts again.
+    """
     dimensions = {v.DEPARTMENT_TABLE: v.DEPARTMENT_DDL, v.COMMUNE_TABLE: v.COMMUNE_DDL}
+    if run is not None:
+        once = {
+            name: load_once(spark.read.parquet(f"{warehouse}/{name}"), url, name, run, True, ddl, options) for name, ddl in dimensions.items()
+        }
+        return once | {v.FACT_TABLE: load_once(read_facts(spark, f"{warehouse}/{v.FACT_TABLE}"), url, v.FACT_TABLE, run, options=options)}
     written = {
         name: overwrite_database(spark.read.parquet(f"{warehouse}/{name}"), url, name, ddl, options)
         for name, ddl in dimensions.items()

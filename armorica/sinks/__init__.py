@@ -1,6 +1,6 @@
 """Sinks: delimited files, the fact table and database tables."""
 
-from armorica.sinks.database import append_database, overwrite_database
+from armorica.sinks.database import append_database, load_once, overwrite_database
 from armorica.sinks.files import counted, write_delimited
 from armorica.sinks.warehouse import ensure_table, read_facts, write_facts, write_table
 
@@ -8,6 +8,7 @@ __all__ = [
     "append_database",
     "counted",
     "ensure_table",
+    "load_once",
     "overwrite_database",
     "read_facts",
     "write_delimited",
