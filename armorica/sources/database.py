@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +29,22 @@ def read_database(
     return reader.load()
 
 
+MAX_BIGINT = (1 << 63) - 1
+
+
 def quantile_predicates(sample: DataFrame, key: str, parts: int) -> list[str]:
     """Conditions on a whole-number key that split a table into parts of about equal rows.
 
-    Split points are quantiles of the sample, so that a key of many rows narrows its own part and
-    gaps cost nothing. Every value, null included, meets exactly one condition; a sample
+    Split points are quantiles of the sample, so that gaps cost nothing; a key that is several
+    quantiles is a part of its own. Every value, null included, meets exactly one condition; a sample
     without values, or with one, gives fewer parts.
     """
     if parts < 1:
         raise ValueError("at least one part")
     places = [place / parts for place in range(1, parts)]
     quantiles = F.percentile_approx(F.col(f"`{key}`").cast("bigint"), places, 10_000)
-    splits = sorted(set(sample.agg(quantiles).first()[0] or [])) if places else []
+    found = Counter((sample.agg(quantiles).first()[0] or []) if places else [])
+    splits = sorted({*found, *(split + 1 for split, n in found.items() if n > 1 and split < MAX_BIGINT)})
     if not splits:
         return ["1 = 1"]
     between = [f"{key} >= {low} AND {key} < {high}" for low, high in zip(splits[:-1], splits[1:], strict=True)]
