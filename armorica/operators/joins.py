@@ -1,12 +1,13 @@
 """Joins onto lookups and dimensions.
 
-A side is broadcast only after its bytes have been counted. Beyond the bound the
-join is left to Spark: a shuffled join whose hot keys adaptive execution splits.
+A side is broadcast only after its bytes have been counted: of a stored table when it was
+written, else by an aggregate. Beyond the bound the join is left to Spark: a shuffled join
+whose hot keys adaptive execution splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from armorica.functions import column
@@ -17,11 +18,17 @@ ROW_BYTES = 16
 CELL_BYTES = 8
 
 
+def size_columns(df: DataFrame) -> list[Column]:
+    """Aggregates of all rows: their number ``n`` and their ``bytes`` when broadcast."""
+    text = F.concat_ws("", *[column(name).cast("string") for name in df.columns])
+    octets = F.coalesce(F.sum(F.octet_length(text).cast("bigint")), F.lit(0))
+    per_row = ROW_BYTES + CELL_BYTES * len(df.columns)
+    return [F.count(F.lit(1)).alias("n"), (octets + F.count(F.lit(1)) * per_row).alias("bytes")]
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Size of all rows, by one distributed aggregate."""
-    text = F.concat_ws("", *[column(name).cast("string") for name in df.columns])
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text).cast("bigint")).alias("octets")).first()
-    return (size["octets"] or 0) + size["n"] * (ROW_BYTES + CELL_BYTES * len(df.columns))
+    return df.agg(*size_columns(df)).first()["bytes"]
 
 
 def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:

@@ -23,10 +23,10 @@ from armorica.operators.facts import (
     regions_without_commune,
     territory_level,
 )
-from armorica.operators.joins import is_small
 from armorica.operators.reshape import MOST_COLUMNS, flatten_metrics, is_malformed, keys_by, long_metrics, unpivot_years
 from armorica.sinks import (
     append_database,
+    is_stored_small,
     load_once,
     overwrite_database,
     read_facts,
@@ -80,7 +80,7 @@ def load_facts(
     written = 0
     if tables:
         dimension = spark.read.parquet(communes_at)
-        small = is_small(dimension)
+        small = is_stored_small(spark, communes_at)
         parts = [facts(table, dimension, region_of, small) for table in tables]
         parts = [part for part in parts if part is not None]
         if parts:

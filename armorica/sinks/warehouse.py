@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from armorica import vocabulary as v
+from armorica.operators.joins import BROADCAST_BYTES, measured_bytes, size_columns
 from armorica.sinks.files import counted
 
 FACT_SCHEMA = (
@@ -14,11 +15,40 @@ FACT_SCHEMA = (
 )
 
 
+SIZE_SCHEMA = "n bigint, bytes bigint"
+
+
+def _size_path(path: str) -> str:
+    # Spark leaves names with an underscore out of the table, and an overwrite removes them with it.
+    return f"{path}/_size"
+
+
 def write_table(df: DataFrame, path: str) -> int:
-    """Replace a dimension table; gives the number of rows written."""
-    df, seen = counted(df)
-    df.write.mode("overwrite").parquet(path)
-    return seen.get["n"]
+    """Replace a dimension table; gives the number of rows written.
+
+    Rows and bytes are observed while writing and kept in the table's folder, for ``stored_bytes``.
+    """
+    seen = Observation("size")
+    df.observe(seen, *size_columns(df)).write.mode("overwrite").parquet(path)
+    size = seen.get
+    kept = df.sparkSession.createDataFrame([(size["n"], size["bytes"])], SIZE_SCHEMA)
+    kept.coalesce(1).write.mode("overwrite").json(_size_path(path))
+    return size["n"]
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a table when broadcast, as kept by ``write_table``; a table stored otherwise is measured."""
+    try:
+        kept = spark.read.schema(SIZE_SCHEMA).json(_size_path(path)).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        kept = None
+    return kept["bytes"] if kept else measured_bytes(spark.read.parquet(path))
+
+
+def is_stored_small(spark: SparkSession, path: str, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return stored_bytes(spark, path) <= max_bytes
 
 
 def ensure_table(df: DataFrame, path: str) -> None:

@@ -35,6 +35,7 @@ from armorica.operators.reshape import (
 )
 from armorica.operators.scores import camp_scores_long, camp_scores_wide, candidate_pairs
 from armorica.operators.statistics import diploma_shares, mean_by_commune, mean_by_territory, pivot_years
+from armorica.sinks import is_stored_small, stored_bytes, write_table
 
 
 def rows(df, *names):
@@ -431,3 +432,15 @@ def test_sizes_are_measured(spark):
     assert is_small(df) and not is_small(df, 10)
     assert "broadcast" in broadcast_if_small(df)._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in broadcast_if_small(df, 10)._jdf.queryExecution().logical().toString().lower()
+
+
+def test_sizes_are_kept_when_written(spark, tmp_path):
+    df, path = texts(spark, ["a", "b"], ("xx", None), ("é", "yyy")), str(tmp_path / "t")
+    assert write_table(df, path) == 2
+    assert stored_bytes(spark, path) == measured_bytes(df) and spark.read.parquet(path).count() == 2
+    assert is_stored_small(spark, path) and not is_stored_small(spark, path, 10)
+    assert write_table(empty(df), path) == 0 and stored_bytes(spark, path) == 0
+    # The size goes with the table that is replaced; a table stored by others is measured.
+    df.write.mode("overwrite").parquet(path)
+    assert stored_bytes(spark, path) == measured_bytes(df)
+
