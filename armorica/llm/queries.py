@@ -156,14 +156,14 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
 with v as (
-    select vec_id, embedding::double[] as e from embeddings
+    select row_number() over () as r, vec_id, embedding::double[] as e from embeddings
     where vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         and len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), scored as (
-    select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e) as score
-    from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 20 = 0
+    select q.r, q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e) as score
+    from v q join v c on q.r <> c.r and len(q.e) = len(c.e) where q.vec_id % 20 = 0
 ), ranked as (
-    select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scored
+    select *, row_number() over (partition by r order by score desc, vec_id)::integer as rank from scored
 )
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """)

@@ -561,6 +561,41 @@ def test_nearest_is_exact_at_factor_one(spark, shard_rows):
     assert vptree.nearest(table.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("shard_rows", [16, 4096])
+def test_nearest_takes_repeated_ids_as_rows(spark, shard_rows):
+    rng = np.random.default_rng(5)
+    # A third of the rows are one vector, of one id or of several.
+    rows = [(i % 40, x.tolist()) for i, x in enumerate(rng.integers(-2, 3, (200, 3)).astype(float)) if x.any()]
+    rows += [(i % 7 * 20, [1.0, 2.0, 1.0]) for i in range(100)]
+    found = vptree.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), lambda i: i % 20 == 0, 5, shard_rows=shard_rows)
+    expected = []
+    for q, (query_id, x) in enumerate(rows):
+        if query_id % 20 == 0:
+            scores = sorted((-float(np.dot(x, y)), c) for r, (c, y) in enumerate(rows) if r != q)[:5]
+            expected += [(query_id, rank, c, -s) for rank, (s, c) in enumerate(scores, 1)]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_regions_far_away_are_not_searched():
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(16, 8))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    vectors = np.repeat(centres, 100, axis=0) + rng.normal(scale=0.02, size=(1600, 8))
+    most = (vectors**2).sum(axis=1).max()
+    router = vptree.build_router(vectors[::4], most, 25)
+    home = vptree.route(router, vectors)
+    spans = {region: vptree._spans(router, region, vectors[home == region]) for region in set(home.tolist())}
+    products = vectors @ vectors.T
+    floor = np.sort(np.where(home[:, None] == home, products, -np.inf), axis=1)[:, -10]
+    visited = 0
+    for q in range(0, 1600, 20):
+        wanted = vptree.regions_to_search(router, spans, home[q : q + 1], vectors[q : q + 1], floor[q : q + 1], 1.0)
+        better = set(home[products[q] >= floor[q]].tolist()) - {home[q]}
+        assert better <= set(wanted)
+        visited += len(wanted)
+    assert visited < 0.3 * 80 * len(spans)
+
+
 def test_relaxed_search_recalls(spark, tables):
     table = spark.read.parquet(os.path.join(tables, "embeddings.parquet"))
     exact, relaxed = (
