@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import sys
+from functools import reduce
 from itertools import islice
 
 import pyarrow as pa
@@ -36,6 +37,28 @@ BLOCKS_PER_SHARD = 1024
 BLOCKS_PER_SOURCE = 50
 
 
+def _in_order(rows: DataFrame, order: list[Column], sums: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` with their ``place`` (from 1) in an ``order`` without ties and the whole numbers ``<name>_before``, sums of what comes before.
+
+    Rows are sorted by ranges; a range learns from the driver what the ranges before it
+    add up to, so no task sees all rows and the driver a row per range.
+    """
+    dealt = materialise(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    held = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), *[F.sum(name).alias(name) for name in sums])
+    bases, before = [], [0] * (1 + len(sums))
+    for found, *numbers in sorted(map(tuple, held.collect())):
+        bases.append((found, *before))
+        before = [x + (y or 0) for x, y in zip(before, numbers, strict=True)]
+    schema = "_range int, _base bigint" + "".join(f", `_base_{name}` bigint" for name in sums)
+    dealt = dealt.join(F.broadcast(rows.sparkSession.createDataFrame(bases, schema)), "_range")
+    here = Window.partitionBy("_range").orderBy(*order)
+    earlier = here.rowsBetween(Window.unboundedPreceding, -1)
+    found = dealt.withColumn("place", F.row_number().over(here) + F.col("_base"))
+    for name in sums:
+        found = found.withColumn(f"{name}_before", F.coalesce(F.sum(name).over(earlier), F.lit(0)) + F.col(f"_base_{name}"))
+    return found.drop("_range", "_base", *[f"_base_{name}" for name in sums])
+
+
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_REPEATS) -> DataFrame:
     """Rows ``source``, ``source_size`` with the source's ``target`` in words added.
 
@@ -44,54 +67,57 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
     in order of cap per weight those that reach their cap come first, and the level of
     the others follows from what is left: no iteration is needed.
     """
-    everything = Window.partitionBy()
-    ranked = sources.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
-    turn = F.col("rank") % len(weights)  # 1, 2, ..., 0
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.when(turn == 0, len(weights)).otherwise(turn).cast("int"))
-    size = F.col("source_size")
-    weighed = (
-        ranked.withColumn("weight", weight)
-        .withColumn("cap", (size * F.lit(most)).cast("double"))
-        .withColumn("total", F.sum(size).over(everything) * F.lit(float(share)))
-        .withColumn("fill", F.col("cap") / F.col("weight"))
-    )
-    order = Window.orderBy("fill", "rank")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(0, Window.unboundedFollowing)
-    level = (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(after)
+    ranked = _in_order(sources, [F.col("source").asc_nulls_last()]).withColumnRenamed("place", "rank")
+    turn = ((F.col("rank") - 1) % len(weights)).cast("int")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1)
+    cap = F.col("source_size") * F.lit(float(most))
+    weighed = ranked.withColumn("weight", weight).withColumn("cap", cap).withColumn("fill", F.col("cap") / F.col("weight"))
+    # Sources of each weight are counted, so that sums do not depend on their order.
+    turns = tuple(f"_turn_{i}" for i in range(len(weights)))
+    weighed = weighed.withColumns({name: (turn == i).cast("bigint") for i, name in enumerate(turns)})
+    filled = _in_order(weighed, [F.col("fill"), F.col("rank")], ("source_size", *turns))
+    whole = weighed.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("source_size", *turns)]).first()
+    left = F.lit(whole["source_size"] * float(share)) - F.col("source_size_before") * F.lit(float(most))
+    after = [F.lit(float(w)) * (F.lit(whole[name]) - F.col(f"{name}_before")) for w, name in zip(weights, turns, strict=True)]
+    level = left / reduce(Column.__add__, after)
     # The first source that does not fill up sets the level for itself and all after it.
-    levelled = weighed.withColumn("level", level).withColumn("free", F.col("level") < F.col("fill"))
-    common = F.min(F.when(F.col("free"), F.struct("fill", "rank", "level"))).over(everything)["level"]
-    return levelled.withColumn("common", common).select(
-        "source", "source_size", "rank", F.least("cap", F.coalesce(F.col("common") * F.col("weight"), "cap")).alias("target")
+    free = filled.withColumn("level", level).filter("level < fill")
+    common = free.agg(F.min(F.struct("fill", "rank", "level"))["level"].alias("common")).first()["common"]
+    goal = F.col("cap") if common is None else F.least("cap", F.lit(common) * F.col("weight"))
+    return ranked.select("source", "source_size", "rank", cap.alias("cap"), weight.alias("weight")).select(
+        "source", "source_size", "rank", goal.alias("target")
     )
 
 
 def apportion(shares: DataFrame, group: list[str], seats: Column, order: list[Column]) -> DataFrame:
     """Rows with ``share`` get ``quota``: ``seats`` of their group by the highest quotients share / (2 k + 1).
 
-    ``seats`` must be one number per group. Ties go to the first row by ``order``. Only quotients near the
-    proportional share can decide: moving the divisor until the seats add up moves a
-    row by at most its part of half the group's rows. The seats below are granted
-    outright, so a group costs a few rows per row, whatever the number of seats.
+    ``seats`` must be one number per group. Ties go to the first row by ``order``, which tells
+    the rows of a group apart. Only quotients near the proportional share can decide:
+    moving the divisor until the seats add up moves a row by at most its part of half the
+    group's rows. The seats below are granted outright, so a group costs a few rows per
+    row, whatever the number of seats. Quotients are ranked by ranges, a group of any size by many tasks.
     """
-    own = Window.partitionBy(*group)
+    columns = shares.columns
+    rows = shares.withColumn("_seats", seats.cast("bigint")).withColumn("_all", F.lit(0))
+    group = group or ["_all"]
+    # A group is told by its columns, no nulls among them.
+    whole = rows.groupBy(*group).agg(F.sum("share").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
     exact = F.col("_seats") * F.col("share") / F.col("_sum")
     reach = F.ceil(F.col("share") / F.col("_sum") * F.col("_rows") / 2) + 1
     near = (
-        shares.withColumn("_seats", seats.cast("bigint"))
-        .withColumn("_sum", F.sum("share").over(own))
-        .withColumn("_rows", F.count(F.lit(1)).over(own))
+        rows.join(whole, group)
         .filter("share > 0")
         .withColumn("_low", F.greatest(F.lit(0), F.floor(exact) - reach).cast("bigint"))
         .withColumn("_high", (F.floor(exact) + reach + 1).cast("bigint"))
-        .withColumn("_open", F.col("_seats") - F.sum("_low").over(own))
     )
     candidates = near.withColumn("_k", F.explode(F.sequence("_low", "_high")))
     quotient = F.col("share") / (2 * F.col("_k") + 1)
-    place = F.row_number().over(own.orderBy(quotient.desc(), *order, F.col("_k")))
-    won = candidates.withColumn("_won", F.when(place <= F.col("_open"), 1).otherwise(0))
-    return won.groupBy(*shares.columns).agg((F.first("_low") + F.sum("_won")).cast("bigint").alias("quota"))
+    placed = _in_order(candidates, [*map(F.col, group), quotient.desc(), *order, F.col("_k")])
+    granted = F.sum(F.when(F.col("_k") == F.col("_low"), F.col("_low")))
+    opened = placed.groupBy(*group).agg(F.min("place").alias("_first"), (F.first("_seats") - granted).alias("_open"))
+    won = placed.join(opened, group).withColumn("_won", F.when(F.col("place") - F.col("_first") < F.col("_open"), 1).otherwise(0))
+    return won.groupBy(*columns).agg((F.first("_low") + F.sum("_won")).cast("bigint").alias("quota"))
 
 
 def _overlap(start: Column, stop: Column, low: Column, high: Column) -> Column:
@@ -137,7 +163,9 @@ def mix(
     joined = goals.alias("g").join(shard_counts.alias("c"), F.col("g.source").eqNullSafe(F.col("c.source")))
     planned = materialise(joined.select("g.source", "source_size", "rank", "target", "shards"))
     least = F.min(F.when(F.col("target") > 0, F.col("target"))).alias("least")
-    whole = planned.agg(F.sum("target").alias("target"), F.sum("shards").alias("shards"), least).first()
+    # Added as decimals, so that the order of sources does not matter.
+    target = F.sum(F.col("target").cast("decimal(38,6)")).alias("target")
+    whole = planned.agg(target, F.sum("shards").alias("shards"), least).first()
     total = float(whole["target"] or 0)
     # Rare sources need smaller blocks; more blocks cost no more rows.
     block = max(1, int(min(total / (blocks_per_shard * (whole["shards"] or 1)), (whole["least"] or 0) / BLOCKS_PER_SOURCE)))
