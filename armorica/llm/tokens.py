@@ -46,6 +46,9 @@ _PLAIN = re.compile(f"([{LETTERS}]+)([{MARKS}]?)(?:\n([{LETTERS}]+)([{MARKS}]?))
 _WHITE_AFTER_SPACE = re.compile(r" \s")
 _SPACE_PAIRS = [" " + white for white in " \t\n\v\f\r\x1c\x1d\x1e\x1f"]
 READ_BYTES = 8 << 20
+# Of a shard, in bytes of text and of what each row adds.
+SHARD_BYTES = 256 << 20
+ROW_BYTES = 16
 _MANIFEST = "shard int, name string, documents bigint, null_ids bigint, tokens bigint, width int"
 _READ = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
 
@@ -204,13 +207,15 @@ def write_tokens(
     id_col: str = "doc_id",
     text_col: str = "text",
     cached_segments: int = CACHED_SEGMENTS,
+    shard_bytes: int = SHARD_BYTES,
 ) -> str:
     """Encode whole texts in ascending order of the id and write the files; the folder is returned.
 
     ``tokenizer``: path of a ``tokenizers`` file, read on the driver. ``folder``: a new
     folder all executors share, given as a URI or a path; by default one below
     ``spark.checkpoint.dir``. ``end_id`` is appended to each document. ``cached_segments``
-    bounds what a worker remembers; it changes no result.
+    bounds what a worker remembers; it changes no result. Shards hold about
+    ``shard_bytes`` of text at the most.
 
     Null texts are empty. Rows without an id come first; rows of one id are ordered by
     a hash of their text. Other columns are not read. An empty table gives a manifest
@@ -224,11 +229,15 @@ def write_tokens(
     store.create_dir(path, recursive=True)
     vocabulary = _vocabulary_size(spec)
     width = 2 if max(vocabulary, (end_id or 0) + 1) <= 1 << 16 else 4
+    # More shards than there are shuffle partitions, where these would hold too much.
+    held = docs.agg(F.sum(F.coalesce(F.octet_length(named(text_col)), F.lit(0)) + F.lit(ROW_BYTES))).first()[0] or 0
+    shards = -(-held // shard_bytes)
+    number = [shards] if shards > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
     ordered = (
         docs.select(named(id_col).cast("bigint").alias("doc_id"), named(text_col).alias("text"))
         .withColumn("key", text_key(F.col("text")))
         .withColumn("row", F.monotonically_increasing_id())  # splits many rows of one id and text
-        .repartitionByRange("doc_id", "key", "row")
+        .repartitionByRange(*number, "doc_id", "key", "row")
         .sortWithinPartitions("doc_id", "key", "row")
         .select("doc_id", octets(F.col("text")).alias("text"))
     )
@@ -244,12 +253,18 @@ def _vocabulary_size(spec: str) -> int:
     return Tokenizer.from_str(spec).get_vocab_size(with_added_tokens=True)
 
 
-def _mapped(store: fs.FileSystem, path: str, dtype: str) -> np.ndarray:
-    """A file as an array: memory-mapped where the file system is local, else read."""
+def _items(store: fs.FileSystem, path: str, dtype: str) -> Callable[[int, int], np.ndarray]:
+    """Items ``first`` to ``last`` of a file: memory-mapped where the file system is local, else a ranged read."""
     if isinstance(store, fs.LocalFileSystem):
-        return np.memmap(path, dtype, "r") if store.get_file_info(path).size else np.zeros(0, dtype)
-    with store.open_input_file(path) as file:
-        return np.frombuffer(file.read(), dtype)
+        mapped = np.memmap(path, dtype, "r") if store.get_file_info(path).size else np.zeros(0, dtype)
+        return lambda first, last: mapped[first:last]
+    width = np.dtype(dtype).itemsize
+
+    def read(first: int, last: int) -> np.ndarray:
+        with store.open_input_file(path) as file:
+            return np.frombuffer(file.read_at((last - first) * width, first * width), dtype)
+
+    return read
 
 
 def _reader(folder: str) -> Callable:
@@ -258,14 +273,14 @@ def _reader(folder: str) -> Callable:
         for batch in batches:
             for row in batch.to_pylist():
                 files = f"{path}/{row['name']}"
-                tokens = _mapped(store, f"{files}.tokens", f"<u{row['width']}")
-                offsets = _mapped(store, f"{files}.offsets", "<u8").astype(np.int64)
-                ids = _mapped(store, f"{files}.ids", "<i8")
-                at, total = 0, len(ids)
+                at, total = 0, row["documents"]
+                tokens = _items(store, f"{files}.tokens", f"<u{row['width']}")
+                offsets = _items(store, f"{files}.offsets", "<u8")(0, total + 1).astype(np.int64)
+                ids = _items(store, f"{files}.ids", "<i8")(0, total)
                 while at < total:
                     stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + READ_BYTES // 4, "right")) - 1)
                     stop = min(stop, total)
-                    part = tokens[offsets[at] : offsets[stop]].astype("<u4").tobytes()
+                    part = tokens(int(offsets[at]), int(offsets[stop])).astype("<u4").tobytes()
                     local = (offsets[at : stop + 1] - offsets[at]) * 4
                     yield pa.RecordBatch.from_arrays(
                         [

@@ -11,6 +11,7 @@ import tracemalloc
 import numpy as np
 import pytest
 from compare import connect, difference
+from pyarrow import fs
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -539,6 +540,22 @@ def test_odd_conversations(spark):
     assert chat.format_conversations(turns.limit(0)).count() == 0
 
 
+# --- token files: shards and ranges
+
+
+def test_shards_are_bounded_and_ranges_read(spark, docs, token_file, tmp_path):
+    few, many = tokens.write_tokens(docs, token_file, end_id=2), tokens.write_tokens(docs, token_file, end_id=2, shard_bytes=20_000)
+    shards = [spark.read.parquet(f"{folder}/manifest").count() for folder in (few, many)]
+    assert shards[1] > 2 * shards[0]
+    same = [tokens.read_tokens(spark, folder).orderBy("start").collect() for folder in (few, many)]
+    assert same[0] == same[1]
+    np.arange(100, dtype="<u2").tofile(tmp_path / "x")
+    local = fs.LocalFileSystem()
+    for store, path in ((local, str(tmp_path / "x")), (fs.SubTreeFileSystem(str(tmp_path), local), "x")):
+        items = tokens._items(store, path, "<u2")
+        assert items(0, 100).tolist() == list(range(100)) and items(7, 9).tolist() == [7, 8] and not len(items(5, 5))
+
+
 # --- nearest neighbours
 
 
@@ -678,6 +695,20 @@ def test_apportionment(spark):
         assert found == {i: sum(1 for _, j, _ in quotients if j == i) for i in shares}
 
 
+def test_targets_of_many_sources(spark):
+    rng = random.Random(9)
+    sizes = {f"site-{i}": rng.choice([0, 5, 5, 40, 3000]) for i in range(3000)} | {None: 17, "": 100_000}
+    sources = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    found = {row.source: row.target for row in mixing.targets(sources).collect()}
+    want = _targets(sizes)
+    assert found.keys() == want.keys()
+    assert all(abs(found[source] - want[source]) <= 1e-9 * max(1, want[source]) for source in want)
+    planned = mixing.targets(sources).select("rank", F.col("target").alias("share")).filter("share > 0")
+    quotas = mixing.apportion(planned, [], F.lit(5000), [F.col("rank")])
+    assert "windowspecdefinition(" not in quotas._jdf.queryExecution().analyzed().toString().replace("windowspecdefinition(_range", "")
+    assert quotas.agg(F.sum("quota")).first()[0] == 5000
+
+
 def test_mixture_holds_what_is_taken(odd_docs, no_docs):
     mixed = mixing.mixture(odd_docs, share=0.9)
     assert mixed.columns == odd_docs.columns
