@@ -15,10 +15,11 @@ from armorica import vocabulary as v
 from armorica.functions import column, find_column, percent, remainder, require_column, sum_columns, trim_headers
 from armorica.operators.geography import plain_codes
 from armorica.operators.joins import BROADCAST_BYTES, is_small
+from armorica.workspace import new_folder
 
 CAMPS = {v.SCORE_LEFT: v.LEFT, v.SCORE_RIGHT: v.RIGHT}
 SHARE_TYPE = "decimal(18,10)"
-# Equal rows that are repeated by one array.
+# No longer used: equal rows are not counted and repeated any more. A test still sets it.
 COPIES_AT_ONCE = 10_000
 KEPT = (
     v.COMMUNE_CODE,
@@ -116,8 +117,9 @@ def camp_scores_wide(
 
     Columns in ``by`` are further keys of the reference, such as the year. A
     reference within the bound is broadcast once and looked up per candidate,
-    without a shuffle. Beyond it the votes are shuffled twice, however many
-    candidates there are.
+    without a shuffle. Beyond it only the different lists of codes meet the
+    reference, however many rows and candidates there are; the rows are read
+    twice and shuffled once at the most, by their list.
     """
     pairs = candidate_pairs(df)
     lookup = camp_lookup(reference, by)
@@ -127,7 +129,7 @@ def camp_scores_wide(
     elif is_small(lookup, max_bytes):
         joined = _camps_by_lookup(df, pairs, F.broadcast(lookup), by)
     else:
-        joined = _camps_by_shuffle(df, pairs, lookup, by, kept)
+        joined = _camps_by_shuffle(df, pairs, lookup, by)
     votes: dict[str, list[Column]] = {score: [] for score in CAMPS}
     for turn, (_, vote_share) in enumerate(pairs):
         value = percent(column(vote_share))
@@ -158,29 +160,35 @@ def _camps_by_lookup(
 
 
 def _camps_by_shuffle(
-    df: DataFrame, pairs: Sequence[tuple[str, str]], lookup: DataFrame, by: Sequence[str], kept: Sequence[str]
+    df: DataFrame, pairs: Sequence[tuple[str, str]], lookup: DataFrame, by: Sequence[str]
 ) -> DataFrame:
-    """The same columns by one join of all candidates.
+    """The same columns by way of the different lists of codes.
 
-    A row becomes one row per candidate, which meets the lookup by code, where
-    adaptive execution splits a hot one. Rows come together again by their
-    content; equal rows are counted and then repeated, in blocks.
+    Rows of one list have the same camps. A list becomes one row per candidate,
+    which meets the lookup by code, where adaptive execution splits a hot one.
+    The camps of a list come together again and are kept in the shared folder,
+    for Spark to choose by their size how the rows look up their list.
     """
-    headers = dict.fromkeys([*kept, *[header for pair in pairs for header in pair]])
-    content = [column(name) for name in headers]
-    codes = F.posexplode(F.array(*[column(code) for code, _ in pairs])).alias("_turn", "_candidate")
-    side = lookup.select(
-        *[column(key).alias(f"_key{i}") for i, key in enumerate(by)], F.col("code").alias("_code"), F.col("camp").alias("_camp")
-    )
+    spark = df.sparkSession
+    keys = [column(key).alias(f"_key{i}") for i, key in enumerate(by)]
+    codes = F.array(*[column(code) for code, _ in pairs])
+    rows = df.withColumn("_list", F.struct(*keys, codes.alias("_codes")))
+    names = F.array(*[F.lit(camp) for camp in CAMPS.values()])
+    # Camps as numbers are gathered in hash maps.
+    side = lookup.select(*keys, F.col("code").alias("_code"), F.array_position(names, F.col("camp")).alias("_camp"))
     same = F.col("_candidate") == F.col("_code")
-    for i, key in enumerate(by):
-        same = same & (column(key) == F.col(f"_key{i}"))
-    met = df.select(*content, codes).join(side, same, "left")
-    camps = [F.max(F.when(F.col("_turn") == turn, F.col("_camp"))).alias(f"_camp_{turn}") for turn in range(len(pairs))]
-    rows = met.groupBy(*content).agg(*camps, (F.count(F.lit(1)) / len(pairs)).cast("bigint").alias("_copies"))
-    blocks = rows.withColumn("_block", F.explode(F.expr(f"sequence(0, (_copies - 1) div {COPIES_AT_ONCE})")))
-    here = F.least(F.lit(COPIES_AT_ONCE), F.col("_copies") - F.col("_block") * COPIES_AT_ONCE)
-    return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1), here))).drop("_copies", "_block", "_copy")
+    for i in range(len(by)):
+        same = same & (F.col(f"_list._key{i}") == F.col(f"_key{i}"))
+    candidates = rows.select("_list").distinct().select("_list", F.posexplode("_list._codes").alias("_turn", "_candidate"))
+    camps = [F.max(F.when(F.col("_turn") == turn, F.col("_camp"))) for turn in range(len(pairs))]
+    met = candidates.join(side, same, "left").groupBy("_list").agg(F.array(*camps).alias("_camps"))
+    folder = new_folder(spark, "camps")
+    met.write.parquet(folder)
+    found = F.coalesce(F.col("_camps"), F.raise_error(F.lit("rows have other codes when read again")))
+    return rows.join(spark.read.parquet(folder), "_list", "left").select(
+        *[column(name) for name in df.columns],
+        *[F.get(names, F.get(found, F.lit(turn)) - 1).alias(f"_camp_{turn}") for turn in range(len(pairs))],
+    )
 
 
 def _masked(total: Column, gaps: Column, nulls: str) -> Column:

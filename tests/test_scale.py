@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -189,6 +190,44 @@ def test_wide_scores_beyond_the_bound_join_once(spark, small_partitions, monkeyp
     assert text.count("Exchange hashpartitioning") <= 3
 
 
+def test_wide_scores_beyond_the_bound_do_not_multiply_rows(spark, small_partitions):
+    """A row per candidate is made of each different list of codes, not of each row; a hot list is split."""
+    camps = spark.sql("select * from values (2017, 'A', 'Gauche'), (2017, 'B', 'Droite'), (2022, 'B', 'Gauche') as t(annee, Code, Orientation)")
+    first = F.when(F.col("id") % 3 < 2, "A").when(F.col("id") % 9 == 2, F.concat(F.lit("C"), F.col("id")))
+    rows = spark.range(0, 60_000, 1, 16).select(
+        F.col("id").alias("place"),
+        F.when(F.col("id") % 3 < 2, 2017).when(F.col("id") % 9 == 5, 2022).alias("annee"),
+        first.alias(f"{v.CANDIDATE_PREFIX}1"),
+        F.when(F.col("id") % 11 != 0, "10,25%").alias(f"{v.VOTE_SHARE_PREFIX}1"),
+        F.lit("B").alias(f"{v.CANDIDATE_PREFIX}2"),
+        F.lit("20%").alias(f"{v.VOTE_SHARE_PREFIX}2"),
+    )
+    far = camp_scores_wide(rows, camps, by=["annee"], keep=["place"], max_bytes=0)
+    near = camp_scores_wide(rows, camps, by=["annee"], keep=["place"])
+    assert sorted(far.collect(), key=str) == sorted(near.collect(), key=str)
+    text = final_plan(far).split("Initial Plan")[0]
+    assert "SortMergeJoin(skew=true)" in text
+    assert not re.search("Generate|Aggregate", text)
+
+
+def test_lists_of_codes_within_the_bound_of_spark_are_joined_without_a_shuffle(spark):
+    camps = spark.sql("select * from values ('L1', 'Gauche'), ('R1', 'Droite') as t(Code, Orientation)")
+    far = camp_scores_wide(ballots(spark), camps, keep=["place"], max_bytes=0)
+    assert "Exchange hashpartitioning" not in final_plan(far)
+    assert sorted(far.collect()) == sorted(camp_scores_wide(ballots(spark), camps, keep=["place"]).collect())
+
+
+def test_rows_that_change_between_two_reads_are_refused(spark):
+    """Never scored as candidates without a camp."""
+    camps = spark.sql("select * from values ('L1', 'Gauche') as t(Code, Orientation)")
+    header = f"`{v.CANDIDATE_PREFIX}1` string, `{v.VOTE_SHARE_PREFIX}1` string"
+    # Another code whenever the rows are computed.
+    changing = spark.sparkContext.parallelize(range(3)).map(lambda _: (str(time.time_ns()), "1%"))
+    rows = spark.createDataFrame(changing, header)
+    with pytest.raises(Exception, match="other codes"):
+        camp_scores_wide(rows, camps, max_bytes=0).collect()
+
+
 def test_hot_department_is_split_beyond_the_broadcast_bound(spark, small_partitions):
     places = hot(spark).select(
         F.col("x").cast("string").alias("code_com"), F.col("code").cast("int").alias("code_dep")
